@@ -1,0 +1,26 @@
+"""Joins with a small side whose size is checked before it is broadcast."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from imlens.session import ensure_checkpoint_dir
+
+# Largest small side (rows) that is shipped to every executor; beyond it the planner's shuffle
+# join (sort-merge, AQE-adjusted) is used instead.
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Join ``big`` with a side expected to be small (labels, weak classes, cells).
+
+    The small side is materialised once in the shared checkpoint folder (it is an aggregate, so
+    this is cheap and keeps it from being recomputed), its rows are counted, and only a side
+    within ``max_rows`` gets a broadcast hint; a larger one falls back to a shuffle join.
+    """
+    ensure_checkpoint_dir(small.sparkSession)
+    small = small.checkpoint(eager=True)
+    if small.count() <= max_rows:
+        small = F.broadcast(small)
+    return big.join(small, on=on, how=how)
