@@ -16,11 +16,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import ArrayType, FloatType, StructField, StructType, StringType
 
+from imlens.session import ship_package
+
 PredictFn = Callable[[np.ndarray], np.ndarray]
 
 RESULT_TYPE = StructType(
@@ -201,6 +203,7 @@ def featurize(
     else:
         raise TypeError(f"{input_col} must be an image struct or a numeric array, not {dtype.simpleString()}")
     zero = np.zeros(zero_dim, dtype=np.float32) if on_error == "zero" else None
+    ship_package(df.sparkSession)
 
     @pandas_udf(RESULT_TYPE)
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -226,6 +229,7 @@ def batch_predict(make_predict_fn, return_type=ArrayType(FloatType()), batch_siz
     """Spark ML's ``predict_batch_udf`` (M3 as a built-in): model cached per worker, Arrow batches."""
     from pyspark.ml.functions import predict_batch_udf
 
+    ship_package(SparkSession.getActiveSession())
     return predict_batch_udf(
         make_predict_fn, return_type=return_type, batch_size=batch_size, input_tensor_shapes=input_tensor_shapes
     )

@@ -1,0 +1,127 @@
+"""The batch job: image folders -> labelled features -> standardise + PCA -> Parquet.
+
+Layout of ``out``::
+
+    features/split=<set>/   path, label, features, error   (one featurisation pass, all sets)
+    quarantine/             path, label, split, error      (rows that failed or were invalid)
+    model/                  fitted scaler + PCA + slice (Spark ML PipelineModel)
+    reduced/split=<set>/    path, label, pca_features       (train-fitted model applied to every set)
+    balance/                label, train, test, total
+
+The scorer runs once per image: its output is written to ``features`` and every later step reads
+that table (which also cuts the lineage, so a lost executor never re-scores images). Failed rows
+are excluded from the fit and kept in ``quarantine``.
+
+Partitioning: the image scan packs files into partitions by ``spark.sql.files.maxPartitionBytes``
+and ``spark.sql.files.openCostInBytes``; with many small images this already yields many tasks,
+so no shuffle of decoded pixels is needed. ``partitions`` forces a round-robin repartition of the
+decoded rows for the rare case of a few huge files.
+"""
+
+from __future__ import annotations
+
+import re
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from imlens.functions.vectors import vector_error
+from imlens.operators import metrics
+from imlens.operators.features import featurize
+from imlens.operators.reduce import ReductionModel, Reducer
+from imlens.sources.files import image_items, scan_images
+from imlens.sources.sinks import guard_overlap, write_parquet
+
+
+def set_name_of(path: str, root: str = "images") -> str | None:
+    """Data-set name from a folder argument, e.g. ``s3a://b/images/train`` -> ``train``."""
+    m = re.search(re.escape(root) + r"/([^/]+)", path)
+    return m.group(1) if m else None
+
+
+@dataclass
+class JobResult:
+    k: int
+    dim: int
+    counts: dict = field(default_factory=dict)
+    paths: dict = field(default_factory=dict)
+
+
+def labelled_images(
+    spark: SparkSession, folder: str, set_label: str, rule: str = "set", glob: str | None = None, root: str = "images"
+) -> DataFrame:
+    """(image, path, label, split) for one data-set folder."""
+    items = image_items(scan_images(spark, folder, glob=glob), rule=rule, set_label=set_label, root=root)
+    return items.withColumn("split", F.lit(set_label))
+
+
+def run(
+    spark: SparkSession,
+    sets: dict[str, str],
+    out: str,
+    *,
+    fit_set: str = "train",
+    make_predict_fn=None,
+    threshold: float = 0.9,
+    rule: str = "set",
+    glob: str | None = None,
+    root: str = "images",
+    size: tuple[int, int] = (224, 224),
+    batch_size: int = 32,
+    partitions: int | None = None,
+    on_error: str = "quarantine",
+    zero_dim: int | None = None,
+) -> JobResult:
+    """Featurise every set once, fit on ``fit_set``, apply the same model to all sets.
+
+    ``sets`` maps a set name to its folder, e.g. ``{"train": ".../images/train", "test": ...}``.
+    """
+    if fit_set not in sets:
+        raise ValueError(f"fit_set {fit_set!r} is not one of {sorted(sets)}")
+    out = out.rstrip("/")
+    inputs = list(sets.values())
+    guard_overlap(out, inputs)
+    paths = {name: f"{out}/{name}" for name in ("features", "quarantine", "model", "reduced", "balance")}
+
+    items = None
+    for name, folder in sets.items():
+        one = labelled_images(spark, folder, name, rule=rule, glob=glob, root=root)
+        items = one if items is None else items.unionByName(one)
+    if partitions:
+        items = items.repartition(partitions)
+
+    scored = featurize(
+        items, "image", make_predict_fn, batch_size=batch_size, size=size, on_error=on_error, zero_dim=zero_dim
+    ).drop("image")
+    scored = scored.withColumn("error", F.coalesce(F.col("error"), vector_error(scored, "features")))
+    write_parquet(scored.select("path", "label", "features", "error", "split"), paths["features"], partition_by=["split"])
+
+    table = spark.read.parquet(paths["features"])
+    good = table.filter(F.col("error").isNull() & F.col("label").isNotNull())
+    bad = table.filter(F.col("error").isNotNull() | F.col("label").isNull()).select(
+        "path", "label", "split", F.coalesce(F.col("error"), F.lit("no label for this path layout")).alias("error")
+    )
+    write_parquet(bad, paths["quarantine"])
+
+    model = Reducer("features", "pca_features", threshold=threshold).fit(good.filter(F.col("split") == fit_set))
+    model.save(paths["model"])
+    reduced = model.transform(good).select("path", "label", "pca_features", "split")
+    write_parquet(reduced, paths["reduced"], partition_by=["split"])
+
+    if "test" in sets and fit_set != "test":
+        balance = metrics.class_balance(good.filter(F.col("split") == fit_set), good.filter(F.col("split") == "test"))
+        write_parquet(balance, paths["balance"])
+
+    counts = {
+        (r["split"], r["ok"]): r["n"]
+        for r in table.groupBy("split", (F.col("error").isNull() & F.col("label").isNotNull()).alias("ok"))
+        .count()
+        .withColumnRenamed("count", "n")
+        .collect()
+    }
+    return JobResult(k=model.k, dim=model.dim, counts=counts, paths=paths)
+
+
+def load_model(out: str) -> ReductionModel:
+    return ReductionModel.load(f"{out.rstrip('/')}/model")

@@ -55,3 +55,28 @@ def ensure_checkpoint_dir(spark: SparkSession, allow_local_default: bool | None
         conf_dir = tempfile.mkdtemp(prefix="imlens-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``imlens`` importable in executor Python workers (what ``--py-files`` does).
+
+    Pandas UDFs of this package reference its functions by module; a cluster where the package
+    is not installed on the nodes gets a zip of it through ``addPyFile`` once per session.
+    """
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    key = "spark.imlens.shipped"
+    if sc.getLocalProperty(key) == "1" or getattr(sc, "_imlens_shipped", False):
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="imlens-pyfiles-"), "imlens.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as zf:
+        for base, _, files in os.walk(pkg_dir):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(base, name)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(target)
+    sc._imlens_shipped = True
