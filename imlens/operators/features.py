@@ -12,6 +12,7 @@ once, so the scorer runs a single time per row.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -29,15 +30,16 @@ RESULT_TYPE = StructType(
     [StructField("features", ArrayType(FloatType()), True), StructField("error", StringType(), True)]
 )
 
-# Per-Python-worker cache of built predict functions, keyed by the factory object.
-_MODELS: dict[int, PredictFn] = {}
+# Per-Python-worker cache of built predict functions. The key is a token drawn once per
+# ``featurize`` call on the driver, so every task of that call reuses one model in a worker and
+# no other call can ever be handed it (object ids of unpickled factories are reused).
+_MODELS: dict[str, PredictFn] = {}
 
 
-def _predictor(make_predict_fn: Callable[[], PredictFn]) -> PredictFn:
-    key = id(make_predict_fn)
-    if key not in _MODELS:
-        _MODELS[key] = make_predict_fn()
-    return _MODELS[key]
+def _predictor(token: str, make_predict_fn: Callable[[], PredictFn]) -> PredictFn:
+    if token not in _MODELS:
+        _MODELS[token] = make_predict_fn()
+    return _MODELS[token]
 
 
 # --------------------------------------------------------------------------- preprocessing
@@ -204,10 +206,11 @@ def featurize(
         raise TypeError(f"{input_col} must be an image struct or a numeric array, not {dtype.simpleString()}")
     zero = np.zeros(zero_dim, dtype=np.float32) if on_error == "zero" else None
     ship_package(df.sparkSession)
+    token = uuid.uuid4().hex
 
     @pandas_udf(RESULT_TYPE)
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        predict = _predictor(make)
+        predict = _predictor(token, make)
         for batch in batches:
             feats, errors = _score(prep(batch), predict, batch_size, zero)
             yield pd.DataFrame({"features": feats, "error": errors})

@@ -113,3 +113,26 @@ def test_pipeline_end_to_end(spark, image_tree, tmp_path):
 def test_pipeline_refuses_overlapping_output(spark, image_tree):
     with pytest.raises(ValueError, match="overlaps"):
         pipeline.run(spark, {"train": str(image_tree / "train")}, str(image_tree / "train" / "out"))
+
+
+def test_broadcast_linear_projection(spark):
+    from imlens.operators.models import linear_projection
+
+    w = np.arange(6, dtype=np.float32).reshape(3, 2)
+    df = spark.createDataFrame([(0, [1.0, 0.0, 0.0]), (1, [0.0, 1.0, 1.0])], "id int, v array<float>")
+    out = featurize(df, "v", linear_projection(spark, w, bias=np.array([1.0, 1.0]))).orderBy("id").collect()
+    assert [list(r.features) for r in out] == [[1.0, 2.0], [7.0, 9.0]]
+
+
+def _times(k):
+    def make():
+        return lambda x: x * k
+
+    return make
+
+
+def test_each_featurize_call_uses_its_own_model(spark):
+    df = spark.createDataFrame([(i, [1.0]) for i in range(16)], "id int, v array<float>").repartition(4)
+    for k in (2.0, 3.0, 5.0, 2.0):
+        vals = {r.features[0] for r in featurize(df, "v", _times(k)).collect()}
+        assert vals == {k}
