@@ -184,9 +184,14 @@ def featurize(
     size: tuple[int, int] = (224, 224),
     on_error: str = "quarantine",
     zero_dim: int | None = None,
+    spread: bool = True,
 ) -> DataFrame:
     """Add ``output_col`` (array<float>) and ``error_col`` (string, null when fine) in one pass.
 
+    With ``spread``, an input with fewer partitions than the cluster has cores (a small or
+    unsplittable file) is spread round-robin first, so the scorer uses every core; inputs that
+    already have enough partitions are scored where they were read, without a shuffle.
+
     ``input_col`` is an ``image`` struct (from ``scan_images``) or a numeric array column.
     on_error='quarantine' leaves failed features null; on_error='zero' fills a zero vector of
     ``zero_dim`` values (the reference's fallback) while still recording the error.
@@ -215,6 +220,10 @@ def featurize(
             feats, errors = _score(prep(batch), predict, batch_size, zero)
             yield pd.DataFrame({"features": feats, "error": errors})
 
+    if spread:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            df = df.repartition(cores)
     scored = df.withColumn("_imlens_scored", score(F.col(input_col)))
     return scored.withColumn(output_col, F.col("_imlens_scored.features")).withColumn(
         error_col, F.col("_imlens_scored.error")

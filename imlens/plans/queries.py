@@ -28,7 +28,7 @@ from imlens.functions.vectors import as_vector, length_distribution, length_summ
 from imlens.operators import classify, features, metrics, sampling
 from imlens.operators.reduce import Reducer
 from imlens.session import ensure_checkpoint_dir
-from imlens.sources.files import read_features, scan_binary
+from imlens.sources.files import image_items, read_features, scan_binary
 from imlens.sources.sinks import write_parquet
 
 STABLE_FRACTION = 0.1
@@ -326,6 +326,66 @@ def q_roundtrip_parquet(spark, sf_dir):
     return back.select("vec_id", "label", F.size("embedding").alias("n_values"), F.round(total, 4).alias("total"))
 
 
+# --------------------------------------------------------------------------- images derived from embeddings
+
+IMAGE_SIDE = 12  # tensor size for the preprocessing check (8 x 8 source pixels, nearest upscale)
+
+
+def embedding_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each embedding as an 8-row greyscale image in Spark's image struct, built with JVM expressions.
+
+    A value x in [-1, 1] becomes the byte floor((x + 1) * 127.5) (clamped); the file path is
+    ``file:/data/images/<split>/<label>/<vec_id>.png`` with split train / test by ``vec_id % 5``.
+    """
+    e = embeddings(spark, sf_dir)
+    pixel = lambda x: F.least(
+        F.floor((F.least(F.greatest(x.cast("double"), F.lit(-1.0)), F.lit(1.0)) + 1) * 127.5), F.lit(255)
+    ).cast("int")
+    data = F.unhex(F.concat_ws("", F.transform(F.transform("embedding", pixel), lambda b: F.lpad(F.hex(b), 2, "0"))))
+    split = F.when(F.col("vec_id") % 5 != 0, F.lit("train")).otherwise(F.lit("test"))
+    origin = F.concat(
+        F.lit("file:/data/images/"), split, F.lit("/"), F.col("label").cast("string"), F.lit("/"),
+        F.col("vec_id").cast("string"), F.lit(".png"),
+    )
+    image = F.struct(
+        origin.alias("origin"),
+        F.lit(8).alias("height"),
+        (F.size("embedding") / 8).cast("int").alias("width"),
+        F.lit(1).alias("nChannels"),
+        F.lit(0).alias("mode"),
+        data.alias("data"),
+    )
+    return e.select("vec_id", image.alias("image"))
+
+
+def _flatten_fn():
+    def predict(x: np.ndarray) -> np.ndarray:
+        return x.reshape(x.shape[0], -1)
+
+    return predict
+
+
+def q_image_tensor(spark, sf_dir):
+    imgs = embedding_images(spark, sf_dir)
+    scored = features.featurize(imgs, "image", _flatten_fn, size=(IMAGE_SIDE, IMAGE_SIDE), batch_size=64)
+    return scored.select("vec_id", F.posexplode("features").alias("i", "value")).select(
+        "vec_id", "i", r6(F.col("value").cast("double")).alias("value")
+    )
+
+
+def q_image_pipeline(spark, sf_dir):
+    """Derived images -> path/label -> default featuriser -> fit on train -> reduce every row."""
+    items = image_items(embedding_images(spark, sf_dir), rule="parent")
+    scored = features.featurize(items, "image", size=(32, 32), batch_size=64).drop("image")
+    # the scorer runs once: its output is checkpointed to the shared folder before two fit passes
+    ensure_checkpoint_dir(spark)
+    good, _ = features.split_quarantine(scored.checkpoint(eager=True))
+    model = Reducer("features", "pca_features", threshold=VARIANCE_SHARE, output="array").fit(
+        good.filter(F.col("split") == "train")
+    )
+    return model.transform(good).select("path", "label", "split", "pca_features")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "class_counts": q_class_counts,
     "class_count_distinct": q_class_count_distinct,
@@ -361,6 +421,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "classify_rf": _classify("rf"),
     "classify_gbt": _classify("gbt"),
     "featurize_batch": q_featurize_batch,
+    "image_tensor": q_image_tensor,
+    "image_pipeline": q_image_pipeline,
     "quarantine_split": q_quarantine_split,
     "roundtrip_parquet": q_roundtrip_parquet,
 }
@@ -499,6 +561,15 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT vec_id, (generate_subscripts(embedding, 1) - 1)::INTEGER AS i, "
         "round((2 * unnest(embedding))::DOUBLE, 6) AS value FROM embeddings"
     ),
+    "image_tensor": (
+        "WITH px AS (SELECT vec_id, (generate_subscripts(embedding, 1) - 1) AS p, unnest(embedding)::DOUBLE AS x "
+        "FROM embeddings), "
+        "pix AS (SELECT vec_id, p, least(floor((least(greatest(x, -1.0), 1.0) + 1) * 127.5), 255)::INTEGER AS b FROM px), "
+        f"o AS (SELECT yy, xx, c, (floor((yy + 0.5) * 8 / {IMAGE_SIDE}) * 8 + floor((xx + 0.5) * 8 / {IMAGE_SIDE}))::BIGINT AS p "
+        f"FROM range({IMAGE_SIDE}) t1(yy), range({IMAGE_SIDE}) t2(xx), range(3) t3(c)) "
+        f"SELECT pix.vec_id, ((o.yy * {IMAGE_SIDE} + o.xx) * 3 + o.c)::INTEGER AS i, "
+        "round((pix.b::FLOAT / 127.5::FLOAT - 1.0::FLOAT)::DOUBLE, 6) AS value FROM pix JOIN o ON pix.p = o.p"
+    ),
     "quarantine_split": (
         "SELECT CASE WHEN embedding IS NULL THEN 'ValueError: null input' "
         "WHEN list_sum(list_transform(embedding, lambda x: x::DOUBLE * x)) = 0 THEN 'non-finite feature value' "
