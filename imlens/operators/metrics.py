@@ -226,6 +226,31 @@ def confusion_wide(focus: DataFrame) -> DataFrame:
     return focus.groupBy("label").pivot("prediction").agg(F.sum("n")).na.fill(0)
 
 
+def class_list(cells: DataFrame) -> list:
+    """Sorted union of true and predicted labels (O4, U1), checked against ``spark.sql.pivotMaxValues``."""
+    classes = cells.select(F.col("label").alias("c")).union(cells.select(F.col("prediction").alias("c"))).distinct()
+    limit = int(cells.sparkSession.conf.get("spark.sql.pivotMaxValues", "10000"))
+    values = [r.c for r in classes.orderBy("c").limit(limit + 1).collect()]
+    if len(values) > limit:
+        raise ValueError(f"more than {limit} classes: use the long cell table instead of a dense matrix")
+    return values
+
+
+def confusion_dense(cells: DataFrame, classes: list | None = None) -> DataFrame:
+    """Dense matrix over the label union: one row and one column per class, zeros included.
+
+    No cross join of label lists: each class contributes one zero cell so it gets a row, and the
+    pivot over the explicit class list gives every column.
+    """
+    classes = classes if classes is not None else class_list(cells)
+    spark = cells.sparkSession
+    zeros = spark.createDataFrame([(c,) for c in classes], cells.select("label").schema).select(
+        "label", F.lit(None).cast(cells.schema["prediction"].dataType).alias("prediction"), F.lit(0).cast("bigint").alias("n")
+    )
+    both = cells.select("label", "prediction", F.col("n").cast("bigint").alias("n")).unionByName(zeros)
+    return both.groupBy("label").pivot("prediction", classes).agg(F.sum("n")).na.fill(0)
+
+
 def evaluation_bundle(df: DataFrame, label: str = "label", prediction: str = "prediction", threshold: float = 0.9) -> dict:
     """All evaluation tables of one prediction table (C7, C8), sharing the small aggregates.
 

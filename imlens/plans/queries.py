@@ -261,6 +261,10 @@ def q_confusion_weak_wide(spark, sf_dir):
     return metrics.confusion_wide(metrics.confusion_focus(metrics.confusion_cells(p), weak))
 
 
+def q_confusion_dense(spark, sf_dir):
+    return metrics.confusion_dense(metrics.confusion_cells(predictions(spark, sf_dir)))
+
+
 def q_label_index(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang")
     return classify.index_labels(docs, "lang").select("doc_id", "lang", "label_index", "label_back")
@@ -416,6 +420,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "weak_class_rows": q_weak_class_rows,
     "confused_with": q_confused_with,
     "confusion_weak_wide": q_confusion_weak_wide,
+    "confusion_dense": q_confusion_dense,
     "label_index": q_label_index,
     "classify_lr": _classify("lr"),
     "classify_rf": _classify("rf"),
@@ -553,6 +558,13 @@ ORACLE_SQL: dict[str, str] = {
         )
         + " FROM p WHERE label IN (SELECT label FROM w) GROUP BY label"
     ),
+    "confusion_dense": (
+        f"WITH {_PRED}, c AS (SELECT label FROM p UNION SELECT prediction FROM p) SELECT c.label, "
+        + ", ".join(
+            f"count(p.label) FILTER (WHERE p.prediction = '{v}')::BIGINT AS {v}" for v in ("de", "en", "es", "fr")
+        )
+        + " FROM c LEFT JOIN p ON p.label = c.label GROUP BY c.label"
+    ),
     "label_index": (
         "SELECT doc_id, lang, (dense_rank() OVER (ORDER BY lang) - 1)::BIGINT AS label_index, "
         "lang AS label_back FROM documents"

@@ -132,3 +132,12 @@ def test_metric_plans_have_no_python_and_no_cartesian(spark):
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan
         assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+
+
+def test_confusion_dense_includes_zero_rows_and_columns(spark):
+    df = frame(spark, [("a", "a"), ("a", "b"), ("c", "a")])  # 'b' never true, 'c' never predicted
+    dense = {r.label: r.asDict() for r in metrics.confusion_dense(metrics.confusion_cells(df)).collect()}
+    assert sorted(dense) == ["a", "b", "c"]
+    assert dense["a"] == {"label": "a", "a": 1, "b": 1, "c": 0}
+    assert dense["b"] == {"label": "b", "a": 0, "b": 0, "c": 0}
+    assert dense["c"] == {"label": "c", "a": 1, "b": 0, "c": 0}
