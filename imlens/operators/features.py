@@ -220,7 +220,7 @@ def featurize(
             feats, errors = _score(prep(batch), predict, batch_size, zero)
             yield pd.DataFrame({"features": feats, "error": errors})
 
-    if spread:
+    if spread and not df.isStreaming:
         cores = df.sparkSession.sparkContext.defaultParallelism
         if df.rdd.getNumPartitions() < cores:
             df = df.repartition(cores)

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from imlens.operators.joins import join_small
+from imlens.session import ensure_checkpoint_dir
 
 
 def _div(num: Column, den: Column) -> Column:
@@ -257,6 +258,7 @@ def evaluation_bundle(df: DataFrame, label: str = "label", prediction: str = "pr
     ``cells`` and ``report`` are checkpointed (to the session's shared checkpoint folder), so the
     row-level table is aggregated once and every later table reads the small results.
     """
+    ensure_checkpoint_dir(df.sparkSession)
     cells = confusion_cells(df, label, prediction).checkpoint()
     stats = _stats_from_cells(cells).checkpoint()
     report = _report_from_stats(stats)
