@@ -136,3 +136,44 @@ def test_each_featurize_call_uses_its_own_model(spark):
     for k in (2.0, 3.0, 5.0, 2.0):
         vals = {r.features[0] for r in featurize(df, "v", _times(k)).collect()}
         assert vals == {k}
+
+
+def _jpeg(spark, path, rgb, size=(6, 5)):
+    """Write a JPEG with the JVM's ImageIO (no Python imaging library needed)."""
+    jvm = spark._jvm
+    w, h = size
+    img = jvm.java.awt.image.BufferedImage(w, h, jvm.java.awt.image.BufferedImage.TYPE_INT_RGB)
+    value = (rgb[0] << 16) | (rgb[1] << 8) | rgb[2]
+    for y in range(h):
+        for x in range(w):
+            img.setRGB(x, y, value)
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    jvm.javax.imageio.ImageIO.write(img, "jpg", jvm.java.io.File(path))
+
+
+def test_jpeg_and_non_image_files(spark, tmp_path):
+    from imlens.sources.files import image_items, scan_images
+
+    root = tmp_path / "images" / "train"
+    _jpeg(spark, str(root / "Apple Braeburn 1" / "0 x.jpg"), (200, 40, 10))
+    _write(str(root / "Banana" / "readme.txt"), b"notes")
+    items = image_items(scan_images(spark, str(root)), rule="set", set_label="train")
+    scored = featurize(items, "image", size=(4, 4), make_predict_fn=_flat_model).collect()
+    by_name = {r.path.rsplit("/", 1)[-1]: r for r in scored}
+    jpg = by_name["0 x.jpg"]
+    assert jpg.label == "Apple Braeburn 1" and jpg.error is None
+    rgb = np.array(jpg.features).reshape(4, 4, 3)
+    assert rgb[..., 0].mean() > 0.3 and rgb[..., 2].mean() < -0.5  # red stays red after BGR -> RGB
+    assert by_name["readme.txt"].features is None and "undecodable" in by_name["readme.txt"].error
+
+
+def _flat_model():
+    return lambda x: x.reshape(x.shape[0], -1)
+
+
+def test_binary_items_use_decoded_path(spark, tmp_path):
+    from imlens.sources.files import binary_items, scan_binary
+
+    _write(str(tmp_path / "C+D 50%" / "a b.png"), png_bytes(np.zeros((2, 2), dtype=np.uint8)))
+    rows = binary_items(scan_binary(spark, str(tmp_path), glob="*.png")).collect()
+    assert [(r.label, r.path.rsplit("/", 1)[-1]) for r in rows] == [("C+D 50%", "a b.png")]

@@ -61,3 +61,18 @@ def test_label_from_parent_has_no_python(spark):
     df = spark.createDataFrame([("a/b/c",)], "p string").select(label_from_parent(decode_path(F.col("p"))))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan
+
+
+@settings(max_examples=25, deadline=None)
+@given(
+    st.text(alphabet=st.characters(blacklist_categories=("Cs", "Cc"), blacklist_characters="/"), min_size=1, max_size=15),
+    st.sampled_from(["train", "test"]),
+)
+def test_label_rule_inverts_path_building(spark, label, split):
+    path = f"s3://bucket/images/{split}/{quote(label)}/{quote('img 1.jpg')}"
+    df = spark.createDataFrame([(path,)], "p string")
+    row = df.select(
+        decode_path(label_from_set("p", split)).alias("a"), label_from_parent(decode_path("p")).alias("b")
+    ).first()
+    assert row.a == label
+    assert row.b == label
