@@ -274,6 +274,11 @@ def evaluation_bundle(df: DataFrame, label: str = "label", prediction: str = "pr
     }
 
 
+def report_from_cells(cells: DataFrame) -> DataFrame:
+    """class_report computed from the (label, prediction, n) cell table instead of rows."""
+    return _report_from_stats(_stats_from_cells(cells))
+
+
 def _stats_from_cells(cells: DataFrame) -> DataFrame:
     """class_stats computed from (label, prediction, n) cells instead of rows."""
     roles = F.explode(

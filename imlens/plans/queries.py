@@ -240,25 +240,27 @@ def q_js_distance(spark, sf_dir):
 
 
 def _weak(spark, sf_dir):
+    """Prediction rows, their cell table (one pass over the rows, checkpointed) and weak labels."""
     p = predictions(spark, sf_dir)
-    weak = metrics.weak_classes(metrics.class_report(p), WEAK_RECALL)
-    return p, weak
+    ensure_checkpoint_dir(spark)
+    cells = metrics.confusion_cells(p).checkpoint(eager=True)
+    weak = metrics.weak_classes(metrics.report_from_cells(cells), WEAK_RECALL)
+    return p, cells, weak
 
 
 def q_weak_class_rows(spark, sf_dir):
-    p, weak = _weak(spark, sf_dir)
+    p, _, weak = _weak(spark, sf_dir)
     return metrics.weak_rows(p, weak)
 
 
 def q_confused_with(spark, sf_dir):
-    p, weak = _weak(spark, sf_dir)
-    focus = metrics.confusion_focus(metrics.confusion_cells(p), weak)
-    return metrics.confused_with(focus)
+    _, cells, weak = _weak(spark, sf_dir)
+    return metrics.confused_with(metrics.confusion_focus(cells, weak))
 
 
 def q_confusion_weak_wide(spark, sf_dir):
-    p, weak = _weak(spark, sf_dir)
-    return metrics.confusion_wide(metrics.confusion_focus(metrics.confusion_cells(p), weak))
+    _, cells, weak = _weak(spark, sf_dir)
+    return metrics.confusion_wide(metrics.confusion_focus(cells, weak))
 
 
 def q_confusion_dense(spark, sf_dir):
