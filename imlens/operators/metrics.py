@@ -99,39 +99,31 @@ def class_report(
     return _report_from_stats(stats).orderBy(F.desc("recall"), "label")
 
 
-def _report_from_stats(stats: DataFrame) -> DataFrame:
+def _report_from_stats(stats: DataFrame, keep_tp: bool = False) -> DataFrame:
     precision = _div(F.col("tp"), F.col("predicted"))
     recall = _div(F.col("tp"), F.col("support"))
-    return stats.select(
+    cols = [
         "label",
         precision.alias("precision"),
         recall.alias("recall"),
         _div(2 * precision * recall, precision + recall).alias("f1"),
         F.col("support"),
-    )
+    ]
+    return stats.select(*cols, *(["tp"] if keep_tp else []))
 
 
-def report_summary(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """Rows 'accuracy', 'macro avg', 'weighted avg' with precision, recall, f1, support.
-
-    The accuracy row repeats accuracy in the three score columns; support is the row count in
-    every summary row.
-    """
-    stats = class_stats(df, label, prediction)
-    precision = _div(F.col("tp"), F.col("predicted"))
-    recall = _div(F.col("tp"), F.col("support"))
-    f1 = _div(2 * precision * recall, precision + recall)
-    scored = stats.select("tp", "support", precision.alias("p"), recall.alias("r"), f1.alias("f"))
+def _summary_from_stats(stats: DataFrame) -> DataFrame:
+    per_class = _report_from_stats(stats, keep_tp=True)
     n = F.sum("support")
-    agg = scored.agg(
+    agg = per_class.agg(
         n.alias("n"),
         _div(F.sum("tp"), n).alias("acc"),
-        F.avg("p").alias("mp"),
-        F.avg("r").alias("mr"),
-        F.avg("f").alias("mf"),
-        _div(F.sum(F.col("p") * F.col("support")), n).alias("wp"),
-        _div(F.sum(F.col("r") * F.col("support")), n).alias("wr"),
-        _div(F.sum(F.col("f") * F.col("support")), n).alias("wf"),
+        F.avg("precision").alias("mp"),
+        F.avg("recall").alias("mr"),
+        F.avg("f1").alias("mf"),
+        _div(F.sum(F.col("precision") * F.col("support")), n).alias("wp"),
+        _div(F.sum(F.col("recall") * F.col("support")), n).alias("wr"),
+        _div(F.sum(F.col("f1") * F.col("support")), n).alias("wf"),
     )
 
     def row(name: str, p: str, r: str, f: str) -> Column:
@@ -143,9 +135,17 @@ def report_summary(df: DataFrame, label: str = "label", prediction: str = "predi
             F.col("n").alias("support"),
         )
 
-    return agg.select(
-        F.inline(F.array(row("accuracy", "acc", "acc", "acc"), row("macro avg", "mp", "mr", "mf"), row("weighted avg", "wp", "wr", "wf")))
-    )
+    rows = [row("accuracy", "acc", "acc", "acc"), row("macro avg", "mp", "mr", "mf"), row("weighted avg", "wp", "wr", "wf")]
+    return agg.select(F.inline(F.array(*rows)))
+
+
+def report_summary(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """Rows 'accuracy', 'macro avg', 'weighted avg' with precision, recall, f1, support.
+
+    The accuracy row repeats accuracy in the three score columns; support is the row count in
+    every summary row.
+    """
+    return _summary_from_stats(class_stats(df, label, prediction))
 
 
 def adjusted_rand(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -267,6 +267,7 @@ def evaluation_bundle(df: DataFrame, label: str = "label", prediction: str = "pr
     return {
         "cells": cells,
         "report": report.orderBy(F.desc("recall"), "label"),
+        "summary": _summary_from_stats(stats),
         "weak": weak,
         "focus": focus,
         "confused_with": confused_with(focus),

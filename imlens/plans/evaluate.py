@@ -52,7 +52,6 @@ def classify_and_evaluate(
     bundle.update(
         balance=metrics.class_balance(train, test),
         predictions=pred,
-        summary=metrics.report_summary(pred),
         ari=metrics.adjusted_rand(pred),
         js=metrics.js_distance(pred),
         fit_seconds=seconds,
