@@ -195,7 +195,8 @@ def featurize(
     ``input_col`` is an ``image`` struct (from ``scan_images``) or a numeric array column.
     on_error='quarantine' leaves failed features null; on_error='zero' fills a zero vector of
     ``zero_dim`` values (the reference's fallback) while still recording the error.
-    Lower ``spark.sql.execution.arrow.maxRecordsPerBatch`` for large images.
+    Input batches are bounded by ``spark.sql.execution.arrow.maxBytesPerBatch`` (64 MB by default)
+    and ``maxRecordsPerBatch``; ``batch_size`` is the number of tensors per model call.
     """
     if on_error not in ("quarantine", "zero"):
         raise ValueError("on_error must be 'quarantine' or 'zero'")
