@@ -25,6 +25,9 @@ from imlens.functions.vectors import as_vector
 
 _IDX, _PRED, _VEC = "_imlens_label_idx", "_imlens_pred_idx", "_imlens_x"
 
+# Upper bound on classes fitted at the same time by one-vs-rest (driver threads submitting jobs).
+MAX_PARALLEL_CLASSES = 16
+
 
 def label_indexer(df: DataFrame, label: str = "label", output: str = "label_index") -> StringIndexerModel:
     """Alphabetical label -> index; an unseen label raises at transform time."""
@@ -81,7 +84,9 @@ def fit_classifier(
     data = train.select(as_vector(train, features).alias(_VEC), F.col(label).cast("string").alias("_y"))
     indexer = label_indexer(data, "_y", _IDX)
     n_train = data.count() if kind == "lr" and "regParam" not in params else None
-    est = make_estimator(kind, n_train=n_train, seed=seed, **params)
+    # one-vs-rest fits every class concurrently (bounded driver threads), not in waves of 8
+    parallelism = params.pop("parallelism", min(max(len(indexer.labels), 1), MAX_PARALLEL_CLASSES))
+    est = make_estimator(kind, n_train=n_train, seed=seed, parallelism=parallelism, **params)
     est.setFeaturesCol(_VEC)
     est.setLabelCol(_IDX)
     est.setPredictionCol(_PRED)
