@@ -177,3 +177,16 @@ def test_binary_items_use_decoded_path(spark, tmp_path):
     _write(str(tmp_path / "C+D 50%" / "a b.png"), png_bytes(np.zeros((2, 2), dtype=np.uint8)))
     rows = binary_items(scan_binary(spark, str(tmp_path), glob="*.png")).collect()
     assert [(r.label, r.path.rsplit("/", 1)[-1]) for r in rows] == [("C+D 50%", "a b.png")]
+
+
+def test_onnx_scorer_runs_broadcast_model(spark):
+    pytest.importorskip("onnxruntime")
+    from imlens.operators.models import onnx_model
+    from onnx_fixture import scale_model
+
+    imgs = spark.createDataFrame(
+        [(i, {"origin": f"file:/x/{i}.png", "height": 2, "width": 2, "nChannels": 1, "mode": 0, "data": bytes([255] * 4)}) for i in range(3)],
+        "id int, image struct<origin:string,height:int,width:int,nChannels:int,mode:int,data:binary>",
+    )
+    out = featurize(imgs, "image", onnx_model(spark, scale_model(3.0)), size=(2, 2)).collect()
+    assert all(r.error is None and list(r.features) == [3.0] * 12 for r in out)
