@@ -48,3 +48,17 @@ def test_classify_and_evaluate_job_output(spark, colour_tree, tmp_path):
     assert res["weak"].count() == 0
     pts = weak_class_points(spark.read.parquet(f"{out}/reduced"), res["predictions"], res["report"].select("label"))
     assert pts.count() == 12 and set(pts.columns) >= {"x", "y"}
+
+
+def test_command_line_job(spark, colour_tree, tmp_path):
+    from imlens.plans.job import main
+
+    out = str(tmp_path / "job")
+    summary = main(
+        ["--set", f"train={colour_tree / 'train'}", "--set", f"test={colour_tree / 'test'}", "--out", out,
+         "--glob", "*.png", "--size", "16", "--classify", "lr"],
+        spark,
+    )
+    assert summary["counts"] == {"train/ok": 24, "test/ok": 12}
+    rep = spark.read.parquet(f"{out}/evaluation/summary").filter("label = 'accuracy'").first()
+    assert rep.precision == pytest.approx(1.0)
