@@ -240,12 +240,12 @@ def class_list(cells: DataFrame) -> list:
 def confusion_dense(cells: DataFrame, classes: list | None = None) -> DataFrame:
     """Dense matrix over the label union: one row and one column per class, zeros included.
 
-    No cross join of label lists: each class contributes one zero cell so it gets a row, and the
-    pivot over the explicit class list gives every column.
+    No cross join of label lists: each class of the union contributes one zero cell so it gets a
+    row, and the pivot over the explicit (collected, bounded) class list gives every column.
     """
     classes = classes if classes is not None else class_list(cells)
-    spark = cells.sparkSession
-    zeros = spark.createDataFrame([(c,) for c in classes], cells.select("label").schema).select(
+    union = cells.select("label").union(cells.select(F.col("prediction").alias("label"))).distinct()
+    zeros = union.select(
         "label", F.lit(None).cast(cells.schema["prediction"].dataType).alias("prediction"), F.lit(0).cast("bigint").alias("n")
     )
     both = cells.select("label", "prediction", F.col("n").cast("bigint").alias("n")).unionByName(zeros)

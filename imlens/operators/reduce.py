@@ -73,8 +73,12 @@ class ReductionModel:
 
     def explained_variance_table(self, spark: SparkSession) -> DataFrame:
         """(component, ratio, cumulative, selected): the W1 running total over the d ratios."""
-        ratios = [(i + 1, float(r)) for i, r in enumerate(self.explained_variance())]
-        df = spark.createDataFrame(ratios, "component int, ratio double")
+        ratios = self.explained_variance()
+        literal = F.array(*[F.lit(float(r)) for r in ratios])  # d model parameters, not data
+        component = F.col("id").cast("int")
+        df = spark.range(1, len(ratios) + 1, numPartitions=1).select(
+            component.alias("component"), F.element_at(literal, component).alias("ratio")
+        )
         running = Window.orderBy("component").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return df.select(
             "component",
