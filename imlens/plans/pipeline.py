@@ -13,8 +13,10 @@ that table (which also cuts the lineage, so a lost executor never re-scores imag
 are excluded from the fit and kept in ``quarantine``.
 
 Partitioning: the image scan packs files into partitions by ``spark.sql.files.maxPartitionBytes``
-and ``spark.sql.files.openCostInBytes``; with many small images this already yields many tasks,
-so no shuffle of decoded pixels is needed. ``partitions`` forces a round-robin repartition of the
+and ``spark.sql.files.openCostInBytes``. Spark's default open cost (4 MB) is sized for large data
+files and would put only ~32 small images in a task (tens of millions of tasks for billions of
+images); the job lowers it to ``open_cost_bytes`` while it runs, so a task holds hundreds of images
+and no shuffle of decoded pixels is needed. ``partitions`` forces a round-robin repartition of the
 decoded rows for the rare case of a few huge files.
 """
 
@@ -31,6 +33,7 @@ from imlens.operators import metrics
 from imlens.operators.features import featurize
 from imlens.operators.reduce import ReductionModel, Reducer
 from imlens.sources.files import image_items, scan_images
+from imlens.session import session_conf
 from imlens.sources.sinks import guard_overlap, write_parquet
 
 
@@ -72,6 +75,7 @@ def run(
     partitions: int | None = None,
     on_error: str = "quarantine",
     zero_dim: int | None = None,
+    open_cost_bytes: int | None = 256 * 1024,
 ) -> JobResult:
     """Featurise every set once, fit on ``fit_set``, apply the same model to all sets.
 
@@ -83,7 +87,15 @@ def run(
     inputs = list(sets.values())
     guard_overlap(out, inputs)
     paths = {name: f"{out}/{name}" for name in ("features", "quarantine", "model", "reduced", "balance")}
+    with session_conf(spark, {"spark.sql.files.openCostInBytes": open_cost_bytes}):
+        return _run(
+            spark, sets, out, paths, fit_set, make_predict_fn, threshold, rule, glob, root, size, batch_size,
+            partitions, on_error, zero_dim,
+        )
 
+
+def _run(spark, sets, out, paths, fit_set, make_predict_fn, threshold, rule, glob, root, size, batch_size,
+         partitions, on_error, zero_dim) -> JobResult:
     items = None
     for name, folder in sets.items():
         one = labelled_images(spark, folder, name, rule=rule, glob=glob, root=root)

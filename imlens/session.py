@@ -7,6 +7,7 @@ caller's ``SparkSession`` or ``DataFrame``. ``local_session`` exists for tests a
 from __future__ import annotations
 
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -80,3 +81,20 @@ def ship_package(spark: SparkSession) -> None:
                     zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
     sc.addPyFile(target)
     sc._imlens_shipped = True
+
+
+@contextmanager
+def session_conf(spark: SparkSession, settings: dict):
+    """Set runtime SQL confs for the duration of a job and restore the previous values."""
+    previous = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            if v is not None:
+                spark.conf.set(k, str(v))
+        yield
+    finally:
+        for k, v in previous.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

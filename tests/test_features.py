@@ -2,7 +2,6 @@ import os
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from imlens.operators.features import featurize, grid_histogram_model, image_tensor, nearest_resize, split_quarantine
 from imlens.plans import pipeline
