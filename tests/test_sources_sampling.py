@@ -64,3 +64,13 @@ def test_csv_sink_flattens_arrays(spark, tmp_path):
     with pytest.raises(ValueError):
         guard_overlap("/data/images/out", ["/data/images"])
     guard_overlap("/data/out", ["/data/images"])
+
+
+def test_session_conf_restores(spark):
+    from imlens.session import session_conf
+
+    key = "spark.sql.files.openCostInBytes"
+    before = spark.conf.get(key)
+    with session_conf(spark, {key: 1234}):
+        assert spark.conf.get(key) in ("1234", "1234b")
+    assert spark.conf.get(key) == before
