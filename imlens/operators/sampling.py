@@ -39,6 +39,11 @@ def stable_sample(df: DataFrame, key: str, fraction: float) -> DataFrame:
     return df.filter(stable_key_hash(key) < F.lit(stable_threshold(fraction)))
 
 
+def stable_first_n(df: DataFrame, key: str, n: int) -> DataFrame:
+    """The n rows with the smallest md5(key): a deterministic cap, planned as a top-k."""
+    return df.orderBy(F.md5(F.col(key).cast("string")), F.col(key)).limit(n)
+
+
 def random_n(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
     """n rows in random order (L3): ``orderBy(rand).limit`` plans as a top-k, no full sort."""
     return df.orderBy(F.rand(seed)).limit(n)

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from imlens.functions.vectors import vector_error
-from imlens.operators import metrics
+from imlens.operators import metrics, sampling
 from imlens.operators.features import featurize
 from imlens.operators.reduce import ReductionModel, Reducer
 from imlens.sources.files import image_items, scan_images
@@ -76,10 +76,14 @@ def run(
     on_error: str = "quarantine",
     zero_dim: int | None = None,
     open_cost_bytes: int | None = 256 * 1024,
+    sample_fraction: float | None = None,
+    sample_cap: int | None = None,
 ) -> JobResult:
     """Featurise every set once, fit on ``fit_set``, apply the same model to all sets.
 
     ``sets`` maps a set name to its folder, e.g. ``{"train": ".../images/train", "test": ...}``.
+    ``sample_fraction`` / ``sample_cap`` reproduce the notebook's trial run on a subset (off by
+    default): rows are chosen by a hash of the path, so the subset does not depend on partitioning.
     """
     if fit_set not in sets:
         raise ValueError(f"fit_set {fit_set!r} is not one of {sorted(sets)}")
@@ -90,16 +94,20 @@ def run(
     with session_conf(spark, {"spark.sql.files.openCostInBytes": open_cost_bytes}):
         return _run(
             spark, sets, out, paths, fit_set, make_predict_fn, threshold, rule, glob, root, size, batch_size,
-            partitions, on_error, zero_dim,
+            partitions, on_error, zero_dim, sample_fraction, sample_cap,
         )
 
 
 def _run(spark, sets, out, paths, fit_set, make_predict_fn, threshold, rule, glob, root, size, batch_size,
-         partitions, on_error, zero_dim) -> JobResult:
+         partitions, on_error, zero_dim, sample_fraction, sample_cap) -> JobResult:
     items = None
     for name, folder in sets.items():
         one = labelled_images(spark, folder, name, rule=rule, glob=glob, root=root)
         items = one if items is None else items.unionByName(one)
+    if sample_fraction is not None:
+        items = sampling.stable_sample(items, "path", sample_fraction)
+    if sample_cap is not None:
+        items = sampling.stable_first_n(items, "path", sample_cap)
     if partitions:
         items = items.repartition(partitions)
 

@@ -62,3 +62,15 @@ def test_command_line_job(spark, colour_tree, tmp_path):
     assert summary["counts"] == {"train/ok": 24, "test/ok": 12}
     rep = spark.read.parquet(f"{out}/evaluation/summary").filter("label = 'accuracy'").first()
     assert rep.precision == pytest.approx(1.0)
+
+
+def test_job_on_a_stable_subset(spark, colour_tree, tmp_path):
+    out = str(tmp_path / "subset")
+    res = pipeline.run(spark, {"train": str(colour_tree / "train")}, out, size=(8, 8), glob="*.png",
+                       sample_fraction=0.8, sample_cap=10, threshold=0.95)
+    assert sum(res.counts.values()) == 10
+    again = pipeline.run(spark, {"train": str(colour_tree / "train")}, str(tmp_path / "again"), size=(8, 8),
+                         glob="*.png", sample_fraction=0.8, sample_cap=10, threshold=0.95)
+    a = {r.path for r in spark.read.parquet(f"{out}/features").collect()}
+    b = {r.path for r in spark.read.parquet(f"{tmp_path}/again/features").collect()}
+    assert a == b and again.k == res.k
