@@ -5,7 +5,8 @@ further images keep landing in a folder, the same transform runs as a Structured
 query over the ``image`` file source: each micro-batch lists only new files, featurises them
 with the batch operator, applies the saved model and appends ``path, label, pca_features`` to
 Parquet. Progress lives in the checkpoint location, so a restarted query resumes where it
-stopped; failed images are appended to a quarantine folder by the same micro-batch.
+stopped; failed images go to a quarantine folder from the same micro-batch. Every micro-batch
+writes its own ``batch=<id>`` folders in overwrite mode, so a replayed batch cannot duplicate rows.
 """
 
 from __future__ import annotations
@@ -58,14 +59,17 @@ def score_new_images(
     out = out.rstrip("/")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
+        # Each micro-batch owns the folders batch=<id>: a batch replayed after a failure overwrites
+        # its own output instead of appending it twice (idempotent sink).
         batch = batch.persist()
         try:
             ok = batch.filter(F.col("error").isNull() & F.col("label").isNotNull())
-            model.transform(ok).select("path", "label", "pca_features").write.mode("append").parquet(f"{out}/reduced")
+            reduced = model.transform(ok).select("path", "label", "pca_features")
+            reduced.write.mode("overwrite").parquet(f"{out}/reduced/batch={batch_id}")
             bad = batch.filter(F.col("error").isNotNull() | F.col("label").isNull())
             bad.select("path", "label", F.coalesce("error", F.lit("no label for this path layout")).alias("error")).write.mode(
-                "append"
-            ).parquet(f"{out}/quarantine")
+                "overwrite"
+            ).parquet(f"{out}/quarantine/batch={batch_id}")
         finally:
             batch.unpersist()
 
