@@ -78,12 +78,15 @@ def run(
     open_cost_bytes: int | None = 256 * 1024,
     sample_fraction: float | None = None,
     sample_cap: int | None = None,
+    reuse_features: bool = False,
 ) -> JobResult:
     """Featurise every set once, fit on ``fit_set``, apply the same model to all sets.
 
     ``sets`` maps a set name to its folder, e.g. ``{"train": ".../images/train", "test": ...}``.
     ``sample_fraction`` / ``sample_cap`` reproduce the notebook's trial run on a subset (off by
     default): rows are chosen by a hash of the path, so the subset does not depend on partitioning.
+    ``reuse_features`` restarts a job after a failure without scoring again when a complete
+    ``features`` table (``_SUCCESS`` marker) is already there.
     """
     if fit_set not in sets:
         raise ValueError(f"fit_set {fit_set!r} is not one of {sorted(sets)}")
@@ -94,12 +97,28 @@ def run(
     with session_conf(spark, {"spark.sql.files.openCostInBytes": open_cost_bytes}):
         return _run(
             spark, sets, out, paths, fit_set, make_predict_fn, threshold, rule, glob, root, size, batch_size,
-            partitions, on_error, zero_dim, sample_fraction, sample_cap,
+            partitions, on_error, zero_dim, sample_fraction, sample_cap, reuse_features,
         )
 
 
 def _run(spark, sets, out, paths, fit_set, make_predict_fn, threshold, rule, glob, root, size, batch_size,
-         partitions, on_error, zero_dim, sample_fraction, sample_cap) -> JobResult:
+         partitions, on_error, zero_dim, sample_fraction, sample_cap, reuse_features) -> JobResult:
+    if not (reuse_features and _complete(spark, paths["features"])):
+        _score_sets(spark, sets, paths, make_predict_fn, rule, glob, root, size, batch_size, partitions,
+                    on_error, zero_dim, sample_fraction, sample_cap)
+    return _fit_and_apply(spark, sets, paths, fit_set, threshold)
+
+
+def _complete(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` holds a committed Spark output (``_SUCCESS`` marker), on any Hadoop FS."""
+    jvm = spark.sparkContext._jvm
+    marker = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    fs = marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(marker))
+
+
+def _score_sets(spark, sets, paths, make_predict_fn, rule, glob, root, size, batch_size, partitions,
+                on_error, zero_dim, sample_fraction, sample_cap) -> None:
     items = None
     for name, folder in sets.items():
         one = labelled_images(spark, folder, name, rule=rule, glob=glob, root=root)
@@ -117,6 +136,8 @@ def _run(spark, sets, out, paths, fit_set, make_predict_fn, threshold, rule, glo
     scored = scored.withColumn("error", F.coalesce(F.col("error"), vector_error(scored, "features")))
     write_parquet(scored.select("path", "label", "features", "error", "split"), paths["features"], partition_by=["split"])
 
+
+def _fit_and_apply(spark, sets, paths, fit_set, threshold) -> JobResult:
     table = spark.read.parquet(paths["features"])
     good = table.filter(F.col("error").isNull() & F.col("label").isNotNull())
     bad = table.filter(F.col("error").isNotNull() | F.col("label").isNull()).select(

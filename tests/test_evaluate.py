@@ -74,3 +74,15 @@ def test_job_on_a_stable_subset(spark, colour_tree, tmp_path):
     a = {r.path for r in spark.read.parquet(f"{out}/features").collect()}
     b = {r.path for r in spark.read.parquet(f"{tmp_path}/again/features").collect()}
     assert a == b and again.k == res.k
+
+
+def _never_called():
+    raise AssertionError("scorer must not be built when features are reused")
+
+
+def test_job_restart_reuses_written_features(spark, colour_tree, tmp_path):
+    out = str(tmp_path / "restart")
+    sets = {"train": str(colour_tree / "train")}
+    first = pipeline.run(spark, sets, out, size=(8, 8), glob="*.png")
+    again = pipeline.run(spark, sets, out, size=(8, 8), glob="*.png", make_predict_fn=_never_called, reuse_features=True)
+    assert again.k == first.k and again.counts == first.counts
