@@ -141,3 +141,12 @@ def test_confusion_dense_includes_zero_rows_and_columns(spark):
     assert dense["a"] == {"label": "a", "a": 1, "b": 1, "c": 0}
     assert dense["b"] == {"label": "b", "a": 0, "b": 0, "c": 0}
     assert dense["c"] == {"label": "c", "a": 1, "b": 0, "c": 0}
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("abc"), st.sampled_from("abcd")), min_size=1, max_size=60), st.integers(1, 7))
+def test_metrics_do_not_depend_on_partitioning(spark, pairs, parts):
+    df = frame(spark, pairs)
+    moved = df.repartition(parts)
+    assert sorted(metrics.class_report(df).collect()) == sorted(metrics.class_report(moved).collect())
+    assert one(metrics.adjusted_rand(df)) == pytest.approx(one(metrics.adjusted_rand(moved)), abs=1e-12)

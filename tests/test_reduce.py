@@ -98,3 +98,11 @@ def test_apply_train_model_to_test(spark):
     out = model.transform(test).select("vec_id", vector_to_array("pca").alias("a"))
     assert out.count() == test.count()
     assert out.agg(F.max(F.size("a"))).first()[0] == model.k
+
+
+def test_one_row_and_empty_input_raise(spark):
+    one = spark.createDataFrame([(1, [1.0, 2.0, 3.0])], "id int, v array<double>")
+    with pytest.raises(Exception, match="1 row"):
+        Reducer("v").fit(one)
+    with pytest.raises(Exception):
+        Reducer("v").fit(one.filter("id < 0"))
