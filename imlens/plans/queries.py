@@ -148,7 +148,8 @@ def q_vector_length_summary(spark, sf_dir):
 
 
 def q_standardize_long(spark, sf_dir):
-    e = embeddings(spark, sf_dir).select("vec_id", as_vector(embeddings(spark, sf_dir), "embedding").alias("v"))
+    raw = embeddings(spark, sf_dir)
+    e = raw.select("vec_id", as_vector(raw, "embedding").alias("v"))
     scaler = StandardScaler(inputCol="v", outputCol="z", withMean=True, withStd=True).fit(e)
     z = scaler.transform(e).select("vec_id", F.posexplode(vector_to_array("z")).alias("i", "z"))
     return z.select("vec_id", "i", r6(F.col("z")).alias("z"))
