@@ -195,6 +195,8 @@ def featurize(
     ``input_col`` is an ``image`` struct (from ``scan_images``) or a numeric array column.
     on_error='quarantine' leaves failed features null; on_error='zero' fills a zero vector of
     ``zero_dim`` values (the reference's fallback) while still recording the error.
+    Filter rows *before* calling this: the scorer is declared non-deterministic (so it is never
+    evaluated twice), which also keeps later filters on input columns above it.
     Input batches are bounded by ``spark.sql.execution.arrow.maxBytesPerBatch`` (64 MB by default)
     and ``maxRecordsPerBatch``; ``batch_size`` is the number of tensors per model call.
     """
@@ -225,6 +227,9 @@ def featurize(
         cores = df.sparkSession.sparkContext.defaultParallelism
         if df.rdd.getNumPartitions() < cores:
             df = df.repartition(cores)
+    # Declared non-deterministic only so the optimizer never copies the call into a pushed-down
+    # filter (e.g. the non-empty filter it infers from explode), which would score every row twice.
+    score = score.asNondeterministic()
     scored = df.withColumn("_imlens_scored", score(F.col(input_col)))
     return scored.withColumn(output_col, F.col("_imlens_scored.features")).withColumn(
         error_col, F.col("_imlens_scored.error")
@@ -243,6 +248,7 @@ def batch_predict(make_predict_fn, return_type=ArrayType(FloatType()), batch_siz
     from pyspark.ml.functions import predict_batch_udf
 
     ship_package(SparkSession.getActiveSession())
-    return predict_batch_udf(
+    udf = predict_batch_udf(
         make_predict_fn, return_type=return_type, batch_size=batch_size, input_tensor_shapes=input_tensor_shapes
     )
+    return udf.asNondeterministic()  # never copied into pushed-down filters (see featurize)

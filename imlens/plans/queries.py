@@ -164,20 +164,25 @@ def q_pca_norms(spark, sf_dir):
 
 
 def q_variance_k(spark, sf_dir):
+    """W1/W2 on per-dimension variances: share, running total, and the smallest k reaching 90 %.
+
+    One aggregation over all rows (d groups, map-side combined); every later step works on the
+    d per-dimension rows with single-partition windows (d is the vector length, not the data size).
+    """
     e = embeddings(spark, sf_dir)
     dims = e.select(F.posexplode("embedding").alias("i", "x")).groupBy("i").agg(
         F.var_samp(F.col("x").cast("double")).alias("var")
     )
-    total = dims.agg(F.sum("var")).scalar()
+    everything = Window.partitionBy()
     ranked = dims.select(
         F.row_number().over(Window.orderBy(F.desc("var"), "i")).alias("component"),
-        (F.col("var") / total).alias("ratio"),
+        (F.col("var") / F.sum("var").over(everything)).alias("ratio"),
     )
     running = Window.orderBy("component").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cum = ranked.withColumn("cumulative", F.sum("ratio").over(running))
     k = F.coalesce(
-        cum.filter(F.col("cumulative") >= VARIANCE_SHARE).agg(F.min("component")).scalar(),
-        cum.agg(F.max("component")).scalar(),
+        F.min(F.when(F.col("cumulative") >= VARIANCE_SHARE, F.col("component"))).over(everything),
+        F.max("component").over(everything),
     )
     return cum.select(
         F.col("component").cast("int").alias("component"),
@@ -265,7 +270,9 @@ def q_confusion_weak_wide(spark, sf_dir):
 
 
 def q_confusion_dense(spark, sf_dir):
-    return metrics.confusion_dense(metrics.confusion_cells(predictions(spark, sf_dir)))
+    ensure_checkpoint_dir(spark)
+    cells = metrics.confusion_cells(predictions(spark, sf_dir)).checkpoint(eager=True)
+    return metrics.confusion_dense(cells)
 
 
 def q_label_index(spark, sf_dir):

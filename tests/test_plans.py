@@ -54,3 +54,10 @@ def test_feature_table_reads_are_pruned(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(split" in plan and "(split#" in plan
     assert "IsNull(error)" in plan
     assert "ReadSchema: struct<features:array<float>>" in plan or "ReadSchema: struct<features:array<float>,error:string>" in plan
+
+
+def test_scorer_runs_once_per_row(spark):
+    for df in (Q.q_image_tensor(spark, SF001), Q.q_featurize_batch(spark, SF001)):
+        df.write.format("noop").mode("overwrite").save()
+        final = plan_of(df).split("== Initial Plan ==")[0]
+        assert final.count("ArrowEvalPython") == 1
