@@ -21,7 +21,8 @@ def facts(plan: str) -> dict:
     final = plan.split("== Initial Plan ==")[0]
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", final)
     return {
-        "shuffles": len(re.findall(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition|RoundRobin)", final)),
+        "shuffles": len(re.findall(r"(?<!Reused)Exchange (hashpartitioning|rangepartitioning|SinglePartition|RoundRobin)", final))
+        - len(re.findall(r"ReusedExchange \[[^\]]*\], Exchange", final)),
         "broadcasts": final.count("BroadcastExchange"),
         "python": len(re.findall(r"ArrowEvalPython|BatchEvalPython|MapInPandas", final)),
         "columns read": "; ".join(sorted({s for s in schemas})) or "-",
