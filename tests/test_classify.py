@@ -16,7 +16,9 @@ def separable(spark):
     return spark.createDataFrame(rows, "id int, label string, features array<double>")
 
 
-@pytest.mark.parametrize("kind,params", [("lr", {}), ("rf", {"numTrees": 10}), ("gbt", {"maxIter": 5, "maxDepth": 3})])
+@pytest.mark.parametrize(
+    "kind,params", [("lr", {}), ("rf", {"numTrees": 10}), ("gbt", {"maxIter": 5, "maxDepth": 3}), ("hgb", {"maxIter": 5})]
+)
 def test_classifiers_learn_separable_data(spark, separable, kind, params):
     train, test = separable.filter(F.col("id") % 5 != 0), separable.filter(F.col("id") % 5 == 0)
     if kind == "rf":
