@@ -6,7 +6,7 @@ sources    scans (binary files, decoded images, Parquet results) and sinks
 functions  column expressions: path decoding, label rules, URI parts, vector helpers
 operators  sampling, batched featurisation with a quarantine channel, standardise + PCA,
            classifiers, class balance and evaluation metrics
-plans      end-to-end jobs (train/test feature pipeline) and the registered query set
+plans      end-to-end jobs (the train/test feature job) and the registered query set
 streaming  incremental scoring of newly arriving image files with a fitted model
 """
 

@@ -83,7 +83,7 @@ def split_valid(df: DataFrame, name: str, dim: int | None = None, error_col: str
     """(good rows, quarantined rows with ``error``) from one error expression.
 
     Both outputs are lazy filters over the same input; callers that read an expensive input
-    twice should pass a materialised table (the pipeline passes the written feature table).
+    twice should pass a materialised table (the batch job passes the written feature table).
     """
     tagged = df.withColumn(error_col, vector_error(df, name, dim))
     return tagged.filter(F.col(error_col).isNull()).drop(error_col), tagged.filter(F.col(error_col).isNotNull())

@@ -17,7 +17,7 @@ if __package__ in (None, ""):
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-from imlens.plans import pipeline  # noqa: E402
+from imlens.plans import batch  # noqa: E402
 from imlens.plans.evaluate import classify_and_evaluate  # noqa: E402
 from imlens.sources.sinks import write_parquet  # noqa: E402
 
@@ -42,7 +42,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     args = parse(sys.argv[1:] if argv is None else argv)
     sets = dict(item.split("=", 1) for item in args.set)
     spark = spark or SparkSession.builder.appName("imlens-job").getOrCreate()
-    res = pipeline.run(
+    res = batch.run(
         spark,
         sets,
         args.out,

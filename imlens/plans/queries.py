@@ -387,7 +387,7 @@ def q_image_tensor(spark, sf_dir):
     )
 
 
-def q_image_pipeline(spark, sf_dir):
+def q_image_reduction(spark, sf_dir):
     """Derived images -> path/label -> default featuriser -> fit on train -> reduce every row."""
     items = image_items(embedding_images(spark, sf_dir), rule="parent")
     scored = features.featurize(items, "image", size=(32, 32), batch_size=64).drop("image")
@@ -437,7 +437,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "classify_gbt": _classify("gbt"),
     "featurize_batch": q_featurize_batch,
     "image_tensor": q_image_tensor,
-    "image_pipeline": q_image_pipeline,
+    "image_reduction": q_image_reduction,
     "quarantine_split": q_quarantine_split,
     "roundtrip_parquet": q_roundtrip_parquet,
 }

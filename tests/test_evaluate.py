@@ -3,7 +3,7 @@ import os
 import numpy as np
 import pytest
 
-from imlens.plans import pipeline
+from imlens.plans import batch
 from imlens.plans.evaluate import classify_and_evaluate, explore, weak_class_points
 from imlens.plans.images import png_bytes
 
@@ -36,7 +36,7 @@ def test_explore_counts_without_pixels(spark, colour_tree):
 
 def test_classify_and_evaluate_job_output(spark, colour_tree, tmp_path):
     out = str(tmp_path / "out")
-    pipeline.run(spark, {"train": str(colour_tree / "train"), "test": str(colour_tree / "test")}, out, size=(16, 16), glob="*.png")
+    batch.run(spark, {"train": str(colour_tree / "train"), "test": str(colour_tree / "test")}, out, size=(16, 16), glob="*.png")
     res = classify_and_evaluate(spark, f"{out}/reduced", kind="lr")
     acc = res["summary"].filter("label = 'accuracy'").first().precision
     assert acc == pytest.approx(1.0)
@@ -66,10 +66,10 @@ def test_command_line_job(spark, colour_tree, tmp_path):
 
 def test_job_on_a_stable_subset(spark, colour_tree, tmp_path):
     out = str(tmp_path / "subset")
-    res = pipeline.run(spark, {"train": str(colour_tree / "train")}, out, size=(8, 8), glob="*.png",
+    res = batch.run(spark, {"train": str(colour_tree / "train")}, out, size=(8, 8), glob="*.png",
                        sample_fraction=0.8, sample_cap=10, threshold=0.95)
     assert sum(res.counts.values()) == 10
-    again = pipeline.run(spark, {"train": str(colour_tree / "train")}, str(tmp_path / "again"), size=(8, 8),
+    again = batch.run(spark, {"train": str(colour_tree / "train")}, str(tmp_path / "again"), size=(8, 8),
                          glob="*.png", sample_fraction=0.8, sample_cap=10, threshold=0.95)
     a = {r.path for r in spark.read.parquet(f"{out}/features").collect()}
     b = {r.path for r in spark.read.parquet(f"{tmp_path}/again/features").collect()}
@@ -83,6 +83,6 @@ def _never_called():
 def test_job_restart_reuses_written_features(spark, colour_tree, tmp_path):
     out = str(tmp_path / "restart")
     sets = {"train": str(colour_tree / "train")}
-    first = pipeline.run(spark, sets, out, size=(8, 8), glob="*.png")
-    again = pipeline.run(spark, sets, out, size=(8, 8), glob="*.png", make_predict_fn=_never_called, reuse_features=True)
+    first = batch.run(spark, sets, out, size=(8, 8), glob="*.png")
+    again = batch.run(spark, sets, out, size=(8, 8), glob="*.png", make_predict_fn=_never_called, reuse_features=True)
     assert again.k == first.k and again.counts == first.counts

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from imlens.operators.features import featurize, grid_histogram_model, image_tensor, nearest_resize, split_quarantine
-from imlens.plans import pipeline
+from imlens.plans import batch
 from imlens.plans.images import png_bytes
 
 
@@ -85,10 +85,10 @@ def image_tree(tmp_path):
     return root
 
 
-def test_pipeline_end_to_end(spark, image_tree, tmp_path):
+def test_batch_job_end_to_end(spark, image_tree, tmp_path):
     out = str(tmp_path / "out")
     sets = {"train": str(image_tree / "train"), "test": str(image_tree / "test")}
-    res = pipeline.run(spark, sets, out, glob="*.png", threshold=0.9, size=(32, 32), batch_size=8)
+    res = batch.run(spark, sets, out, glob="*.png", threshold=0.9, size=(32, 32), batch_size=8)
     assert 1 <= res.k <= res.dim == 3 * (16 + 16)
     feats = spark.read.parquet(res.paths["features"])
     # every png is scored once: 4 classes * 6 + gray + broken + deep (train), 4 * 3 + kiwi (test)
@@ -105,13 +105,13 @@ def test_pipeline_end_to_end(spark, image_tree, tmp_path):
     assert reduced.count() == 25 + 13
     balance = {r.label: (r.train, r.test) for r in spark.read.parquet(res.paths["balance"]).collect()}
     assert balance["Kiwi"] == (0, 1) and balance["Banana"] == (7, 3)
-    model = pipeline.load_model(out)
+    model = batch.load_model(out)
     assert model.k == res.k
 
 
-def test_pipeline_refuses_overlapping_output(spark, image_tree):
+def test_batch_job_refuses_overlapping_output(spark, image_tree):
     with pytest.raises(ValueError, match="overlaps"):
-        pipeline.run(spark, {"train": str(image_tree / "train")}, str(image_tree / "train" / "out"))
+        batch.run(spark, {"train": str(image_tree / "train")}, str(image_tree / "train" / "out"))
 
 
 def test_broadcast_linear_projection(spark):

@@ -45,9 +45,9 @@ def test_feature_table_reads_are_pruned(spark, tmp_path):
             os.makedirs(p.parent, exist_ok=True)
             p.write_bytes(png_bytes(np.full((4, 4), 40 * i, dtype=np.uint8)))
     out = tmp_path / "out"
-    from imlens.plans import pipeline
+    from imlens.plans import batch
 
-    pipeline.run(spark, {"train": str(root / "train"), "test": str(root / "test")}, str(out), size=(8, 8), threshold=1.0)
+    batch.run(spark, {"train": str(root / "train"), "test": str(root / "test")}, str(out), size=(8, 8), threshold=1.0)
     t = spark.read.parquet(str(out / "features"))
     q = t.filter((F.col("split") == "train") & F.col("error").isNull()).select("features")
     plan = plan_of(q)

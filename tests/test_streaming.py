@@ -2,7 +2,7 @@ import os
 
 import numpy as np
 
-from imlens.plans import pipeline
+from imlens.plans import batch
 from imlens.plans.images import png_bytes
 from imlens.streaming import score_new_images
 
@@ -20,8 +20,8 @@ def test_stream_applies_fitted_model(spark, tmp_path):
         for name, v in (("Kiwi", 40), ("Lime", 200)):
             _png(str(root / "train" / name / f"{i}.png"), v + i)
     out = str(tmp_path / "out")
-    res = pipeline.run(spark, {"train": str(root / "train")}, out, size=(16, 16), glob="*.png")
-    model = pipeline.load_model(out)
+    res = batch.run(spark, {"train": str(root / "train")}, out, size=(16, 16), glob="*.png")
+    model = batch.load_model(out)
 
     new = root / "new"
     for i in range(3):
