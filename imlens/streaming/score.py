@@ -21,6 +21,28 @@ from imlens.operators.reduce import ReductionModel
 from imlens.sources.files import image_items
 
 
+def batch_writer(model: ReductionModel, out: str):
+    """The ``foreachBatch`` sink: reduced rows and quarantined rows of one micro-batch.
+
+    Each micro-batch owns the folders ``batch=<id>``: a batch replayed after a failure overwrites
+    its own output instead of appending it twice (idempotent sink).
+    """
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            ok = batch.filter(F.col("error").isNull() & F.col("label").isNotNull())
+            reduced = model.transform(ok).select("path", "label", "pca_features")
+            reduced.write.mode("overwrite").parquet(f"{out}/reduced/batch={batch_id}")
+            bad = batch.filter(F.col("error").isNotNull() | F.col("label").isNull())
+            reason = F.coalesce("error", F.lit("no label for this path layout")).alias("error")
+            bad.select("path", "label", reason).write.mode("overwrite").parquet(f"{out}/quarantine/batch={batch_id}")
+        finally:
+            batch.unpersist()
+
+    return write_batch
+
+
 def score_new_images(
     spark: SparkSession,
     model: ReductionModel,
@@ -56,23 +78,7 @@ def score_new_images(
     scored = featurize(items, "image", make_predict_fn, batch_size=batch_size, size=size).drop("image")
     scored = scored.withColumn("error", F.coalesce(F.col("error"), vector_error(scored, "features")))
 
-    out = out.rstrip("/")
-
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        # Each micro-batch owns the folders batch=<id>: a batch replayed after a failure overwrites
-        # its own output instead of appending it twice (idempotent sink).
-        batch = batch.persist()
-        try:
-            ok = batch.filter(F.col("error").isNull() & F.col("label").isNotNull())
-            reduced = model.transform(ok).select("path", "label", "pca_features")
-            reduced.write.mode("overwrite").parquet(f"{out}/reduced/batch={batch_id}")
-            bad = batch.filter(F.col("error").isNotNull() | F.col("label").isNull())
-            bad.select("path", "label", F.coalesce("error", F.lit("no label for this path layout")).alias("error")).write.mode(
-                "overwrite"
-            ).parquet(f"{out}/quarantine/batch={batch_id}")
-        finally:
-            batch.unpersist()
-
+    write_batch = batch_writer(model, out.rstrip("/"))
     writer = scored.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
     return writer.start()

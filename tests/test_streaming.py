@@ -46,3 +46,19 @@ def test_stream_applies_fitted_model(spark, tmp_path):
     q = score_new_images(spark, model, str(new) + "/*/*", stream_out, str(tmp_path / "ckpt"), size=(16, 16))
     q.awaitTermination(240)
     assert spark.read.parquet(f"{stream_out}/reduced").count() == 4
+
+
+def test_replayed_micro_batch_does_not_duplicate(spark, tmp_path):
+    from imlens.operators.reduce import Reducer
+    from imlens.streaming.score import batch_writer
+
+    rows = [(f"p{i}", "a" if i % 2 else None, [float(i), float(i * i % 7)], None if i != 3 else "boom") for i in range(8)]
+    batch = spark.createDataFrame(rows, "path string, label string, features array<float>, error string")
+    model = Reducer("features", "pca_features", threshold=0.9).fit(batch.filter("error is null"))
+    write = batch_writer(model, str(tmp_path / "s"))
+    write(batch, 0)
+    write(batch, 0)  # the same micro-batch replayed after a failure
+    write(batch, 1)
+    reduced = spark.read.parquet(str(tmp_path / "s" / "reduced"))
+    assert reduced.count() == 2 * 3  # batches 0 and 1, three labelled good rows each
+    assert spark.read.parquet(str(tmp_path / "s" / "quarantine")).filter("batch = 0").count() == 5
