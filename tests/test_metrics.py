@@ -150,3 +150,10 @@ def test_metrics_do_not_depend_on_partitioning(spark, pairs, parts):
     moved = df.repartition(parts)
     assert sorted(metrics.class_report(df).collect()) == sorted(metrics.class_report(moved).collect())
     assert one(metrics.adjusted_rand(df)) == pytest.approx(one(metrics.adjusted_rand(moved)), abs=1e-12)
+
+
+def test_report_restricted_to_given_labels(spark):
+    df = frame(spark, [("a", "a"), ("b", "a"), ("c", "c")])
+    rep = metrics.class_report(df, labels=["a", "c"]).collect()
+    assert [r.label for r in rep] == ["a", "c"]
+    assert rep[0].precision == pytest.approx(0.5) and rep[0].recall == 1.0
