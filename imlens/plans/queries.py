@@ -131,6 +131,15 @@ def q_bernoulli_sample(spark, sf_dir):
     return sampling.bernoulli(embeddings(spark, sf_dir), 0.1, seed=42).select("vec_id", "label")
 
 
+def q_sample_capped(spark, sf_dir):
+    """The notebook's preview sample: 1 % Bernoulli, at most 1,000 rows."""
+    return sampling.sample_capped(embeddings(spark, sf_dir), 0.01, 1000, seed=42).select("vec_id", "label")
+
+
+def q_stable_first_n(spark, sf_dir):
+    return sampling.stable_first_n(embeddings(spark, sf_dir), "vec_id", 100).select("vec_id", "label")
+
+
 def q_random_n(spark, sf_dir):
     return sampling.random_n(embeddings(spark, sf_dir), 100, seed=42).select("vec_id", "label")
 
@@ -413,6 +422,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stable_sample": q_stable_sample,
     "bernoulli_sample": q_bernoulli_sample,
     "random_n": q_random_n,
+    "sample_capped": q_sample_capped,
+    "stable_first_n": q_stable_first_n,
     "vector_lengths": q_vector_lengths,
     "vector_length_summary": q_vector_length_summary,
     "standardize_long": q_standardize_long,
@@ -505,6 +516,9 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT vec_id, label FROM embeddings "
         f"WHERE substr(md5(CAST(vec_id AS VARCHAR)), 1, 8) < '{sampling.stable_threshold(STABLE_FRACTION)}'"
     ),
+    "stable_first_n": (
+        "SELECT vec_id, label FROM embeddings ORDER BY md5(CAST(vec_id AS VARCHAR)), vec_id LIMIT 100"
+    ),
     "vector_lengths": "SELECT len(embedding)::INTEGER AS vec_size, count(*) AS count FROM embeddings GROUP BY 1",
     "vector_length_summary": (
         "SELECT count(*) AS n_rows, min(len(embedding))::INTEGER AS min_size, "
