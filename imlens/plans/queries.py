@@ -29,7 +29,7 @@ from imlens.operators import classify, features, metrics, sampling
 from imlens.operators.reduce import Reducer
 from imlens.session import ensure_checkpoint_dir
 from imlens.sources.files import image_items, read_features, scan_binary
-from imlens.sources.sinks import write_parquet
+from imlens.sources.sinks import write_csv, write_parquet
 
 STABLE_FRACTION = 0.1
 WEAK_RECALL = 0.9
@@ -409,6 +409,17 @@ def q_image_reduction(spark, sf_dir):
     return model.transform(good).select("path", "label", "split", "pca_features")
 
 
+def q_csv_roundtrip(spark, sf_dir):
+    """K2: arrays written as space-joined text with a header, read back with an explicit schema."""
+    base = ensure_checkpoint_dir(spark)
+    out = f"{base.rstrip('/')}/csv-{uuid.uuid4().hex}"
+    write_csv(embeddings(spark, sf_dir), out, inputs=[sf_dir])
+    back = spark.read.option("header", "true").schema("vec_id bigint, embedding string, label int").csv(out)
+    values = F.split(F.col("embedding"), " ").cast("array<double>")
+    total = F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x)
+    return back.select("vec_id", "label", F.size(values).alias("n_values"), F.round(total, 4).alias("total"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "class_counts": q_class_counts,
     "class_count_distinct": q_class_count_distinct,
@@ -451,6 +462,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "image_reduction": q_image_reduction,
     "quarantine_split": q_quarantine_split,
     "roundtrip_parquet": q_roundtrip_parquet,
+    "csv_roundtrip": q_csv_roundtrip,
 }
 
 
@@ -611,6 +623,10 @@ ORACLE_SQL: dict[str, str] = {
         "WHEN list_sum(list_transform(embedding, lambda x: x::DOUBLE * x)) = 0 THEN 'non-finite feature value' "
         "ELSE 'ok' END AS status, count(*) AS n FROM embeddings GROUP BY 1"
     ),
+    "csv_roundtrip": (
+        "SELECT vec_id, label, len(embedding)::INTEGER AS n_values, "
+        "round(list_sum(embedding::DOUBLE[]), 4) AS total FROM embeddings"
+    ),
     "roundtrip_parquet": (
         "SELECT vec_id, label, len(embedding)::INTEGER AS n_values, "
         "round(list_sum(embedding::DOUBLE[]), 4) AS total FROM embeddings"
