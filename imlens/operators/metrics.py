@@ -4,8 +4,8 @@ Every metric starts from one pass over the (label, prediction) rows that emits a
 records per row and aggregates them with partial (map-side) aggregation, so a label holding a
 third of all rows is pre-aggregated in every task before the shuffle. What follows works on
 tables with one row per class (or per class pair). No metric joins the row-level table, and
-none needs a cross join: the dense label x label grid of the reference is replaced by the
-long cell table plus a pivot of the few rows that are inspected.
+none needs a cross join: matrices are the long cell table, pivoted over an explicit, bounded
+label list when a wide form is wanted (all classes, or only the weak rows that are inspected).
 """
 
 from __future__ import annotations
