@@ -44,3 +44,13 @@ def test_label_index_alphabetical(spark):
     df = spark.createDataFrame([("b",), ("a",), ("c",), ("a",)], "lang string")
     rows = classify.index_labels(df, "lang").select("lang", "label_index", "label_back").distinct().orderBy("lang").collect()
     assert [(r.lang, r.label_index, r.label_back) for r in rows] == [("a", 0, "a"), ("b", 1, "b"), ("c", 2, "c")]
+
+
+def test_hgb_stops_early(spark):
+    # labels without signal: validation loss stops improving after a few rounds
+    rng = np.random.default_rng(3)
+    rows = [(i, f"c{rng.integers(0, 3)}", rng.normal(size=4).tolist()) for i in range(300)]
+    noise = spark.createDataFrame(rows, "id int, label string, features array<double>")
+    model, _ = classify.fit_classifier(noise, kind="hgb", maxIter=40, maxDepth=4)
+    trees = [m.getNumTrees for m in model.stages[0].models]
+    assert len(trees) == 3 and max(trees) < 40
