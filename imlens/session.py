@@ -58,27 +58,47 @@ def ensure_checkpoint_dir(spark: SparkSession, allow_local_default: bool | None
     return sc.getCheckpointDir()
 
 
-def ship_package(spark: SparkSession) -> None:
+def ship_package(spark: SparkSession, shared: bool | None = None) -> None:
     """Make ``imlens`` importable in executor Python workers (what ``--py-files`` does).
 
     Pandas UDFs of this package reference its functions by module; a cluster where the package
-    is not installed on the nodes gets a zip of it through ``addPyFile`` once per session.
+    is not installed on the nodes gets a zip of it through ``addPyFile`` once per session. On a
+    cluster (``shared``, the default for non-local masters) the zip is built in memory and written
+    to the shared ``spark.checkpoint.dir`` through the Hadoop FileSystem API, never to a
+    machine-local folder; a local master uses a scratch file.
     """
+    import io
     import os
+    import uuid
     import zipfile
 
     sc = spark.sparkContext
-    key = "spark.imlens.shipped"
-    if sc.getLocalProperty(key) == "1" or getattr(sc, "_imlens_shipped", False):
+    if getattr(sc, "_imlens_shipped", False):
         return
+    if shared is None:
+        shared = not sc.master.startswith("local")
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    target = os.path.join(tempfile.mkdtemp(prefix="imlens-pyfiles-"), "imlens.zip")
-    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as zf:
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
         for base, _, files in os.walk(pkg_dir):
             for name in files:
                 if name.endswith(".py"):
                     full = os.path.join(base, name)
                     zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    data = buf.getvalue()
+    if shared:
+        target = f"{ensure_checkpoint_dir(spark).rstrip('/')}/imlens-pyfiles-{uuid.uuid4().hex}/imlens.zip"
+        jvm = sc._jvm
+        path = jvm.org.apache.hadoop.fs.Path(target)
+        stream = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path, True)
+        try:
+            stream.write(bytearray(data))
+        finally:
+            stream.close()
+    else:
+        target = os.path.join(tempfile.mkdtemp(prefix="imlens-pyfiles-"), "imlens.zip")
+        with open(target, "wb") as fh:
+            fh.write(data)
     sc.addPyFile(target)
     sc._imlens_shipped = True
 

@@ -74,3 +74,25 @@ def test_session_conf_restores(spark):
     with session_conf(spark, {key: 1234}):
         assert spark.conf.get(key) in ("1234", "1234b")
     assert spark.conf.get(key) == before
+
+
+def test_ship_package_through_shared_folder(tmp_path):
+    """The cluster branch: zip written via the Hadoop FS API into the checkpoint folder, then shipped."""
+    import subprocess
+    import sys
+
+    code = (
+        "import sys; sys.path.insert(0, %r)\n"
+        "from pyspark.sql import SparkSession\n"
+        "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled','false').getOrCreate()\n"
+        "s.sparkContext.setCheckpointDir(%r)\n"
+        "from imlens.session import ship_package\n"
+        "ship_package(s, shared=True)\n"
+        "import glob; print(len(glob.glob(%r + '/*/imlens-pyfiles-*/imlens.zip')))\n"
+        "f = s.sparkContext.parallelize([1], 1).map(lambda _: __import__('imlens.functions.paths').__name__).collect()\n"
+        "print(f[0])\n"
+    ) % (os.path.dirname(os.path.dirname(os.path.abspath(__file__))), str(tmp_path), str(tmp_path))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=240, cwd="/tmp", env=env)
+    lines = [l for l in out.stdout.splitlines() if l.strip()]
+    assert lines[-2:] == ["1", "imlens"], out.stdout + out.stderr[-2000:]
