@@ -29,13 +29,22 @@ def write_parquet(
     partition_by: list[str] | None = None,
     mode: str = "overwrite",
     inputs: list[str] | None = None,
+    legacy_format: bool = False,
 ) -> None:
-    """Parquet with optional ``partitionBy`` (pruned on read) (K1)."""
+    """Parquet with optional ``partitionBy`` (pruned on read) (K1).
+
+    ``legacy_format`` writes the older Parquet layout (``spark.sql.parquet.writeLegacyFormat``,
+    R4) for readers that expect it; the setting applies to this write only.
+    """
+    from imlens.session import session_conf
+
     guard_overlap(path, inputs)
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    conf = {"spark.sql.parquet.writeLegacyFormat": "true"} if legacy_format else {}
+    with session_conf(df.sparkSession, conf):
+        writer.parquet(path)
 
 
 def csv_ready(df: DataFrame, sep: str = " ") -> DataFrame:
