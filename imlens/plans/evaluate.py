@@ -34,16 +34,31 @@ def explore(spark: SparkSession, folder: str, glob: str | None = None, fraction:
     }
 
 
+def read_sets(spark: SparkSession, reduced: str | dict) -> DataFrame:
+    """The reduced table with a ``split`` column: one partitioned folder, or {split: folder}."""
+    if isinstance(reduced, str):
+        return spark.read.parquet(reduced)
+    table = None
+    for split, path in reduced.items():
+        one = spark.read.parquet(path).withColumn("split", F.lit(split))
+        table = one if table is None else table.unionByName(one)
+    return table
+
+
 def classify_and_evaluate(
     spark: SparkSession,
-    reduced: str,
+    reduced: str | dict,
     kind: str = "gbt",
     features: str = "pca_features",
     threshold: float = 0.9,
     **params,
 ) -> dict:
-    """Fit on the train split, predict the test split, return tables and the fit time."""
-    table = spark.read.parquet(reduced)
+    """Fit on the train split, predict the test split, return tables and the fit time.
+
+    ``reduced`` is the job's ``reduced`` folder (partitioned by split) or a mapping such as
+    ``{"train": "s3a://b/results_train", "test": "s3a://b/results_test"}``.
+    """
+    table = read_sets(spark, reduced)
     train = table.filter(F.col("split") == "train")
     test = table.filter(F.col("split") == "test")
     model, seconds = classify.fit_classifier(train, features, "label", kind=kind, **params)

@@ -86,3 +86,13 @@ def test_job_restart_reuses_written_features(spark, colour_tree, tmp_path):
     first = batch.run(spark, sets, out, size=(8, 8), glob="*.png")
     again = batch.run(spark, sets, out, size=(8, 8), glob="*.png", make_predict_fn=_never_called, reuse_features=True)
     assert again.k == first.k and again.counts == first.counts
+
+
+def test_evaluate_from_separate_folders(spark, colour_tree, tmp_path):
+    out = str(tmp_path / "sep")
+    batch.run(spark, {"train": str(colour_tree / "train"), "test": str(colour_tree / "test")}, out, size=(8, 8), glob="*.png")
+    res = classify_and_evaluate(
+        spark, {"train": f"{out}/reduced/split=train", "test": f"{out}/reduced/split=test"}, kind="lr"
+    )
+    assert res["predictions"].count() == 12
+    assert res["summary"].filter("label = 'accuracy'").first().precision == pytest.approx(1.0)
