@@ -65,6 +65,9 @@ def classify_and_evaluate(
     pred = classify.predict(model, test, features, "label", keep=["path"])
     bundle = metrics.evaluation_bundle(pred, threshold=threshold)
     bundle.update(
+        classes_per_split=table.groupBy("split").agg(
+            F.count(F.lit(1)).alias("n_rows"), F.count_distinct("label").alias("n_labels")
+        ),
         balance=metrics.class_balance(train, test),
         predictions=pred,
         ari=metrics.adjusted_rand(pred),

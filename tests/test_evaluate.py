@@ -95,4 +95,6 @@ def test_evaluate_from_separate_folders(spark, colour_tree, tmp_path):
         spark, {"train": f"{out}/reduced/split=train", "test": f"{out}/reduced/split=test"}, kind="lr"
     )
     assert res["predictions"].count() == 12
+    per = {r.split: (r.n_rows, r.n_labels) for r in res["classes_per_split"].collect()}
+    assert per == {"train": (24, 3), "test": (12, 3)}
     assert res["summary"].filter("label = 'accuracy'").first().precision == pytest.approx(1.0)
