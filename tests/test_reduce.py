@@ -106,3 +106,14 @@ def test_one_row_and_empty_input_raise(spark):
         Reducer("v").fit(one)
     with pytest.raises(Exception):
         Reducer("v").fit(one.filter("id < 0"))
+
+
+def test_vector_column_input_and_vector_output(spark):
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.linalg import VectorUDT
+
+    e = _emb(spark).select("vec_id", array_to_vector("embedding").alias("v"))
+    model = Reducer("v", "p", threshold=0.9).fit(e)
+    out = model.transform(e)
+    assert isinstance(out.schema["p"].dataType, VectorUDT)
+    assert out.select(F.size(vector_to_array("p"))).distinct().collect()[0][0] == model.k
