@@ -43,6 +43,23 @@ def set_name_of(path: str, root: str = "images") -> str | None:
     return m.group(1) if m else None
 
 
+@dataclass
+class ScoreOptions:
+    """How images are listed, labelled, sampled and scored."""
+
+    make_predict_fn: object = None
+    rule: str = "set"
+    glob: str | None = None
+    root: str = "images"
+    size: tuple[int, int] = (224, 224)
+    batch_size: int = 32
+    partitions: int | None = None
+    on_error: str = "quarantine"
+    zero_dim: int | None = None
+    sample_fraction: float | None = None
+    sample_cap: int | None = None
+
+
 @dataclass
 class JobResult:
     k: int
@@ -94,19 +111,15 @@ def run(
     inputs = list(sets.values())
     guard_overlap(out, inputs)
     paths = {name: f"{out}/{name}" for name in ("features", "quarantine", "model", "reduced", "balance")}
+    scoring = ScoreOptions(
+        make_predict_fn=make_predict_fn, rule=rule, glob=glob, root=root, size=size, batch_size=batch_size,
+        partitions=partitions, on_error=on_error, zero_dim=zero_dim, sample_fraction=sample_fraction,
+        sample_cap=sample_cap,
+    )
     with session_conf(spark, {"spark.sql.files.openCostInBytes": open_cost_bytes}):
-        return _run(
-            spark, sets, out, paths, fit_set, make_predict_fn, threshold, rule, glob, root, size, batch_size,
-            partitions, on_error, zero_dim, sample_fraction, sample_cap, reuse_features,
-        )
-
-
-def _run(spark, sets, out, paths, fit_set, make_predict_fn, threshold, rule, glob, root, size, batch_size,
-         partitions, on_error, zero_dim, sample_fraction, sample_cap, reuse_features) -> JobResult:
-    if not (reuse_features and _complete(spark, paths["features"])):
-        _score_sets(spark, sets, paths, make_predict_fn, rule, glob, root, size, batch_size, partitions,
-                    on_error, zero_dim, sample_fraction, sample_cap)
-    return _fit_and_apply(spark, sets, paths, fit_set, threshold)
+        if not (reuse_features and _complete(spark, paths["features"])):
+            _score_sets(spark, sets, paths["features"], scoring)
+        return _fit_and_apply(spark, sets, paths, fit_set, threshold)
 
 
 def _complete(spark: SparkSession, path: str) -> bool:
@@ -117,24 +130,25 @@ def _complete(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(marker))
 
 
-def _score_sets(spark, sets, paths, make_predict_fn, rule, glob, root, size, batch_size, partitions,
-                on_error, zero_dim, sample_fraction, sample_cap) -> None:
+def _score_sets(spark: SparkSession, sets: dict[str, str], target: str, o: ScoreOptions) -> None:
+    """Scan every set, score each image once and write ``target`` partitioned by split."""
     items = None
     for name, folder in sets.items():
-        one = labelled_images(spark, folder, name, rule=rule, glob=glob, root=root)
+        one = labelled_images(spark, folder, name, rule=o.rule, glob=o.glob, root=o.root)
         items = one if items is None else items.unionByName(one)
-    if sample_fraction is not None:
-        items = sampling.stable_sample(items, "path", sample_fraction)
-    if sample_cap is not None:
-        items = sampling.stable_first_n(items, "path", sample_cap)
-    if partitions:
-        items = items.repartition(partitions)
+    if o.sample_fraction is not None:
+        items = sampling.stable_sample(items, "path", o.sample_fraction)
+    if o.sample_cap is not None:
+        items = sampling.stable_first_n(items, "path", o.sample_cap)
+    if o.partitions:
+        items = items.repartition(o.partitions)
 
     scored = featurize(
-        items, "image", make_predict_fn, batch_size=batch_size, size=size, on_error=on_error, zero_dim=zero_dim
+        items, "image", o.make_predict_fn, batch_size=o.batch_size, size=o.size, on_error=o.on_error,
+        zero_dim=o.zero_dim,
     ).drop("image")
     scored = scored.withColumn("error", F.coalesce(F.col("error"), vector_error(scored, "features")))
-    write_parquet(scored.select("path", "label", "features", "error", "split"), paths["features"], partition_by=["split"])
+    write_parquet(scored.select("path", "label", "features", "error", "split"), target, partition_by=["split"])
 
 
 def _fit_and_apply(spark, sets, paths, fit_set, threshold) -> JobResult:
