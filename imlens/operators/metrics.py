@@ -179,23 +179,41 @@ def adjusted_rand(df: DataFrame, label: str = "label", prediction: str = "predic
     return sums.select(ari.alias("ari"))
 
 
-def js_distance(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+def js_distance(
+    df: DataFrame, label: str = "label", prediction: str = "prediction", labels: DataFrame | None = None
+) -> DataFrame:
     """One row ``js_distance``: Jensen-Shannon distance (natural log) between the true and the
-    predicted label distributions over the union of labels (A8, A9, J3).
-
-    Both distributions have the same total n, so with t and r the true and predicted counts of a
-    label, 2p/(p+q) = 2t/(t+r) and JS = sum(t ln(2t/(t+r)) + r ln(2r/(t+r))) / (2n): one
-    aggregate over the per-label counts, no totals joined back.
+    predicted label distributions (A8, A9, J3).
+
+    By default over the union of labels: both distributions then have the same total n, so with
+    t and r the true and predicted counts of a label, 2p/(p+q) = 2t/(t+r) and
+    JS = sum(t ln(2t/(t+r)) + r ln(2r/(t+r))) / (2n) -- one aggregate, no totals joined back.
+    ``labels`` (a one-column ``label`` table, e.g. the training labels) restricts both
+    distributions to that universe and normalises each over it, as the surveyed notebook did; the
+    two totals then come from scalar subqueries.
     """
     stats = class_stats(df, label, prediction)
     t, r = F.col("support").cast("double"), F.col("predicted").cast("double")
+    if labels is None:
+
+        def xlog(x: Column) -> Column:
+            return F.when(x > 0, x * F.ln(2 * x / (t + r))).otherwise(F.lit(0.0))
+
+        agg = stats.agg(F.sum(xlog(t) + xlog(r)).alias("s"), F.sum(t).alias("n"))
+        js = F.when(F.col("n") > 0, F.sqrt(F.greatest(F.col("s") / (2 * F.col("n")), F.lit(0.0))))
+        return agg.select(js.alias("js_distance"))
+
+    kept = join_small(stats, labels.select(F.col(labels.columns[0]).alias("label")).distinct(), on="label", how="left_semi")
+    total_t = kept.agg(F.sum("support").cast("double")).scalar()
+    total_r = kept.agg(F.sum("predicted").cast("double")).scalar()
+    p, q = t / total_t, r / total_r
+    m = (p + q) / 2
 
-    def xlog(x: Column) -> Column:
-        return F.when(x > 0, x * F.ln(2 * x / (t + r))).otherwise(F.lit(0.0))
+    def rel(x: Column) -> Column:
+        return F.when(x > 0, x * F.ln(x / m)).otherwise(F.lit(0.0))
 
-    agg = stats.agg(F.sum(xlog(t) + xlog(r)).alias("s"), F.sum(t).alias("n"))
-    js = F.when(F.col("n") > 0, F.sqrt(F.greatest(F.col("s") / (2 * F.col("n")), F.lit(0.0))))
-    return agg.select(js.alias("js_distance"))
+    js = F.sqrt(F.greatest(F.sum(rel(p) + rel(q)) / 2, F.lit(0.0)))
+    return kept.agg(js.alias("js_distance"))
 
 
 def weak_classes(report: DataFrame, threshold: float = 0.9) -> DataFrame:

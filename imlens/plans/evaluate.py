@@ -72,6 +72,7 @@ def classify_and_evaluate(
         predictions=pred,
         ari=metrics.adjusted_rand(pred),
         js=metrics.js_distance(pred),
+        js_train_labels=metrics.js_distance(pred, labels=train.select("label")),
         fit_seconds=seconds,
         model=model,
     )

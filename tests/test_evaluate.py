@@ -42,6 +42,7 @@ def test_classify_and_evaluate_job_output(spark, colour_tree, tmp_path):
     assert acc == pytest.approx(1.0)
     assert res["ari"].first().ari == pytest.approx(1.0)
     assert res["js"].first().js_distance == pytest.approx(0.0, abs=1e-12)
+    assert res["js_train_labels"].first().js_distance == pytest.approx(0.0, abs=1e-12)
     assert {r.label: (r.train, r.test) for r in res["balance"].collect()} == {
         "Red": (8, 4), "Green": (8, 4), "Blue": (8, 4)
     }

@@ -157,3 +157,21 @@ def test_report_restricted_to_given_labels(spark):
     rep = metrics.class_report(df, labels=["a", "c"]).collect()
     assert [r.label for r in rep] == ["a", "c"]
     assert rep[0].precision == pytest.approx(0.5) and rep[0].recall == 1.0
+
+
+def test_js_over_a_given_label_universe(spark):
+    pairs = [("a", "a"), ("a", "b"), ("b", "b"), ("c", "a"), ("c", "c"), ("d", "a")]
+    df = frame(spark, pairs)
+    universe = spark.createDataFrame([("a",), ("b",), ("c",)], "label string")  # 'd' unseen in training
+    got = one(metrics.js_distance(df, labels=universe))
+    labels = ["a", "b", "c"]
+    y, p = [a for a, _ in pairs], [b for _, b in pairs]
+    real = [y.count(c) for c in labels]
+    pred = [p.count(c) for c in labels]
+    a = [x / sum(real) for x in real]
+    b = [x / sum(pred) for x in pred]
+    m = [(u + v) / 2 for u, v in zip(a, b)]
+    kl = lambda x, z: sum(u * math.log(u / w) for u, w in zip(x, z) if u > 0)
+    assert got == pytest.approx(math.sqrt((kl(a, m) + kl(b, m)) / 2), abs=1e-12)
+    # default (union) stays the brute-force union value
+    assert one(metrics.js_distance(df)) == pytest.approx(brute_js(y, p), abs=1e-12)
