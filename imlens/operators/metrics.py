@@ -90,15 +90,23 @@ def class_report(
 ) -> DataFrame:
     """(label, precision, recall, f1, support), 0 on zero division, by recall descending.
 
-    ``labels`` restricts the rows like scikit-learn's ``labels=``; by default the union of true
-    and predicted labels is reported (a label only ever predicted gets recall 0, support 0).
+    ``labels`` (a list, or a one-column DataFrame such as the training labels) restricts the rows
+    like scikit-learn's ``labels=``; by default the union of true and predicted labels is reported (a label only ever predicted gets recall 0, support 0).
     """
-    stats = class_stats(df, label, prediction)
-    if labels is not None:
-        stats = stats.filter(F.col("label").isin(list(labels)))
+    stats = _restrict(class_stats(df, label, prediction), labels)
     return _report_from_stats(stats).orderBy(F.desc("recall"), "label")
 
 
+def _restrict(stats: DataFrame, labels) -> DataFrame:
+    """Keep the label universe: a Python list (literal filter) or a one-column DataFrame (semi-join)."""
+    if labels is None:
+        return stats
+    if isinstance(labels, DataFrame):
+        universe = labels.select(F.col(labels.columns[0]).alias("label")).distinct()
+        return join_small(stats, universe, on="label", how="left_semi")
+    return stats.filter(F.col("label").isin(list(labels)))
+
+
 def _report_from_stats(stats: DataFrame, keep_tp: bool = False) -> DataFrame:
     precision = _div(F.col("tp"), F.col("predicted"))
     recall = _div(F.col("tp"), F.col("support"))
@@ -139,13 +147,15 @@ def _summary_from_stats(stats: DataFrame) -> DataFrame:
     return agg.select(F.inline(F.array(*rows)))
 
 
-def report_summary(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+def report_summary(
+    df: DataFrame, label: str = "label", prediction: str = "prediction", labels=None
+) -> DataFrame:
     """Rows 'accuracy', 'macro avg', 'weighted avg' with precision, recall, f1, support.
 
     The accuracy row repeats accuracy in the three score columns; support is the row count in
-    every summary row.
+    every summary row. ``labels`` restricts the averaged classes as in ``class_report``.
     """
-    return _summary_from_stats(class_stats(df, label, prediction))
+    return _summary_from_stats(_restrict(class_stats(df, label, prediction), labels))
 
 
 def adjusted_rand(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:

@@ -73,6 +73,8 @@ def classify_and_evaluate(
         ari=metrics.adjusted_rand(pred),
         js=metrics.js_distance(pred),
         js_train_labels=metrics.js_distance(pred, labels=train.select("label")),
+        report_train_labels=metrics.class_report(pred, labels=train.select("label")),
+        summary_train_labels=metrics.report_summary(pred, labels=train.select("label")),
         fit_seconds=seconds,
         model=model,
     )

@@ -175,3 +175,11 @@ def test_js_over_a_given_label_universe(spark):
     assert got == pytest.approx(math.sqrt((kl(a, m) + kl(b, m)) / 2), abs=1e-12)
     # default (union) stays the brute-force union value
     assert one(metrics.js_distance(df)) == pytest.approx(brute_js(y, p), abs=1e-12)
+
+
+def test_report_and_summary_over_label_dataframe(spark):
+    df = frame(spark, [("a", "a"), ("b", "a"), ("c", "c"), ("d", "a")])
+    universe = spark.createDataFrame([("a",), ("c",)], "label string")
+    assert [r.label for r in metrics.class_report(df, labels=universe).collect()] == ["a", "c"]
+    macro = {r.label: r for r in metrics.report_summary(df, labels=universe).collect()}["macro avg"]
+    assert macro.recall == pytest.approx(1.0) and macro.support == 2
