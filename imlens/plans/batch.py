@@ -96,6 +96,7 @@ def run(
     sample_fraction: float | None = None,
     sample_cap: int | None = None,
     reuse_features: bool = False,
+    legacy_format: bool = False,
 ) -> JobResult:
     """Featurise every set once, fit on ``fit_set``, apply the same model to all sets.
 
@@ -103,7 +104,8 @@ def run(
     ``sample_fraction`` / ``sample_cap`` reproduce the notebook's trial run on a subset (off by
     default): rows are chosen by a hash of the path, so the subset does not depend on partitioning.
     ``reuse_features`` restarts a job after a failure without scoring again when a complete
-    ``features`` table (``_SUCCESS`` marker) is already there.
+    ``features`` table (``_SUCCESS`` marker) is already there. ``legacy_format`` writes the
+    reduced output in the legacy Parquet layout for older readers.
     """
     if fit_set not in sets:
         raise ValueError(f"fit_set {fit_set!r} is not one of {sorted(sets)}")
@@ -119,7 +121,7 @@ def run(
     with session_conf(spark, {"spark.sql.files.openCostInBytes": open_cost_bytes}):
         if not (reuse_features and _complete(spark, paths["features"])):
             _score_sets(spark, sets, paths["features"], scoring)
-        return _fit_and_apply(spark, sets, paths, fit_set, threshold)
+        return _fit_and_apply(spark, sets, paths, fit_set, threshold, legacy_format)
 
 
 def _complete(spark: SparkSession, path: str) -> bool:
@@ -151,7 +153,7 @@ def _score_sets(spark: SparkSession, sets: dict[str, str], target: str, o: Score
     write_parquet(scored.select("path", "label", "features", "error", "split"), target, partition_by=["split"])
 
 
-def _fit_and_apply(spark, sets, paths, fit_set, threshold) -> JobResult:
+def _fit_and_apply(spark, sets, paths, fit_set, threshold, legacy_format: bool = False) -> JobResult:
     table = spark.read.parquet(paths["features"])
     good = table.filter(F.col("error").isNull() & F.col("label").isNotNull())
     bad = table.filter(F.col("error").isNotNull() | F.col("label").isNull()).select(
@@ -162,7 +164,7 @@ def _fit_and_apply(spark, sets, paths, fit_set, threshold) -> JobResult:
     model = Reducer("features", "pca_features", threshold=threshold).fit(good.filter(F.col("split") == fit_set))
     model.save(paths["model"])
     reduced = model.transform(good).select("path", "label", "pca_features", "split")
-    write_parquet(reduced, paths["reduced"], partition_by=["split"])
+    write_parquet(reduced, paths["reduced"], partition_by=["split"], legacy_format=legacy_format)
 
     if "test" in sets and fit_set != "test":
         balance = metrics.class_balance(good.filter(F.col("split") == fit_set), good.filter(F.col("split") == "test"))

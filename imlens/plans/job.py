@@ -34,6 +34,7 @@ def parse(argv: list[str]) -> argparse.Namespace:
     ap.add_argument("--batch-size", type=int, default=32)
     ap.add_argument("--partitions", type=int, default=None)
     ap.add_argument("--reuse-features", action="store_true", help="restart without re-scoring a complete features table")
+    ap.add_argument("--legacy-format", action="store_true", help="legacy Parquet layout for the reduced output")
     ap.add_argument("--classify", choices=["lr", "rf", "gbt", "hgb"], default=None)
     return ap.parse_args(argv)
 
@@ -54,6 +55,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         batch_size=args.batch_size,
         partitions=args.partitions,
         reuse_features=args.reuse_features,
+        legacy_format=args.legacy_format,
     )
     summary = {"k": res.k, "dim": res.dim, "counts": {f"{s}/{'ok' if ok else 'failed'}": n for (s, ok), n in res.counts.items()}}
     if args.classify:

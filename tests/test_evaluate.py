@@ -57,7 +57,7 @@ def test_command_line_job(spark, colour_tree, tmp_path):
     out = str(tmp_path / "job")
     summary = main(
         ["--set", f"train={colour_tree / 'train'}", "--set", f"test={colour_tree / 'test'}", "--out", out,
-         "--glob", "*.png", "--size", "16", "--classify", "lr"],
+         "--glob", "*.png", "--size", "16", "--classify", "lr", "--legacy-format"],
         spark,
     )
     assert summary["counts"] == {"train/ok": 24, "test/ok": 12}
