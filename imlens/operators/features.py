@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import ArrayType, FloatType, StructField, StructType, StringType
+from pyspark.sql.types import ArrayType, BinaryType, FloatType, StructField, StructType, StringType
 
 from imlens.session import ship_package
 
@@ -208,6 +208,11 @@ def featurize(
         prep = image_preprocess(size)
     elif isinstance(dtype, ArrayType):
         prep = array_preprocess()
+    elif isinstance(dtype, BinaryType):
+        raise TypeError(
+            f"{input_col} holds raw file bytes: decode them with the JVM image source "
+            "(sources.scan_images / image_items) and pass the `image` column instead"
+        )
     else:
         raise TypeError(f"{input_col} must be an image struct or a numeric array, not {dtype.simpleString()}")
     zero = np.zeros(zero_dim, dtype=np.float32) if on_error == "zero" else None

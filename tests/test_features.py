@@ -189,3 +189,9 @@ def test_onnx_scorer_runs_broadcast_model(spark):
     )
     out = featurize(imgs, "image", onnx_model(spark, scale_model(3.0)), size=(2, 2)).collect()
     assert all(r.error is None and list(r.features) == [3.0] * 12 for r in out)
+
+
+def test_raw_bytes_are_refused_with_a_hint(spark):
+    df = spark.createDataFrame([(b"\x89PNG",)], "content binary")
+    with pytest.raises(TypeError, match="scan_images"):
+        featurize(df, "content")
