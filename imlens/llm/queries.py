@@ -1,7 +1,8 @@
 """The registered queries of this subpackage and their DuckDB SQL."""
 
+from imlens.llm import op9_warc as warc
 from imlens.llm.op1_rans import op1_rans
 
-QUERIES = {"op1_rans": op1_rans}
+QUERIES = {"op1_rans": op1_rans, "op9_warc": warc.op9_warc}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op9_warc": warc.ORACLE}
