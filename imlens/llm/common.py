@@ -57,11 +57,6 @@ def text_bytes(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def lower_words(text: bytes) -> list[bytes]:
-    """Lower-case A-Z and split on the bytes 09-0D and 20."""
-    return text.translate(LOWER).split()
-
-
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser (splitmix64)."""
     with np.errstate(over="ignore"):
@@ -70,42 +65,5 @@ def mix64(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-class WordIndex:
-    """word -> dense index, with one value (or run of values) per index, kept across batches.
-
-    ``values(list of new words)`` gives the values of unseen words. The index is emptied when it
-    holds ``limit`` words, so a worker's memory is bounded whatever the vocabulary.
-    """
-
-    def __init__(self, values, limit: int = 400_000):
-        self.values, self.limit = values, limit
-        self.clear()
-
-    def clear(self):
-        self.index: dict[bytes, int] = {}
-        self.table: list[np.ndarray] = []
-        self._joined = None
-
-    def lookup(self, words: list[bytes]) -> np.ndarray:
-        """Index of every word; valid until the next call."""
-        if len(self.index) > self.limit:
-            self.clear()
-        get = self.index.get
-        new = [w for w in set(words) if w not in self.index] if words else []
-        if new:
-            base = len(self.index)
-            self.table.append(self.values(new))
-            self.index.update(zip(new, range(base, base + len(new))))
-            self._joined = None
-        return np.fromiter(map(get, words), np.int64, len(words))
-
-    @property
-    def joined(self) -> np.ndarray:
-        if self._joined is None:
-            self._joined = np.concatenate(self.table) if self.table else np.zeros(0, np.int64)
-            self.table = [self._joined] if len(self._joined) else []
-        return self._joined
-
-
 def schema(ddl: str) -> T.StructType:
     return T._parse_datatype_string(ddl)
