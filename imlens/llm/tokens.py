@@ -8,85 +8,103 @@ its ids are reused. Texts that hold the opening of a special token go through th
 from __future__ import annotations
 
 import os
-import sys
+import re
 
 import numpy as np
 
-from imlens.llm.common import LOWER
+from imlens.llm.wordhash import HashTable, Words
 
 #: A tail of these bytes after an ASCII letter or digit is a piece of its own for the vocabulary's splitter.
 TAIL = b".,!?;:%$*#&|"
+#: Lower-case letters that the normaliser leaves as they are and the splitter keeps together.
+_PLAIN = re.compile("[a-zß-öø-ÿ]+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable bytes stand for themselves, the others for letters from 256 on."""
+    kept = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in kept]
+    return {b: chr(b) for b in kept} | {b: chr(256 + k) for k, b in enumerate(others)}
 
 
 class CachedTokenizer:
-    def __init__(self, path: str, limit: int = 600_000):
+    def __init__(self, path: str, limit: int = 1_500_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
+        self.model = self.tokenizer.model
+        self.letters = {k: v for k, v in _byte_letters().items()}
         self.clear()
 
     def clear(self):
-        self.words: dict[bytes, int] = {}
-        self.pieces: dict[bytes, list[int]] = {}
-        self.flat = [np.zeros(0, np.uint32)]
-        self.size = 0
-        self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.index = HashTable()
+        self.flat, self.size = [np.zeros(0, np.uint32)], 0
+        self.starts, self.lengths = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        self.tails: dict[bytes, list[int]] = {}
 
     def _library(self, texts: list[bytes]) -> list[list[int]]:
         decoded = [t.decode("utf-8", "replace") for t in texts]
         return [e.ids for e in self.tokenizer.encode_batch_fast(decoded, add_special_tokens=False)]
 
-    def _learn(self, new: list[bytes]) -> None:
-        parts = []
-        for w in new:
-            core = w.rstrip(TAIL)
-            if core and len(core) < len(w) and core[-1:].isalnum():
-                parts.append((core, w[len(core):]))
+    def _words(self, words: list[bytes]) -> list[list[int]]:
+        """Ids of words: plain letters straight through the library's model, others through all of it."""
+        out: list = [None] * len(words)
+        tails: list = [()] * len(words)
+        rest, tokenize, letters = [], self.model.tokenize, self.letters
+        for k, word in enumerate(words):
+            core = word.rstrip(TAIL)
+            if core and len(core) < len(word) and core[-1:].isalnum():
+                tail = word[len(core):]
+                if tail not in self.tails:
+                    if len(self.tails) > 10_000:
+                        self.tails.clear()
+                    self.tails[tail] = self._library([tail])[0]
+                tails[k], word = self.tails[tail], core
+            text = word.decode("utf-8", "replace")
+            if _PLAIN.fullmatch(text):
+                mapped = text if word.isascii() else "".join(letters[b] for b in word)
+                out[k] = [t.id for t in tokenize(mapped)]
             else:
-                parts.append((w,))
-        unseen = list({p for ps in parts for p in ps if p not in self.pieces})
-        self.pieces.update(zip(unseen, self._library(unseen)))
-        ids = [[i for p in ps for i in self.pieces[p]] for ps in parts]
+                rest.append((k, word))
+        for (k, _), ids in zip(rest, self._library([w for _, w in rest]) if rest else ()):
+            out[k] = ids
+        return [[*a, *b] if b else a for a, b in zip(out, tails)]
+
+    def _learn(self, words: list[bytes], hashes: np.ndarray) -> None:
+        ids = self._words(words)
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        base = len(self.words)
-        self.words.update(zip(new, range(base, base + len(new))))
-        self.starts = np.concatenate([self.starts, self.size + np.cumsum(lengths) - lengths])
-        self.lengths = np.concatenate([self.lengths, lengths])
-        self.flat.append(np.fromiter((i for x in ids for i in x), np.uint32, int(lengths.sum())))
+        self.starts = [np.concatenate([*self.starts, self.size + np.cumsum(lengths) - lengths])]
+        self.lengths = [np.concatenate([*self.lengths, lengths])]
+        self.flat = [np.concatenate([*self.flat, np.fromiter((i for x in ids for i in x), np.uint32, int(lengths.sum()))])]
         self.size += int(lengths.sum())
+        self.index.add(hashes)
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, ids per text)."""
-        if len(self.words) > self.limit:
+        whole = [k for k, t in enumerate(texts) if b"<|" in t]
+        if whole:
+            runs = [None] * len(texts)
+            for k, ids in zip(whole, self._library([texts[k] for k in whole])):
+                runs[k] = np.asarray(ids, np.uint32)
+            others = [k for k in range(len(texts)) if runs[k] is None]
+            ids, counts = self.encode([texts[k] for k in others])
+            for k, run in zip(others, np.split(ids, np.cumsum(counts)[:-1])):
+                runs[k] = run
+            return np.concatenate(runs), np.fromiter(map(len, runs), np.int64, len(runs))
+        if self.index.size > self.limit:
             self.clear()
-        whole = {k: ids for k, ids in self._whole(texts)}
-        words, counts = [], np.zeros(len(texts), np.int64)
-        for k, text in enumerate(texts):
-            if k not in whole:
-                w = text.translate(LOWER).split()
-                counts[k] = len(w)
-                words += w
-        new = [w for w in set(words) if w not in self.words]
-        if new:
-            self._learn(new)
-        at = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
-        flat = self.flat[0] if len(self.flat) == 1 else np.concatenate(self.flat)
-        self.flat = [flat]
-        lengths, starts = self.lengths[at], self.starts[at]
-        ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = flat[np.repeat(starts - (ends - lengths), lengths) + np.arange(total)]
-        upto = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
-        per_text = np.diff(upto)
-        if not whole:
-            return ids, per_text
-        runs = [np.asarray(whole[k], np.uint32) if k in whole else ids[upto[k]:upto[k + 1]] for k in range(len(texts))]
-        return np.concatenate(runs), np.fromiter(map(len, runs), np.int64, len(runs))
-
-    def _whole(self, texts):
-        at = [k for k, t in enumerate(texts) if b"<|" in t]
-        return zip(at, self._library([texts[k] for k in at])) if at else ()
+        words = Words(texts)
+        at = self.index.find(words.hashes)
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            new, first, back = np.unique(words.hashes[missing], return_index=True, return_inverse=True)
+            at[missing] = self.index.size + back
+            self._learn(words.take(missing[first]), new)
+        lengths, starts = self.lengths[0][at], self.starts[0][at]
+        upto = np.concatenate([[0], np.cumsum(lengths)])
+        flat = np.repeat(starts - upto[:-1], lengths) + np.arange(upto[-1])
+        return self.flat[0][flat], np.diff(upto[words.first])
 
 
 _OPEN: dict[str, CachedTokenizer] = {}
@@ -95,6 +113,5 @@ _OPEN: dict[str, CachedTokenizer] = {}
 def tokenizer(path: str) -> CachedTokenizer:
     """The worker's tokenizer for a vocabulary file."""
     if path not in _OPEN:
-        sys.setswitchinterval(0.05)
         _OPEN[path] = CachedTokenizer(path)
     return _OPEN[path]
