@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 import numpy as np
@@ -35,6 +36,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch(spark, name)
     df.write.parquet(path)
+    gc.collect()
+    spark._jvm.System.gc()  # lets Spark's cleaner delete the shuffle files of what has just been written
     return spark.read.schema(df.schema).parquet(path)
 
 
