@@ -29,7 +29,7 @@ from imlens.llm.tokens import tokenizer
 
 VOCABULARY = "word_bpe_49k.json"
 BLOCK_TOKENS = 65_536
-GROUP_TOKENS = 1_048_576  # tokens coded together
+GROUP_TOKENS = 524_288  # tokens coded together
 
 
 def tokenised(docs: DataFrame, vocabulary: str, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -46,7 +46,7 @@ def tokenised(docs: DataFrame, vocabulary: str, end_id: int = 1, id_col: str = "
             at = 0
             while at < len(texts):
                 stop, size = at, 0
-                while stop < len(texts) and (size < 4_000_000 or stop == at):
+                while stop < len(texts) and (size < 1_000_000 or stop == at):
                     size += len(texts[stop])
                     stop += 1
                 ids, counts = tok.encode(texts[at:stop])

@@ -28,7 +28,7 @@ def _byte_letters() -> dict[int, str]:
 
 
 class CachedTokenizer:
-    def __init__(self, path: str, limit: int = 1_500_000):
+    def __init__(self, path: str, limit: int = 800_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
