@@ -40,7 +40,7 @@ from imlens.llm.suffixes import GRAM, anchors, common_prefixes, contexts, decode
 from imlens.llm.wordhash import batches
 
 LAST = 2**63 - 1  # stands for a null doc_id
-CHUNK = 16_000_000  # bytes of text whose anchors form one run
+CHUNK = 6_000_000  # bytes of text whose anchors form one run
 
 
 def _bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
@@ -89,7 +89,7 @@ def shared_anchors(texts: DataFrame, length: int, ranges: int) -> DataFrame:
 
         for batch in each:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for at, stop in batches(texts):
+            for at, stop in batches(texts, 1_000_000):
                 text, place, _, _, g = anchors(texts[at:stop], length)
                 for c, v in zip(cols, (g, text + len(rks), place)):
                     c.append(v)
@@ -157,14 +157,14 @@ def suffix_runs(texts: DataFrame, places: DataFrame, length: int, ranges: int) -
                 if not n:
                     continue
                 raw = np.frombuffer(text, np.uint8)
-                for at in range(0, n, 100_000):
-                    part = slice(at, at + 100_000)
+                for at in range(0, n, 50_000):
+                    part = slice(at, at + 50_000)
                     m = len(place[part])
                     values = (contexts(raw, place[part], length), np.full(m, rk), np.full(m, doc), place[part], low[part] * 256 + high[part], g[part])
                     for c, v in zip(held, values):
                         c.append(v)
                     size += m
-                    if size > 400_000:
+                    if size > 150_000:
                         yield out()
                         held, size = [[], [], [], [], [], []], 0
         if size:
@@ -240,7 +240,7 @@ def deduplicate(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_
         raise ValueError(f"length must lie between {GRAM + 1} and {GRAM + 40}")
     spark = docs.sparkSession
     prepare(spark)
-    ranges = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts, copies = distinct_texts(text_bytes(docs, id_col, text_col))
     places = stored(shared_anchors(texts, length, ranges), "suffix-places")
     runs, width = suffix_runs(texts, places, length, ranges)
