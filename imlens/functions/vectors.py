@@ -88,7 +88,3 @@ def split_valid(df: DataFrame, name: str, dim: int | None = None, error_col: str
     tagged = df.withColumn(error_col, vector_error(df, name, dim))
     return tagged.filter(F.col(error_col).isNull()).drop(error_col), tagged.filter(F.col(error_col).isNotNull())
 
-
-def array_type_of(df: DataFrame, name: str) -> ArrayType | None:
-    t = df.schema[name].dataType
-    return t if isinstance(t, ArrayType) else None

@@ -1,16 +1,16 @@
 """Label encoding, classifiers and prediction.
 
-A classifier is a Spark ML ``PipelineModel``: alphabetical ``StringIndexer`` (an unseen label
-at prediction time is an error, like a label encoder), the estimator, ``IndexToString`` back
-to label text. Training is distributed by Spark ML; the multi-class boosted model of the
-reference is one-vs-rest over binary gradient-boosted trees, fitted in parallel per class.
+A ``Classifier`` keeps the alphabetical ``StringIndexer`` it was trained with (a label that training never
+saw is an error in ``predict``, like a label encoder's), the fitted estimator, and turns indices back into
+labels. ``save_classifier`` / ``load_classifier`` keep every kind. Training is distributed by Spark ML; the
+boosted models are one-vs-rest over binary gradient-boosted trees, fitted in parallel per class.
 """
 
 from __future__ import annotations
 
 import time
 
-from pyspark.ml import Model, Pipeline, PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
     LogisticRegression,
@@ -19,7 +19,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import IndexToString, StringIndexer, StringIndexerModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from imlens.functions.vectors import as_vector
@@ -28,6 +28,8 @@ _IDX, _PRED, _VEC = "_imlens_label_idx", "_imlens_pred_idx", "_imlens_x"
 
 # Upper bound on classes fitted at the same time by one-vs-rest (driver threads submitting jobs).
 MAX_PARALLEL_CLASSES = 16
+# Rows an estimator learns from at most, about: trees and boosted rounds live on the driver and need many passes.
+MAX_FIT_ROWS = 1_000_000
 
 
 def label_indexer(df: DataFrame, label: str = "label", output: str = "label_index") -> StringIndexerModel:
@@ -49,7 +51,8 @@ def make_estimator(kind: str, n_train: int | None = None, seed: int = 42, parall
     """Spark ML estimator for ``kind``; defaults follow the surveyed notebook's settings.
 
     lr   multinomial logistic regression, L2 with C = 1 (regParam = 1 / n_train), 500 iterations
-    rf   random forest, 100 trees, sqrt features per node, deepest allowed trees (30)
+    rf   random forest, 100 trees, sqrt features per node, depth 12: at most 8,191 nodes a tree on the driver;
+         natively multi-class, the default
     gbt  one-vs-rest gradient-boosted trees: 150 rounds, depth 7, step 0.1, row and column
          subsampling 0.8 (the active boosted model)
     hgb  one-vs-rest gradient-boosted trees: up to 150 rounds, depth 6, step 0.1; ``fit_classifier``
@@ -62,7 +65,7 @@ def make_estimator(kind: str, n_train: int | None = None, seed: int = 42, parall
             family="multinomial", maxIter=500, regParam=reg, elasticNetParam=0.0, standardization=False
         )
     elif kind == "rf":
-        est = RandomForestClassifier(numTrees=100, maxDepth=30, featureSubsetStrategy="sqrt", seed=seed)
+        est = RandomForestClassifier(numTrees=100, maxDepth=12, featureSubsetStrategy="sqrt", seed=seed)
     elif kind in ("gbt", "hgb"):
         base = dict(maxIter=150, stepSize=0.1, seed=seed)
         if kind == "gbt":
@@ -80,30 +83,71 @@ def make_estimator(kind: str, n_train: int | None = None, seed: int = 42, parall
     return est
 
 
-class OneVsRestModel(Model):
-    """Binary models combined by the highest positive-class probability (index prediction)."""
+class OneVsRestTrees:
+    """Binary boosted models combined by the highest probability of the positive class."""
 
-    def __init__(self, models: list, features: str, prediction: str):
-        super().__init__()
-        self.models, self.features, self.prediction = models, features, prediction
+    def __init__(self, models: list):
+        self.models = models
 
-    def _transform(self, dataset):
-        out = dataset
-        scores = []
-        for i, m in enumerate(self.models):
-            prob, raw, pred, score = f"_ovr_p{i}", f"_ovr_r{i}", f"_ovr_y{i}", f"_ovr_s{i}"
-            m = m.copy().setFeaturesCol(self.features).setProbabilityCol(prob).setRawPredictionCol(raw)
-            out = m.setPredictionCol(pred).transform(out)
-            out = out.withColumn(score, vector_to_array(F.col(prob))[1]).drop(prob, raw, pred)
-            scores.append(F.col(score))
-        best = F.array_position(F.array(*scores), F.array_max(F.array(*scores))) - 1
-        return out.withColumn(self.prediction, best.cast("double")).drop(*[f"_ovr_s{i}" for i in range(len(scores))])
+    def transform(self, df: DataFrame, features: str, prediction: str) -> DataFrame:
+        """One column holds the class probabilities while they are gathered, whatever the number of classes."""
+        scores = "_ovr_scores"
+        out = df.withColumn(scores, F.array().cast("array<double>"))
+        for m in self.models:
+            m = m.copy().setFeaturesCol(features).setProbabilityCol("_ovr_p").setRawPredictionCol("_ovr_r").setPredictionCol("_ovr_y")
+            out = m.transform(out).withColumn(scores, F.concat(scores, F.array(vector_to_array(F.col("_ovr_p"))[1]))).drop("_ovr_p", "_ovr_r", "_ovr_y")
+        best = F.array_position(F.col(scores), F.array_max(scores)) - 1
+        return out.withColumn(prediction, best.cast("double")).drop(scores)
+
+
+class Classifier:
+    """A fitted classifier with its label indexer; ``predict`` and ``save_classifier`` take it."""
+
+    def __init__(self, kind: str, indexer: StringIndexerModel, model):
+        self.kind, self.indexer, self.model = kind, indexer, model
+
+    @property
+    def labels(self) -> list[str]:
+        return list(self.indexer.labels)
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Index of each label (an error for one unseen in training) and the predicted label, from ``_VEC`` and ``_y``."""
+        df = self.indexer.transform(df)
+        if isinstance(self.model, OneVsRestTrees):
+            out = self.model.transform(df, _VEC, _PRED)
+        else:
+            out = self.model.transform(df)
+        return IndexToString(inputCol=_PRED, outputCol="prediction", labels=self.labels).transform(out)
+
+
+def _pipeline(model) -> PipelineModel:
+    return PipelineModel([model])
+
+
+def save_classifier(model: Classifier, path: str) -> None:
+    """Spark ML writers for every part: ``indexer/`` and ``model/`` or ``trees/<class index>/``; ``kind/`` names the kind."""
+    spark = SparkSession.getActiveSession()
+    _pipeline(model.indexer).write().overwrite().save(f"{path}/indexer")
+    if isinstance(model.model, OneVsRestTrees):
+        for i, m in enumerate(model.model.models):
+            _pipeline(m).write().overwrite().save(f"{path}/trees/{i}")
+    else:
+        _pipeline(model.model).write().overwrite().save(f"{path}/model")
+    spark.createDataFrame([(model.kind,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/kind")
+
+
+def load_classifier(spark: SparkSession, path: str) -> Classifier:
+    kind = spark.read.text(f"{path}/kind").first()["value"]
+    indexer = PipelineModel.load(f"{path}/indexer").stages[0]
+    if kind == "hgb":
+        trees = [PipelineModel.load(f"{path}/trees/{i}").stages[0] for i in range(len(indexer.labels))]
+        return Classifier(kind, indexer, OneVsRestTrees(trees))
+    return Classifier(kind, indexer, PipelineModel.load(f"{path}/model").stages[0])
 
 
 def fit_one_vs_rest_early_stop(
-    data, n_classes: int, features: str, label: str, prediction: str, seed: int = 42,
-    validation_fraction: float = 0.1, parallelism: int = 8, **gbt_params,
-) -> OneVsRestModel:
+    data, n_classes: int, features: str, label: str, seed: int = 42, validation_fraction: float = 0.1, parallelism: int = 8, **gbt_params,
+) -> OneVsRestTrees:
     """One binary boosted-tree model per class, each stopping when the shared validation rows stop
     improving (the histogram-boosting model's early stopping). The validation indicator is drawn
     once and the training frame checkpointed, so every class sees the same split.
@@ -123,23 +167,36 @@ def fit_one_vs_rest_early_stop(
         return gbt.fit(binary)
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        models = list(pool.map(fit, range(n_classes)))
-    return OneVsRestModel(models, features, prediction)
+        return OneVsRestTrees(list(pool.map(fit, range(n_classes))))
+
+
+def bounded(data: DataFrame, max_rows: int) -> DataFrame:
+    """About ``max_rows`` rows at most, chosen by a hash of vector and label: the same rows on any partitioning."""
+    n = data.count()
+    if n <= max_rows:
+        return data
+    steps = 1 << 40
+    place = F.pmod(F.xxhash64(vector_to_array(_VEC), F.col("_y")), F.lit(steps))
+    return data.filter(place < int(steps * max_rows / n))
 
 
 def fit_classifier(
-    train: DataFrame, features: str = "features", label: str = "label", kind: str = "lr", seed: int = 42, **params
-) -> tuple[PipelineModel, float]:
-    """Fit label indexing + estimator + index-to-label; returns (model, seconds spent fitting)."""
+    train: DataFrame, features: str = "features", label: str = "label", kind: str = "rf", seed: int = 42, max_rows: int = MAX_FIT_ROWS, **params
+) -> tuple[Classifier, float]:
+    """Fit label indexing + estimator; returns (classifier, seconds spent fitting).
+
+    The label set comes from all rows; the estimator learns from about ``max_rows`` rows at most.
+    """
     data = train.select(as_vector(train, features).alias(_VEC), F.col(label).cast("string").alias("_y"))
     indexer = label_indexer(data, "_y", _IDX)
+    data = bounded(data, max_rows)
     n_train = data.count() if kind == "lr" and "regParam" not in params else None
     # one-vs-rest fits every class concurrently (bounded driver threads), not in waves of 8
     parallelism = params.pop("parallelism", min(max(len(indexer.labels), 1), MAX_PARALLEL_CLASSES))
     start = time.time()
     if kind == "hgb":
         fitted = fit_one_vs_rest_early_stop(
-            indexer.transform(data), len(indexer.labels), _VEC, _IDX, _PRED, seed=seed, parallelism=parallelism, **params
+            indexer.transform(data), len(indexer.labels), _VEC, _IDX, seed=seed, parallelism=parallelism, **params
         )
     else:
         est = make_estimator(kind, n_train=n_train, seed=seed, parallelism=parallelism, **params)
@@ -147,13 +204,14 @@ def fit_classifier(
         est.setLabelCol(_IDX)
         est.setPredictionCol(_PRED)
         fitted = Pipeline(stages=[est]).fit(indexer.transform(data)).stages[0]
-    seconds = time.time() - start
-    to_label = IndexToString(inputCol=_PRED, outputCol="prediction", labels=indexer.labels)
-    return PipelineModel([fitted, to_label]), seconds
+    return Classifier(kind, indexer, fitted), time.time() - start
 
 
-def predict(model: PipelineModel, df: DataFrame, features: str = "features", label: str = "label", keep: list[str] | None = None) -> DataFrame:
-    """(keep..., label, prediction) for every row of ``df``."""
+def predict(model: Classifier, df: DataFrame, features: str = "features", label: str = "label", keep: list[str] | None = None) -> DataFrame:
+    """(keep..., label, prediction) for every row of ``df`` (C5); a label that training never saw is an error."""
     keep = keep or []
     data = df.select(*keep, F.col(label).cast("string").alias("label"), as_vector(df, features).alias(_VEC))
-    return model.transform(data).select(*keep, "label", "prediction")
+    out = model.transform(data.withColumn("_y", F.col("label")))
+    # the indexer's error must not be optimised away with its column
+    checked = F.when(F.col(_IDX) >= 0, F.col("prediction"))
+    return out.select(*keep, "label", checked.alias("prediction"))

@@ -138,6 +138,9 @@ def grid_histogram_model(grid: int = 4, bins: int = 16) -> Callable[[], PredictF
 
 # --------------------------------------------------------------------------- the operator
 
+# Errors of the machine, not of a row: they fail the task, so Spark retries it, and never reach quarantine.
+RESOURCE_ERRORS = (MemoryError,)
+
 
 def _score(tensors: list, predict: PredictFn, batch_size: int, zero: np.ndarray | None) -> tuple[list, list]:
     feats: list = [None] * len(tensors)
@@ -153,11 +156,15 @@ def _score(tensors: list, predict: PredictFn, batch_size: int, zero: np.ndarray
         try:
             out = np.asarray(predict(np.stack([tensors[i] for i in chunk])))
             rows = [(i, out[j]) for j, i in enumerate(chunk)]
+        except RESOURCE_ERRORS:
+            raise
         except Exception:  # noqa: BLE001 -- isolate the failing rows
             rows = []
             for i in chunk:
                 try:
                     rows.append((i, np.asarray(predict(tensors[i][None, ...]))[0]))
+                except RESOURCE_ERRORS:
+                    raise
                 except Exception as e:  # noqa: BLE001
                     errors[i] = f"{type(e).__name__}: {e}"
         for i, v in rows:
@@ -182,13 +189,10 @@ def featurize(
     size: tuple[int, int] = (224, 224),
     on_error: str = "quarantine",
     zero_dim: int | None = None,
-    spread: bool = True,
 ) -> DataFrame:
     """Add ``output_col`` (array<float>) and ``error_col`` (string, null when fine) in one pass.
 
-    With ``spread``, an input with fewer partitions than the cluster has cores (a small or
-    unsplittable file) is spread round-robin first, so the scorer uses every core; inputs that
-    already have enough partitions are scored where they were read, without a shuffle.
+    Rows are scored where they are: a caller whose input has too few partitions repartitions it first.
 
     ``input_col`` is an ``image`` struct (from ``scan_images``) or a numeric array column.
     on_error='quarantine' leaves failed features null; on_error='zero' fills a zero vector of
@@ -226,10 +230,6 @@ def featurize(
             feats, errors = _score(prep(batch), predict, batch_size, zero)
             yield pd.DataFrame({"features": feats, "error": errors})
 
-    if spread and not df.isStreaming:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
-            df = df.repartition(cores)
     # Declared non-deterministic only so the optimizer never copies the call into a pushed-down
     # filter (e.g. the non-empty filter it infers from explode), which would score every row twice.
     score = score.asNondeterministic()

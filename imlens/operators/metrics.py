@@ -4,8 +4,8 @@ Every metric starts from one pass over the (label, prediction) rows that emits a
 records per row and aggregates them with partial (map-side) aggregation, so a label holding a
 third of all rows is pre-aggregated in every task before the shuffle. What follows works on
 tables with one row per class (or per class pair). No metric joins the row-level table, and
-none needs a cross join: matrices are the long cell table, pivoted over an explicit, bounded
-label list when a wide form is wanted (all classes, or only the weak rows that are inspected).
+none needs a cross join: matrices are the long cell table, pivoted over the caller's list of
+classes when a wide form is wanted.
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from imlens.operators.joins import join_small
 from imlens.session import ensure_checkpoint_dir
 
 
@@ -103,7 +102,7 @@ def _restrict(stats: DataFrame, labels) -> DataFrame:
         return stats
     if isinstance(labels, DataFrame):
         universe = labels.select(F.col(labels.columns[0]).alias("label")).distinct()
-        return join_small(stats, universe, on="label", how="left_semi")
+        return stats.join(universe, "label", "left_semi")
     return stats.filter(F.col("label").isin(list(labels)))
 
 
@@ -165,15 +164,20 @@ def adjusted_rand(df: DataFrame, label: str = "label", prediction: str = "predic
     T = C(n, 2): ARI = (I - AB/T) / ((A + B)/2 - AB/T); 1.0 when that denominator is 0
     (one class, one row or no rows), as in scikit-learn.
     """
-    y, yhat = F.col(label), F.col(prediction)
+    return adjusted_rand_from_cells(confusion_cells(df, label, prediction))
+
+
+def adjusted_rand_from_cells(cells: DataFrame) -> DataFrame:
+    """``adjusted_rand`` of a (label, prediction, n) cell table."""
+    none = F.lit(None)
     keys = F.explode(
         F.array(
-            F.struct(F.lit(0).alias("role"), y.alias("a"), yhat.alias("b")),
-            F.struct(F.lit(1).alias("role"), y.alias("a"), F.lit(None).cast(df.schema[prediction].dataType).alias("b")),
-            F.struct(F.lit(2).alias("role"), F.lit(None).cast(df.schema[label].dataType).alias("a"), yhat.alias("b")),
+            F.struct(F.lit(0).alias("role"), F.col("label").alias("a"), F.col("prediction").alias("b")),
+            F.struct(F.lit(1).alias("role"), F.col("label").alias("a"), none.cast(cells.schema["prediction"].dataType).alias("b")),
+            F.struct(F.lit(2).alias("role"), none.cast(cells.schema["label"].dataType).alias("a"), F.col("prediction").alias("b")),
         )
     ).alias("k")
-    groups = df.select(keys).groupBy("k.role", "k.a", "k.b").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    groups = cells.select(keys, F.col("n").alias("c")).groupBy("k.role", "k.a", "k.b").agg(F.sum("c").cast("double").alias("n"))
     pairs = F.col("n") * (F.col("n") - 1) / 2
     sums = groups.agg(
         F.sum(F.when(F.col("role") == 0, pairs)).alias("i"),
@@ -200,30 +204,37 @@ def js_distance(
     JS = sum(t ln(2t/(t+r)) + r ln(2r/(t+r))) / (2n) -- one aggregate, no totals joined back.
     ``labels`` (a one-column ``label`` table, e.g. the training labels) restricts both
     distributions to that universe and normalises each over it, as the surveyed notebook did; the
-    two totals then come from scalar subqueries.
+    two totals then come from scalar subqueries. Null when no truth or no prediction is among them.
     """
-    stats = class_stats(df, label, prediction)
+    return _js_from_stats(class_stats(df, label, prediction), labels)
+
+
+def _js_from_stats(stats: DataFrame, labels=None) -> DataFrame:
+    if labels is not None:
+        return _js_restricted(_restrict(stats, labels))
     t, r = F.col("support").cast("double"), F.col("predicted").cast("double")
-    if labels is None:
 
-        def xlog(x: Column) -> Column:
-            return F.when(x > 0, x * F.ln(2 * x / (t + r))).otherwise(F.lit(0.0))
+    def xlog(x: Column) -> Column:
+        return F.when(x > 0, x * F.ln(2 * x / (t + r))).otherwise(F.lit(0.0))
 
-        agg = stats.agg(F.sum(xlog(t) + xlog(r)).alias("s"), F.sum(t).alias("n"))
-        js = F.when(F.col("n") > 0, F.sqrt(F.greatest(F.col("s") / (2 * F.col("n")), F.lit(0.0))))
-        return agg.select(js.alias("js_distance"))
+    agg = stats.agg(F.sum(xlog(t) + xlog(r)).alias("s"), F.sum(t).alias("n"))
+    js = F.when(F.col("n") > 0, F.sqrt(F.greatest(F.col("s") / (2 * F.col("n")), F.lit(0.0))))
+    return agg.select(js.alias("js_distance"))
 
-    kept = join_small(stats, labels.select(F.col(labels.columns[0]).alias("label")).distinct(), on="label", how="left_semi")
+
+def _js_restricted(kept: DataFrame) -> DataFrame:
+    """JS distance of two counts normalised over their own totals; null when either total is 0."""
+    t, r = F.col("support").cast("double"), F.col("predicted").cast("double")
     total_t = kept.agg(F.sum("support").cast("double")).scalar()
     total_r = kept.agg(F.sum("predicted").cast("double")).scalar()
-    p, q = t / total_t, r / total_r
+    p, q = F.try_divide(t, total_t), F.try_divide(r, total_r)
     m = (p + q) / 2
 
     def rel(x: Column) -> Column:
-        return F.when(x > 0, x * F.ln(x / m)).otherwise(F.lit(0.0))
+        return F.when(x > 0, x * F.ln(x / m)).otherwise(F.when(x.isNotNull(), F.lit(0.0)))
 
     js = F.sqrt(F.greatest(F.sum(rel(p) + rel(q)) / 2, F.lit(0.0)))
-    return kept.agg(js.alias("js_distance"))
+    return kept.agg(F.when(F.count(p) * F.count(q) > 0, js).alias("js_distance"))
 
 
 def weak_classes(report: DataFrame, threshold: float = 0.9) -> DataFrame:
@@ -232,13 +243,16 @@ def weak_classes(report: DataFrame, threshold: float = 0.9) -> DataFrame:
 
 
 def weak_rows(df: DataFrame, weak: DataFrame, label: str = "label") -> DataFrame:
-    """Rows whose true label is weak (P6, P7, J2, J5): a left-semi join with the small label set."""
-    return join_small(df, weak.withColumnRenamed("label", label), on=label, how="left_semi")
+    """Rows whose true label is weak (P6, P7, J2, J5): a left-semi join with the label set.
+
+    Spark picks the join by the label set's size; beyond the broadcast threshold AQE splits hot labels.
+    """
+    return df.join(weak.withColumnRenamed("label", label), label, "left_semi")
 
 
 def confusion_focus(cells: DataFrame, weak: DataFrame) -> DataFrame:
     """Non-zero cells of the weak rows (P8, A14 in long form)."""
-    return join_small(cells, weak, on="label", how="left_semi")
+    return cells.join(weak, "label", "left_semi")
 
 
 def confused_with(focus: DataFrame) -> DataFrame:
@@ -246,61 +260,62 @@ def confused_with(focus: DataFrame) -> DataFrame:
     return focus.groupBy("prediction").agg(F.sum("n").alias("n")).filter(F.col("n") > 0)
 
 
-def confusion_wide(focus: DataFrame) -> DataFrame:
-    """Wide matrix: one row per weak label, one column per confused prediction, zeros filled.
+def confusion_wide(focus: DataFrame, classes: list) -> DataFrame:
+    """Wide matrix: one row per weak label, one column per class of ``classes``, zeros filled.
 
-    Only labels present in ``focus`` become columns (Spark bounds them by
-    ``spark.sql.pivotMaxValues``), so the grid never exceeds rows x confused labels.
+    The caller names the columns: no extra pass finds them, and their number is the caller's choice.
+    The long cell table is the form for many classes.
     """
-    return focus.groupBy("label").pivot("prediction").agg(F.sum("n")).na.fill(0)
-
-
-def class_list(cells: DataFrame) -> list:
-    """Sorted union of true and predicted labels (O4, U1), checked against ``spark.sql.pivotMaxValues``."""
-    classes = cells.select(F.col("label").alias("c")).union(cells.select(F.col("prediction").alias("c"))).distinct()
-    limit = int(cells.sparkSession.conf.get("spark.sql.pivotMaxValues", "10000"))
-    values = [r.c for r in classes.orderBy("c").limit(limit + 1).collect()]
-    if len(values) > limit:
-        raise ValueError(f"more than {limit} classes: use the long cell table instead of a dense matrix")
-    return values
+    return focus.groupBy("label").pivot("prediction", list(classes)).agg(F.sum("n")).na.fill(0)
 
 
-def confusion_dense(cells: DataFrame, classes: list | None = None) -> DataFrame:
-    """Dense matrix over the label union: one row and one column per class, zeros included.
+def confusion_dense(cells: DataFrame, classes: list) -> DataFrame:
+    """Dense matrix with a row for each label seen and a column for each class of ``classes``, zeros included.
 
-    No cross join of label lists: each class of the union contributes one zero cell so it gets a
-    row, and the pivot over the explicit (collected, bounded) class list gives every column.
+    No cross join of label lists: each class seen contributes one zero cell so it gets a row.
     """
-    classes = classes if classes is not None else class_list(cells)
     union = cells.select("label").union(cells.select(F.col("prediction").alias("label"))).distinct()
     zeros = union.select(
         "label", F.lit(None).cast(cells.schema["prediction"].dataType).alias("prediction"), F.lit(0).cast("bigint").alias("n")
     )
     both = cells.select("label", "prediction", F.col("n").cast("bigint").alias("n")).unionByName(zeros)
-    return both.groupBy("label").pivot("prediction", classes).agg(F.sum("n")).na.fill(0)
+    return confusion_wide(both, classes)
 
 
-def evaluation_bundle(df: DataFrame, label: str = "label", prediction: str = "prediction", threshold: float = 0.9) -> dict:
-    """All evaluation tables of one prediction table (C7, C8), sharing the small aggregates.
+def evaluation_bundle(
+    df: DataFrame, label: str = "label", prediction: str = "prediction", threshold: float = 0.9, train_labels: DataFrame | None = None,
+    wide_classes: list | None = None,
+) -> dict:
+    """All evaluation tables of one prediction table (C7, C8), all of them from its cell table.
 
-    ``cells`` and ``report`` are checkpointed (to the session's shared checkpoint folder), so the
-    row-level table is aggregated once and every later table reads the small results.
+    ``cells`` is written once (to the session's shared checkpoint folder), so the row-level table is
+    aggregated once; every other table derives from those rows. ``train_labels`` (one column) adds the
+    train-label forms, ``wide_classes`` the wide matrix with these columns.
     """
     ensure_checkpoint_dir(df.sparkSession)
     cells = confusion_cells(df, label, prediction).checkpoint()
-    stats = _stats_from_cells(cells).checkpoint()
+    stats = _stats_from_cells(cells)
     report = _report_from_stats(stats)
     weak = weak_classes(report, threshold)
     focus = confusion_focus(cells, weak)
-    return {
+    out = {
         "cells": cells,
         "report": report.orderBy(F.desc("recall"), "label"),
         "summary": _summary_from_stats(stats),
         "weak": weak,
         "focus": focus,
         "confused_with": confused_with(focus),
-        "wide": confusion_wide(focus),
+        "ari": adjusted_rand_from_cells(cells),
+        "js": _js_from_stats(stats),
     }
+    if wide_classes is not None:
+        out["wide"] = confusion_wide(focus, wide_classes)
+    if train_labels is not None:
+        kept = _restrict(stats, train_labels)
+        out["js_train_labels"] = _js_restricted(kept)
+        out["report_train_labels"] = _report_from_stats(kept).orderBy(F.desc("recall"), "label")
+        out["summary_train_labels"] = _summary_from_stats(kept)
+    return out
 
 
 def report_from_cells(cells: DataFrame) -> DataFrame:

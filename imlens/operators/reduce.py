@@ -1,24 +1,32 @@
 """Standardise + PCA keeping a share of the variance.
 
-Fit reads the input twice: one pass for per-dimension mean and sample standard deviation
-(``StandardScaler``, a tree aggregate) and one pass for the covariance of the standardised
-vectors (``PCA``, a d x d Gram tree aggregate, eigendecomposition on the driver). The full-rank
-fit gives every explained-variance ratio, so k is chosen from it and the projection is *sliced*
-to k components instead of fitting a second PCA.
+Fit reads the input once: every task adds up count, means and centred cross products of its rows (numpy on
+Arrow batches), partial results are combined in two rounds of at most ``FAN_IN`` parts, and the driver
+gets at most eight d x d matrices. Standard deviations, the matrix of the standardised vectors and its eigenvectors follow
+from that one matrix, so every explained-variance ratio is known before k is chosen, and a transform
+projects on the k chosen columns only.
 
 The driver holds d x d doubles (13 MB at d = 1280); the data never leaves the executors.
 """
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
+import pyarrow as pa
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import PCA, StandardScaler, StandardScalerModel, PCAModel, VectorSlicer
+from pyspark.ml.common import _py2java
+from pyspark.ml.feature import PCAModel, StandardScalerModel, VectorSlicer
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import DenseMatrix, Vectors
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from imlens.functions.vectors import as_vector
+from imlens.functions.vectors import as_array, as_vector
+from imlens.session import ship_package
+
+FAN_IN = 64  # parts of the first round of combining; the second has eight
 
 _VEC, _Z, _PC = "_imlens_vec", "_imlens_z", "_imlens_pc"
 
@@ -40,6 +48,91 @@ def choose_k(ratios, threshold: float = 0.9) -> int:
     return int(hit[0]) + 1 if hit.size else int(r.size)
 
 
+PART = "key long, dim long, n long, bad long, mean binary, cross binary"
+
+
+def _combine(parts):
+    """Sum of (dim, n, bad, mean, centred cross products); None for the matrices of an empty one."""
+    dim, n, bad, mean, cross = 0, 0, 0, None, None
+    for d, m, b, mu, c in parts:
+        bad += b
+        if not m:
+            continue
+        if n and d != dim:
+            raise ValueError(f"vector lengths differ: {min(d, dim)} and {max(d, dim)}")
+        if not n:
+            dim, n, mean, cross = d, m, mu.copy(), c.copy()
+            continue
+        shift = mu - mean
+        cross += c + np.outer(shift, shift) * (n * m / (n + m))
+        mean += shift * (m / (n + m))
+        n += m
+    return dim, n, bad, mean, cross
+
+
+def _packed(key: int, part) -> pa.Table:
+    dim, n, bad, mean, cross = part
+    blobs = [b"" if x is None else x.tobytes() for x in (mean, cross)]
+    return pa.table({"key": [key], "dim": [dim], "n": [n], "bad": [bad], "mean": pa.array(blobs[:1], pa.binary()), "cross": pa.array(blobs[1:], pa.binary())})
+
+
+def _unpacked(tab: pa.Table):
+    for r in tab.to_pylist():
+        mean = np.frombuffer(r["mean"])
+        yield r["dim"], r["n"], r["bad"], mean, np.frombuffer(r["cross"]).reshape(len(mean), len(mean))
+
+
+def moments(df: DataFrame, input_col: str):
+    """(dim, rows, rows that are null or hold a null or non-finite value, mean, centred cross products) in one pass."""
+    ship_package(df.sparkSession)
+
+    def run(batches):
+        from pyspark import TaskContext
+
+        total = (0, 0, 0, None, None)
+        for batch in batches:
+            col = batch.column(0)
+            whole = col.drop_null()
+            bad, rows = len(col) - len(whole), np.zeros((0, 0))
+            if len(whole):
+                offsets = np.asarray(whole.offsets)
+                flat = whole.values.to_numpy(zero_copy_only=False)[offsets[0]:offsets[-1]].astype(np.float64)
+                sizes = np.unique(np.diff(offsets))
+                if len(sizes) > 1:
+                    raise ValueError(f"vector lengths differ: {sizes[0]} and {sizes[-1]}")
+                rows = flat.reshape(len(whole), int(sizes[0]))
+                fine = np.isfinite(rows).all(axis=1)
+                bad, rows = bad + int((~fine).sum()), rows[fine]
+            if len(rows):
+                mean = rows.mean(axis=0)
+                part = (rows.shape[1], len(rows), bad, mean, (rows - mean).T @ (rows - mean))
+            else:
+                part = (0, 0, bad, None, None)
+            total = _combine([total, part])
+        yield from _packed(TaskContext.get().partitionId() % FAN_IN, total).to_batches()
+
+    def add(key, tab):
+        return _packed(key[0].as_py() % 8, _combine(_unpacked(tab)))
+
+    parts = df.select(as_array(df, input_col).cast("array<double>").alias("v")).mapInArrow(run, PART)
+    for _ in range(2):
+        parts = parts.groupBy("key").applyInArrow(add, PART)
+    return _combine(_unpacked(parts.toArrow()))
+
+
+def _java_model(kind: str, cls, *args):
+    """A fitted Spark ML model from its parameters."""
+    sc = SparkSession.getActiveSession().sparkContext
+    java = getattr(sc._jvm.org.apache.spark.ml.feature, kind)(f"{kind}_{uuid.uuid4().hex[:12]}", *[_py2java(sc, a) for a in args])
+    return cls(java)
+
+
+def _pca_model(components: np.ndarray, ratios: np.ndarray) -> PCAModel:
+    d, k = components.shape
+    model = _java_model("PCAModel", PCAModel, DenseMatrix(d, k, components.T.ravel().tolist()), Vectors.dense(ratios))
+    return model._set(k=k, inputCol=_Z, outputCol=_PC)
+
+
 class ReductionModel:
     """A fitted scaler + PCA + slice, stored as a Spark ML ``PipelineModel``."""
 
@@ -93,11 +186,10 @@ class ReductionModel:
         ``components`` (zero-based) selects other columns of the projection, e.g. ``[0, 1]`` for
         a 2-D view (T7), without refitting.
         """
-        stages = list(self.pipeline.stages)
-        if components is not None:
-            stages[2] = VectorSlicer(inputCol=_PC, outputCol=self.output_col, indices=list(components))
+        chosen = list(range(self.k)) if components is None else list(components)
+        project = _pca_model(self.pca.pc.toArray()[:, chosen], self.explained_variance()).setOutputCol(self.output_col)
         with_vec = df.withColumn(_VEC, as_vector(df, self.input_col))
-        out = PipelineModel(stages).transform(with_vec).drop(_VEC, _Z, _PC)
+        out = project.transform(self.scaler.transform(with_vec)).drop(_VEC, _Z)
         if self.output == "array":
             out = out.withColumn(self.output_col, vector_to_array(F.col(self.output_col)))
         return out
@@ -131,14 +223,26 @@ class Reducer:
         self.output = output
 
     def fit(self, df: DataFrame) -> ReductionModel:
-        vec = df.select(as_vector(df, self.input_col).alias(_VEC))
-        scaler = StandardScaler(inputCol=_VEC, outputCol=_Z, withMean=self.with_mean, withStd=self.with_std).fit(vec)
-        dim = int(scaler.mean.size)
-        if dim == 0:
+        """Needs finite vectors of one length: others are an error that says how many there are, never left out silently."""
+        dim, n, bad, mean, cross = moments(df, self.input_col)
+        if bad:
+            raise ValueError(f"{bad} of {bad + n} vectors are null or hold a null or non-finite value: set them aside before the fit")
+        if n == 0 or dim == 0:
             raise ValueError("cannot fit on empty input")
-        pca = PCA(k=dim, inputCol=_Z, outputCol=_PC).fit(scaler.transform(vec).select(_Z))
-        k = self.k if self.k is not None else choose_k(pca.explainedVariance.toArray(), self.threshold)
+        if n == 1:
+            raise ValueError("cannot fit on 1 row: it has no variance")
+        covariance = cross / max(n - 1, 1)
+        std = np.sqrt(np.diag(covariance))
+        scale = np.divide(1.0, std, out=np.zeros(dim), where=std > 0) if self.with_std else np.ones(dim)
+        values, vectors = np.linalg.eigh(covariance * np.outer(scale, scale))
+        values, vectors = np.maximum(values[::-1], 0.0), vectors[:, ::-1]
+        vectors = vectors * np.where(vectors[np.abs(vectors).argmax(axis=0), np.arange(dim)] < 0, -1.0, 1.0)  # one sign for each fit
+        with np.errstate(invalid="ignore", divide="ignore"):
+            ratios = values / values.sum()
+        k = self.k if self.k is not None else choose_k(ratios, self.threshold)
         if not 1 <= k <= dim:
             raise ValueError(f"k must be in [1, {dim}], got {k}")
+        scaler = _java_model("StandardScalerModel", StandardScalerModel, Vectors.dense(std), Vectors.dense(mean))
+        scaler._set(inputCol=_VEC, outputCol=_Z, withMean=self.with_mean, withStd=self.with_std)
         slicer = VectorSlicer(inputCol=_PC, outputCol=self.output_col, indices=list(range(k)))
-        return ReductionModel(PipelineModel([scaler, pca, slicer]), input_col=self.input_col, output=self.output)
+        return ReductionModel(PipelineModel([scaler, _pca_model(vectors, ratios), slicer]), input_col=self.input_col, output=self.output)

@@ -1,32 +1,34 @@
 """The classification step over the job's output: class balance, fit, predict, evaluation tables.
 
-Reads ``reduced/split=train`` and ``reduced/split=test`` (partition-pruned), fits a Spark ML
-classifier on train, predicts test and derives every evaluation table from the prediction
+Reads the fit and the evaluation split of ``reduced`` (partition-pruned), fits a Spark ML
+classifier on the first, predicts the second once and derives every evaluation table from the prediction
 table. All metrics are distributed aggregates; only the fitted model parameters are local.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from imlens.functions.paths import label_from_parent
 from imlens.operators import classify, metrics, sampling
+from imlens.session import ensure_checkpoint_dir
 from imlens.sources.files import scan_binary
+from imlens.sources.sinks import write_parquet
 
 
-def explore(spark: SparkSession, folder: str, glob: str | None = None, fraction: float | None = None, cap: int | None = None) -> dict:
-    """Quick look at an image folder without decoding pixels (A1-A3, L1, L2, O1).
+def explore(spark: SparkSession, folder: str, glob: str | None = None, fraction: float | None = None) -> dict:
+    """Quick look at an image folder without decoding pixels (A1-A3, L1, O1).
 
     Lists files with the binary source selecting only ``path`` (no bytes read), optionally keeps
-    a partition-independent sample (by path hash) capped at ``cap`` rows, labels by parent folder.
+    a partition-independent sample (by path hash), labels by parent folder.
     """
     items = scan_binary(spark, folder, glob=glob).select("path", label_from_parent(F.col("path")).alias("label"))
     if fraction is not None:
         items = sampling.stable_sample(items, "path", fraction)
-    if cap is not None:
-        items = items.limit(cap)
     return {
         "items": items,
         "summary": metrics.class_count_distinct(items),
@@ -48,33 +50,36 @@ def read_sets(spark: SparkSession, reduced: str | dict) -> DataFrame:
 def classify_and_evaluate(
     spark: SparkSession,
     reduced: str | dict,
-    kind: str = "gbt",
+    kind: str = "rf",
     features: str = "pca_features",
     threshold: float = 0.9,
+    fit_set: str = "train",
+    eval_set: str = "test",
+    predictions: str | None = None,
+    wide_classes: list | None = None,
     **params,
 ) -> dict:
-    """Fit on the train split, predict the test split, return tables and the fit time.
+    """Fit on ``fit_set``, predict ``eval_set``, return tables, the fitted model and the fit time.
 
     ``reduced`` is the job's ``reduced`` folder (partitioned by split) or a mapping such as
-    ``{"train": "s3a://b/results_train", "test": "s3a://b/results_test"}``.
+    ``{"train": "s3a://b/results_train", "test": "s3a://b/results_test"}``. The evaluation set is scored once:
+    predictions are written (to ``predictions``, else to the shared checkpoint folder), and every
+    table derives from the cell table of the written rows.
     """
     table = read_sets(spark, reduced)
-    train = table.filter(F.col("split") == "train")
-    test = table.filter(F.col("split") == "test")
+    train = table.filter(F.col("split") == fit_set)
+    test = table.filter(F.col("split") == eval_set)
     model, seconds = classify.fit_classifier(train, features, "label", kind=kind, **params)
-    pred = classify.predict(model, test, features, "label", keep=["path"])
-    bundle = metrics.evaluation_bundle(pred, threshold=threshold)
+    path = predictions or f"{ensure_checkpoint_dir(spark).rstrip('/')}/predictions-{uuid.uuid4().hex}"
+    write_parquet(classify.predict(model, test, features, "label", keep=["path"]), path, inputs=[reduced] if isinstance(reduced, str) else list(reduced.values()))
+    pred = spark.read.parquet(path)
+    bundle = metrics.evaluation_bundle(pred, threshold=threshold, train_labels=train.select("label"), wide_classes=wide_classes)
     bundle.update(
         classes_per_split=table.groupBy("split").agg(
             F.count(F.lit(1)).alias("n_rows"), F.count_distinct("label").alias("n_labels")
         ),
         balance=metrics.class_balance(train, test),
         predictions=pred,
-        ari=metrics.adjusted_rand(pred),
-        js=metrics.js_distance(pred),
-        js_train_labels=metrics.js_distance(pred, labels=train.select("label")),
-        report_train_labels=metrics.class_report(pred, labels=train.select("label")),
-        summary_train_labels=metrics.report_summary(pred, labels=train.select("label")),
         fit_seconds=seconds,
         model=model,
     )

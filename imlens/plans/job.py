@@ -17,6 +17,7 @@ if __package__ in (None, ""):
 
 from pyspark.sql import SparkSession  # noqa: E402
 
+from imlens.operators.classify import save_classifier  # noqa: E402
 from imlens.plans import batch  # noqa: E402
 from imlens.plans.evaluate import classify_and_evaluate  # noqa: E402
 from imlens.sources.sinks import write_parquet  # noqa: E402
@@ -27,6 +28,7 @@ def parse(argv: list[str]) -> argparse.Namespace:
     ap.add_argument("--set", action="append", required=True, metavar="NAME=DIR", help="data set folder, repeatable")
     ap.add_argument("--out", required=True)
     ap.add_argument("--fit-set", default="train")
+    ap.add_argument("--eval-set", default="test", help="set that the classifier predicts")
     ap.add_argument("--threshold", type=float, default=0.9)
     ap.add_argument("--rule", choices=["set", "parent"], default="set")
     ap.add_argument("--glob", default=None)
@@ -59,10 +61,13 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     )
     summary = {"k": res.k, "dim": res.dim, "counts": {f"{s}/{'ok' if ok else 'failed'}": n for (s, ok), n in res.counts.items()}}
     if args.classify:
-        ev = classify_and_evaluate(spark, res.paths["reduced"], kind=args.classify)
         base = f"{args.out.rstrip('/')}/evaluation"
-        for name in ("cells", "report", "summary", "confused_with", "ari", "js", "predictions"):
+        ev = classify_and_evaluate(
+            spark, res.paths["reduced"], kind=args.classify, fit_set=args.fit_set, eval_set=args.eval_set, predictions=f"{base}/predictions"
+        )
+        for name in ("cells", "report", "summary", "confused_with", "ari", "js"):
             write_parquet(ev[name], f"{base}/{name}")
+        save_classifier(ev["model"], f"{base}/classifier")
         summary["fit_seconds"] = round(ev["fit_seconds"], 3)
     print(json.dumps(summary))
     return summary

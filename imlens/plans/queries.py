@@ -20,11 +20,12 @@ from collections.abc import Callable
 import numpy as np
 from pyspark.ml.feature import StandardScaler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from imlens.functions.paths import bucket_and_key, decode_path, label_from_parent, label_under, set_name
-from imlens.functions.vectors import as_vector, length_distribution, length_summary
+from imlens.functions.vectors import as_vector, length_distribution, length_summary, vector_error
 from imlens.operators import classify, features, metrics, sampling
 from imlens.operators.reduce import Reducer
 from imlens.session import ensure_checkpoint_dir
@@ -34,6 +35,8 @@ from imlens.sources.sinks import write_csv, write_parquet
 STABLE_FRACTION = 0.1
 WEAK_RECALL = 0.9
 VARIANCE_SHARE = 0.9
+LANGUAGES = ["de", "en", "es", "fr"]  # the columns asked for in the wide matrices
+VECTOR_LENGTH = 64  # of the embeddings table
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -94,6 +97,12 @@ def q_scan_binary(spark, sf_dir):
     return files.select(F.regexp_extract("path", r"[^/]+$", 0).alias("name"), "length")
 
 
+def q_scan_content(spark, sf_dir):
+    """S1 with bytes: the MD5 of every small table file's content, read by the binary source."""
+    files = scan_binary(spark, sf_dir, glob="{region,nation,benchmark}.parquet")
+    return files.select(F.regexp_extract("path", r"[^/]+$", 0).alias("name"), F.md5("content").alias("md5"))
+
+
 def q_label_from_parent(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
     return pages.select("page_id", label_from_parent("url").alias("label"))
@@ -175,13 +184,12 @@ def q_pca_norms(spark, sf_dir):
 def q_variance_k(spark, sf_dir):
     """W1/W2 on per-dimension variances: share, running total, and the smallest k reaching 90 %.
 
-    One aggregation over all rows (d groups, map-side combined); every later step works on the
-    d per-dimension rows with single-partition windows (d is the vector length, not the data size).
+    One pass adds up the moments of all dimensions; every later step works on the d per-dimension rows
+    with single-partition windows (d is the vector length, not the data size).
     """
     e = embeddings(spark, sf_dir)
-    dims = e.select(F.posexplode("embedding").alias("i", "x")).groupBy("i").agg(
-        F.var_samp(F.col("x").cast("double")).alias("var")
-    )
+    raw = e.select(as_vector(e, "embedding").alias("v"))
+    dims = raw.select(Summarizer.variance(F.col("v")).alias("v")).select(F.posexplode(vector_to_array("v")).alias("i", "var"))
     everything = Window.partitionBy()
     ranked = dims.select(
         F.row_number().over(Window.orderBy(F.desc("var"), "i")).alias("component"),
@@ -210,6 +218,34 @@ def q_explained_variance(spark, sf_dir):
     return t.select("component", r6(F.col("ratio")).alias("ratio"), r6(F.col("cumulative")).alias("cumulative"), "selected")
 
 
+def q_pca_spectrum(spark, sf_dir):
+    """Sum and sum of squares of the eigenvalues behind ``explained_variance``.
+
+    They are the trace and the squared Frobenius norm of the correlation matrix, which SQL can compute
+    without an eigendecomposition; the ratios times the dimension are the eigenvalues.
+    """
+    t = Reducer("embedding", threshold=VARIANCE_SHARE).fit(embeddings(spark, sf_dir)).explained_variance_table(spark)
+    value = F.col("ratio") * F.count("*").over(Window.partitionBy())
+    return t.select(value.alias("x")).agg(
+        r6(F.sum("x")).alias("trace"), F.round(F.sum(F.col("x") * F.col("x")), 5).alias("square_sum"), F.count("*").alias("dims")
+    )
+
+
+def q_pca_projection(spark, sf_dir):
+    """Moments of the projected scores (T5): each component's mean is 0, its variance its eigenvalue.
+
+    Summed over all components, variances are the trace; cross products of different components vanish.
+    """
+    e = embeddings(spark, sf_dir)
+    model = Reducer("embedding", "p", threshold=1.0, output="array").fit(e)
+    p = model.transform(e, components=list(range(model.dim))).select("p")
+    both = p.select(F.posexplode(F.zip_with("p", F.slice("p", 2, model.dim), lambda a, b: F.struct(a.alias("a"), b.alias("b")))).alias("i", "ab"))
+    each = both.groupBy("i").agg(F.avg("ab.a").alias("mean"), F.var_samp("ab.a").alias("var"), F.covar_samp("ab.a", "ab.b").alias("next"))
+    return each.agg(
+        F.round(F.abs(F.sum("mean")) + 0.0, 6).alias("mean"), r6(F.sum("var")).alias("trace"), F.round(F.max(F.abs(F.col("next"))) + 0.0, 6).alias("covariance")
+    )
+
+
 def q_pca_reduce(spark, sf_dir):
     e = embeddings(spark, sf_dir)
     model = Reducer("embedding", "pca_array", threshold=VARIANCE_SHARE, output="array").fit(e)
@@ -254,11 +290,26 @@ def q_js_distance(spark, sf_dir):
     return metrics.js_distance(predictions(spark, sf_dir)).select(r6(F.col("js_distance")).alias("js_distance"))
 
 
+def _train_labels(spark, sf_dir):
+    """Labels a model would have been trained on: those of documents with an odd id, English left out."""
+    docs = table(spark, sf_dir, "documents").filter("doc_id % 2 = 1 AND lang <> 'en'")
+    return docs.select(F.col("lang").alias("label"))
+
+
+def q_report_train_labels(spark, sf_dir):
+    rep = metrics.class_report(predictions(spark, sf_dir), labels=_train_labels(spark, sf_dir))
+    return rep.select("label", *[r6(F.col(c)).alias(c) for c in ("precision", "recall", "f1")], "support")
+
+
+def q_js_train_labels(spark, sf_dir):
+    js = metrics.js_distance(predictions(spark, sf_dir), labels=_train_labels(spark, sf_dir))
+    return js.select(r6(F.col("js_distance")).alias("js_distance"))
+
+
 def _weak(spark, sf_dir):
-    """Prediction rows, their cell table (one pass over the rows, checkpointed) and weak labels."""
+    """Prediction rows, their cell table and weak labels; nothing runs while the query is built."""
     p = predictions(spark, sf_dir)
-    ensure_checkpoint_dir(spark)
-    cells = metrics.confusion_cells(p).checkpoint(eager=True)
+    cells = metrics.confusion_cells(p)
     weak = metrics.weak_classes(metrics.report_from_cells(cells), WEAK_RECALL)
     return p, cells, weak
 
@@ -275,13 +326,11 @@ def q_confused_with(spark, sf_dir):
 
 def q_confusion_weak_wide(spark, sf_dir):
     _, cells, weak = _weak(spark, sf_dir)
-    return metrics.confusion_wide(metrics.confusion_focus(cells, weak))
+    return metrics.confusion_wide(metrics.confusion_focus(cells, weak), LANGUAGES)
 
 
 def q_confusion_dense(spark, sf_dir):
-    ensure_checkpoint_dir(spark)
-    cells = metrics.confusion_cells(predictions(spark, sf_dir)).checkpoint(eager=True)
-    return metrics.confusion_dense(cells)
+    return metrics.confusion_dense(metrics.confusion_cells(predictions(spark, sf_dir)), LANGUAGES)
 
 
 def q_label_index(spark, sf_dir):
@@ -302,6 +351,20 @@ def _classify(kind):
     return run
 
 
+def _classify_separable(kind, **params):
+    """The class one-hot, far apart, is appended to every vector: a classifier that works predicts every label."""
+
+    def run(spark, sf_dir):
+        e = embeddings(spark, sf_dir)
+        hot = F.transform(F.sequence(F.lit(0), F.lit(9)), lambda c: F.when(c == F.col("label"), 8.0).otherwise(0.0))
+        e = e.select("vec_id", F.col("label").cast("string").alias("label"), F.concat(F.col("embedding").cast("array<double>"), hot).alias("x"))
+        model, _ = classify.fit_classifier(e, "x", "label", kind=kind, **params)
+        return classify.predict(model, e, "x", "label", keep=["vec_id"])
+
+    run.__name__ = f"q_classify_{kind}_separable"
+    return run
+
+
 # --------------------------------------------------------------------------- featurisation and sinks
 
 
@@ -314,11 +377,7 @@ def _double_fn():
 
 def q_featurize_batch(spark, sf_dir):
     e = embeddings(spark, sf_dir)
-    # A16 over all rows: one vector length, which is also the tensor shape of the batch UDF
-    lo, hi = e.agg(F.min(F.size("embedding")), F.max(F.size("embedding"))).first()
-    if lo != hi:
-        raise ValueError(f"vector lengths differ: {lo} .. {hi}")
-    udf = features.batch_predict(_double_fn, batch_size=64, input_tensor_shapes=[[hi]])
+    udf = features.batch_predict(_double_fn, batch_size=64, input_tensor_shapes=[[VECTOR_LENGTH]])
     out = e.select("vec_id", udf("embedding").alias("features"))
     return out.select("vec_id", F.posexplode("features").alias("i", "value")).select(
         "vec_id", "i", r6(F.col("value").cast("double")).alias("value")
@@ -334,10 +393,15 @@ def _unit_norm_fn():
 
 
 def q_quarantine_split(spark, sf_dir):
+    """All vectors, some of them made null, zero or too short by their id; counts by what the scorer said (M5, K3)."""
     e = embeddings(spark, sf_dir)
-    scored = features.featurize(e, "embedding", _unit_norm_fn, batch_size=128)
-    status = F.coalesce(F.col("error"), F.lit("ok"))
-    return scored.groupBy(status.alias("status")).agg(F.count(F.lit(1)).alias("n"))
+    odd = F.when(F.col("vec_id") % 11 == 0, F.lit(None)).when(F.col("vec_id") % 7 == 0, F.transform("embedding", lambda x: x * 0)).when(
+        F.col("vec_id") % 5 == 0, F.slice("embedding", 1, 32)
+    )
+    e = e.select("vec_id", F.when((F.col("vec_id") % 11 == 0) | (F.col("vec_id") % 7 == 0) | (F.col("vec_id") % 5 == 0), odd).otherwise(F.col("embedding")).alias("embedding"))
+    scored = features.featurize(e, "embedding", _unit_norm_fn, batch_size=1)
+    error = F.coalesce(F.col("error"), vector_error(scored, "features", VECTOR_LENGTH))
+    return scored.groupBy(F.coalesce(error, F.lit("ok")).alias("status")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def q_roundtrip_parquet(spark, sf_dir):
@@ -426,6 +490,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "class_shares": q_class_shares,
     "split_class_balance": q_split_class_balance,
     "scan_binary": q_scan_binary,
+    "scan_content": q_scan_content,
     "label_from_parent": q_label_from_parent,
     "label_from_set": q_label_from_set,
     "path_decode": q_path_decode,
@@ -441,6 +506,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pca_norms": q_pca_norms,
     "variance_k": q_variance_k,
     "explained_variance": q_explained_variance,
+    "pca_spectrum": q_pca_spectrum,
+    "pca_projection": q_pca_projection,
     "pca_reduce": q_pca_reduce,
     "pca_2d": q_pca_2d,
     "pca_apply_test": q_pca_apply_test,
@@ -449,6 +516,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "report_averages": q_report_averages,
     "adjusted_rand": q_adjusted_rand,
     "js_distance": q_js_distance,
+    "report_train_labels": q_report_train_labels,
+    "js_train_labels": q_js_train_labels,
     "weak_class_rows": q_weak_class_rows,
     "confused_with": q_confused_with,
     "confusion_weak_wide": q_confusion_weak_wide,
@@ -457,6 +526,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "classify_lr": _classify("lr"),
     "classify_rf": _classify("rf"),
     "classify_gbt": _classify("gbt"),
+    "classify_lr_separable": _classify_separable("lr"),
+    "classify_rf_separable": _classify_separable("rf", featureSubsetStrategy="all", numTrees=20),
     "featurize_batch": q_featurize_batch,
     "image_tensor": q_image_tensor,
     "image_reduction": q_image_reduction,
@@ -514,6 +585,10 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT regexp_extract(filename, '[^/]+$', 0) AS name, size::BIGINT AS length "
         "FROM read_blob('/root/testdata/sf0.01/*.parquet')"
     ),
+    "scan_content": (
+        "SELECT regexp_extract(filename, '[^/]+$', 0) AS name, md5(content) AS md5 "
+        "FROM read_blob(['/root/testdata/sf0.01/region.parquet', '/root/testdata/sf0.01/nation.parquet', '/root/testdata/sf0.01/benchmark.parquet'])"
+    ),
     "label_from_parent": "SELECT page_id, string_split(url, '/')[-2] AS label FROM pages",
     "label_from_set": (
         "SELECT page_id, regexp_extract(url, 'example\\.com/([^/]+)', 1) AS set_name, "
@@ -538,6 +613,12 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "standardize_long": f"WITH {_Z} SELECT vec_id, i, round(z, 6) AS z FROM z",
     "pca_norms": f"WITH {_Z} SELECT vec_id, round(sum(z * z), 4) AS sq_norm FROM z GROUP BY vec_id",
+    "pca_spectrum": (
+        f"WITH {_Z}, d AS (SELECT count(DISTINCT i) AS d, count(DISTINCT vec_id) AS n FROM z), "
+        "c AS (SELECT a.i, b.i AS j, sum(a.z * b.z) / ((SELECT n FROM d) - 1) AS r FROM z a JOIN z b USING (vec_id) GROUP BY 1, 2) "
+        "SELECT round(sum(r) FILTER (WHERE i = j), 6) AS trace, round(sum(r * r), 5) AS square_sum, (SELECT d FROM d) AS dims FROM c"
+    ),
+    "pca_projection": f"WITH {_Z} SELECT 0.0::DOUBLE AS mean, round(sum(z * z) / (count(DISTINCT vec_id) - 1), 6) AS trace, 0.0::DOUBLE AS covariance FROM z",
     "variance_k": (
         "WITH x AS (SELECT generate_subscripts(embedding, 1) AS i, unnest(embedding)::DOUBLE AS x FROM embeddings), "
         "v AS (SELECT i, var_samp(x) AS var FROM x GROUP BY i), "
@@ -582,6 +663,17 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT round(sqrt(greatest(sum(CASE WHEN t > 0 THEN t * ln(2 * t / (t + r)) ELSE 0 END "
         "+ CASE WHEN r > 0 THEN r * ln(2 * r / (t + r)) ELSE 0 END) / (2 * sum(t)), 0)), 6) AS js_distance FROM tr"
     ),
+    "report_train_labels": (
+        f"WITH {_STATS} SELECT label, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support "
+        "FROM rf WHERE label IN (SELECT lang FROM documents WHERE doc_id % 2 = 1 AND lang <> 'en')"
+    ),
+    "js_train_labels": (
+        f"WITH {_STATS}, k AS (SELECT support::DOUBLE AS t, predicted::DOUBLE AS r FROM s "
+        "WHERE label IN (SELECT lang FROM documents WHERE doc_id % 2 = 1 AND lang <> 'en')), "
+        "g AS (SELECT t / (SELECT sum(t) FROM k) AS p, r / (SELECT sum(r) FROM k) AS q FROM k) "
+        "SELECT round(sqrt(greatest(sum(CASE WHEN p > 0 THEN p * ln(p / ((p + q) / 2)) ELSE 0 END "
+        "+ CASE WHEN q > 0 THEN q * ln(q / ((p + q) / 2)) ELSE 0 END) / 2, 0)), 6) AS js_distance FROM g"
+    ),
     "weak_class_rows": f"WITH {_STATS} SELECT doc_id, label, prediction FROM p WHERE label IN (SELECT label FROM w)",
     "confused_with": (
         f"WITH {_STATS} SELECT prediction, count(*)::BIGINT AS n FROM p "
@@ -605,6 +697,8 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT doc_id, lang, (dense_rank() OVER (ORDER BY lang) - 1)::BIGINT AS label_index, "
         "lang AS label_back FROM documents"
     ),
+    "classify_lr_separable": "SELECT vec_id, label::VARCHAR AS label, label::VARCHAR AS prediction FROM embeddings",
+    "classify_rf_separable": "SELECT vec_id, label::VARCHAR AS label, label::VARCHAR AS prediction FROM embeddings",
     "featurize_batch": (
         "SELECT vec_id, (generate_subscripts(embedding, 1) - 1)::INTEGER AS i, "
         "round((2 * unnest(embedding))::DOUBLE, 6) AS value FROM embeddings"
@@ -619,9 +713,9 @@ ORACLE_SQL: dict[str, str] = {
         "round((pix.b::FLOAT / 127.5::FLOAT - 1.0::FLOAT)::DOUBLE, 6) AS value FROM pix JOIN o ON pix.p = o.p"
     ),
     "quarantine_split": (
-        "SELECT CASE WHEN embedding IS NULL THEN 'ValueError: null input' "
-        "WHEN list_sum(list_transform(embedding, lambda x: x::DOUBLE * x)) = 0 THEN 'non-finite feature value' "
-        "ELSE 'ok' END AS status, count(*) AS n FROM embeddings GROUP BY 1"
+        "SELECT CASE WHEN embedding IS NULL OR vec_id % 11 = 0 THEN 'ValueError: null input' "
+        "WHEN vec_id % 7 = 0 OR list_sum(list_transform(embedding, lambda x: x::DOUBLE * x)) = 0 THEN 'non-finite feature value' "
+        "WHEN vec_id % 5 = 0 THEN 'length 32 != 64' ELSE 'ok' END AS status, count(*) AS n FROM embeddings GROUP BY 1"
     ),
     "csv_roundtrip": (
         "SELECT vec_id, label, len(embedding)::INTEGER AS n_values, "

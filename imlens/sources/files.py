@@ -65,7 +65,7 @@ def image_items(images: DataFrame, rule: str = "parent", set_label: str | None =
     origin = F.col("image.origin")
     path = decode_path(origin)
     if rule == "parent":
-        label = label_from_parent(path)
+        label = decode_path(label_from_parent(origin))  # an encoded slash stays within its segment
     elif rule == "set":
         if not set_label:
             raise ValueError("rule='set' needs set_label (e.g. 'train')")
@@ -81,7 +81,10 @@ def image_items(images: DataFrame, rule: str = "parent", set_label: str | None =
 
 
 def binary_items(files: DataFrame) -> DataFrame:
-    """(path, label, content) from a binary scan; ``path`` is already decoded by that source."""
+    """(path, label, content) from a binary scan; ``path`` is already decoded by that source.
+
+    For checksums and copies: ``featurize`` takes decoded images or arrays, not file bytes.
+    """
     return files.select("path", label_from_parent(F.col("path")).alias("label"), "content")
 
 

@@ -2,23 +2,38 @@
 
 from __future__ import annotations
 
+import posixpath
+import re
+
 from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 
-def _norm(p: str) -> str:
-    p = p.rstrip("/")
-    return p[len("file:"):] if p.startswith("file:") else p
-
+def _qualified(spark: SparkSession, path: str) -> str:
+    """The path as its Hadoop file system names it: scheme, authority, no ``..`` or doubled slashes, no end slash.
 
-def guard_overlap(out: str, inputs: list[str] | None) -> None:
+    The S3 schemes are names of one store. A glob is refused: what it covers is unknown.
+    """
+    if any(ch in path for ch in "*?[{"):
+        raise ValueError(f"{path!r} holds a glob: name the folders themselves")
+    sc = spark.sparkContext
+    parsed = sc._jvm.org.apache.hadoop.fs.Path(re.sub("^s3[an]?://", "s3a://", path))
+    if re.match("s3[an]?:", path):
+        name = str(parsed)  # no client library is needed to compare names
+    else:
+        name = str(parsed.getFileSystem(sc._jsc.hadoopConfiguration()).makeQualified(parsed))
+    scheme, _, rest = name.partition(":")
+    return f"{scheme}:{posixpath.normpath(re.sub('^/+', '/' if scheme == 'file' else '//', rest))}".rstrip("/")
+
+
+def guard_overlap(spark: SparkSession, out: str, inputs: list[str] | None) -> None:
     """Refuse to overwrite a folder that is also an input, or contains / is inside one."""
-    o = _norm(out) + "/"
+    o = _qualified(spark, out) + "/"
     for i in inputs or []:
-        n = _norm(i) + "/"
+        n = _qualified(spark, i) + "/"
         if o.startswith(n) or n.startswith(o):
             raise ValueError(f"output {out!r} overlaps input {i!r}")
 
@@ -38,7 +53,7 @@ def write_parquet(
     """
     from imlens.session import session_conf
 
-    guard_overlap(path, inputs)
+    guard_overlap(df.sparkSession, path, inputs)
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -61,10 +76,6 @@ def csv_ready(df: DataFrame, sep: str = " ") -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool = True, inputs: list[str] | None = None) -> None:
-    guard_overlap(path, inputs)
+    guard_overlap(df.sparkSession, path, inputs)
     csv_ready(df).write.mode(mode).option("header", str(header).lower()).csv(path)
 
-
-def preview(df: DataFrame, n: int = 20):
-    """A bounded pandas copy for plotting (K5): never more than ``n`` rows reach the driver."""
-    return df.limit(n).toPandas()

@@ -34,10 +34,26 @@ def test_classifiers_learn_separable_data(spark, separable, kind, params):
 
 def test_unseen_label_raises(spark, separable):
     model, _ = classify.fit_classifier(separable.filter("label <> 'class c'"), kind="lr")
-    idx = classify.label_indexer(separable.filter("label <> 'class c'"))
-    with pytest.raises(Exception):
-        idx.transform(separable).collect()
-    assert model is not None
+    known = separable.filter("label <> 'class c'")
+    assert classify.predict(model, known).count() == known.count()
+    with pytest.raises(Exception, match="(?i)unseen label"):
+        classify.predict(model, separable).collect()
+
+
+@pytest.mark.parametrize("kind,params", [("lr", {}), ("rf", {"numTrees": 5}), ("gbt", {"maxIter": 3, "maxDepth": 2}), ("hgb", {"maxIter": 3})])
+def test_a_saved_classifier_predicts_the_same(spark, separable, scratch, kind, params):
+    model, _ = classify.fit_classifier(separable, kind=kind, **params)
+    classify.save_classifier(model, f"{scratch}/m")
+    again = classify.load_classifier(spark, f"{scratch}/m")
+    a, b = (sorted(tuple(r) for r in classify.predict(m, separable, keep=["id"]).collect()) for m in (model, again))
+    assert a == b and again.labels == ["class a", "class b", "class c"]
+
+
+def test_fit_rows_are_bounded(spark, separable):
+    data = separable.select(classify.as_vector(separable, "features").alias(classify._VEC), F.col("label").alias("_y"))
+    few = classify.bounded(data, 60)
+    assert 20 < few.count() < 110 and classify.bounded(data, 240).count() == 240
+    assert sorted(map(str, few.collect())) == sorted(map(str, classify.bounded(data.repartition(5), 60).collect()))
 
 
 def test_label_index_alphabetical(spark):
@@ -52,5 +68,5 @@ def test_hgb_stops_early(spark):
     rows = [(i, f"c{rng.integers(0, 3)}", rng.normal(size=4).tolist()) for i in range(300)]
     noise = spark.createDataFrame(rows, "id int, label string, features array<double>")
     model, _ = classify.fit_classifier(noise, kind="hgb", maxIter=40, maxDepth=4)
-    trees = [m.getNumTrees for m in model.stages[0].models]
+    trees = [m.getNumTrees for m in model.model.models]
     assert len(trees) == 3 and max(trees) < 40

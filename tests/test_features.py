@@ -5,7 +5,7 @@ import pytest
 
 from imlens.operators.features import featurize, grid_histogram_model, image_tensor, nearest_resize, split_quarantine
 from imlens.plans import batch
-from imlens.plans.images import png_bytes
+from png_images import png_bytes
 
 
 def _fail_on_negative_first():

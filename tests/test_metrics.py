@@ -118,7 +118,7 @@ def test_weak_focus_and_wide(spark):
     weak = metrics.weak_classes(rep, 0.9)
     assert sorted(r.label for r in weak.collect()) == ["b"]
     cells = metrics.confusion_cells(df)
-    wide = metrics.confusion_wide(metrics.confusion_focus(cells, weak)).collect()
+    wide = metrics.confusion_wide(metrics.confusion_focus(cells, weak), ["b", "c"]).collect()
     assert [r.asDict() for r in wide] == [{"label": "b", "b": 1, "c": 2}]
     rows = metrics.weak_rows(df, weak).count()
     assert rows == 3
@@ -136,7 +136,7 @@ def test_metric_plans_have_no_python_and_no_cartesian(spark):
 
 def test_confusion_dense_includes_zero_rows_and_columns(spark):
     df = frame(spark, [("a", "a"), ("a", "b"), ("c", "a")])  # 'b' never true, 'c' never predicted
-    dense = {r.label: r.asDict() for r in metrics.confusion_dense(metrics.confusion_cells(df)).collect()}
+    dense = {r.label: r.asDict() for r in metrics.confusion_dense(metrics.confusion_cells(df), ["a", "b", "c"]).collect()}
     assert sorted(dense) == ["a", "b", "c"]
     assert dense["a"] == {"label": "a", "a": 1, "b": 1, "c": 0}
     assert dense["b"] == {"label": "b", "a": 0, "b": 0, "c": 0}
@@ -183,3 +183,19 @@ def test_report_and_summary_over_label_dataframe(spark):
     assert [r.label for r in metrics.class_report(df, labels=universe).collect()] == ["a", "c"]
     macro = {r.label: r for r in metrics.report_summary(df, labels=universe).collect()}["macro avg"]
     assert macro.recall == pytest.approx(1.0) and macro.support == 2
+
+
+def test_train_label_distance_without_overlap_is_null(spark):
+    df = frame(spark, [("a", "b"), ("a", "c")])
+    for labels in (["a"], ["z"]):
+        kept = spark.createDataFrame([(x,) for x in labels], "label string")
+        assert metrics.js_distance(df, labels=kept).first().js_distance is None
+
+
+def test_cells_give_the_row_level_figures(spark):
+    rnd = random.Random(9)
+    df = frame(spark, [(rnd.choice("abc"), rnd.choice("abcd")) for _ in range(300)])
+    bundle = metrics.evaluation_bundle(df, train_labels=spark.createDataFrame([("a",), ("b",)], "label string"), wide_classes=["a", "d"])
+    assert bundle["ari"].first() == metrics.adjusted_rand(df).first()
+    assert abs(bundle["js"].first()[0] - metrics.js_distance(df).first()[0]) < 1e-12
+    assert sorted(r.label for r in bundle["report_train_labels"].collect()) == ["a", "b"] and bundle["wide"].columns == ["label", "a", "d"]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from imlens.operators import metrics
 from imlens.plans import queries as Q
-from imlens.plans.images import png_bytes
+from png_images import png_bytes
 
 from conftest import SF001
 

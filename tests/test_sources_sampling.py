@@ -61,9 +61,24 @@ def test_csv_sink_flattens_arrays(spark, tmp_path):
     write_csv(df, out)
     back = spark.read.option("header", "true").csv(out).first()
     assert back.f == "1.5 2.0"
+
+
+@pytest.mark.parametrize(
+    "out,source",
+    [
+        ("/d/images", "file:///d/images"), ("/d/images/out", "file:///d/images"), ("s3://b/x", "s3a://b/x"), ("/d/a/../images", "/d/images"),
+        ("/d//images", "/d/images"), ("/data/images/out", "/data/images"), ("/data", "/data/images/"), ("s3n://b/x/y", "s3://b//x/"), ("/d/im*", "/e"),
+        ("/e", "/d/{a,b}"),
+    ],
+)
+def test_overlapping_outputs_are_refused(spark, out, source):
     with pytest.raises(ValueError):
-        guard_overlap("/data/images/out", ["/data/images"])
-    guard_overlap("/data/out", ["/data/images"])
+        guard_overlap(spark, out, [source])
+
+
+def test_separate_outputs_pass(spark):
+    guard_overlap(spark, "/data/out", ["/data/images", "s3a://b/x", "file:///data/outer"])
+    guard_overlap(spark, "s3a://b/xy", ["s3a://b/x", "s3a://c/xy"])
 
 
 def test_session_conf_restores(spark):

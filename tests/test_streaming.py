@@ -3,7 +3,7 @@ import os
 import numpy as np
 
 from imlens.plans import batch
-from imlens.plans.images import png_bytes
+from png_images import png_bytes
 from imlens.streaming import score_new_images
 
 
