@@ -36,7 +36,7 @@ from imlens.operators import metrics, sampling
 from imlens.operators.features import featurize
 from imlens.operators.reduce import ReductionModel, Reducer
 from imlens.sources.files import image_items, scan_binary, scan_images
-from imlens.session import session_conf
+from imlens.session import delete_path, session_conf
 from imlens.sources.sinks import _qualified, guard_overlap, write_parquet
 
 
@@ -131,7 +131,7 @@ def run(
             odd = sorted(k for k in wanted.keys() | found.keys() if wanted.get(k) != found.get(k))
             raise ValueError(f"the features in {out!r} were made with other settings: {', '.join(odd)}")
         if found is None:
-            _remove(spark, paths["manifest"])
+            delete_path(spark, paths["manifest"])
             _score_sets(spark, sets, paths["features"], scoring)
             text = spark.createDataFrame([(json.dumps(wanted, sort_keys=True),)], "value string")
             text.coalesce(1).write.mode("overwrite").text(paths["manifest"])
@@ -156,11 +156,6 @@ def _read_manifest(spark: SparkSession, path: str) -> dict | None:
     return json.loads(spark.read.text(path).first()["value"]) if fs.exists(p) else None
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    fs, p = _fs(spark, path)
-    fs.delete(p, True)
-
-
 def _score_sets(spark: SparkSession, sets: dict[str, str], target: str, o: ScoreOptions) -> None:
     """Scan every set, score each image once and write ``target`` partitioned by split."""
     items = None

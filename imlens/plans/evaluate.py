@@ -7,15 +7,13 @@ table. All metrics are distributed aggregates; only the fitted model parameters
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from imlens.functions.paths import label_from_parent
 from imlens.operators import classify, metrics, sampling
-from imlens.session import ensure_checkpoint_dir
+from imlens.session import scratch_path
 from imlens.sources.files import scan_binary
 from imlens.sources.sinks import write_parquet
 
@@ -70,7 +68,7 @@ def classify_and_evaluate(
     train = table.filter(F.col("split") == fit_set)
     test = table.filter(F.col("split") == eval_set)
     model, seconds = classify.fit_classifier(train, features, "label", kind=kind, **params)
-    path = predictions or f"{ensure_checkpoint_dir(spark).rstrip('/')}/predictions-{uuid.uuid4().hex}"
+    path = predictions or scratch_path(spark, "predictions")
     write_parquet(classify.predict(model, test, features, "label", keep=["path"]), path, inputs=[reduced] if isinstance(reduced, str) else list(reduced.values()))
     pred = spark.read.parquet(path)
     bundle = metrics.evaluation_bundle(pred, threshold=threshold, train_labels=train.select("label"), wide_classes=wide_classes)

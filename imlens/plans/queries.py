@@ -14,7 +14,6 @@ Mapping of the test tables onto the surveyed data model:
 from __future__ import annotations
 
 import os
-import uuid
 from collections.abc import Callable
 
 import numpy as np
@@ -28,7 +27,7 @@ from imlens.functions.paths import bucket_and_key, decode_path, label_from_paren
 from imlens.functions.vectors import as_vector, length_distribution, length_summary, vector_error
 from imlens.operators import classify, features, metrics, sampling
 from imlens.operators.reduce import Reducer
-from imlens.session import ensure_checkpoint_dir
+from imlens.session import ensure_checkpoint_dir, scratch_path
 from imlens.sources.files import image_items, read_features, scan_binary
 from imlens.sources.sinks import write_csv, write_parquet
 
@@ -405,8 +404,7 @@ def q_quarantine_split(spark, sf_dir):
 
 
 def q_roundtrip_parquet(spark, sf_dir):
-    base = ensure_checkpoint_dir(spark)
-    out = f"{base.rstrip('/')}/roundtrip-{uuid.uuid4().hex}"
+    out = scratch_path(spark, "roundtrip")
     write_parquet(embeddings(spark, sf_dir), out, inputs=[sf_dir])
     back = read_features(spark, out)
     total = F.aggregate(F.col("embedding").cast("array<double>"), F.lit(0.0), lambda acc, x: acc + x)
@@ -475,8 +473,7 @@ def q_image_reduction(spark, sf_dir):
 
 def q_csv_roundtrip(spark, sf_dir):
     """K2: arrays written as space-joined text with a header, read back with an explicit schema."""
-    base = ensure_checkpoint_dir(spark)
-    out = f"{base.rstrip('/')}/csv-{uuid.uuid4().hex}"
+    out = scratch_path(spark, "csv")
     write_csv(embeddings(spark, sf_dir), out, inputs=[sf_dir])
     back = spark.read.option("header", "true").schema("vec_id bigint, embedding string, label int").csv(out)
     values = F.split(F.col("embedding"), " ").cast("array<double>")

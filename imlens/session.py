@@ -6,7 +6,9 @@ caller's ``SparkSession`` or ``DataFrame``. ``local_session`` exists for tests a
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
@@ -58,6 +60,37 @@ def ensure_checkpoint_dir(spark: SparkSession, allow_local_default: bool | None
     return sc.getCheckpointDir()
 
 
+_SCRATCH: dict[str, list[str]] = {}
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder name below the shared checkpoint folder, deleted when the Python process ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    app = spark.sparkContext.applicationId
+    if app not in _SCRATCH:
+        atexit.register(_clean_at_exit, spark)
+    _SCRATCH.setdefault(app, []).append(path)
+    return path
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def clean_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders of this session so far; frames that read them are unusable afterwards."""
+    paths = _SCRATCH.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        delete_path(spark, path)
+    return len(paths)
+
+
+def _clean_at_exit(spark: SparkSession) -> None:
+    if spark.sparkContext._jsc is not None and spark.sparkContext.applicationId in _SCRATCH:
+        clean_scratch(spark)
+
+
 def ship_package(spark: SparkSession, shared: bool | None = None) -> None:
     """Make ``imlens`` importable in executor Python workers (what ``--py-files`` does).
 
@@ -69,7 +102,6 @@ def ship_package(spark: SparkSession, shared: bool | None = None) -> None:
     """
     import io
     import os
-    import uuid
     import zipfile
 
     sc = spark.sparkContext

@@ -61,3 +61,13 @@ def test_scorer_runs_once_per_row(spark):
         df.write.format("noop").mode("overwrite").save()
         final = plan_of(df).split("== Initial Plan ==")[0]
         assert final.count("ArrowEvalPython") == 1
+
+
+def test_scratch_folders_can_be_deleted(spark):
+    from imlens import session
+    from imlens.session import clean_scratch
+
+    assert Q.q_roundtrip_parquet(spark, SF001).count() == 500
+    paths = [p for ps in session._SCRATCH.values() for p in ps if "roundtrip" in p]
+    assert paths and all(os.path.exists(p.removeprefix("file:")) for p in paths)
+    assert clean_scratch(spark) >= 1 and not any(os.path.exists(p.removeprefix("file:")) for p in paths)
