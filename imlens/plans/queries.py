@@ -27,8 +27,9 @@ from imlens.functions.paths import bucket_and_key, decode_path, label_from_paren
 from imlens.functions.vectors import as_vector, length_distribution, length_summary, vector_error
 from imlens.operators import classify, features, metrics, sampling
 from imlens.operators.reduce import Reducer
+from imlens.plans import batch
 from imlens.session import ensure_checkpoint_dir, scratch_path
-from imlens.sources.files import image_items, read_features, scan_binary
+from imlens.sources.files import image_items, read_features, scan_binary, scan_images
 from imlens.sources.sinks import write_csv, write_parquet
 
 STABLE_FRACTION = 0.1
@@ -471,6 +472,46 @@ def q_image_reduction(spark, sf_dir):
     return model.transform(good).select("path", "label", "split", "pca_features")
 
 
+def bitmap_tree(spark: SparkSession, sf_dir: str) -> str:
+    """Every embedding as an 8 x 8 bitmap file in ``<split>/<label>/<vec_id>`` folders of the shared folder.
+
+    The file is built with JVM expressions (54 header bytes, then rows from the bottom up, three equal bytes a pixel)
+    and written by Spark's text writer, one row a file; decoders stop before the line end that it adds.
+    """
+    images = embedding_images(spark, sf_dir).filter("image IS NOT NULL")
+    grey = F.hex("image.data")
+    rows = [F.substring(grey, 16 * y + 1, 16) for y in range(7, -1, -1)]
+    body = F.regexp_replace(F.concat(*rows), "(..)", "$1$1$1")
+    head = (
+        "424D" + (54 + 192).to_bytes(4, "little").hex() + "00000000" + (54).to_bytes(4, "little").hex() + (40).to_bytes(4, "little").hex()
+        + (8).to_bytes(4, "little").hex() * 2 + "01001800" + "00000000" + (192).to_bytes(4, "little").hex() + "00" * 16
+    )
+    out = scratch_path(spark, "bitmaps")
+    parts = F.split(F.col("image.origin"), "/")
+    files = images.select(
+        F.unhex(F.concat(F.lit(head), body)).cast("string").alias("value"), F.element_at(parts, -3).alias("images"), F.element_at(parts, -2).alias("label"), "vec_id"
+    )
+    files.write.partitionBy("images", "label", "vec_id").option("maxRecordsPerFile", 1).text(out)
+    return out
+
+
+def q_image_scan(spark, sf_dir):
+    """Files decoded by Spark's image source: size, channels and pixels of each."""
+    images = scan_images(spark, bitmap_tree(spark, sf_dir), glob="*.txt")
+    number = F.regexp_extract("image.origin", "vec_id=([0-9]+)/[^/]*$", 1).cast("bigint")
+    return images.select(number.alias("vec_id"), "image.height", "image.width", F.col("image.nChannels").alias("channels"), F.md5("image.data").alias("md5"))
+
+
+def q_image_job(spark, sf_dir):
+    """The whole batch job over those files: scan, score, quarantine, fit on train, reduce both sets; rows by set and label."""
+    tree, out = bitmap_tree(spark, sf_dir), scratch_path(spark, "image-job")
+    sets = {name: f"{tree}/images={name}" for name in ("train", "test")}
+    batch.run(spark, sets, out, make_predict_fn=_flatten_fn, rule="parent", glob="*.txt", size=(8, 8), dim=192)
+    reduced = spark.read.parquet(f"{out}/reduced")
+    label = F.regexp_extract("path", "label=([0-9]+)/", 1).cast("int")
+    return reduced.groupBy("split", label.alias("label")).agg(F.count("*").alias("n"))
+
+
 def q_csv_roundtrip(spark, sf_dir):
     """K2: arrays written as space-joined text with a header, read back with an explicit schema."""
     out = scratch_path(spark, "csv")
@@ -528,6 +569,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "featurize_batch": q_featurize_batch,
     "image_tensor": q_image_tensor,
     "image_reduction": q_image_reduction,
+    "image_scan": q_image_scan,
+    "image_job": q_image_job,
     "quarantine_split": q_quarantine_split,
     "roundtrip_parquet": q_roundtrip_parquet,
     "csv_roundtrip": q_csv_roundtrip,
@@ -709,6 +752,14 @@ ORACLE_SQL: dict[str, str] = {
         f"SELECT pix.vec_id, ((o.yy * {IMAGE_SIDE} + o.xx) * 3 + o.c)::INTEGER AS i, "
         "round((pix.b::FLOAT / 127.5::FLOAT - 1.0::FLOAT)::DOUBLE, 6) AS value FROM pix JOIN o ON pix.p = o.p"
     ),
+    "image_scan": (
+        "WITH b AS (SELECT vec_id, list_transform(embedding, lambda x: least(floor((least(greatest(x::DOUBLE, -1.0), 1.0) + 1) * 127.5), 255)::INTEGER) AS b FROM embeddings) "
+        "SELECT vec_id, 8 AS height, 8 AS width, 3 AS channels, "
+        "md5(unhex(array_to_string(list_transform(b, lambda p: repeat(printf('%02X', p), 3)), ''))) AS md5 FROM b"
+    ),
+    "image_job": (
+        "SELECT CASE WHEN vec_id % 5 <> 0 THEN 'train' ELSE 'test' END AS split, label, count(*) AS n FROM embeddings GROUP BY 1, 2"
+    ),
     "quarantine_split": (
         "SELECT CASE WHEN embedding IS NULL OR vec_id % 11 = 0 THEN 'ValueError: null input' "
         "WHEN vec_id % 7 = 0 OR list_sum(list_transform(embedding, lambda x: x::DOUBLE * x)) = 0 THEN 'non-finite feature value' "
