@@ -128,25 +128,22 @@ def roots(links: DataFrame) -> DataFrame:
     now = stored(
         links.select(
             "scope", "position", F.coalesce("up_scope", "scope").alias("s"), F.coalesce("up_position", "position").alias("p"),
-            F.when(F.col("up_scope").isNull(), 0).otherwise(1).cast("long").alias("depth"),
+            F.when(F.col("up_scope").isNull(), 0).otherwise(1).cast("long").alias("depth"), F.col("up_scope").isNull().alias("done"),
         ),
         "quote-roots",
     )
-    total = now.agg(F.sum("depth")).first()[0]
-    while True:
-        above = now.select(F.col("scope").alias("s"), F.col("position").alias("p"), F.col("s").alias("s2"), F.col("p").alias("p2"), F.col("depth").alias("more"))
-        new = stored(
-            now.join(above, ["s", "p"]).select(
-                "scope", "position", F.col("s2").alias("s"), F.col("p2").alias("p"), (F.col("depth") + F.col("more")).alias("depth")
-            ),
-            "quote-roots",
+    while not now.filter("NOT done").isEmpty():
+        above = now.select(
+            F.col("scope").alias("s"), F.col("position").alias("p"), F.col("s").alias("s2"), F.col("p").alias("p2"), F.col("depth").alias("more"), F.col("done").alias("at_root")
         )
-        after = new.agg(F.sum("depth")).first()[0]
+        # rows that point to their root are not joined again
+        moved = now.filter("NOT done").join(above, ["s", "p"]).select(
+            "scope", "position", F.col("s2").alias("s"), F.col("p2").alias("p"), (F.col("depth") + F.col("more")).alias("depth"), F.col("at_root").alias("done")
+        )
+        new = stored(now.filter("done").unionByName(moved), "quote-roots")
         drop_stored(now)
         now = new
-        if after == total:
-            return now.select("scope", "position", F.col("s").alias("root_scope"), F.col("p").alias("root_position"), "depth")
-        total = after
+    return now.select("scope", "position", F.col("s").alias("root_scope"), F.col("p").alias("root_position"), "depth")
 
 
 def conversations(messages: DataFrame) -> DataFrame:
