@@ -192,8 +192,25 @@ def index_entries(docs: DataFrame, levels: np.ndarray, rare: int, words: int, bo
     return docs.select("text").mapInArrow(run, schema("sig long, node long, n int, pos int"))
 
 
-def verified(pairs: DataFrame, sets: DataFrame, bounds: Bounds) -> DataFrame:
-    """The rows of ``pairs`` (a, b) whose whole sets reach the threshold."""
+def sets_of(nodes: DataFrame, docs: DataFrame, sizes: DataFrame, words: int) -> DataFrame:
+    """(node, tokens) of the given nodes, from one text of each."""
+    chosen = sizes.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("chosen"))
+
+    def run(each):
+        for batch in each:
+            wanted = batch.column(1).to_pylist()
+            sets = [(node, s) for node, s in zip(wanted, shingle_sets(batch.column(0).to_pylist(), words)) if set_key(s) == node]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([n for n, _ in sets], pa.int64()), pa.array([s.astype("<u8").tobytes() for _, s in sets], pa.binary())], ["node", "tokens"]
+            )
+
+    # a repeated doc_id brings several texts: those of other sets are left out above
+    texts = docs.join(chosen, F.col("doc_id").eqNullSafe(F.col("chosen"))).select("text", "node")
+    return texts.mapInArrow(run, schema("node long, tokens binary"))
+
+
+def verified(pairs: DataFrame, docs: DataFrame, sizes: DataFrame, words: int, bounds: Bounds) -> DataFrame:
+    """The rows of ``pairs`` (a, b), stored, whose whole sets reach the threshold; only their texts are moved."""
 
     def run(each):
         for batch in each:
@@ -204,10 +221,14 @@ def verified(pairs: DataFrame, sets: DataFrame, bounds: Bounds) -> DataFrame:
                 keep.append(bounds.linked(both, len(x), len(y)))
             yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sets = stored(sets_of(nodes, docs, sizes, words), "jaccard-sets")
     left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("y"))
     joined = pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y")
-    return joined.mapInArrow(run, schema("a long, b long"))
+    out = stored(joined.mapInArrow(run, schema("a long, b long")).distinct(), "jaccard-links")
+    drop_stored(sets)
+    return out
 
 
 def fitting(percent: int, a: str = "a", b: str = "b", n: str = "n", m: str = "m", p: str = "p", q: str = "q"):
@@ -230,21 +251,7 @@ def linked_sets(docs: DataFrame, sizes: DataFrame, words: int, percent: int) ->
     heads = buckets.filter("node = first").groupBy("sig").agg(F.min("n").alias("n"), F.min("pos").alias("p"))
     rest = buckets.filter("node <> first").select("sig", F.col("first").alias("a"), F.col("node").alias("b"), F.col("n").alias("m"), F.col("pos").alias("q"))
     stars = stored(rest.join(heads, "sig").filter(fitting(percent)).select("a", "b").distinct(), "jaccard-stars")
-    ids = buckets.select("node").distinct()
-    needed = sizes.join(ids, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-
-    def sets_of(each):
-        for batch in each:
-            sets = list(shingle_sets(batch.column(0).to_pylist(), words))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([set_key(s) for s in sets], pa.int64()), pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())], ["node", "tokens"]
-            )
-
-    chosen = needed.select(F.col("doc_id").alias("chosen"))
-    texts = docs.join(chosen, F.col("doc_id").eqNullSafe(F.col("chosen")), "left_semi").select("text")
-    sets = texts.mapInArrow(sets_of, schema("node long, tokens binary")).groupBy("node").agg(F.first("tokens").alias("tokens"))
-    sets = stored(sets, "jaccard-sets")
-    links = stored(verified(stars, sets, bounds), "jaccard-links")
+    links = verified(stars, docs, sizes, words, bounds)
     labels = stored(components(links), "jaccard-labels")
 
     # what is left: pairs of a bucket in different components
@@ -256,10 +263,11 @@ def linked_sets(docs: DataFrame, sizes: DataFrame, words: int, percent: int) ->
     right = placed.select("sig", F.col("node").alias("b"), F.col("n").alias("m"), F.col("pos").alias("q"), F.col("label").alias("lb"))
     across = left.join(right, "sig").filter((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & fitting(percent))
     pairs = across.select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
-    more = stored(verified(stored(pairs, "jaccard-pairs"), sets, bounds), "jaccard-more")
-    if more.isEmpty():
+    pairs = stored(pairs, "jaccard-pairs")
+    if pairs.isEmpty():
         return labels
-    return components(links.union(more))
+    more = verified(pairs, docs, sizes, words, bounds)
+    return labels if more.isEmpty() else components(links.union(more))
 
 
 def link(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
