@@ -15,11 +15,11 @@ d = floor((1 - p) / p n) tokens are in one of two linked sets only.
   in both prefixes. That is one index entry a token, where all 2-combinations would be quadratic.
 * Sets of fewer than ``small`` tokens index single tokens of either class.
 
-Candidates pass a size and a position filter and are verified on the whole sets. Within an index bucket the
-sets are first joined with the bucket's smallest set only; components of the verified links are
-formed; then pairs of the bucket that still lie in different components are joined. Pairs within one
-component add nothing to the components, so no link between different texts is lost and a group of
-n copies costs about n pairs. Copies with equal sets are one node from the start.
+Candidates pass a filter on sizes and positions (``fitting``) and are verified on the whole sets. Within an index bucket the
+sets are first joined with the bucket's most typical set only (``set_key``); two steps along the verified links give each
+set a label; then pairs of the bucket with different labels are joined. Pairs with one label are
+connected already and add nothing to the components, so no link between different texts is lost and a group
+of n copies costs about n pairs. Copies with equal sets are one node from the start.
 
 Defined cases: null, empty and word-less texts have an empty set, linked with nothing; rows that repeat a
 doc_id are judged each; a null doc_id takes part and a component's id is its smallest doc_id that is not
@@ -69,11 +69,17 @@ def shingle_sets(texts: list[bytes], words: int):
                     yield np.zeros(0, np.uint64)
 
 
-def set_key(tokens: np.ndarray) -> int:
-    """64 bits that name a set, as a signed integer."""
+def set_key(tokens: np.ndarray, levels: np.ndarray) -> int:
+    """A name of a set: 12 bits that are smaller the more frequent its tokens are on average, then 51 bits of hash.
+
+    So the smallest set of an index bucket is the most typical one: among copies with edits of their own,
+    the text that they were made from, which most of them are linked with.
+    """
+    level = levels[tokens >> np.uint64(64 - TABLE_BITS)]
+    rarity = 4095 - int(level.mean() * 32) % 4096
     with np.errstate(over="ignore"):
         total = mix64(tokens ^ np.uint64(0xABCDEF)).sum(dtype=np.uint64) + np.uint64(len(tokens))
-    return int(mix64(np.array([total], np.uint64)).view(np.int64)[0])
+    return rarity << 51 | int(mix64(np.array([total], np.uint64))[0]) >> 13
 
 
 class Bounds:
@@ -95,8 +101,12 @@ class Bounds:
         return 100 * both >= self.percent * (n + m - both)
 
 
-def signatures(tokens: np.ndarray, levels: np.ndarray, rare: int, bounds: Bounds) -> tuple[np.ndarray, np.ndarray]:
-    """(signature, position of its first token) of a set; ``levels``: level of each counter, ``rare``: highest rare level."""
+def signatures(tokens: np.ndarray, levels: np.ndarray, rare: int, bounds: Bounds) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(signature, position of its first token, tokens before it that are surely unshared) of a set.
+
+    ``levels``: level of each counter, ``rare``: highest rare level. The last column holds for the entry that
+    finds a linked set: before the first shared token nothing is shared, before the first shared pair no rare token is.
+    """
     n = len(tokens)
     level = levels[tokens >> np.uint64(64 - TABLE_BITS)]
     order = np.argsort((level.astype(np.uint64) << np.uint64(56)) | (tokens >> np.uint64(8)), kind="stable")
@@ -112,18 +122,19 @@ def signatures(tokens: np.ndarray, levels: np.ndarray, rare: int, bounds: Bounds
             frequent = ordered[r:r + max(reach, 0)]
             with np.errstate(over="ignore"):
                 pairs = mix64(frequent[:-1] * np.uint64(_ODD[0]) + frequent[1:] * np.uint64(_ODD[1]) + np.uint64(1))
-            return np.concatenate([singles, pairs]), np.concatenate([np.arange(len(singles)), r + np.arange(len(pairs))])
-    return singles, np.arange(len(singles))
+            at = np.arange(len(singles))
+            return np.concatenate([singles, pairs]), np.concatenate([at, r + np.arange(len(pairs))]), np.concatenate([at, np.full(len(pairs), r)])
+    return singles, np.arange(len(singles)), np.arange(len(singles))
 
 
-def set_sizes(docs: DataFrame, words: int) -> DataFrame:
+def set_sizes(docs: DataFrame, words: int, levels) -> DataFrame:
     """(doc_id, n, node) of rows (doc_id, text); node names the set, null if it is empty."""
 
     def run(each):
         for batch in each:
             sets = list(shingle_sets(batch.column(1).to_pylist(), words))
             n = np.fromiter(map(len, sets), np.int64, len(sets))
-            nodes = pa.array([set_key(s) if len(s) else None for s in sets], pa.int64())
+            nodes = pa.array([set_key(s, levels.value) if len(s) else None for s in sets], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), nodes], ["doc_id", "n", "node"])
 
     return docs.mapInArrow(run, schema("doc_id long, n long, node long"))
@@ -161,45 +172,45 @@ def frequency_levels(docs: DataFrame, words: int) -> tuple[np.ndarray, int]:
     return levels, int(np.floor(2 * np.log2(limit + 1)))
 
 
-def index_entries(docs: DataFrame, levels: np.ndarray, rare: int, words: int, bounds: Bounds) -> DataFrame:
-    """(sig, node, n, pos); equal sets of one task are indexed once."""
-    shared = docs.sparkSession.sparkContext.broadcast(levels)  # 2**TABLE_BITS bytes
+def index_entries(docs: DataFrame, shared, rare: int, words: int, bounds: Bounds) -> DataFrame:
+    """(sig, node, n, pos, lone); equal sets of one task are indexed once."""
 
     def run(each):
         levels, seen = shared.value, set()
         for batch in each:
-            cols: list[list] = [[], [], [], []]
+            cols: list[list] = [[], [], [], [], []]
 
             def out():
-                return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in cols], ["sig", "node", "n", "pos"])
+                return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in cols], ["sig", "node", "n", "pos", "lone"])
 
             rows = 0
             for s in shingle_sets(batch.column(0).to_pylist(), words):
-                if not len(s) or (node := set_key(s)) in seen:
+                if not len(s) or (node := set_key(s, levels)) in seen:
                     continue
                 if len(seen) < 1_000_000:
                     seen.add(node)
-                sig, pos = signatures(s, levels, rare, bounds)
-                for c, v in zip(cols, (sig.view(np.int64), np.full(len(sig), node), np.full(len(sig), len(s), np.int32), pos.astype(np.int32))):
+                sig, pos, lone = signatures(s, levels, rare, bounds)
+                values = (sig.view(np.int64), np.full(len(sig), node), np.full(len(sig), len(s), np.int32), pos.astype(np.int32), lone.astype(np.int32))
+                for c, v in zip(cols, values):
                     c.append(v)
                 rows += len(sig)
                 if rows > 500_000:
                     yield out()
-                    cols, rows = [[], [], [], []], 0
+                    cols, rows = [[], [], [], [], []], 0
             if rows:
                 yield out()
 
-    return docs.select("text").mapInArrow(run, schema("sig long, node long, n int, pos int"))
+    return docs.select("text").mapInArrow(run, schema("sig long, node long, n int, pos int, lone int"))
 
 
-def sets_of(nodes: DataFrame, docs: DataFrame, sizes: DataFrame, words: int) -> DataFrame:
+def sets_of(nodes: DataFrame, docs: DataFrame, sizes: DataFrame, words: int, levels) -> DataFrame:
     """(node, tokens) of the given nodes, from one text of each."""
     chosen = sizes.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("chosen"))
 
     def run(each):
         for batch in each:
             wanted = batch.column(1).to_pylist()
-            sets = [(node, s) for node, s in zip(wanted, shingle_sets(batch.column(0).to_pylist(), words)) if set_key(s) == node]
+            sets = [(node, s) for node, s in zip(wanted, shingle_sets(batch.column(0).to_pylist(), words)) if len(s) and set_key(s, levels.value) == node]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([n for n, _ in sets], pa.int64()), pa.array([s.astype("<u8").tobytes() for _, s in sets], pa.binary())], ["node", "tokens"]
             )
@@ -209,7 +220,7 @@ def sets_of(nodes: DataFrame, docs: DataFrame, sizes: DataFrame, words: int) ->
     return texts.mapInArrow(run, schema("node long, tokens binary"))
 
 
-def verified(pairs: DataFrame, docs: DataFrame, sizes: DataFrame, words: int, bounds: Bounds) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, sizes: DataFrame, words: int, bounds: Bounds, levels) -> DataFrame:
     """The rows of ``pairs`` (a, b), stored, whose whole sets reach the threshold; only their texts are moved."""
 
     def run(each):
@@ -222,7 +233,7 @@ def verified(pairs: DataFrame, docs: DataFrame, sizes: DataFrame, words: int, bo
             yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = stored(sets_of(nodes, docs, sizes, words), "jaccard-sets")
+    sets = stored(sets_of(nodes, docs, sizes, words, levels), "jaccard-sets")
     left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("y"))
     joined = pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y")
@@ -231,51 +242,58 @@ def verified(pairs: DataFrame, docs: DataFrame, sizes: DataFrame, words: int, bo
     return out
 
 
-def fitting(percent: int, a: str = "a", b: str = "b", n: str = "n", m: str = "m", p: str = "p", q: str = "q"):
-    """Size filter, and the position filter: tokens before a shared one and after it bound the overlap."""
-    size = (F.col(n) * 100 >= F.col(m) * percent) & (F.col(m) * 100 >= F.col(n) * percent)
-    most = F.least(p, q) + 1 + F.least(F.col(n) - F.col(p) - 1, F.col(m) - F.col(q) - 1)
-    return size & (most * (100 + percent) >= (F.col(n) + F.col(m)) * percent)
+def fitting(percent: int):
+    """Whether two entries (n, p, l) and (m, q, k) - size, position, lone tokens - can be those that find a link.
+
+    D tokens are in one of the sets only, at least: the lone ones, and of the others as many as the counts of
+    the others differ by; also, of the P and Q others before the shared pair, g in each at most are shared, where
+    every gap between them holds one that is not: 3 g <= P + Q.
+    """
+    n, m, p, q, l, k = (F.col(c).cast("long") for c in ("n", "m", "p", "q", "l", "k"))  # noqa: E741
+    g = F.least(p - l, q - k, F.floor((p - l + q - k) / 3))
+    d = l + k + F.greatest(p - l + q - k - 2 * g, F.abs((n - l) - (m - k)))
+    return (n + m - d) * 100 >= (n + m + d) * percent
 
 
-def linked_sets(docs: DataFrame, sizes: DataFrame, words: int, percent: int) -> DataFrame:
+def linked_sets(docs: DataFrame, sizes: DataFrame, words: int, percent: int, levels, rare: int) -> DataFrame:
     """(node, label) of the sets that are linked with another set."""
     bounds = Bounds(percent)
-    levels, rare = frequency_levels(docs, words)
     entries = stored(index_entries(docs, levels, rare, words, bounds), "jaccard-entries")
     ends = entries.groupBy("sig").agg(F.min("node").alias("first"), F.max("node").alias("last")).filter("first < last")
-    buckets = stored(entries.join(ends, "sig").select("sig", "node", "n", "pos", "first"), "jaccard-buckets")
+    buckets = stored(entries.join(ends, "sig").select("sig", "node", "n", "pos", "lone", "first"), "jaccard-buckets")
     drop_stored(entries)
 
     # stars: every set of a bucket with its first one
-    heads = buckets.filter("node = first").groupBy("sig").agg(F.min("n").alias("n"), F.min("pos").alias("p"))
-    rest = buckets.filter("node <> first").select("sig", F.col("first").alias("a"), F.col("node").alias("b"), F.col("n").alias("m"), F.col("pos").alias("q"))
+    heads = buckets.filter("node = first").groupBy("sig").agg(F.min("n").alias("n"), F.min("pos").alias("p"), F.min("lone").alias("l"))
+    rest = buckets.filter("node <> first").select("sig", F.col("first").alias("a"), F.col("node").alias("b"), F.col("n").alias("m"), F.col("pos").alias("q"), F.col("lone").alias("k"))
     stars = stored(rest.join(heads, "sig").filter(fitting(percent)).select("a", "b").distinct(), "jaccard-stars")
-    links = verified(stars, docs, sizes, words, bounds)
-    labels = stored(components(links), "jaccard-labels")
-
-    # what is left: pairs of a bucket in different components
-    placed = buckets.select("sig", "node", "n", "pos").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    links = verified(stars, docs, sizes, words, bounds, levels)
+    # a cheap label for now: the smallest set within two verified links downwards
+    up = stored(links.groupBy("b").agg(F.min("a").alias("up")), "jaccard-up")
+    above = up.select(F.col("b").alias("up"), F.col("up").alias("top"))
+    labels = up.join(above, "up", "left").select(F.col("b").alias("node"), F.coalesce("top", "up").alias("label"))
+
+    # what is left: pairs of a bucket with different labels; equal labels are connected already
+    placed = buckets.select("sig", "node", "n", "pos", "lone").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     placed = stored(placed, "jaccard-placed")
     mixed = placed.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("sig")
     placed = placed.join(mixed, "sig")
-    left = placed.select("sig", F.col("node").alias("a"), F.col("n"), F.col("pos").alias("p"), F.col("label").alias("la"))
-    right = placed.select("sig", F.col("node").alias("b"), F.col("n").alias("m"), F.col("pos").alias("q"), F.col("label").alias("lb"))
+    left = placed.select("sig", F.col("node").alias("a"), F.col("n"), F.col("pos").alias("p"), F.col("lone").alias("l"), F.col("label").alias("la"))
+    right = placed.select("sig", F.col("node").alias("b"), F.col("n").alias("m"), F.col("pos").alias("q"), F.col("lone").alias("k"), F.col("label").alias("lb"))
     across = left.join(right, "sig").filter((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & fitting(percent))
     pairs = across.select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
     pairs = stored(pairs, "jaccard-pairs")
-    if pairs.isEmpty():
-        return labels
-    more = verified(pairs, docs, sizes, words, bounds)
-    return labels if more.isEmpty() else components(links.union(more))
+    return components(links.union(verified(pairs, docs, sizes, words, bounds, levels)))
 
 
 def link(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row."""
     prepare(docs.sparkSession)
     docs = text_bytes(docs, id_col, text_col)
-    sizes = stored(set_sizes(docs, words), "jaccard-sizes")
-    labels = linked_sets(docs, sizes, words, percent)
+    levels, rare = frequency_levels(docs, words)
+    levels = docs.sparkSession.sparkContext.broadcast(levels)  # 2**TABLE_BITS bytes
+    sizes = stored(set_sizes(docs, words, levels), "jaccard-sizes")
+    labels = linked_sets(docs, sizes, words, percent, levels, rare)
     placed = sizes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = placed.filter("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("least"))
     return placed.join(least, "label", "left").select(

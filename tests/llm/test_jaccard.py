@@ -29,8 +29,15 @@ def test_a_chain_of_edits_links_to_its_ends(spark):
     assert sorted(tuple(r) for r in got) == sorted(edge.linked(rows, 4, 85))
 
 
+def _fits(percent, n, m, p, l, q, k):
+    """``jaccard.fitting`` in Python."""
+    g = min(p - l, q - k, (p - l + q - k) // 3)
+    d = l + k + max(p - l + q - k - 2 * g, abs((n - l) - (m - k)))
+    return (n + m - d) * 100 >= (n + m + d) * percent
+
+
 def test_signatures_of_linked_sets_meet():
-    """Random sets over tokens of every frequency: linked sets share an index entry."""
+    """Random sets over tokens of every frequency: linked sets share an index entry that passes the filter."""
     rng = np.random.default_rng(4)
     levels = np.zeros(1 << jaccard.TABLE_BITS, np.uint8)
     met = linked = 0
@@ -45,8 +52,8 @@ def test_signatures_of_linked_sets_meet():
         x, y = np.unique(x), np.unique(y)
         if bounds.linked(len(np.intersect1d(x, y)), len(x), len(y)):
             linked += 1
-            a, b = (set(jaccard.signatures(s, levels, 9, bounds)[0].tolist()) for s in (x, y))
-            met += bool(a & b)
+            a, b = ({h: (p, l) for h, p, l in zip(*(c.tolist() for c in jaccard.signatures(s, levels, 9, bounds)))} for s in (x, y))
+            met += any(_fits(percent, len(x), len(y), *a[h], *b[h]) for h in a.keys() & b.keys())
     assert linked > 500 and met == linked
 
 
