@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import gc
-import uuid
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from imlens.session import ensure_checkpoint_dir, ship_package
+from imlens.session import delete_path, ensure_checkpoint_dir, scratch_path, ship_package
 
 #: ASCII upper case to lower case, every other byte as it is.
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -27,8 +26,8 @@ def prepare(spark: SparkSession) -> None:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder name below the session's shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
+    """A fresh folder name below the session's shared checkpoint folder, deleted when the Python process ends."""
+    return scratch_path(spark, f"llm/{name}")
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -43,13 +42,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def drop_stored(df: DataFrame) -> None:
     """Delete the files of a ``stored`` table that nothing lazy reads any more."""
-    spark = df.sparkSession
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
-    for folder in folders:
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
         if "/llm/" in folder:
-            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(conf).delete(path, True)
+            delete_path(df.sparkSession, folder)
 
 
 def text_bytes(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
