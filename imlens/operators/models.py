@@ -12,11 +12,21 @@ import numpy as np
 from pyspark.sql import SparkSession
 
 
+#: Largest scorer that is broadcast: it is a model's parameters, whose size does not grow with the data.
+MAX_BYTES = 1 << 30
+
+
+def _broadcast(spark: SparkSession, value, size: int):
+    if size > MAX_BYTES:
+        raise ValueError(f"scorer parameters of {size} bytes exceed {MAX_BYTES}: read them on the executors instead")
+    return spark.sparkContext.broadcast(value)
+
+
 def linear_projection(spark: SparkSession, weights: np.ndarray, bias: np.ndarray | None = None):
     """Flatten each input and project it: ``x.reshape(n, -1) @ weights + bias``."""
     w = np.asarray(weights, dtype=np.float32)
     b = None if bias is None else np.asarray(bias, dtype=np.float32)
-    handle = spark.sparkContext.broadcast((w, b))
+    handle = _broadcast(spark, (w, b), w.nbytes)
 
     def make():
         wv, bv = handle.value
@@ -41,7 +51,7 @@ def onnx_model(spark: SparkSession, model_bytes: bytes, output_index: int = 0):
         import onnxruntime  # noqa: F401
     except ImportError as e:  # pragma: no cover - depends on the environment
         raise ImportError("onnx_model needs onnxruntime on the driver and the executors") from e
-    handle = spark.sparkContext.broadcast(model_bytes)
+    handle = _broadcast(spark, model_bytes, len(model_bytes))
 
     def make():
         import onnxruntime as ort

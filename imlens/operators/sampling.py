@@ -49,11 +49,6 @@ def random_n(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
     return df.orderBy(F.rand(seed)).limit(n)
 
 
-def first_n(df: DataFrame, n: int) -> DataFrame:
-    """The first n rows."""
-    return df.limit(n)
-
-
 def sample_capped(df: DataFrame, fraction: float, cap: int, seed: int = 42) -> DataFrame:
     """The notebook's preview sample: Bernoulli fraction, then at most ``cap`` rows."""
     return bernoulli(df, fraction, seed).limit(cap)

@@ -195,3 +195,25 @@ def test_raw_bytes_are_refused_with_a_hint(spark):
     df = spark.createDataFrame([(b"\x89PNG",)], "content binary")
     with pytest.raises(TypeError, match="scan_images"):
         featurize(df, "content")
+
+
+def test_a_scorer_too_large_to_broadcast_is_refused(spark, monkeypatch):
+    from imlens.operators import models
+
+    monkeypatch.setattr(models, "MAX_BYTES", 10)
+    with pytest.raises(ValueError, match="exceed"):
+        models.linear_projection(spark, np.eye(4))
+
+
+def test_memory_errors_fail_the_task(spark):
+    """They are the machine's, not the row's: nothing reaches quarantine."""
+    df = spark.createDataFrame([(1, [1.0])], "id int, v array<double>")
+    with pytest.raises(Exception, match="MemoryError"):
+        featurize(df, "v", _out_of_memory).collect()
+
+
+def _out_of_memory():
+    def predict(x):
+        raise MemoryError("MemoryError of this test")
+
+    return predict
