@@ -28,7 +28,7 @@ def _byte_letters() -> dict[int, str]:
 
 
 class CachedTokenizer:
-    def __init__(self, path: str, limit: int = 800_000):
+    def __init__(self, path: str, limit: int = 1_040_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -61,10 +61,10 @@ class CachedTokenizer:
                         self.tails.clear()
                     self.tails[tail] = self._library([tail])[0]
                 tails[k], word = self.tails[tail], core
-            text = word.decode("utf-8", "replace")
-            if _PLAIN.fullmatch(text):
-                mapped = text if word.isascii() else "".join(letters[b] for b in word)
-                out[k] = [t.id for t in tokenize(mapped)]
+            if word.isalpha():  # ASCII letters, lower case by now
+                out[k] = [t.id for t in tokenize(word.decode())]
+            elif _PLAIN.fullmatch(word.decode("utf-8", "replace")):
+                out[k] = [t.id for t in tokenize("".join([letters[b] for b in word]))]
             else:
                 rest.append((k, word))
         for (k, _), ids in zip(rest, self._library([w for _, w in rest]) if rest else ()):
