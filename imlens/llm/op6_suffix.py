@@ -40,6 +40,7 @@ from imlens.llm.suffixes import GRAM, anchors, common_prefixes, contexts, decode
 from imlens.llm.wordhash import batches
 
 LAST = 2**63 - 1  # stands for a null doc_id
+RANGES = 4  # hash ranges for each shuffle partition
 CHUNK = 6_000_000  # bytes of text whose anchors form one run
 
 
@@ -63,8 +64,24 @@ def distinct_texts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return _bucketed(own, "suffix_texts", "rk"), copies
 
 
-def shared_anchors(texts: DataFrame, length: int, ranges: int) -> DataFrame:
+def range_keys(spark: SparkSession, each: int) -> np.ndarray:
+    """Names of hash ranges, ``each`` of them for every shuffle partition, so that partitions get equal shares.
+
+    Names are chosen by the hash that Spark partitions them by; left to chance, some partitions would get
+    several times the mean.
+    """
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = spark.range(12 * each * parts).select("id", F.pmod(F.hash("id"), F.lit(parts)).alias("part")).toArrow()
+    ids, part = rows.column(0).to_numpy(), rows.column(1).to_numpy()
+    order = np.argsort(part, kind="stable")
+    starts = np.searchsorted(part[order], np.arange(parts))
+    nth = np.arange(len(order)) - starts[part[order]]
+    return ids[order][nth < each]
+
+
+def shared_anchors(texts: DataFrame, length: int, keys: np.ndarray) -> DataFrame:
     """(rk, places as u32 bytes): places of anchors whose gram occurs in another row as well."""
+    ranges = len(keys)
 
     def run(each):
         cols: list[list] = [[], [], []]
@@ -74,7 +91,7 @@ def shared_anchors(texts: DataFrame, length: int, ranges: int) -> DataFrame:
             g, owner, place = (np.concatenate(c) for c in cols)
             order = np.argsort(g, kind="stable")
             g, owner, place = g[order], owner[order].astype("<u4"), place[order].astype("<u4")
-            keys = np.array(rks, "<i8")
+            owners = np.array(rks, "<i8")
             cut = np.searchsorted(g, (np.arange(1, ranges, dtype=object) * (1 << 64) // ranges).astype(np.uint64))
             bounds = np.concatenate([[0], cut, [len(g)]])
             at = np.flatnonzero(np.diff(bounds))
@@ -83,9 +100,9 @@ def shared_anchors(texts: DataFrame, length: int, ranges: int) -> DataFrame:
                 a, b = bounds[r], bounds[r + 1]
                 used, back = np.unique(owner[a:b], return_inverse=True)
                 rows[0].append(g[a:b].astype("<u8").tobytes())
-                rows[1].append(keys[used].tobytes())
+                rows[1].append(owners[used].tobytes())
                 rows[2].append(back.astype("<u4").tobytes() + place[a:b].tobytes())
-            return pa.RecordBatch.from_arrays([pa.array(at), *(pa.array(c, pa.binary()) for c in rows)], ["range", "grams", "keys", "places"])
+            return pa.RecordBatch.from_arrays([pa.array(keys[at]), *(pa.array(c, pa.binary()) for c in rows)], ["range", "grams", "owners", "places"])
 
         for batch in each:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
@@ -104,10 +121,10 @@ def shared_anchors(texts: DataFrame, length: int, ranges: int) -> DataFrame:
 
     def pick(tab: pa.Table) -> pa.Table:
         g, rk, place = [], [], []
-        for grams, keys, places in zip(*(tab.column(c).to_pylist() for c in ("grams", "keys", "places"))):
+        for grams, owners, places in zip(*(tab.column(c).to_pylist() for c in ("grams", "owners", "places"))):
             n = len(grams) // 8
             g.append(np.frombuffer(grams, "<u8"))
-            rk.append(np.frombuffer(keys, "<i8")[np.frombuffer(places, "<u4", n)])
+            rk.append(np.frombuffer(owners, "<i8")[np.frombuffer(places, "<u4", n)])
             place.append(np.frombuffer(places, "<u4", n, 4 * n))
         g, rk, place = np.concatenate(g), np.concatenate(rk), np.concatenate(place)
         order = np.argsort(g, kind="stable")
@@ -115,18 +132,18 @@ def shared_anchors(texts: DataFrame, length: int, ranges: int) -> DataFrame:
         mixed = np.minimum.reduceat(rk[order], starts) != np.maximum.reduceat(rk[order], starts)
         keep = order[np.repeat(mixed, np.diff(np.append(starts, len(order))))]
         keep = keep[np.argsort(rk[keep], kind="stable")]
-        keys, first = np.unique(rk[keep], return_index=True)
-        parts = [p.astype("<u4").tobytes() for p in np.split(place[keep], first[1:])] if len(keys) else []
-        return pa.table({"rk": pa.array(keys, pa.int64()), "places": pa.array(parts, pa.binary())})
+        rows, first = np.unique(rk[keep], return_index=True)
+        parts = [p.astype("<u4").tobytes() for p in np.split(place[keep], first[1:])] if len(rows) else []
+        return pa.table({"rk": pa.array(rows, pa.int64()), "places": pa.array(parts, pa.binary())})
 
-    sent = texts.select("rk", "text").mapInArrow(run, schema("range long, grams binary, keys binary, places binary"))
+    sent = texts.select("rk", "text").mapInArrow(run, schema("range long, grams binary, owners binary, places binary"))
     found = sent.groupBy("range").applyInArrow(pick, "rk long, places binary")
     return found.groupBy("rk").agg(F.collect_list("places").alias("places"))
 
 
-def suffix_runs(texts: DataFrame, places: DataFrame, length: int, ranges: int) -> DataFrame:
+def suffix_runs(texts: DataFrame, places: DataFrame, length: int, keys: np.ndarray) -> tuple[DataFrame, int]:
     """(range, sorted front-coded suffixes with their owners) for the kept anchors of each text."""
-    width = 2 * length - GRAM
+    width, ranges = 2 * length - GRAM, len(keys)
 
     def run(each):
         held: list[list] = [[], [], [], [], [], []]  # context, rk, doc, place, from/to, gram
@@ -145,7 +162,7 @@ def suffix_runs(texts: DataFrame, places: DataFrame, length: int, ranges: int) -
                 spots = np.stack([place[mine], reach[mine]]).astype("<u4").tobytes()
                 for c, v in zip(cols, (shared, tails, owners, spots)):
                     c.append(v)
-            return pa.RecordBatch.from_arrays([pa.array(kept), *(pa.array(c, pa.binary()) for c in cols)], ["range", "shared", "tails", "owners", "spots"])
+            return pa.RecordBatch.from_arrays([pa.array(keys[kept]), *(pa.array(c, pa.binary()) for c in cols)], ["range", "shared", "tails", "owners", "spots"])
 
         for batch in each:
             for rk, doc, text, lists in zip(*(c.to_pylist() for c in batch.columns)):
@@ -240,10 +257,10 @@ def deduplicate(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_
         raise ValueError(f"length must lie between {GRAM + 1} and {GRAM + 40}")
     spark = docs.sparkSession
     prepare(spark)
-    ranges = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = range_keys(spark, RANGES)
     texts, copies = distinct_texts(text_bytes(docs, id_col, text_col))
-    places = stored(shared_anchors(texts, length, ranges), "suffix-places")
-    runs, width = suffix_runs(texts, places, length, ranges)
+    places = stored(shared_anchors(texts, length, keys), "suffix-places")
+    runs, width = suffix_runs(texts, places, length, keys)
     marks = stored(repeated(runs, width, length), "suffix-marks")
 
     def run(each):
