@@ -49,7 +49,7 @@ _ODD = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB866
 def shingle_sets(texts: list[bytes], words: int):
     """The sorted distinct shingle hashes of each text; a text of fewer words is one shingle."""
     odd = np.array([pow(_ODD[k % len(_ODD)], k // len(_ODD) + 1, 1 << 64) for k in range(words)], np.uint64)
-    for at, stop in batches(texts):
+    for at, stop in batches(texts, 1_000_000):
         w = Words(texts[at:stop])
         n = len(w.hashes)
         padded = np.concatenate([w.hashes, np.zeros(words, np.uint64)])
@@ -132,10 +132,9 @@ def set_sizes(docs: DataFrame, words: int, levels) -> DataFrame:
 
     def run(each):
         for batch in each:
-            sets = list(shingle_sets(batch.column(1).to_pylist(), words))
-            n = np.fromiter(map(len, sets), np.int64, len(sets))
-            nodes = pa.array([set_key(s, levels.value) if len(s) else None for s in sets], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), nodes], ["doc_id", "n", "node"])
+            rows = [(len(s), set_key(s, levels.value) if len(s) else None) for s in shingle_sets(batch.column(1).to_pylist(), words)]
+            n, nodes = zip(*rows) if rows else ((), ())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(nodes, pa.int64())], ["doc_id", "n", "node"])
 
     return docs.mapInArrow(run, schema("doc_id long, n long, node long"))
 
@@ -147,11 +146,10 @@ def frequency_levels(docs: DataFrame, words: int) -> tuple[np.ndarray, int]:
     """
 
     def run(each):
-        counts = np.zeros(1 << TABLE_BITS, np.int64)
+        counts = np.zeros(1 << TABLE_BITS, np.uint32)
         for batch in each:
-            held = [s >> np.uint64(64 - TABLE_BITS) for s in shingle_sets(batch.column(0).to_pylist(), words)]
-            if held:
-                counts += np.bincount(np.concatenate(held).astype(np.int64), minlength=len(counts))
+            for s in shingle_sets(batch.column(0).to_pylist(), words):
+                np.add.at(counts, (s >> np.uint64(64 - TABLE_BITS)).astype(np.int64), 1)
         if counts.any():
             chunks = [zlib.compress(c.astype("<u4").tobytes(), 1) for c in counts.reshape(-1, 1 << CHUNK_BITS)]
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(chunks))), pa.array(chunks, pa.binary())], ["chunk", "counts"])
@@ -194,7 +192,7 @@ def index_entries(docs: DataFrame, shared, rare: int, words: int, bounds: Bounds
                 for c, v in zip(cols, values):
                     c.append(v)
                 rows += len(sig)
-                if rows > 500_000:
+                if rows > 200_000:
                     yield out()
                     cols, rows = [[], [], [], [], []], 0
             if rows:
@@ -209,11 +207,12 @@ def sets_of(nodes: DataFrame, docs: DataFrame, sizes: DataFrame, words: int, lev
 
     def run(each):
         for batch in each:
-            wanted = batch.column(1).to_pylist()
-            sets = [(node, s) for node, s in zip(wanted, shingle_sets(batch.column(0).to_pylist(), words)) if len(s) and set_key(s, levels.value) == node]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([n for n, _ in sets], pa.int64()), pa.array([s.astype("<u8").tobytes() for _, s in sets], pa.binary())], ["node", "tokens"]
-            )
+            texts, wanted = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for at, stop in batches(texts, 4_000_000):
+                sets = [(node, s) for node, s in zip(wanted[at:stop], shingle_sets(texts[at:stop], words)) if len(s) and set_key(s, levels.value) == node]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([n for n, _ in sets], pa.int64()), pa.array([s.astype("<u8").tobytes() for _, s in sets], pa.binary())], ["node", "tokens"]
+                )
 
     # a repeated doc_id brings several texts: those of other sets are left out above
     texts = docs.join(chosen, F.col("doc_id").eqNullSafe(F.col("chosen"))).select("text", "node")
