@@ -19,10 +19,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows of one Arrow batch, at most: texts are long, and a batch is held by the JVM and by its Python worker.
+BATCH_ROWS = 1_000
+
+
 def prepare(spark: SparkSession) -> None:
-    """Register the shared checkpoint folder and make the package importable on the executors."""
+    """Register the shared checkpoint folder, make the package importable on the executors, keep Arrow batches small.
+
+    Lazy results run under the session's settings, so the batch size is lowered there; a smaller one stays.
+    """
     ensure_checkpoint_dir(spark)
     ship_package(spark)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, BATCH_ROWS)
 
 
 def scratch(spark: SparkSession, name: str) -> str:

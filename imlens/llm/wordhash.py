@@ -135,7 +135,7 @@ class WordTable:
     ``values(words)`` gives an array with a row for each of the distinct new words.
     """
 
-    def __init__(self, values, limit: int = 1_000_000):
+    def __init__(self, values, limit: int = 500_000):
         self.values, self.limit = values, limit
         self.clear()
 
