@@ -9,7 +9,9 @@ benchmark's size; for each block:
    are and sums word-by-rank parts in a shuffle; the driver orthogonalises a words-by-rank matrix);
 3. all documents are cut into overlapping windows of words, windows with enough weight of benchmark
    words are projected into the latent space, and pairs with a cosine of at least ``COSINE`` whose window
-   reaches ``CONTAINED`` of the passage's vector are candidates;
+   reaches ``CONTAINED`` of the passage's vector are candidates; so is every place with an anchor, a run of
+   ``SHORTEST`` words (a shorter item: all its words) that each ``STRETCH`` words of an item have: a copy in one
+   piece is a candidate whatever its words weigh and whatever stands beside it;
 4. a candidate is a leak if the longest common subsequence of the item's words and the words around the
    window covers ``COVER`` of the item, or ``COVER_WITH_ANSWER`` of it and the item's answer - the words after
    its last question mark, else its last sentence - stands there in one piece.
@@ -32,19 +34,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from imlens.llm.common import prepare, schema, table, text_bytes
+from imlens.llm.common import mix64, prepare, schema, table, text_bytes
 from imlens.llm.wordhash import HashTable, Words, batches
 
 ITEM_BLOCK = 1024
 SHORT, LONG = 24, 48  # words of a passage; each kind has windows of its own: (words, stride)
 WINDOWS = {SHORT: (32, 8), LONG: (64, 16)}
-RANK, EXTRA, ITERATIONS = 128, 8, 2
-COMMON = 0.02
+RANK, EXTRA, ITERATIONS = 128, 8, 2  # at least RANK, three quarters of the block's passages if that is more
 COSINE = 0.25
 CONTAINED = 0.4  # of a passage's latent vector, that a window's projection on it must reach
 MASS = 0.4  # of the least passage's weight, that a window's benchmark words must have
 COVER, COVER_WITH_ANSWER = 0.6, 0.45
 SHORTEST = 8
+STRETCH = 20  # words of an item that share an anchor
 
 #: Letters, digits and bytes from 0x80 on stay, A-Z become lower case, all else a space.
 PLAIN = bytes(b if 48 <= b < 58 or 97 <= b < 123 or b >= 128 else b + 32 if 65 <= b < 91 else 32 for b in range(256))
@@ -63,6 +65,19 @@ def answer(text: bytes) -> bytes:
     return parts[-1] if parts else b""
 
 
+_FACTORS = np.random.default_rng(0xA0C).integers(1, 2**63, SHORTEST, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def grams(hashes: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """Hashes (not 0) of the runs of ``n`` words that start at ``at``."""
+    out = np.zeros(len(at), np.uint64)
+    for j in range(n):
+        out += hashes[at + j] * _FACTORS[j]
+    out = mix64(out)
+    out[out == 0] = 1
+    return out
+
+
 def lcs(masks: dict, n: int, words) -> int:
     """Length of the longest common subsequence, by bits: ``masks`` has the places of each of the n words."""
     full = (1 << n) - 1
@@ -98,6 +113,34 @@ class Items:
         return out
 
 
+    def anchors(self, weights: np.ndarray) -> dict:
+        """words of a run -> (hashes of runs, for each its (passage, first word of the run in the item)).
+
+        Each ``STRETCH`` words, the last ones too, have the run that the fewest items share, then the heaviest.
+        """
+        first_of: dict = {}
+        for number, (k, start, _) in enumerate(self.passages):
+            first_of.setdefault(k, []).append((start, number))
+        runs, shared = [], {}
+        for words in self.words:
+            n = min(len(words), SHORTEST)
+            runs.append(grams(words, np.arange(len(words) - n + 1), n))
+            for h in set(runs[-1].tolist()):
+                shared[n, h] = shared.get((n, h), 0) + 1
+        chosen: dict = {}
+        for k, (words, of) in enumerate(zip(self.words, runs)):
+            size, n = len(words), min(len(words), SHORTEST)
+            weight = np.convolve(weights[np.searchsorted(self.vocabulary, words)], np.ones(n), "valid")
+            stretch = min(size, STRETCH)
+            for low in sorted({*range(0, size - stretch + 1, stretch), size - stretch}):
+                at = min(range(low, low + stretch - n + 1), key=lambda x: (shared[n, int(of[x])], -weight[x], x))
+                passage = max(x for x in first_of[k] if x[0] <= low)[1]
+                places = chosen.setdefault(n, {}).setdefault(int(of[at]), [])
+                if (passage, at) not in places:
+                    places.append((passage, at))
+        return {n: (np.array(list(c), np.uint64), list(c.values())) for n, c in chosen.items()}
+
+
 def document_frequencies(docs: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray, int]:
     """(documents with each vocabulary word, documents); the driver gets a number for each word of the block."""
 
@@ -126,8 +169,8 @@ def document_frequencies(docs: DataFrame, vocabulary: np.ndarray) -> tuple[np.nd
 
 
 def word_weights(frequencies: np.ndarray, total: int) -> np.ndarray:
-    """Inverse document frequencies less that of a word in ``COMMON`` of the documents; such words keep a trace."""
-    return np.maximum(np.log((total + 1) / (frequencies + 1)) + np.log(COMMON), 0) + 0.05
+    """Smoothed inverse document frequencies: 1 for a word that all documents have."""
+    return np.log((total + 1) / (frequencies + 1)) + 1
 
 
 def _sum_parts(rows: DataFrame, matrix: np.ndarray, block: int = 64) -> np.ndarray:
@@ -190,11 +233,16 @@ class Matcher:
                 mass = min(float((weights[p[2]] ** 2).sum()) for p in chosen)
                 length = np.maximum(length, 1e-12)
                 self.kinds.append((size, stride, chosen, latent / length, length[:, 0], MASS * mass))
+        self.anchors = items.anchors(weights)
         self.held = {}
 
     def prepare(self):
         self.index = HashTable()
         self.index.add(self.items.vocabulary)
+        self.runs = []
+        for n, (hashes, places) in self.anchors.items():
+            self.runs.append((n, HashTable(), places))
+            self.runs[-1][1].add(hashes)
         return self
 
     def __call__(self, texts: list[bytes]):
@@ -212,6 +260,7 @@ class Matcher:
     def _candidates(self, words: Words):
         """(text, item, cosine, from word, to word)"""
         place = self.index.find(words.hashes).astype(np.int64)
+        yield from self._anchored(words, place)
         weight = np.where(place >= 0, np.append(self.weights, 0)[place], 0)
         mass = np.concatenate([[0], np.cumsum(weight ** 2)])
         for size, stride, passages, latent, lengths_of, least in self.kinds:
@@ -243,6 +292,25 @@ class Matcher:
                     high = min(int(words.first[k + 1]), int(start[part[w]]) - first + length + slack)
                     yield k, item, round(float(cosines[w, p]), 4), low, high
 
+    def _anchored(self, words: Words, place: np.ndarray):
+        """(text, item, cosine, from word, to word) of the places of the anchors."""
+        upto = np.concatenate([[0], np.cumsum(place >= 0)])
+        stop = np.repeat(words.first[1:], words.counts)
+        for n, table, places in self.runs:
+            at = np.arange(len(place) - n + 1)
+            at = at[(upto[n:] - upto[:-n] == n)[:len(at)] & (at + n <= stop[:len(at)])]
+            which = table.find(grams(words.hashes, at, n))
+            for x, w in zip(at[which >= 0].tolist(), which[which >= 0].tolist()):
+                k = int(np.searchsorted(words.first, x, side="right")) - 1
+                begin, end = int(words.first[k]), int(words.first[k + 1])
+                for number, run in places[w]:
+                    item, first, held = self.items.passages[number]
+                    length, zero = len(self.items.words[item]), x - run
+                    here = place[max(begin, zero + first):min(end, zero + first + len(held))]
+                    seen, wanted = self.project[here[here >= 0]].sum(0), self.project[held].sum(0)
+                    cosine = float(seen @ wanted / max(np.linalg.norm(seen) * np.linalg.norm(wanted), 1e-12))
+                    yield k, item, round(cosine, 4), max(begin, zero - length // 4), min(end, zero + length + length // 4)
+
     def _verified(self, region: list[int], item: int):
         """(words covered, answer found) of a leak, else None."""
         if item not in self.held:
@@ -282,7 +350,7 @@ def matchers(docs: DataFrame, benchmark: DataFrame, item_col: str = "item_id", t
             row = tf * weights[at]
             matrix.append((at.astype("<i4").tobytes(), (row / np.linalg.norm(row)).astype("<f8").tobytes()))
         sparse = spark.createDataFrame(matrix, "words binary, weights binary")
-        yield Matcher(held, weights, latent_space(sparse, len(held.vocabulary), len(matrix)))
+        yield Matcher(held, weights, latent_space(sparse, len(held.vocabulary), len(matrix), max(RANK, len(matrix) * 3 // 4)))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

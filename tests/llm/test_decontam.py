@@ -55,6 +55,30 @@ def test_clean_keeps_the_rest_and_their_columns(spark, tmp_path):
     assert sorted(r["doc_id"] for r in out.collect()) == sorted(d for d, _ in docs if d not in leaked)
 
 
+def test_a_widespread_item_beside_others(spark):
+    """An item in a third of the documents, in words that all documents have, between two rare items."""
+    rng = random.Random(4)
+    plain = [f"plain{c}" for c in "abcdefghijkl"]
+    rare = ["".join(rng.choice("abcdefghij") for _ in range(7)) for _ in range(5000)]
+
+    def prose(n, words):
+        return " ".join(rng.choice(words) for _ in range(n))
+
+    items = [(0, prose(20, plain))] + [(i, prose(rng.randint(20, 45), rare)) for i in range(1, 160)]
+    docs, wanted = [], set()
+    for d in range(300):
+        parts = [prose(100, plain + rare[:40])]
+        if d % 3 == 0:
+            a, b = rng.sample(range(1, 160), 2)
+            parts += [items[a][1], items[0][1], items[b][1], prose(20, rare)]
+            wanted |= {(d, a), (d, 0), (d, b)}
+        docs.append((d, " ".join(parts)))
+    got = decontam.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, DDL)).collect()
+    found = {(r["doc_id"], r["item_id"]) for r in got}
+    assert wanted <= found
+    assert all(i == 0 for _, i in found - wanted)  # plain words may cover 60 % of the plain item elsewhere too
+
+
 def test_subsequence_length():
     rng = random.Random(1)
     for _ in range(200):
