@@ -14,7 +14,9 @@ benchmark's size; for each block:
    piece is a candidate whatever its words weigh and whatever stands beside it;
 4. a candidate is a leak if the longest common subsequence of the item's words and the words around the
    window covers ``COVER`` of the item, or ``COVER_WITH_ANSWER`` of it and the item's answer - the words after
-   its last question mark, else its last sentence - stands there in one piece.
+   its last question mark, else its last sentence - stands there in one piece. Of an item of more than ``LONG``
+   words a part is a leak too: ``PASSAGE_COVER`` of the words of a passage of ``LONG`` words as a common
+   subsequence, or ``RUN`` words in one piece.
 
 Words are runs of letters, digits and non-ASCII bytes, A-Z lower-cased. Whole texts are searched.
 
@@ -45,6 +47,7 @@ COSINE = 0.25
 CONTAINED = 0.4  # of a passage's latent vector, that a window's projection on it must reach
 MASS = 0.4  # of the least passage's weight, that a window's benchmark words must have
 COVER, COVER_WITH_ANSWER = 0.6, 0.45
+PASSAGE_COVER, RUN = 0.8, 40  # RUN words have a whole stretch: 2 * STRETCH - 1 are enough
 SHORTEST = 8
 STRETCH = 20  # words of an item that share an anchor
 
@@ -106,9 +109,9 @@ class Items:
             for start in range(0, max(1, len(words) - LONG // 2), LONG // 2) if len(words) > LONG else (0,):
                 self.passages.append((k, start, at[start:start + LONG]))
 
-    def masks(self, k: int) -> dict:
+    def masks(self, k: int, first: int = 0, last: int | None = None) -> dict:
         out: dict = {}
-        for place, w in enumerate(self.words[k].tolist()):
+        for place, w in enumerate(self.words[k][first:last].tolist()):
             out[w] = out.get(w, 0) | 1 << place
         return out
 
@@ -226,13 +229,14 @@ class Matcher:
         self.project = (weights[:, None] * space).astype(np.float32)
         self.kinds = []
         for longest, (size, stride) in WINDOWS.items():
-            chosen = [p for p in items.passages if (len(p[2]) <= SHORT) == (longest == SHORT)]
+            numbers = [n for n, p in enumerate(items.passages) if (len(p[2]) <= SHORT) == (longest == SHORT)]
+            chosen = [items.passages[n] for n in numbers]
             if chosen:
                 latent = np.stack([self.project[p[2]].sum(0) for p in chosen])
                 length = np.linalg.norm(latent, axis=1, keepdims=True)
                 mass = min(float((weights[p[2]] ** 2).sum()) for p in chosen)
                 length = np.maximum(length, 1e-12)
-                self.kinds.append((size, stride, chosen, latent / length, length[:, 0], MASS * mass))
+                self.kinds.append((size, stride, numbers, latent / length, length[:, 0], MASS * mass))
         self.anchors = items.anchors(weights)
         self.held = {}
 
@@ -246,24 +250,28 @@ class Matcher:
         return self
 
     def __call__(self, texts: list[bytes]):
-        """(text, item, cosine, covered words, item's words, answer found, first word, words) of the best place of each leak."""
+        """The best place of each leak: (text, item, cosine, covered words, item's words, answer found, first word, words,
+
+        words covered of the place's passage, its words, words in one piece at an anchor, 0 without one).
+        """
         for at, stop in batches(texts, 1_000_000):
             words = plain_words(texts[at:stop])
             found: dict = {}
-            for k, item, cosine, low, high in self._candidates(words):
-                leak = self._verified(words.hashes[low:high].tolist(), item)
-                if leak and (leak[0], -low) > found.get((k, item), ((-1, 0),))[0]:
-                    found[k, item] = ((leak[0], -low), cosine, leak[1], low - int(words.first[k]), high - low)
-            for (k, item), ((covered, _), cosine, told, low, n) in sorted(found.items()):
-                yield at + k, self.items.ids[item], cosine, covered, len(self.items.words[item]), told, low, n
+            for k, number, cosine, low, high, near, run in self._candidates(words):
+                item = self.items.passages[number][0]
+                leak = self._verified(words.hashes[low:high].tolist(), number, words.hashes[near[0]:near[1]].tolist(), run)
+                if leak and (rank := (leak[0], leak[2], run, -low)) > found.get((k, item), ((-1,),))[0]:
+                    found[k, item] = (rank, cosine, leak[1], low - int(words.first[k]), high - low, len(self.items.passages[number][2]))
+            for (k, item), ((covered, part, run, _), cosine, told, low, n, whole) in sorted(found.items()):
+                yield at + k, self.items.ids[item], cosine, covered, len(self.items.words[item]), told, low, n, part, whole, run
 
     def _candidates(self, words: Words):
-        """(text, item, cosine, from word, to word)"""
+        """(text, passage, cosine, from word, to word of the item's place, those of the passage's, words in one piece)"""
         place = self.index.find(words.hashes).astype(np.int64)
         yield from self._anchored(words, place)
         weight = np.where(place >= 0, np.append(self.weights, 0)[place], 0)
         mass = np.concatenate([[0], np.cumsum(weight ** 2)])
-        for size, stride, passages, latent, lengths_of, least in self.kinds:
+        for size, stride, number_of, latent, lengths_of, least in self.kinds:
             n = np.where(words.counts > 0, np.maximum(-(-(words.counts - size) // stride), 0) + 1, 0)
             owner = np.repeat(np.arange(len(n)), n)
             start = words.first[owner] + (np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)) * stride
@@ -272,28 +280,39 @@ class Matcher:
             for part in np.array_split(heavy, max(1, -(-len(heavy) // 4096))):
                 if not len(part):
                     continue
-                lengths = end[part] - start[part]
-                upto = np.cumsum(lengths)
-                at = np.repeat(start[part] - (upto - lengths), lengths) + np.arange(upto[-1])
-                known = place[at] >= 0
-                rows = np.repeat(np.arange(len(part)), lengths)[known]
-                summed = np.zeros((len(part), latent.shape[1]), np.float32)
-                cuts = np.flatnonzero(np.diff(rows, prepend=-1))
-                summed[rows[cuts]] = np.add.reduceat(self.project[place[at[known]]], cuts, axis=0)
+                summed = self._projected(words, place, owner[part], start[part], end[part], size, stride)
                 norm = np.maximum(np.linalg.norm(summed, axis=1, keepdims=True), 1e-12)
                 along = summed @ latent.T.astype(np.float32)
-                cosines = along / norm
-                for w, p in zip(*np.nonzero((cosines >= COSINE) & (along >= CONTAINED * lengths_of))):
-                    item, first, places = passages[p]
+                for w, p in zip(*np.nonzero(along >= np.maximum(COSINE * norm, CONTAINED * lengths_of))):
+                    item, first, places = self.items.passages[number_of[p]]
                     k, length = int(owner[part[w]]), len(self.items.words[item])
                     # the item's place, if its passage stands anywhere in the window
                     slack = size + length // 4
                     low = max(int(words.first[k]), int(start[part[w]]) - first - length // 4)
                     high = min(int(words.first[k + 1]), int(start[part[w]]) - first + length + slack)
-                    yield k, item, round(float(cosines[w, p]), 4), low, high
+                    more = len(places) // 4
+                    near = max(int(words.first[k]), int(start[part[w]]) - more), min(int(words.first[k + 1]), int(start[part[w]]) + size + more)
+                    yield k, number_of[p], round(float(along[w, p] / norm[w, 0]), 4), low, high, near, 0
+
+    def _projected(self, words: Words, place: np.ndarray, owner, start, end, size: int, stride: int) -> np.ndarray:
+        """Sums of the projected words of each window; words are summed once for each ``stride`` of a text."""
+        steps = -(-(end - start) // stride)
+        blocks, back = np.unique((start[:, None] + np.arange(0, size, stride)).ravel(), return_inverse=True)
+        back = back.reshape(len(start), -1)
+        last = np.zeros(len(blocks), np.int64)
+        np.maximum.at(last, back.ravel(), np.repeat(words.first[owner + 1], back.shape[1]))
+        sums = np.zeros((len(blocks) + 1, self.project.shape[1]), np.float32)
+        for q in range(stride):
+            at = np.flatnonzero(blocks + q < last)
+            at = at[place[blocks[at] + q] >= 0]
+            sums[at] += self.project[place[blocks[at] + q]]
+        out = np.zeros((len(start), sums.shape[1]), np.float32)
+        for q in range(size // stride):
+            out += sums[np.where(q < steps, back[:, q], len(blocks))]
+        return out
 
     def _anchored(self, words: Words, place: np.ndarray):
-        """(text, item, cosine, from word, to word) of the places of the anchors."""
+        """What ``_candidates`` gives, of the places of the anchors."""
         upto = np.concatenate([[0], np.cumsum(place >= 0)])
         stop = np.repeat(words.first[1:], words.counts)
         for n, table, places in self.runs:
@@ -309,20 +328,38 @@ class Matcher:
                     here = place[max(begin, zero + first):min(end, zero + first + len(held))]
                     seen, wanted = self.project[here[here >= 0]].sum(0), self.project[held].sum(0)
                     cosine = float(seen @ wanted / max(np.linalg.norm(seen) * np.linalg.norm(wanted), 1e-12))
-                    yield k, item, round(cosine, 4), max(begin, zero - length // 4), min(end, zero + length + length // 4)
-
-    def _verified(self, region: list[int], item: int):
-        """(words covered, answer found) of a leak, else None."""
-        if item not in self.held:
-            self.held[item] = self.items.masks(item)
+                    more = len(held) // 4
+                    near = max(begin, zero + first - more), min(end, zero + first + len(held) + more)
+                    # the words in one piece around the anchor, as far as text and item go
+                    low, high = max(begin, zero), min(end, zero + length)
+                    other = np.flatnonzero(words.hashes[low:high] != self.items.words[item][low - zero:high - zero]) + low
+                    cut = int(np.searchsorted(other, x))
+                    piece = (int(other[cut]) if cut < len(other) else high) - (int(other[cut - 1]) + 1 if cut else low)
+                    yield k, number, round(cosine, 4), max(begin, zero - length // 4), min(end, zero + length + length // 4), near, piece
+
+    def _verified(self, region: list[int], number: int, near: list[int], run: int):
+        """(words covered, answer found, words covered of the passage) of a leak, else None."""
+        item, first, places = self.items.passages[number]
         words, told = self.items.words[item], self.items.answers[item]
         n = len(words)
         if n < SHORTEST:
-            return (n, True) if _stands(words.tolist(), region) else None
-        covered = lcs(self.held[item], n, region)
+            return (n, True, n) if _stands(words.tolist(), region) else None
+        if number not in self.held:
+            self.held[number] = self.items.masks(item, first, first + len(places))
+        if (item, None) not in self.held:
+            self.held[item, None] = self.items.masks(item)
+        there = set(region)
+        if n <= LONG and sum(w in there for w in words.tolist()) < COVER_WITH_ANSWER * n:
+            return None  # a common subsequence has no more words than these
+        covered = lcs(self.held[item, None], n, region)
+        part = lcs(self.held[number], len(places), near) if n > LONG else covered
+        if n <= LONG and covered < COVER_WITH_ANSWER * n:
+            return None
         stands = bool(told) and _stands(told, region)
         if covered >= COVER * n or (covered >= COVER_WITH_ANSWER * n and stands and len(told) >= 3):
-            return covered, stands
+            return covered, stands, part
+        if n > LONG and (run >= RUN or len(places) == LONG and part >= PASSAGE_COVER * LONG):
+            return covered, stands, part
         return None
 
 
@@ -354,11 +391,12 @@ def matchers(docs: DataFrame, benchmark: DataFrame, item_col: str = "item_id", t
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, item_id, cosine, covered, item_words, answer_found, first_word, words): a row for each leaked item of a document."""
+    """A row for each leaked item of a document: ``Matcher`` tells its columns."""
     prepare(docs.sparkSession)
     rows = text_bytes(docs, "doc_id", "text")
     ddl = "doc_id long, item_id long, cosine double, covered int, item_words int, answer_found boolean, first_word long, words long"
-    kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.int64())
+    ddl += ", passage_covered int, passage_words int, run int"
+    kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
     out = docs.sparkSession.createDataFrame([], ddl)
     for matcher in matchers(rows, benchmark):
         shared = docs.sparkSession.sparkContext.broadcast(matcher)

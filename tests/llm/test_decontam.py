@@ -79,6 +79,26 @@ def test_a_widespread_item_beside_others(spark):
     assert all(i == 0 for _, i in found - wanted)  # plain words may cover 60 % of the plain item elsewhere too
 
 
+def test_half_of_a_long_item(spark):
+    """100 words of a 200-word item, copied, with every tenth word changed, or 40 words across two passages."""
+    rng = random.Random(6)
+
+    def prose(n):
+        return " ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(n))
+
+    items = [(i, prose(200)) for i in range(5)]
+    parts = [" ".join(t.split(" ")[50:150]) for _, t in items]
+    changed = [" ".join(w if n % 10 else "other" for n, w in enumerate(p.split(" "))) for p in parts]
+    runs = [" ".join(t.split(" ")[37:77]) for _, t in items]
+    few = [" ".join(t.split(" ")[30:50]) for _, t in items]
+    docs = [(100 * kind + i, f"{prose(80)} {p} {prose(80)}") for kind, of in enumerate((parts, changed, runs, few)) for i, p in enumerate(of)]
+    got = decontam.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, DDL)).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == {(100 * kind + i, i) for kind in range(3) for i in range(5)}
+    assert all(r["covered"] < 0.6 * r["item_words"] for r in got)
+    assert all((r["passage_covered"], r["passage_words"], r["run"]) == (48, 48, 100) for r in got if r["doc_id"] < 100)
+    assert all(r["run"] == 40 for r in got if r["doc_id"] >= 200)
+
+
 def test_subsequence_length():
     rng = random.Random(1)
     for _ in range(200):
