@@ -1,6 +1,9 @@
 """The registered queries of this subpackage and their DuckDB SQL."""
 
 from imlens.llm import op10_decontam as decontam
+from imlens.llm import op11_repair as repair
+from imlens.llm import op12_align as align
+from imlens.llm import op13_shards as shards
 from imlens.llm import op2_jaccard as jaccard
 from imlens.llm import op3_topk as topk
 from imlens.llm import op4_quotes as quotes
@@ -22,6 +25,9 @@ QUERIES = {
     "op8_brown": brown.op8_brown,
     "op9_warc": warc.op9_warc,
     "op10_decontam": decontam.op10_decontam,
+    "op11_repair": repair.op11_repair,
+    "op12_align": align.op12_align,
+    "op13_shards": shards.op13_shards,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -29,4 +35,5 @@ ORACLE_SQL: dict[str, str] = {
     "op4_quotes": quotes.ORACLE,
     "op5_mixing": mixing.ORACLE,
     "op9_warc": warc.ORACLE,
+    "op13_shards": shards.ORACLE,
 }
