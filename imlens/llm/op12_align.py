@@ -6,7 +6,9 @@ groups; an A token and a B token are linked where their bytes overlap. The count
 number of documents that hold it linked, and a link is best if its pair has the highest count among the
 pairs of its A id. The steps:
 
-1. Each task tokenises its documents and gathers (pair, document) records. A full buffer is sorted and
+1. Each task tokenises its documents and gathers (pair, document) records. Texts are cut at white space where
+   neither tokenizer joins the two sides, and each distinct chunk is encoded and aligned once by the libraries; a
+   vocabulary for which that does not hold gets whole texts (``Aligner.splits``). A full buffer is sorted and
    radix-partitioned by the A id into zstd-compressed runs: the head of a run has its pairs and their
    number of documents, the tail the documents of each pair with their occurrences (``runs``). Runs are
    rows of a written table, so they spill to shared storage and survive a lost executor.
@@ -30,7 +32,9 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import json
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -73,6 +77,10 @@ class ByteBpe:
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
+        #: no token reaches over the start of a chunk: the splitter, a fixed pattern, begins a piece there
+        shape = json.loads(self.library.to_str())
+        self.splits = shape["normalizer"] is None and shape["pre_tokenizer"] == {
+            "type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
         letters = _letter_bytes()
         names = {i: name for name, i in self.library.get_vocab().items()}
         self.size = max(names) + 1
@@ -81,8 +89,8 @@ class ByteBpe:
             for name in (names.get(i, "") for i in range(self.size))
         ]
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.library.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+    def encode(self, chunks: list[bytes]) -> list[list[int]]:
+        return [e.ids for e in self.library.encode_batch_fast([c.decode() for c in chunks], add_special_tokens=False)]
 
 
 class Pieces:
@@ -98,9 +106,15 @@ class Pieces:
             else self.library.id_to_piece(i).replace("▁", " ").encode()
             for i in range(self.size)
         ]
+        #: no piece reaches over the start of a chunk: none holds a space after another character, or a line feed
+        names = [self.library.id_to_piece(i) for i in range(self.size)]
+        self.splits = not any("▁" in name.lstrip("▁") or "\n" in name for name in names)
+        self.space = self.library.piece_to_id("▁")
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return self.library.encode(texts, num_threads=1)
+    def encode(self, chunks: list[bytes]) -> list[list[int]]:
+        """The library puts a space before each chunk: instead of that at its start, or else taken off again."""
+        out = self.library.encode([c[c[:1] == b" ":].decode() for c in chunks], num_threads=1)
+        return [ids if c[:1] == b" " else ids[1:] if ids[:1] == [self.space] else [] for c, ids in zip(chunks, out)]
 
 
 def default_paths() -> tuple[str, str]:
@@ -112,72 +126,125 @@ def default_paths() -> tuple[str, str]:
 _OPEN: dict = {}
 
 
+#: A chunk starts at a space or line feed that follows no other one and stands before one of these bytes (no white
+#: space, no first byte of a multi-byte white space).
+_SAFE = rb"!-~\xc3-\xdf\xe0\xe4-\xf4"
+_PIECES = re.compile(rb"[ \n]+[^ \n]*")
+_UNSPLIT = re.compile(rb"[ \n][ \n]|[ \n](?![" + _SAFE + rb"])")
+
+
+def chunks(whole: bytes) -> list[bytes]:
+    """``whole`` (a space and a text) cut at single spaces and line feeds before a letter, digit or sign.
+
+    Both tokenizers end a token at each cut (``Aligner.splits``), so chunks can be encoded one by one.
+    """
+    pieces = _PIECES.findall(whole)
+    if not _UNSPLIT.search(whole):
+        return pieces
+    out = []
+    for piece in pieces:
+        if out and _UNSPLIT.match(piece):
+            out[-1] += piece
+        else:
+            out.append(piece)
+    return out
+
+
 class Aligner:
-    """Both vocabularies of a worker and the order of their pairs: radix, then A id, then B id."""
+    """Both vocabularies of a worker, the order of their pairs (radix, A id, B id), and the alignment of each chunk met."""
 
-    def __init__(self, path_a: str, path_b: str, radix: int):
-        self.a, self.b, self.radix = ByteBpe(path_a), Pieces(path_b), radix
+    def __init__(self, path_a: str, path_b: str, radix: int, limit: int = 600_000):
+        self.a, self.b, self.radix, self.limit = ByteBpe(path_a), Pieces(path_b), radix, limit
+        self.splits = self.a.splits and self.b.splits
         self.length_a = np.array([len(x) for x in self.a.bytes], np.int64)
         self.length_b = np.array([len(x) for x in self.b.bytes], np.int64)
         ids = np.arange(self.a.size, dtype=np.uint64)
         self.rows = -(-self.a.size // radix)
         self.rank = (ids % np.uint64(radix)) * np.uint64(self.rows) + ids // np.uint64(radix)
-        if self.rank.max() * self.b.size >= 1 << (64 - DOC_BITS):
+        if int(self.rank.max()) * self.b.size >= 1 << (64 - DOC_BITS):
             raise ValueError("vocabularies too large for pair keys")
-        self.parts = [b"%d," % i for i in range(self.a.size)] + [b"%d|" % i for i in range(self.a.size)]
-        self.parts += [b"%d," % i for i in range(self.b.size)] + [b"%d;" % i for i in range(self.b.size)]
+        self.signs = [b"%d," % i for i in range(self.a.size)] + [b"%d|" % i for i in range(self.a.size)]
+        self.signs += [b"%d," % i for i in range(self.b.size)] + [b"%d;" % i for i in range(self.b.size)]
+        self.clear()
+
+    def clear(self):
+        self.known: dict[bytes, int] = {}
+        self.numbers, self.keys, self.texts = np.zeros((0, 6), np.int64), np.zeros(0, np.uint64), []
 
     def pair_ids(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(A ids, B ids) of pair keys."""
         rank, b = keys // np.uint64(self.b.size), keys % np.uint64(self.b.size)
         return (rank % np.uint64(self.rows)) * np.uint64(self.radix) + rank // np.uint64(self.rows), b
 
-    def align(self, texts: list[bytes | None]):
-        """For each text (n_a, n_b, n_groups, n_links, groups), and (pair keys, text numbers) of all links."""
-        stats = [(0, 0, 0, 0, b"")] * len(texts)
-        at = [k for k, t in enumerate(texts) if t]
-        decoded = [texts[k].decode("utf-8", "replace") for k in at]
+    def learn(self, new: list[bytes]) -> None:
+        """Align chunks with the libraries and keep (same, n_a, n_b, groups, first link, links), pair keys and group texts."""
         kept, ids_a, ids_b = [], [], []
-        for k, a, b in zip(at, self.a.encode(decoded), self.b.encode(decoded)):
-            whole = b" " + texts[k]
-            if b"".join(map(self.a.bytes.__getitem__, a)) == whole and b"".join(map(self.b.bytes.__getitem__, b)) == whole:
+        for k, (a, b) in enumerate(zip(self.a.encode(new), self.b.encode(new))):
+            if b"".join(map(self.a.bytes.__getitem__, a)) == new[k] == b"".join(map(self.b.bytes.__getitem__, b)):
                 kept.append(k)
                 ids_a.append(a)
                 ids_b.append(b)
-        if not kept:
-            return stats, np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        n_a, n_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (ids_a, ids_b))
-        a, b = (np.fromiter((i for run in x for i in run), np.int64, int(n.sum())) for x, n in ((ids_a, n_a), (ids_b, n_b)))
-        # the texts lie one after another; a flag at the last byte of each token
-        end_a, end_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
-        flag_a, flag_b = np.zeros(end_a[-1], bool), np.zeros(end_a[-1], bool)
-        flag_a[end_a - 1] = True
-        flag_b[end_b - 1] = True
-        # between two neighbouring ends lies one A and one B token: one link
-        ends = np.flatnonzero(flag_a | flag_b)
-        link_a = np.cumsum(flag_a, dtype=np.int32)[ends] - flag_a[ends]
-        link_b = np.cumsum(flag_b, dtype=np.int32)[ends] - flag_b[ends]
-        keys = self.rank[a[link_a]] * np.uint64(self.b.size) + b[link_b].astype(np.uint64)
-        doc_ends = end_a[np.cumsum(n_a) - 1]
-        link_docs = np.searchsorted(doc_ends, ends, "right")
-        common = np.flatnonzero(flag_a & flag_b)
-        groups = np.diff(np.searchsorted(common, doc_ends - 1, "right"), prepend=0)
-        links = np.bincount(link_docs, minlength=len(kept))
-        # A tokens of a group, then its B tokens, each with the sign that follows it
-        last_a, last_b = flag_b[end_a - 1], flag_a[end_b - 1]
-        upto_a, upto_b = np.cumsum(last_a), np.cumsum(last_b)
-        group_a, group_b = upto_a - last_a, upto_b - last_b
-        place_a = np.arange(len(a)) + np.searchsorted(group_b, group_a, "left")
-        place_b = np.arange(len(b)) + np.searchsorted(group_a, group_b, "right")
-        codes = np.empty(len(a) + len(b), np.int64)
-        codes[place_a] = a + self.a.size * last_a
-        codes[place_b] = 2 * self.a.size + b + self.b.size * last_b
-        signs = list(map(self.parts.__getitem__, codes.tolist()))
-        stop = np.cumsum(n_a + n_b).tolist()
-        for j, k in enumerate(kept):
-            text = b"".join(signs[stop[j - 1] if j else 0:stop[j]])[:-1]
-            stats[k] = (int(n_a[j]), int(n_b[j]), int(groups[j]), int(links[j]), text)
-        return stats, keys, np.asarray(kept, np.int64)[link_docs]
+        numbers, texts, keys = np.zeros((len(new), 6), np.int64), [b""] * len(new), np.zeros(0, np.uint64)
+        if kept:
+            n_a, n_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (ids_a, ids_b))
+            a, b = (np.fromiter((i for run in x for i in run), np.int64, int(n.sum())) for x, n in ((ids_a, n_a), (ids_b, n_b)))
+            # the chunks lie one after another; a flag at the last byte of each token
+            end_a, end_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
+            flag_a, flag_b = np.zeros(end_a[-1], bool), np.zeros(end_a[-1], bool)
+            flag_a[end_a - 1] = True
+            flag_b[end_b - 1] = True
+            # between two neighbouring ends lies one A and one B token: one link
+            ends = np.flatnonzero(flag_a | flag_b)
+            link_a = np.cumsum(flag_a, dtype=np.int64)[ends] - flag_a[ends]
+            link_b = np.cumsum(flag_b, dtype=np.int64)[ends] - flag_b[ends]
+            keys = self.rank[a[link_a]] * np.uint64(self.b.size) + b[link_b].astype(np.uint64)
+            stops = end_a[np.cumsum(n_a) - 1]
+            links = np.diff(np.searchsorted(ends, stops - 1, "right"), prepend=0)
+            groups = np.diff(np.searchsorted(np.flatnonzero(flag_a & flag_b), stops - 1, "right"), prepend=0)
+            numbers[kept] = np.stack([np.ones_like(n_a), n_a, n_b, groups, len(self.keys) + np.cumsum(links) - links, links], axis=1)
+            # A tokens of a group, then its B tokens, each with the sign that follows it
+            last_a, last_b = flag_b[end_a - 1], flag_a[end_b - 1]
+            group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
+            codes = np.empty(len(a) + len(b), np.int64)
+            codes[np.arange(len(a)) + np.searchsorted(group_b, group_a, "left")] = a + self.a.size * last_a
+            codes[np.arange(len(b)) + np.searchsorted(group_a, group_b, "right")] = 2 * self.a.size + b + self.b.size * last_b
+            signs = list(map(self.signs.__getitem__, codes.tolist()))
+            stop = np.cumsum(n_a + n_b).tolist()
+            for j, k in enumerate(kept):
+                texts[k] = b"".join(signs[stop[j - 1] if j else 0:stop[j]])
+        self.known.update(zip(new, range(len(self.texts), len(self.texts) + len(new))))
+        self.texts += texts
+        self.numbers, self.keys = np.concatenate([self.numbers, numbers]), np.concatenate([self.keys, keys])
+
+    def align(self, texts: list[bytes | None]):
+        """For each text (n_a, n_b, n_groups, n_links, groups), and (pair keys, text numbers) of all links."""
+        parts: list[list[bytes]] = []
+        for text in texts:
+            try:
+                (text or b"").decode()
+                parts.append([] if not text else chunks(b" " + text) if self.splits else [b" " + text])
+            except UnicodeDecodeError:
+                parts.append([])
+        flat = [c for p in parts for c in p]
+        if len(self.known) > self.limit:
+            self.clear()
+        if new := list(dict.fromkeys(c for c in flat if c not in self.known)):
+            self.learn(new)
+        at = np.fromiter(map(self.known.__getitem__, flat), np.int64, len(flat))
+        counts = np.fromiter(map(len, parts), np.int64, len(parts))
+        owner = np.repeat(np.arange(len(parts)), counts)
+        numbers = self.numbers[at]
+        whole = (np.bincount(owner[numbers[:, 0] == 0], minlength=len(parts)) == 0) & (counts > 0)
+        sums = [np.bincount(owner, numbers[:, k], len(parts)).astype(np.int64) * whole for k in (1, 2, 3, 5)]
+        used = whole[owner]
+        at, owner, first, links = at[used], owner[used], numbers[used, 4], numbers[used, 5]
+        upto = np.cumsum(links)
+        total = int(upto[-1]) if len(upto) else 0
+        keys = self.keys[np.repeat(first - (upto - links), links) + np.arange(total)]
+        signs = list(map(self.texts.__getitem__, at.tolist()))
+        stop = np.cumsum(counts * whole).tolist()
+        groups = [b"".join(signs[a:b])[:-1] for a, b in zip([0, *stop], stop)]
+        return list(zip(*(s.tolist() for s in sums), groups)), keys, np.repeat(owner, links)
 
 
 def aligner(paths: tuple[str, str], radix: int) -> Aligner:

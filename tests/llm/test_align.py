@@ -51,6 +51,25 @@ ROWS = edge.documents() + [(500, "a ▁ marker", "en", "s", 1), (501, "<s> </s>
 COLUMNS = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
 
 
+def test_chunks_are_encoded_like_whole_texts():
+    """Random texts of white space, signs, letters and special strings: chunk by chunk and whole, the same ids."""
+    import random
+
+    rng = random.Random(7)
+    parts = [" ", " ", " ", "\n", "\t", "\r", "\u00a0", "\u3000", "\u2028", "\u0085", "\x1c", "\x7f", "a", "word", "'s", "'", "12", ".", "—", "é", "日本", "😀", "Ünï",
+             "<s>", "<|endoftext|>", "  ", "\n\n", "¿", "ﬁ", "<0x0A>", "$%", "\x00", "\u200b"]
+    tool = align.Aligner(*align.default_paths(), 8)
+    plain = align.Aligner(*align.default_paths(), 8)
+    assert tool.splits
+    plain.splits = False
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 25))).encode() for _ in range(6000)]
+    texts += [b"broken \xff utf-8", b"", None]
+    stats, keys, owner = tool.align(texts)
+    want, want_keys, want_owner = plain.align(texts)
+    assert stats == want and keys.tolist() == want_keys.tolist() and owner.tolist() == want_owner.tolist()
+    assert stats[-3:] == [(0, 0, 0, 0, b"")] * 3
+
+
 def test_query_equals_brute_force(spark, tmp_path):
     out = align.op12_align(spark, edge.write_documents(spark, str(tmp_path), ROWS))
     assert out.columns == COLUMNS
