@@ -2,8 +2,8 @@
 
 A ``Classifier`` keeps the alphabetical ``StringIndexer`` it was trained with (a label that training never
 saw is an error in ``predict``, like a label encoder's), the fitted estimator, and turns indices back into
-labels. ``save_classifier`` / ``load_classifier`` keep every kind. Training is distributed by Spark ML; the
-boosted models are one-vs-rest over binary gradient-boosted trees, fitted in parallel per class.
+labels. ``save_classifier`` / ``load_classifier`` keep every kind. Logistic regression is Spark ML's; boosted trees
+(``imlens.operators.boosting``) fit all classes at once, forests (``imlens.operators.forest``) have no limit of depth.
 """
 
 from __future__ import annotations
@@ -11,23 +11,17 @@ from __future__ import annotations
 import time
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    GBTClassifier,
-    LogisticRegression,
-    OneVsRest,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IndexToString, StringIndexer, StringIndexerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from imlens.functions.vectors import as_vector
+from imlens.operators import boosting, forest
 
 _IDX, _PRED, _VEC = "_imlens_label_idx", "_imlens_pred_idx", "_imlens_x"
 
-# Upper bound on classes fitted at the same time by one-vs-rest (driver threads submitting jobs).
-MAX_PARALLEL_CLASSES = 16
 # Rows an estimator learns from at most, about: trees and boosted rounds live on the driver and need many passes.
 MAX_FIT_ROWS = 1_000_000
 
@@ -47,17 +41,22 @@ def index_labels(df: DataFrame, label: str = "label") -> DataFrame:
     return back.withColumn("label_index", F.col("_idx").cast("bigint")).drop("_idx")
 
 
-def make_estimator(kind: str, n_train: int | None = None, seed: int = 42, parallelism: int = 8, **params):
-    """Spark ML estimator for ``kind``; defaults follow the surveyed notebook's settings.
+#: The kinds whose models are this library's own.
+TREES = {"gbt": boosting.BoostedModel, "hgb": boosting.BoostedModel, "rf": forest.ForestModel}
+
+
+def make_estimator(kind: str, n_train: int | None = None, seed: int = 42, **params):
+    """The estimator, or the settings, for ``kind``; defaults follow the surveyed notebook's settings.
 
     lr   multinomial logistic regression, L2 with C = 1 (regParam = 1 / n_train), 500 iterations
-    rf   random forest, 100 trees, sqrt features per node, depth 12: at most 8,191 nodes a tree on the driver;
-         natively multi-class, the default
-    gbt  one-vs-rest gradient-boosted trees: 150 rounds, depth 7, step 0.1, row and column
-         subsampling 0.8 (the active boosted model)
-    hgb  one-vs-rest gradient-boosted trees: up to 150 rounds, depth 6, step 0.1; ``fit_classifier``
-         fits it with ``fit_one_vs_rest_early_stop`` (each class stops early on a 10 % validation
-         split); the plain estimator returned here has no early stopping
+    rf   random forest, 100 trees, sqrt features per node, no limit of depth; the default (``forest.fit``)
+    gbt  softmax boosting, the active boosted model: 150 rounds, depth 7, step 0.1, 80 % of rows and columns
+         (``boosting.softmax_settings``)
+    hgb  leaf-wise boosting: up to 150 rounds, 64 leaves, step 0.1, L2 = 1, early stop on 10 % held rows
+         (``boosting.leafwise_settings``)
+
+    For the boosted kinds the result is ``boosting.Settings``, and ``params`` are their fields; for ``rf``, a dict of
+    arguments of ``forest.fit``.
     """
     if kind == "lr":
         reg = params.pop("regParam", 1.0 / max(n_train or 1, 1))
@@ -65,16 +64,11 @@ def make_estimator(kind: str, n_train: int | None = None, seed: int = 42, parall
             family="multinomial", maxIter=500, regParam=reg, elasticNetParam=0.0, standardization=False
         )
     elif kind == "rf":
-        est = RandomForestClassifier(numTrees=100, maxDepth=12, featureSubsetStrategy="sqrt", seed=seed)
-    elif kind in ("gbt", "hgb"):
-        base = dict(maxIter=150, stepSize=0.1, seed=seed)
-        if kind == "gbt":
-            base.update(maxDepth=7, subsamplingRate=0.8, featureSubsetStrategy="0.8")
-        else:
-            base.update(maxDepth=6)
-        base.update(params)
-        params = {}
-        est = OneVsRest(classifier=GBTClassifier(**base), parallelism=parallelism)
+        return {"seed": seed} | params
+    elif kind == "gbt":
+        return boosting.softmax_settings(seed=seed, **params)
+    elif kind == "hgb":
+        return boosting.leafwise_settings(seed=seed, **params)
     else:
         raise ValueError("kind must be one of lr, rf, gbt, hgb")
     if params:
@@ -83,23 +77,6 @@ def make_estimator(kind: str, n_train: int | None = None, seed: int = 42, parall
     return est
 
 
-class OneVsRestTrees:
-    """Binary boosted models combined by the highest probability of the positive class."""
-
-    def __init__(self, models: list):
-        self.models = models
-
-    def transform(self, df: DataFrame, features: str, prediction: str) -> DataFrame:
-        """One column holds the class probabilities while they are gathered, whatever the number of classes."""
-        scores = "_ovr_scores"
-        out = df.withColumn(scores, F.array().cast("array<double>"))
-        for m in self.models:
-            m = m.copy().setFeaturesCol(features).setProbabilityCol("_ovr_p").setRawPredictionCol("_ovr_r").setPredictionCol("_ovr_y")
-            out = m.transform(out).withColumn(scores, F.concat(scores, F.array(vector_to_array(F.col("_ovr_p"))[1]))).drop("_ovr_p", "_ovr_r", "_ovr_y")
-        best = F.array_position(F.col(scores), F.array_max(scores)) - 1
-        return out.withColumn(prediction, best.cast("double")).drop(scores)
-
-
 class Classifier:
     """A fitted classifier with its label indexer; ``predict`` and ``save_classifier`` take it."""
 
@@ -113,7 +90,7 @@ class Classifier:
     def transform(self, df: DataFrame) -> DataFrame:
         """Index of each label (an error for one unseen in training) and the predicted label, from ``_VEC`` and ``_y``."""
         df = self.indexer.transform(df)
-        if isinstance(self.model, OneVsRestTrees):
+        if self.kind in TREES:
             out = self.model.transform(df, _VEC, _PRED)
         else:
             out = self.model.transform(df)
@@ -125,12 +102,11 @@ def _pipeline(model) -> PipelineModel:
 
 
 def save_classifier(model: Classifier, path: str) -> None:
-    """Spark ML writers for every part: ``indexer/`` and ``model/`` or ``trees/<class index>/``; ``kind/`` names the kind."""
+    """``indexer/`` and ``model/``, by Spark ML's writers or the model's own; ``kind/`` names the kind."""
     spark = SparkSession.getActiveSession()
     _pipeline(model.indexer).write().overwrite().save(f"{path}/indexer")
-    if isinstance(model.model, OneVsRestTrees):
-        for i, m in enumerate(model.model.models):
-            _pipeline(m).write().overwrite().save(f"{path}/trees/{i}")
+    if model.kind in TREES:
+        model.model.save(spark, f"{path}/model")
     else:
         _pipeline(model.model).write().overwrite().save(f"{path}/model")
     spark.createDataFrame([(model.kind,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/kind")
@@ -139,37 +115,11 @@ def save_classifier(model: Classifier, path: str) -> None:
 def load_classifier(spark: SparkSession, path: str) -> Classifier:
     kind = spark.read.text(f"{path}/kind").first()["value"]
     indexer = PipelineModel.load(f"{path}/indexer").stages[0]
-    if kind == "hgb":
-        trees = [PipelineModel.load(f"{path}/trees/{i}").stages[0] for i in range(len(indexer.labels))]
-        return Classifier(kind, indexer, OneVsRestTrees(trees))
+    if kind in TREES:
+        return Classifier(kind, indexer, TREES[kind].load(spark, f"{path}/model"))
     return Classifier(kind, indexer, PipelineModel.load(f"{path}/model").stages[0])
 
 
-def fit_one_vs_rest_early_stop(
-    data, n_classes: int, features: str, label: str, seed: int = 42, validation_fraction: float = 0.1, parallelism: int = 8, **gbt_params,
-) -> OneVsRestTrees:
-    """One binary boosted-tree model per class, each stopping when the shared validation rows stop
-    improving (the histogram-boosting model's early stopping). The validation indicator is drawn
-    once and the training frame checkpointed, so every class sees the same split.
-    """
-    from concurrent.futures import ThreadPoolExecutor
-
-    from imlens.session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(data.sparkSession)
-    marked = data.withColumn("_ovr_val", F.rand(seed) < F.lit(validation_fraction)).checkpoint(eager=True)
-    params = dict(maxIter=150, maxDepth=6, stepSize=0.1, validationTol=1e-7, seed=seed)
-    params.update(gbt_params)
-
-    def fit(c: int):
-        binary = marked.withColumn("_ovr_y", (F.col(label) == F.lit(float(c))).cast("double"))
-        gbt = GBTClassifier(featuresCol=features, labelCol="_ovr_y", validationIndicatorCol="_ovr_val", **params)
-        return gbt.fit(binary)
-
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        return OneVsRestTrees(list(pool.map(fit, range(n_classes))))
-
-
 def bounded(data: DataFrame, max_rows: int) -> DataFrame:
     """About ``max_rows`` rows at most, chosen by a hash of vector and label: the same rows on any partitioning."""
     n = data.count()
@@ -191,15 +141,13 @@ def fit_classifier(
     indexer = label_indexer(data, "_y", _IDX)
     data = bounded(data, max_rows)
     n_train = data.count() if kind == "lr" and "regParam" not in params else None
-    # one-vs-rest fits every class concurrently (bounded driver threads), not in waves of 8
-    parallelism = params.pop("parallelism", min(max(len(indexer.labels), 1), MAX_PARALLEL_CLASSES))
     start = time.time()
-    if kind == "hgb":
-        fitted = fit_one_vs_rest_early_stop(
-            indexer.transform(data), len(indexer.labels), _VEC, _IDX, seed=seed, parallelism=parallelism, **params
-        )
+    est = make_estimator(kind, n_train=n_train, seed=seed, **params)
+    if isinstance(est, boosting.Settings):
+        fitted = boosting.fit(indexer.transform(data), _VEC, _IDX, len(indexer.labels), est)
+    elif isinstance(est, dict):
+        fitted = forest.fit(indexer.transform(data), _VEC, _IDX, len(indexer.labels), **est)
     else:
-        est = make_estimator(kind, n_train=n_train, seed=seed, parallelism=parallelism, **params)
         est.setFeaturesCol(_VEC)
         est.setLabelCol(_IDX)
         est.setPredictionCol(_PRED)

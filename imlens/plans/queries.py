@@ -564,8 +564,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "classify_lr": _classify("lr"),
     "classify_rf": _classify("rf"),
     "classify_gbt": _classify("gbt"),
+    "classify_hgb": _classify("hgb"),
     "classify_lr_separable": _classify_separable("lr"),
-    "classify_rf_separable": _classify_separable("rf", featureSubsetStrategy="all", numTrees=20),
+    "classify_rf_separable": _classify_separable("rf", columns="all", trees=20),
+    "classify_gbt_separable": _classify_separable("gbt", rounds=20),
+    "classify_hgb_separable": _classify_separable("hgb", rounds=20),
     "featurize_batch": q_featurize_batch,
     "image_tensor": q_image_tensor,
     "image_reduction": q_image_reduction,
@@ -739,6 +742,8 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "classify_lr_separable": "SELECT vec_id, label::VARCHAR AS label, label::VARCHAR AS prediction FROM embeddings",
     "classify_rf_separable": "SELECT vec_id, label::VARCHAR AS label, label::VARCHAR AS prediction FROM embeddings",
+    "classify_gbt_separable": "SELECT vec_id, label::VARCHAR AS label, label::VARCHAR AS prediction FROM embeddings",
+    "classify_hgb_separable": "SELECT vec_id, label::VARCHAR AS label, label::VARCHAR AS prediction FROM embeddings",
     "featurize_batch": (
         "SELECT vec_id, (generate_subscripts(embedding, 1) - 1)::INTEGER AS i, "
         "round((2 * unnest(embedding))::DOUBLE, 6) AS value FROM embeddings"

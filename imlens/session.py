@@ -73,6 +73,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def written(df, name: str):
+    """``df`` written to the shared checkpoint folder and read back: cuts lineage, survives lost executors."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_written(df) -> None:
+    """Delete the files of a ``written`` table that nothing lazy reads any more."""
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        delete_path(df.sparkSession, folder)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

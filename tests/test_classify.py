@@ -17,12 +17,12 @@ def separable(spark):
 
 
 @pytest.mark.parametrize(
-    "kind,params", [("lr", {}), ("rf", {"numTrees": 10}), ("gbt", {"maxIter": 5, "maxDepth": 3}), ("hgb", {"maxIter": 5})]
+    "kind,params", [("lr", {}), ("rf", {"numTrees": 10}), ("gbt", {"rounds": 5, "max_depth": 3}), ("hgb", {"rounds": 5})]
 )
 def test_classifiers_learn_separable_data(spark, separable, kind, params):
     train, test = separable.filter(F.col("id") % 5 != 0), separable.filter(F.col("id") % 5 == 0)
     if kind == "rf":
-        model, seconds = classify.fit_classifier(train, kind=kind, numTrees=10)
+        model, seconds = classify.fit_classifier(train, kind=kind, trees=10)
     else:
         model, seconds = classify.fit_classifier(train, kind=kind, **params)
     assert seconds >= 0
@@ -40,7 +40,7 @@ def test_unseen_label_raises(spark, separable):
         classify.predict(model, separable).collect()
 
 
-@pytest.mark.parametrize("kind,params", [("lr", {}), ("rf", {"numTrees": 5}), ("gbt", {"maxIter": 3, "maxDepth": 2}), ("hgb", {"maxIter": 3})])
+@pytest.mark.parametrize("kind,params", [("lr", {}), ("rf", {"trees": 5}), ("gbt", {"rounds": 3, "max_depth": 2}), ("hgb", {"rounds": 3})])
 def test_a_saved_classifier_predicts_the_same(spark, separable, scratch, kind, params):
     model, _ = classify.fit_classifier(separable, kind=kind, **params)
     classify.save_classifier(model, f"{scratch}/m")
@@ -67,6 +67,5 @@ def test_hgb_stops_early(spark):
     rng = np.random.default_rng(3)
     rows = [(i, f"c{rng.integers(0, 3)}", rng.normal(size=4).tolist()) for i in range(300)]
     noise = spark.createDataFrame(rows, "id int, label string, features array<double>")
-    model, _ = classify.fit_classifier(noise, kind="hgb", maxIter=40, maxDepth=4)
-    trees = [m.getNumTrees for m in model.model.models]
-    assert len(trees) == 3 and max(trees) < 40
+    model, _ = classify.fit_classifier(noise, kind="hgb", rounds=40, max_leaves=8)
+    assert len(model.model.rounds) < 40 and len(model.model.rounds[0]) == 3
