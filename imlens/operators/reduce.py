@@ -1,8 +1,8 @@
 """Standardise + PCA keeping a share of the variance.
 
-Fit reads the input once: every task adds up count, means and centred cross products of its rows (numpy on
-Arrow batches), partial results are combined in two rounds of at most ``FAN_IN`` parts, and the driver
-gets at most eight d x d matrices. Standard deviations, the matrix of the standardised vectors and its eigenvectors follow
+Fit reads the input once: every task adds up count, means and centred cross products of its rows
+(``imlens.operators.moments``), the states of all tasks are combined in rounds of bounded groups, and the driver
+gets one d x d matrix. The state is kept with the model, so ``Reducer.refit`` adds new sets without reading the old ones. Standard deviations, the matrix of the standardised vectors and its eigenvectors follow
 from that one matrix, so every explained-variance ratio is known before k is chosen, and a transform
 projects on the k chosen columns only.
 
@@ -14,7 +14,6 @@ from __future__ import annotations
 import uuid
 
 import numpy as np
-import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.ml.common import _py2java
 from pyspark.ml.feature import PCAModel, StandardScalerModel, VectorSlicer
@@ -23,10 +22,8 @@ from pyspark.ml.linalg import DenseMatrix, Vectors
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from imlens.functions.vectors import as_array, as_vector
-from imlens.session import ship_package
-
-FAN_IN = 64  # parts of the first round of combining; the second has eight
+from imlens.functions.vectors import as_vector
+from imlens.operators.moments import Moments
 
 _VEC, _Z, _PC = "_imlens_vec", "_imlens_z", "_imlens_pc"
 
@@ -48,76 +45,10 @@ def choose_k(ratios, threshold: float = 0.9) -> int:
     return int(hit[0]) + 1 if hit.size else int(r.size)
 
 
-PART = "key long, dim long, n long, bad long, mean binary, cross binary"
-
-
-def _combine(parts):
-    """Sum of (dim, n, bad, mean, centred cross products); None for the matrices of an empty one."""
-    dim, n, bad, mean, cross = 0, 0, 0, None, None
-    for d, m, b, mu, c in parts:
-        bad += b
-        if not m:
-            continue
-        if n and d != dim:
-            raise ValueError(f"vector lengths differ: {min(d, dim)} and {max(d, dim)}")
-        if not n:
-            dim, n, mean, cross = d, m, mu.copy(), c.copy()
-            continue
-        shift = mu - mean
-        cross += c + np.outer(shift, shift) * (n * m / (n + m))
-        mean += shift * (m / (n + m))
-        n += m
-    return dim, n, bad, mean, cross
-
-
-def _packed(key: int, part) -> pa.Table:
-    dim, n, bad, mean, cross = part
-    blobs = [b"" if x is None else x.tobytes() for x in (mean, cross)]
-    return pa.table({"key": [key], "dim": [dim], "n": [n], "bad": [bad], "mean": pa.array(blobs[:1], pa.binary()), "cross": pa.array(blobs[1:], pa.binary())})
-
-
-def _unpacked(tab: pa.Table):
-    for r in tab.to_pylist():
-        mean = np.frombuffer(r["mean"])
-        yield r["dim"], r["n"], r["bad"], mean, np.frombuffer(r["cross"]).reshape(len(mean), len(mean))
-
-
 def moments(df: DataFrame, input_col: str):
     """(dim, rows, rows that are null or hold a null or non-finite value, mean, centred cross products) in one pass."""
-    ship_package(df.sparkSession)
-
-    def run(batches):
-        from pyspark import TaskContext
-
-        total = (0, 0, 0, None, None)
-        for batch in batches:
-            col = batch.column(0)
-            whole = col.drop_null()
-            bad, rows = len(col) - len(whole), np.zeros((0, 0))
-            if len(whole):
-                offsets = np.asarray(whole.offsets)
-                flat = whole.values.to_numpy(zero_copy_only=False)[offsets[0]:offsets[-1]].astype(np.float64)
-                sizes = np.unique(np.diff(offsets))
-                if len(sizes) > 1:
-                    raise ValueError(f"vector lengths differ: {sizes[0]} and {sizes[-1]}")
-                rows = flat.reshape(len(whole), int(sizes[0]))
-                fine = np.isfinite(rows).all(axis=1)
-                bad, rows = bad + int((~fine).sum()), rows[fine]
-            if len(rows):
-                mean = rows.mean(axis=0)
-                part = (rows.shape[1], len(rows), bad, mean, (rows - mean).T @ (rows - mean))
-            else:
-                part = (0, 0, bad, None, None)
-            total = _combine([total, part])
-        yield from _packed(TaskContext.get().partitionId() % FAN_IN, total).to_batches()
-
-    def add(key, tab):
-        return _packed(key[0].as_py() % 8, _combine(_unpacked(tab)))
-
-    parts = df.select(as_array(df, input_col).cast("array<double>").alias("v")).mapInArrow(run, PART)
-    for _ in range(2):
-        parts = parts.groupBy("key").applyInArrow(add, PART)
-    return _combine(_unpacked(parts.toArrow()))
+    m = Moments.of(df, input_col)
+    return m.dim, m.n, m.bad, m.mean, m.cross
 
 
 def _java_model(kind: str, cls, *args):
@@ -136,8 +67,9 @@ def _pca_model(components: np.ndarray, ratios: np.ndarray) -> PCAModel:
 class ReductionModel:
     """A fitted scaler + PCA + slice, stored as a Spark ML ``PipelineModel``."""
 
-    def __init__(self, pipeline: PipelineModel, input_col: str = "features", output: str = "vector"):
+    def __init__(self, pipeline: PipelineModel, input_col: str = "features", output: str = "vector", moments: Moments | None = None):
         self.pipeline = pipeline
+        self.moments = moments
         self.input_col = input_col
         self.output = output
 
@@ -195,7 +127,10 @@ class ReductionModel:
         return out
 
     def save(self, path: str) -> None:
+        """The pipeline, and in ``moments/`` the state it was fitted from."""
         self.pipeline.write().overwrite().save(path)
+        if self.moments is not None:
+            self.moments.save(SparkSession.getActiveSession(), f"{path}/moments")
 
     @classmethod
     def load(cls, path: str, input_col: str = "features", output: str = "vector") -> "ReductionModel":
@@ -224,7 +159,18 @@ class Reducer:
 
     def fit(self, df: DataFrame) -> ReductionModel:
         """Needs finite vectors of one length: others are an error that says how many there are, never left out silently."""
-        dim, n, bad, mean, cross = moments(df, self.input_col)
+        return self.fit_moments(Moments.of(df, self.input_col))
+
+    def refit(self, paths: list[str], *new: DataFrame) -> ReductionModel:
+        """The model of the sets behind saved models (``paths``) and of new ones; only the new ones are read."""
+        total = Moments.load(SparkSession.getActiveSession(), *[f"{p}/moments" for p in paths])
+        for df in new:
+            total = total + Moments.of(df, self.input_col)
+        return self.fit_moments(total)
+
+    def fit_moments(self, state: Moments) -> ReductionModel:
+        """The model of all vectors that a state has seen."""
+        dim, n, bad, mean, cross = state.dim, state.n, state.bad, state.mean, state.cross
         if bad:
             raise ValueError(f"{bad} of {bad + n} vectors are null or hold a null or non-finite value: set them aside before the fit")
         if n == 0 or dim == 0:
@@ -245,4 +191,4 @@ class Reducer:
         scaler = _java_model("StandardScalerModel", StandardScalerModel, Vectors.dense(std), Vectors.dense(mean))
         scaler._set(inputCol=_VEC, outputCol=_Z, withMean=self.with_mean, withStd=self.with_std)
         slicer = VectorSlicer(inputCol=_PC, outputCol=self.output_col, indices=list(range(k)))
-        return ReductionModel(PipelineModel([scaler, _pca_model(vectors, ratios), slicer]), input_col=self.input_col, output=self.output)
+        return ReductionModel(PipelineModel([scaler, _pca_model(vectors, ratios), slicer]), input_col=self.input_col, output=self.output, moments=state)
