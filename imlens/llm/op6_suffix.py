@@ -6,19 +6,23 @@ doc_id; strings are judged on the input. The steps:
 1. Texts that equal the text of a document with a smaller id go whole; only their ids and sizes are
    handled. The others are stored once, bucketed by a row key, so later joins move the small side only.
 2. Every string has an anchor (``imlens.llm.suffixes``). Sorted runs of anchor hashes of each task are
-   exchanged by ranges of the hash; anchors whose gram occurs in two documents at least are kept.
+   exchanged by ranges of the remixed hash; anchors whose gram occurs in two documents at least are kept. Where a
+   run holds a gram in two documents itself, its occurrences are kept there, and two of them tell the range.
 3. The suffixes at the kept anchors, with the bytes before them read backwards, are sorted in each task,
    front-coded against their predecessors and exchanged as runs. Each range merges its runs
    with a loser tree that never compares bytes of a known common prefix; the merge yields the
-   sorted suffixes and their common prefix lengths.
+   sorted suffixes and their common prefix lengths. Of equal contexts in a run only those of the smallest
+   doc_id are exchanged: all strings of the others are repeats of it already.
 4. For every offset of a string to its anchor, equal strings are neighbours in that order (suffix parts by
    common prefix, parts before the anchor by rank); the smallest doc_id of each string decides. Strings are
    compared by their bytes; hashes (64 bits) only choose candidates, and equal grams have equal hashes.
 5. The marked strings of each document are joined to its text and their bytes removed.
 
-A range holds all suffixes of its grams: 14 bytes for each occurrence of an anchor in step 2, and
-in step 3 front-coded copies that cost about ten bytes each, so a passage of many documents makes its
-range larger but not its strings.
+Two departures from a full suffix array: only suffixes at anchors (about 6 % of all places) are sorted, and
+ranges are hash ranges of the anchor's gram, so there is one sorted order in each range and none of the whole
+corpus; equal strings always meet, as they have equal anchors. A passage of many documents costs its range
+two entries (step 2) or one context (step 3) for each run, not for each document. Answers travel as packed rows, one
+for each range and bucket of documents, never one for each range and document.
 
 Defined cases: a null text is empty; a null doc_id counts as larger than every other and keeps its place
 in the result; rows that share a doc_id never remove bytes of each other; texts shorter than ``length`` are kept;
@@ -32,16 +36,64 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from imlens.llm.common import prepare, schema, scratch, stored, table, text_bytes
+from imlens.llm.common import mix64, prepare, schema, scratch, stored, table, text_bytes
 from imlens.llm.suffixes import GRAM, anchors, common_prefixes, contexts, decoded, front_coded, merged, sorted_rows
 from imlens.llm.wordhash import batches
 
 LAST = 2**63 - 1  # stands for a null doc_id
 RANGES = 4  # hash ranges for each shuffle partition
 CHUNK = 6_000_000  # bytes of text whose anchors form one run
+GRAM_BYTES = 5  # of a hash are sent: its range tells the high bits, and chance matches only add candidates
+SPREAD = np.uint64(0x9E3779B97F4A7C15)
+
+
+def spread(hashes: np.ndarray) -> np.ndarray:
+    """Anchor hashes made even: an anchor is the least of its neighbours, so its own hash lies near 0."""
+    return mix64(hashes ^ SPREAD)
+
+
+def _starts(x: np.ndarray) -> np.ndarray:
+    """Where a new value starts in an array whose equal values are neighbours."""
+    return np.flatnonzero(np.append(True, x[1:] != x[:-1])) if len(x) else np.zeros(0, np.int64)
+
+
+def packed(rk: np.ndarray, values: np.ndarray, buckets: int) -> pa.Table:
+    """(bucket, rks, values): one row for each bucket of row keys; ``values`` has one row for each of ``rk``."""
+    bucket = (rk.astype(np.uint64) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    rk, values, bucket = rk[order], values[order], bucket[order]
+    first = _starts(bucket)
+    ends = np.append(first, len(bucket))
+    parts = [(rk[a:b].astype("<i8").tobytes(), values[a:b].tobytes()) for a, b in zip(ends[:-1], ends[1:])]
+    return pa.table({"bucket": pa.array(bucket[first], pa.int64()), "rks": pa.array([p[0] for p in parts], pa.binary()), "values": pa.array([p[1] for p in parts], pa.binary())})
+
+
+PACKED = "bucket long, rks binary, values binary"
+
+
+def unpacked(rows: DataFrame, name: str, kind: str, width: int, buckets: int) -> DataFrame:
+    """(rk, ``name``): the values of each row key in one binary, from rows of PACKED; one bucket in a task holds about as much as any other."""
+
+    def gather(each):
+        rks, values = [], []
+        for batch in each:
+            rks += [np.frombuffer(b, "<i8") for b in batch.column(0).to_pylist()]
+            values += [np.frombuffer(b, kind).reshape(-1, width) for b in batch.column(1).to_pylist()]
+        if rks:
+            rk, value = np.concatenate(rks), np.concatenate(values)
+            order = np.argsort(rk, kind="stable")
+            rk, value = rk[order], value[order]
+            first = _starts(rk)
+            ends = np.append(first, len(rk))
+            for at in range(0, len(first), 1000):
+                some = [value[a:b].tobytes() for a, b in zip(ends[at:at + 1000], ends[at + 1:at + 1001])]
+                yield pa.RecordBatch.from_arrays([pa.array(rk[first[at:at + 1000]], pa.int64()), pa.array(some, pa.binary())], ["rk", name])
+
+    return rows.repartition(buckets, "bucket").select("rks", "values").mapInArrow(gather, schema(f"rk long, {name} binary"))
 
 
 def _bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
@@ -82,6 +134,7 @@ def range_keys(spark: SparkSession, each: int) -> np.ndarray:
 def shared_anchors(texts: DataFrame, length: int, keys: np.ndarray) -> DataFrame:
     """(rk, places as u32 bytes): places of anchors whose gram occurs in another row as well."""
     ranges = len(keys)
+    buckets = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(each):
         cols: list[list] = [[], [], []]
@@ -89,26 +142,35 @@ def shared_anchors(texts: DataFrame, length: int, keys: np.ndarray) -> DataFrame
 
         def out():
             g, owner, place = (np.concatenate(c) for c in cols)
-            order = np.argsort(g, kind="stable")
-            g, owner, place = g[order], owner[order].astype("<u4"), place[order].astype("<u4")
             owners = np.array(rks, "<i8")
+            order = np.lexsort((owners[owner], g))
+            g, owner, place = g[order], owner[order].astype("<u4"), place[order].astype("<u4")
+            # grams of several rows of this run: known to be shared, one entry of the first row and one of the last speak for them
+            first = _starts(g)
+            last = np.append(first[1:], len(g)) - 1
+            many = owners[owner[first]] != owners[owner[last]]
+            known = np.repeat(many, last - first + 1)
+            sent = ~known
+            sent[first], sent[last] = True, True
+            rows: list[list] = [[owners[owner[known]].tobytes()], [place[known].tobytes()], [b""]]
+            spare = keys[int(owners[0]) % ranges]  # any range may hand these on
+            g, owner, place = g[sent], owner[sent], place[sent]
             cut = np.searchsorted(g, (np.arange(1, ranges, dtype=object) * (1 << 64) // ranges).astype(np.uint64))
             bounds = np.concatenate([[0], cut, [len(g)]])
             at = np.flatnonzero(np.diff(bounds))
-            rows: list[list] = [[], [], []]
             for r in at:
                 a, b = bounds[r], bounds[r + 1]
-                used, back = np.unique(owner[a:b], return_inverse=True)
-                rows[0].append(g[a:b].astype("<u8").tobytes())
-                rows[1].append(owners[used].tobytes())
-                rows[2].append(back.astype("<u4").tobytes() + place[a:b].tobytes())
-            return pa.RecordBatch.from_arrays([pa.array(keys[at]), *(pa.array(c, pa.binary()) for c in rows)], ["range", "grams", "owners", "places"])
+                rows[0].append(owners[owner[a:b]].tobytes())
+                rows[1].append(place[a:b].tobytes())
+                rows[2].append(np.ascontiguousarray(g[a:b].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :GRAM_BYTES]).tobytes())
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.append(spare, keys[at])), *(pa.array(c, pa.binary()) for c in rows)], ["range", "owners", "places", "grams"])
 
         for batch in each:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for at, stop in batches(texts, 1_000_000):
                 text, place, _, _, g = anchors(texts[at:stop], length)
-                for c, v in zip(cols, (g, text + len(rks), place)):
+                for c, v in zip(cols, (spread(g), text + len(rks), place)):
                     c.append(v)
                 rks += ids[at:stop]
                 size += sum(map(len, texts[at:stop]))
@@ -119,26 +181,29 @@ def shared_anchors(texts: DataFrame, length: int, keys: np.ndarray) -> DataFrame
         if sum(map(len, cols[0])):
             yield out()
 
-    def pick(tab: pa.Table) -> pa.Table:
-        g, rk, place = [], [], []
-        for grams, owners, places in zip(*(tab.column(c).to_pylist() for c in ("grams", "owners", "places"))):
-            n = len(grams) // 8
-            g.append(np.frombuffer(grams, "<u8"))
-            rk.append(np.frombuffer(owners, "<i8")[np.frombuffer(places, "<u4", n)])
-            place.append(np.frombuffer(places, "<u4", n, 4 * n))
-        g, rk, place = np.concatenate(g), np.concatenate(rk), np.concatenate(place)
-        order = np.argsort(g, kind="stable")
-        starts = np.flatnonzero(np.diff(g[order], prepend=~g[order[:1]]))
-        mixed = np.minimum.reduceat(rk[order], starts) != np.maximum.reduceat(rk[order], starts)
-        keep = order[np.repeat(mixed, np.diff(np.append(starts, len(order))))]
-        keep = keep[np.argsort(rk[keep], kind="stable")]
-        rows, first = np.unique(rk[keep], return_index=True)
-        parts = [p.astype("<u4").tobytes() for p in np.split(place[keep], first[1:])] if len(rows) else []
-        return pa.table({"rk": pa.array(rows, pa.int64()), "places": pa.array(parts, pa.binary())})
-
-    sent = texts.select("rk", "text").mapInArrow(run, schema("range long, grams binary, owners binary, places binary"))
-    found = sent.groupBy("range").applyInArrow(pick, "rk long, places binary")
-    return found.groupBy("rk").agg(F.collect_list("places").alias("places"))
+    def pick(tab):
+        found, g, rk, place = [], [], [], []
+        for owners, places, grams in zip(*(tab.column(c).to_pylist() for c in ("owners", "places", "grams"))):
+            mine = np.frombuffer(owners, "<i8"), np.frombuffer(places, "<u4")
+            if grams:
+                low = np.frombuffer(grams, np.uint8).reshape(-1, GRAM_BYTES)
+                g.append(np.pad(low, ((0, 0), (0, 8 - GRAM_BYTES))).view("<u8").ravel())
+                rk.append(mine[0])
+                place.append(mine[1])
+            else:
+                found.append(mine)
+        if g:
+            g, rk, place = np.concatenate(g), np.concatenate(rk), np.concatenate(place)
+            order = np.argsort(g, kind="stable")
+            starts = _starts(g[order])
+            mixed = np.minimum.reduceat(rk[order], starts) != np.maximum.reduceat(rk[order], starts)
+            keep = order[np.repeat(mixed, np.diff(np.append(starts, len(order))))]
+            found.append((rk[keep], place[keep]))
+        rk, place = (np.concatenate(c) for c in zip(*found))
+        return packed(rk, place, buckets)
+
+    sent = texts.select("rk", "text").mapInArrow(run, schema("range long, owners binary, places binary, grams binary"))
+    return unpacked(sent.groupBy("range").applyInArrow(pick, PACKED), "places", "<u4", 1, buckets)
 
 
 def suffix_runs(texts: DataFrame, places: DataFrame, length: int, keys: np.ndarray) -> tuple[DataFrame, int]:
@@ -151,24 +216,38 @@ def suffix_runs(texts: DataFrame, places: DataFrame, length: int, keys: np.ndarr
 
         def out():
             rows, rk, doc, place, reach, g = (np.concatenate(c) for c in held)
+            # equal contexts: all strings of a larger doc_id repeat those of the smallest one
+            same = np.empty((len(rows), width + 2), np.uint8)
+            same[:, :width], same[:, width], same[:, width + 1] = rows, reach // 256, reach % 256
+            order = sorted_rows(same)
+            first = np.flatnonzero(common_prefixes(same[order]) < width + 2)
+            rows, rk, doc, place, reach, g = (x[order] for x in (rows, rk, doc, place, reach, g))
+            done = doc > np.repeat(np.minimum.reduceat(doc, first), np.diff(np.append(first, len(order))))
+            low, high = (reach[done] // 256).astype(np.uint64), (reach[done] % 256).astype(np.uint64)
+            one = np.uint64(1)
+            bits = (one << (high + one)) - (one << low)
+            known = [rk[done].astype("<i8").tobytes(), np.stack([place[done].astype("<u8"), bits], axis=1).tobytes()]
+            spare = keys[int(rk[0]) % ranges]  # any range may hand these on
+            rows, rk, doc, place, reach, g = (x[~done] for x in (rows, rk, doc, place, reach, g))
             to = ((g >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
-            cols: list[list] = [[], [], [], []]
-            kept = np.unique(to)
-            for r in kept:
-                mine = np.flatnonzero(to == r)
-                mine = mine[sorted_rows(rows[mine])]
+            cols: list[list] = [[None], [None], known[:1], known[1:]]
+            by_range = np.argsort(to, kind="stable")
+            kept, begin = np.unique(to[by_range], return_index=True)
+            for a, b in zip(begin, np.append(begin[1:], len(to))):
+                mine = by_range[a:b]
                 shared, tails = front_coded(rows[mine])
+                tails = zstandard.compress(tails, 1)
                 owners = np.stack([rk[mine], doc[mine]]).astype("<i8").tobytes()
                 spots = np.stack([place[mine], reach[mine]]).astype("<u4").tobytes()
                 for c, v in zip(cols, (shared, tails, owners, spots)):
                     c.append(v)
-            return pa.RecordBatch.from_arrays([pa.array(keys[kept]), *(pa.array(c, pa.binary()) for c in cols)], ["range", "shared", "tails", "owners", "spots"])
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.append(spare, keys[kept])), *(pa.array(c, pa.binary()) for c in cols)], ["range", "shared", "tails", "owners", "spots"])
 
         for batch in each:
-            for rk, doc, text, lists in zip(*(c.to_pylist() for c in batch.columns)):
-                wanted = np.concatenate([np.frombuffer(p, "<u4") for p in lists])
+            for rk, doc, text, wanted in zip(*(c.to_pylist() for c in batch.columns)):
                 _, place, low, high, g = anchors([text], length)
-                keep = np.isin(place, wanted)
+                g, keep = spread(g), np.isin(place, np.frombuffer(wanted, "<u4"))
                 place, low, high, g = place[keep], low[keep], high[keep], g[keep]
                 n = len(place)
                 if not n:
@@ -194,14 +273,26 @@ def suffix_runs(texts: DataFrame, places: DataFrame, length: int, keys: np.ndarr
 def repeated(runs: DataFrame, width: int, length: int) -> DataFrame:
     """(rk, marks as pairs of u32: place, bits of the offsets whose strings start in a smaller document)."""
 
-    def decide(tab: pa.Table) -> pa.Table:
+    buckets = int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def decide(tab):
         heads, rk, doc, place, reach = [], [], [], [], []
+        known = [(np.zeros(0, np.int64), np.zeros((0, 2), np.uint64))]
         for shared, tails, owners, spots in zip(*(tab.column(c).to_pylist() for c in ("shared", "tails", "owners", "spots"))):
+            if shared is None:
+                known.append((np.frombuffer(owners, "<i8"), np.frombuffer(spots, "<u8").reshape(-1, 2)))
+                continue
             n = len(shared)
-            heads.append((shared, decoded(shared, tails, width)))
+            heads.append((shared, decoded(shared, zstandard.decompress(tails), width)))
             a, b = np.frombuffer(owners, "<i8").reshape(2, n)
             p, q = np.frombuffer(spots, "<u4").reshape(2, n)
             rk.append(a), doc.append(b), place.append(p), reach.append(q)
+        if heads:
+            known.append(marked(heads, rk, doc, place, reach))
+        return packed(*(np.concatenate(c) for c in zip(*known)), buckets)
+
+    def marked(heads, rk, doc, place, reach) -> tuple[np.ndarray, np.ndarray]:
+        """(rk, (place, bits)) of the strings that start in a smaller document."""
         order, lcps = merged(heads, width)
         base = np.concatenate([[0], np.cumsum([len(h[0]) for h in heads])])
         at = np.array([base[r] + k for r, k in order], np.int64)
@@ -226,22 +317,17 @@ def repeated(runs: DataFrame, width: int, length: int) -> DataFrame:
             least = np.repeat(np.minimum.reduceat(doc[mine][sort], starts), np.diff(np.append(starts, len(sort))))
             marks[mine[sort][least < doc[mine][sort]]] |= np.uint64(1 << i)
         hit = np.flatnonzero(marks)
-        hit = hit[np.argsort(rk[hit], kind="stable")]
-        keys, first = np.unique(rk[hit], return_index=True)
-        pairs = np.stack([place[hit].astype(np.uint64), marks[hit]], axis=1)
-        parts = [p.astype("<u8").tobytes() for p in np.split(pairs, first[1:])] if len(keys) else []
-        return pa.table({"rk": pa.array(keys, pa.int64()), "marks": pa.array(parts, pa.binary())})
+        return rk[hit], np.stack([place[hit].astype(np.uint64), marks[hit]], axis=1)
 
-    found = runs.groupBy("range").applyInArrow(decide, "rk long, marks binary")
-    return found.groupBy("rk").agg(F.collect_list("marks").alias("marks"))
+    return unpacked(runs.groupBy("range").applyInArrow(decide, PACKED), "marks", "<u8", 2, buckets)
 
 
-def cut(text: bytes, marks: list[bytes] | None, length: int) -> tuple[bytes, int, int]:
+def cut(text: bytes, marks: bytes | None, length: int) -> tuple[bytes, int, int]:
     """(bytes kept, bytes removed, maximal removed runs)."""
     if not marks:
         return text, 0, 0
     edge = np.zeros(len(text) + 1, np.int64)
-    pairs = np.concatenate([np.frombuffer(m, "<u8").reshape(-1, 2) for m in marks])
+    pairs = np.frombuffer(marks, "<u8").reshape(-1, 2)
     for i in range(length - GRAM + 1):
         starts = pairs[(pairs[:, 1] >> np.uint64(i)) & np.uint64(1) == 1, 0].astype(np.int64) - i
         np.add.at(edge, starts, 1)
@@ -266,8 +352,8 @@ def deduplicate(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_
     def run(each):
         for batch in each:
             out = [[], [], [], [], []]
-            for text, lists in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                kept, removed, spans = cut(text, lists, length)
+            for text, marks in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                kept, removed, spans = cut(text, marks, length)
                 for c, v in zip(out, (len(text), removed, spans, hashlib.sha256(kept).hexdigest(), kept)):
                     c.append(v)
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())

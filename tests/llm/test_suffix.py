@@ -26,6 +26,29 @@ def test_overlaps_at_every_offset(spark):
     assert sorted(got) == sorted(edge.deduplicated(rows, 50))
 
 
+def test_ranges_have_equal_shares(spark):
+    """An anchor is the least hash of its neighbours; the ranges deal its gram by a remixed hash."""
+    texts = [r["text"].encode() for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect() if r["text"]]
+    hashes = np.unique(suffix.spread(suffixes.anchors(texts, 50)[4]))
+    share = np.bincount((hashes >> np.uint64(59)).astype(int), minlength=32) / len(hashes)
+    assert share.max() < 1.1 / 32 and share.min() > 0.9 / 32
+
+
+def test_answers_are_packed(spark, tmp_path):
+    """No more rows leave a range than there are buckets, however many documents share its grams."""
+    passage = "a passage that stands in every one of the documents, word for word and byte for byte. "
+    rows = [(k, f"{k} {k * 7} " + passage * 2 + f" {k * 13}") for k in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    keys = suffix.range_keys(spark, 2)
+    texts, _ = suffix.distinct_texts(suffix.text_bytes(docs, "doc_id", "text"))
+    places = suffix.shared_anchors(texts, 50, keys)
+    assert places.count() == len(rows)
+    got = [tuple(r) for r in suffix.deduplicate(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()]
+    assert sorted(got) == sorted(edge.deduplicated(rows, 50))
+    packed = suffix.packed(np.arange(10_000) * 31, np.arange(10_000, dtype="<u4"), 8)
+    assert packed.num_rows == 8 and sum(len(v.as_py()) for v in packed["values"]) == 40_000
+
+
 def test_merge_gives_order_and_common_prefixes():
     rng = random.Random(1)
     for _ in range(100):
