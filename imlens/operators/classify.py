@@ -14,11 +14,12 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IndexToString, StringIndexer, StringIndexerModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from imlens.functions.vectors import as_vector
-from imlens.operators import boosting, forest
+from imlens.operators import boosting, forest, sampling
+from imlens.session import written
 
 _IDX, _PRED, _VEC = "_imlens_label_idx", "_imlens_pred_idx", "_imlens_x"
 
@@ -45,6 +46,35 @@ def index_labels(df: DataFrame, label: str = "label") -> DataFrame:
 TREES = {"gbt": boosting.BoostedModel, "hgb": boosting.BoostedModel, "rf": forest.ForestModel}
 
 
+def label_table(df: DataFrame, label: str = "label") -> DataFrame:
+    """(label, label_index): the alphabetical index of every label, however many there are.
+
+    Distinct labels are range-partitioned and written; counts of the slices (a few numbers) give each slice its offset.
+    Null labels have no index.
+    """
+    n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    names = df.select(F.col(label).cast("string").alias("label")).filter("label IS NOT NULL").distinct()
+    names = written(names.repartitionByRange(n, "label").withColumn("slice", F.spark_partition_id()), "labels")
+    ahead = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)  # over at most n rows
+    offsets = names.groupBy("slice").agg(F.count("*").alias("n")).select("slice", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("ahead"))
+    inside = F.row_number().over(Window.partitionBy("slice").orderBy("label"))
+    return names.withColumn("place", inside).join(offsets, "slice").select("label", (F.col("ahead") + F.col("place") - 1).alias("label_index"))
+
+
+def with_label_index(df: DataFrame, labels: DataFrame, label: str = "label") -> DataFrame:
+    """``df`` with ``label_index`` by a join with ``label_table``; a label that it does not hold is an error."""
+    names = labels.select(F.col("label").alias("_name"), F.col("label_index").alias("_index"))
+    joined = df.join(names, F.col(label).cast("string") == F.col("_name"), "left")
+    unseen = F.raise_error(F.concat(F.lit("Unseen label: "), F.coalesce(F.col(label).cast("string"), F.lit("null")))).cast("bigint")
+    return joined.withColumn("label_index", F.coalesce("_index", unseen)).drop("_name", "_index")
+
+
+def with_label(df: DataFrame, labels: DataFrame, index: str = "label_index", output: str = "label_back") -> DataFrame:
+    """``df`` with the label of an index (F11); an index of no label gives null."""
+    names = labels.select(F.col("label").alias(output), F.col("label_index").alias("_index"))
+    return df.join(names, F.col(index) == F.col("_index"), "left").drop("_index")
+
+
 def make_estimator(kind: str, n_train: int | None = None, seed: int = 42, **params):
     """The estimator, or the settings, for ``kind``; defaults follow the surveyed notebook's settings.
 
@@ -120,26 +150,39 @@ def load_classifier(spark: SparkSession, path: str) -> Classifier:
     return Classifier(kind, indexer, PipelineModel.load(f"{path}/model").stages[0])
 
 
-def bounded(data: DataFrame, max_rows: int) -> DataFrame:
-    """About ``max_rows`` rows at most, chosen by a hash of vector and label: the same rows on any partitioning."""
-    n = data.count()
-    if n <= max_rows:
-        return data
-    steps = 1 << 40
-    place = F.pmod(F.xxhash64(vector_to_array(_VEC), F.col("_y")), F.lit(steps))
-    return data.filter(place < int(steps * max_rows / n))
+def rows_per_label(counts: list[int], max_rows: int) -> int:
+    """The largest number of rows taken of every label at most, at least one, such that all together are ``max_rows`` or fewer."""
+    left, rest = max_rows, sorted(counts)
+    for k, n in enumerate(rest):
+        if n * (len(rest) - k) > left:
+            return max(1, left // (len(rest) - k))
+        left -= n
+    return rest[-1] if rest else 1
+
+
+def bounded(data: DataFrame, max_rows: int, key: str) -> DataFrame:
+    """At most ``max_rows`` rows (but one of each label), the same on any partitioning: small labels whole, large ones thinned evenly.
+
+    Rows are chosen by a hash of ``key``, so copies of a vector are thinned like other rows.
+    """
+    counts = [r["count"] for r in data.groupBy("_y").count().collect()]  # one row for each label
+    n = rows_per_label(counts, max_rows)
+    return sampling.sample_by_label(data, "_y", key, n) if max(counts, default=0) > n else data
 
 
 def fit_classifier(
-    train: DataFrame, features: str = "features", label: str = "label", kind: str = "rf", seed: int = 42, max_rows: int = MAX_FIT_ROWS, **params
+    train: DataFrame, features: str = "features", label: str = "label", kind: str = "rf", seed: int = 42, max_rows: int = MAX_FIT_ROWS,
+    key: str | None = None, **params
 ) -> tuple[Classifier, float]:
     """Fit label indexing + estimator; returns (classifier, seconds spent fitting).
 
-    The label set comes from all rows; the estimator learns from about ``max_rows`` rows at most.
+    The label set comes from all rows; the estimator learns from ``max_rows`` rows at most, chosen by a hash of the
+    column ``key`` (of the vector without one: then equal vectors are taken or left together).
     """
-    data = train.select(as_vector(train, features).alias(_VEC), F.col(label).cast("string").alias("_y"))
+    name = F.col(key).cast("string") if key else F.xxhash64(vector_to_array(as_vector(train, features))).cast("string")
+    data = train.select(as_vector(train, features).alias(_VEC), F.col(label).cast("string").alias("_y"), name.alias("_key"))
     indexer = label_indexer(data, "_y", _IDX)
-    data = bounded(data, max_rows)
+    data = bounded(data, max_rows, "_key").drop("_key")
     n_train = data.count() if kind == "lr" and "regParam" not in params else None
     start = time.time()
     est = make_estimator(kind, n_train=n_train, seed=seed, **params)

@@ -318,6 +318,24 @@ def evaluation_bundle(
     return out
 
 
+def distinct_sketches(df: DataFrame, column: str, by: list[str] | None = None, lg_k: int = 12) -> DataFrame:
+    """(by..., sketch): a HyperLogLog sketch of the distinct values of each group (A3), to be stored and united later.
+
+    2^lg_k counters: a relative error of about 1.04 / 2^(lg_k / 2), 1.6 % for 12; few values are counted exactly.
+    """
+    return df.groupBy(*(by or [])).agg(F.hll_sketch_agg(F.col(column).cast("string"), F.lit(lg_k)).alias("sketch"))
+
+
+def united_sketches(sketches: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """(by..., sketch): the sketches of each group as if their rows had been one set."""
+    return sketches.groupBy(*(by or [])).agg(F.hll_union_agg("sketch").alias("sketch"))
+
+
+def sketch_counts(sketches: DataFrame) -> DataFrame:
+    """``sketches`` with ``n_distinct`` (a rounded estimate) in place of the sketch."""
+    return sketches.withColumn("n_distinct", F.hll_sketch_estimate("sketch")).drop("sketch")
+
+
 def report_from_cells(cells: DataFrame) -> DataFrame:
     """class_report computed from the (label, prediction, n) cell table instead of rows."""
     return _report_from_stats(_stats_from_cells(cells))

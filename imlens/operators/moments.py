@@ -22,7 +22,7 @@ FAN_IN = 32
 STATE = "key long, part long, dim long, n long, bad long, mean binary, cross binary"
 
 
-def combine_tree(parts: DataFrame, merge, fan_in: int = FAN_IN) -> DataFrame:
+def combine_tree(parts: DataFrame, merge, fan_in: int = FAN_IN, key: str = "key") -> DataFrame:
     """One row for each ``key`` from rows (key, part, ...), at most ``fan_in`` rows of a key to a group in each round.
 
     ``merge(a, b)`` combines two rows, as dicts without key and part, into one. Rounds go on until every key has one
@@ -37,21 +37,21 @@ def combine_tree(parts: DataFrame, merge, fan_in: int = FAN_IN) -> DataFrame:
         for batch in batches:
             arrow = batch.schema
             for row in batch.to_pylist():
-                at = row.pop("key"), row.pop("part")
+                at = {key: row.pop(key), "part": row.pop("part")}
                 if at == now:
                     total = merge(total, row)
                     continue
                 if now is not None:
-                    yield _row(arrow, now, total)
+                    yield _row(arrow, now | total)
                 now, total = at, row
         if now is not None:
-            yield _row(arrow, now, total)
+            yield _row(arrow, now | total)
 
     partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     before = None
     while True:
         grouped = parts.withColumn("part", F.floor(F.col("part") / fan_in).cast("long"))
-        grouped = grouped.repartition(partitions, "key", "part").sortWithinPartitions("key", "part")
+        grouped = grouped.repartition(partitions, key, "part").sortWithinPartitions(key, "part")
         parts = written(grouped.mapInArrow(run, ddl), "combined")
         if before is not None:
             drop_written(before)
@@ -60,8 +60,7 @@ def combine_tree(parts: DataFrame, merge, fan_in: int = FAN_IN) -> DataFrame:
         before = parts
 
 
-def _row(arrow: pa.Schema, at: tuple, values: dict) -> pa.RecordBatch:
-    row = {"key": at[0], "part": at[1]} | values
+def _row(arrow: pa.Schema, row: dict) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([row[f.name]], f.type) for f in arrow], schema=arrow)
 
 

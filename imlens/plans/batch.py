@@ -16,8 +16,8 @@ Partitioning: the image scan packs files into partitions by ``spark.sql.files.ma
 and ``spark.sql.files.openCostInBytes``. Spark's default open cost (4 MB) is sized for large data
 files and would put only ~32 small images in a task (tens of millions of tasks for billions of
 images); the job lowers it to ``open_cost_bytes`` while it runs, so a task holds hundreds of images
-and no shuffle of decoded pixels is needed. ``partitions`` forces a round-robin repartition of the
-decoded rows for the rare case of a few huge files.
+and no shuffle of decoded pixels is needed. ``partitions`` asks for about so many tasks: the listing's bytes are divided
+among them before any file is opened (``sources.files.task_bytes``), and files are decoded where they were dealt.
 
 The job always covers whole folders. A trial on a few images is ``trial_paths`` (a sample of the listing, no
 pixels read) followed by ``scan_images`` of those paths; it shares no output with the job.
@@ -35,7 +35,7 @@ from imlens.functions.vectors import vector_error
 from imlens.operators import metrics, sampling
 from imlens.operators.features import featurize
 from imlens.operators.reduce import ReductionModel, Reducer
-from imlens.sources.files import image_items, scan_binary, scan_images
+from imlens.sources.files import image_items, scan_binary, scan_images, task_bytes
 from imlens.session import delete_path, session_conf
 from imlens.sources.sinks import _qualified, guard_overlap, write_parquet
 
@@ -162,15 +162,18 @@ def _score_sets(spark: SparkSession, sets: dict[str, str], target: str, o: Score
     for name, folder in sets.items():
         one = labelled_images(spark, folder, name, rule=o.rule, glob=o.glob, root=o.root)
         items = one if items is None else items.unionByName(one)
-    if o.partitions:
-        items = items.repartition(o.partitions)
-
     scored = featurize(
         items, "image", o.make_predict_fn, batch_size=o.batch_size, size=o.size, on_error=o.on_error,
         zero_dim=o.zero_dim,
     ).drop("image")
     scored = scored.withColumn("error", F.coalesce(F.col("error"), vector_error(scored, "features", o.dim)))
-    write_parquet(scored.select("path", "label", "features", "error", "split"), target, partition_by=["split"])
+    packing = {}
+    if o.partitions:
+        cost = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.openCostInBytes"))
+        listings = [scan_binary(spark, folder, glob=o.glob).select("path", "length") for folder in sets.values()]
+        packing = {"spark.sql.files.maxPartitionBytes": task_bytes(listings, o.partitions, cost), "spark.sql.files.minPartitionNum": 1}
+    with session_conf(spark, packing):
+        write_parquet(scored.select("path", "label", "features", "error", "split"), target, partition_by=["split"])
 
 
 def _fit_and_apply(spark, sets, paths, fit_set, threshold, legacy_format: bool = False, max_failed_share: float = 1.0) -> JobResult:

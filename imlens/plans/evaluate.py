@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from imlens.functions.paths import label_from_parent
-from imlens.operators import classify, metrics, sampling
+from imlens.operators import classify, layout, metrics, sampling
 from imlens.session import scratch_path
 from imlens.sources.files import scan_binary
 from imlens.sources.sinks import write_parquet
@@ -67,7 +67,7 @@ def classify_and_evaluate(
     table = read_sets(spark, reduced)
     train = table.filter(F.col("split") == fit_set)
     test = table.filter(F.col("split") == eval_set)
-    model, seconds = classify.fit_classifier(train, features, "label", kind=kind, **params)
+    model, seconds = classify.fit_classifier(train, features, "label", kind=kind, key="path", **params)
     path = predictions or scratch_path(spark, "predictions")
     write_parquet(classify.predict(model, test, features, "label", keep=["path"]), path, inputs=[reduced] if isinstance(reduced, str) else list(reduced.values()))
     pred = spark.read.parquet(path)
@@ -84,9 +84,16 @@ def classify_and_evaluate(
     return bundle
 
 
-def weak_class_points(reduced: DataFrame, predictions: DataFrame, weak: DataFrame) -> DataFrame:
-    """2-D view input of weak classes: first two components of rows whose true label is weak."""
+def weak_class_points(reduced: DataFrame, predictions: DataFrame, weak: DataFrame, neighbours: bool = False, **settings) -> DataFrame:
+    """2-D view input of weak classes: the rows whose true label is weak with two coordinates.
+
+    The first two components, or with ``neighbours`` the neighbour-preserving layout of these rows (``settings`` of
+    ``layout.layout``).
+    """
     rows = metrics.weak_rows(predictions, weak)
+    if neighbours:
+        chosen = reduced.join(rows.select("path"), "path", "left_semi")
+        return rows.join(layout.layout(chosen, "path", "pca_features", **settings), "path")
     xy = reduced.select("path", vector_to_array("pca_features").alias("a")).select(
         "path", F.col("a")[0].alias("x"), F.col("a")[1].alias("y")
     )

@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 
 from imlens.functions.paths import bucket_and_key, decode_path, label_from_parent, label_under, set_name
 from imlens.functions.vectors import as_vector, length_distribution, length_summary, vector_error
-from imlens.operators import classify, features, metrics, sampling
+from imlens.operators import classify, features, layout, metrics, models, sampling, wide_pca
 from imlens.operators.reduce import Reducer
-from imlens.plans import batch
+from imlens.plans import batch, evaluate
 from imlens.session import ensure_checkpoint_dir, scratch_path
 from imlens.sources.files import image_items, read_features, scan_binary, scan_images
 from imlens.sources.sinks import write_csv, write_parquet
@@ -35,6 +35,8 @@ from imlens.sources.sinks import write_csv, write_parquet
 STABLE_FRACTION = 0.1
 WEAK_RECALL = 0.9
 VARIANCE_SHARE = 0.9
+SAMPLE_ROWS = 23  # of every label
+WIDE_K = 5
 LANGUAGES = ["de", "en", "es", "fr"]  # the columns asked for in the wide matrices
 VECTOR_LENGTH = 64  # of the embeddings table
 
@@ -98,8 +100,8 @@ def q_scan_binary(spark, sf_dir):
 
 
 def q_scan_content(spark, sf_dir):
-    """S1 with bytes: the MD5 of every small table file's content, read by the binary source."""
-    files = scan_binary(spark, sf_dir, glob="{region,nation,benchmark}.parquet")
+    """S1 with bytes: the MD5 of every table file's content, read by the binary source."""
+    files = scan_binary(spark, sf_dir, glob="*.parquet")
     return files.select(F.regexp_extract("path", r"[^/]+$", 0).alias("name"), F.md5("content").alias("md5"))
 
 
@@ -291,8 +293,8 @@ def q_js_distance(spark, sf_dir):
 
 
 def _train_labels(spark, sf_dir):
-    """Labels a model would have been trained on: those of documents with an odd id, English left out."""
-    docs = table(spark, sf_dir, "documents").filter("doc_id % 2 = 1 AND lang <> 'en'")
+    """Labels a model would have been trained on: those of all documents, English left out."""
+    docs = table(spark, sf_dir, "documents").filter("lang <> 'en'")
     return docs.select(F.col("lang").alias("label"))
 
 
@@ -473,45 +475,158 @@ def q_image_reduction(spark, sf_dir):
 
 
 def bitmap_tree(spark: SparkSession, sf_dir: str) -> str:
-    """Every embedding as an 8 x 8 bitmap file in ``<split>/<label>/<vec_id>`` folders of the shared folder.
+    """Every embedding as an 8 x 9 bitmap file in ``<split>/<label>`` folders of the shared folder.
 
-    The file is built with JVM expressions (54 header bytes, then rows from the bottom up, three equal bytes a pixel)
-    and written by Spark's text writer, one row a file; decoders stop before the line end that it adds.
+    The file is built with JVM expressions (54 header bytes, then rows from the bottom up, three equal bytes a pixel; the
+    top row begins with the eight bytes of ``vec_id``) and written by Spark's text writer, one row a file; decoders stop
+    before the line end that it adds.
     """
     images = embedding_images(spark, sf_dir).filter("image IS NOT NULL")
     grey = F.hex("image.data")
     rows = [F.substring(grey, 16 * y + 1, 16) for y in range(7, -1, -1)]
-    body = F.regexp_replace(F.concat(*rows), "(..)", "$1$1$1")
+    body = F.concat(F.regexp_replace(F.concat(*rows), "(..)", "$1$1$1"), F.rpad(F.lpad(F.hex("vec_id"), 16, "0"), 48, "0"))
     head = (
-        "424D" + (54 + 192).to_bytes(4, "little").hex() + "00000000" + (54).to_bytes(4, "little").hex() + (40).to_bytes(4, "little").hex()
-        + (8).to_bytes(4, "little").hex() * 2 + "01001800" + "00000000" + (192).to_bytes(4, "little").hex() + "00" * 16
+        "424D" + (54 + 216).to_bytes(4, "little").hex() + "00000000" + (54).to_bytes(4, "little").hex() + (40).to_bytes(4, "little").hex()
+        + (8).to_bytes(4, "little").hex() + (9).to_bytes(4, "little").hex() + "01001800" + "00000000" + (216).to_bytes(4, "little").hex() + "00" * 16
     )
     out = scratch_path(spark, "bitmaps")
     parts = F.split(F.col("image.origin"), "/")
     files = images.select(
-        F.unhex(F.concat(F.lit(head), body)).cast("string").alias("value"), F.element_at(parts, -3).alias("images"), F.element_at(parts, -2).alias("label"), "vec_id"
+        F.unhex(F.concat(F.lit(head), body)).cast("string").alias("value"), F.element_at(parts, -3).alias("images"), F.element_at(parts, -2).alias("label")
     )
-    files.write.partitionBy("images", "label", "vec_id").option("maxRecordsPerFile", 1).text(out)
+    files.write.partitionBy("images", "label").option("maxRecordsPerFile", 1).text(out)
     return out
 
 
 def q_image_scan(spark, sf_dir):
-    """Files decoded by Spark's image source: size, channels and pixels of each."""
+    """Files decoded by Spark's image source: size, channels and pixels of each (S2, F12); the first row holds the id."""
     images = scan_images(spark, bitmap_tree(spark, sf_dir), glob="*.txt")
-    number = F.regexp_extract("image.origin", "vec_id=([0-9]+)/[^/]*$", 1).cast("bigint")
-    return images.select(number.alias("vec_id"), "image.height", "image.width", F.col("image.nChannels").alias("channels"), F.md5("image.data").alias("md5"))
+    number = F.conv(F.hex(F.substring("image.data", 1, 8)), 16, 10).cast("bigint")
+    pixels = F.expr("substring(image.data, 25)")
+    return images.select(number.alias("vec_id"), "image.height", "image.width", F.col("image.nChannels").alias("channels"), F.md5(pixels).alias("md5"))
 
 
 def q_image_job(spark, sf_dir):
     """The whole batch job over those files: scan, score, quarantine, fit on train, reduce both sets; rows by set and label."""
     tree, out = bitmap_tree(spark, sf_dir), scratch_path(spark, "image-job")
     sets = {name: f"{tree}/images={name}" for name in ("train", "test")}
-    batch.run(spark, sets, out, make_predict_fn=_flatten_fn, rule="parent", glob="*.txt", size=(8, 8), dim=192)
+    batch.run(spark, sets, out, make_predict_fn=_flatten_fn, rule="parent", glob="*.txt", size=(8, 8), dim=192, partitions=8)
     reduced = spark.read.parquet(f"{out}/reduced")
     label = F.regexp_extract("path", "label=([0-9]+)/", 1).cast("int")
     return reduced.groupBy("split", label.alias("label")).agg(F.count("*").alias("n"))
 
 
+def q_image_tensor_color(spark, sf_dir):
+    """colour pixels. The three bytes of a pixel differ (x, x + 85, x + 170, modulo 256) and are stored as B, G, R."""
+    imgs = embedding_images(spark, sf_dir)
+    grey = lambda i: F.conv(F.hex("image.data").substr(2 * i + 1, F.lit(2)), 16, 10).cast("int")
+    three = F.transform(F.sequence(F.lit(0), F.length("image.data") - 1), lambda i: F.concat(*[F.lpad(F.hex((grey(i) + k) % 256), 2, "0") for k in (0, 85, 170)]))
+    fields = F.struct("image.origin", "image.height", "image.width", F.lit(3).alias("nChannels"), F.lit(16).alias("mode"), F.unhex(F.concat_ws("", three)).alias("data"))
+    scored = features.featurize(imgs.select("vec_id", F.when(F.col("image").isNotNull(), fields).alias("image")), "image", _flatten_fn, size=(8, 8), batch_size=64)
+    return scored.select("vec_id", F.posexplode("features").alias("i", "value")).select("vec_id", "i", r6(F.col("value").cast("double")).alias("value"))
+
+
+def q_linear_scorer(spark, sf_dir):
+    """M1: a scorer whose parameters are broadcast once; small whole weights, so sums are exact in any order."""
+    weights = np.array([[(i * (j + 1)) % 5 - 2 for j in range(3)] for i in range(64)], np.float32)
+    e = embeddings(spark, sf_dir).select("vec_id", F.transform("embedding", lambda x: F.floor(x * 64).cast("float")).alias("embedding"))
+    scored = features.featurize(e, "embedding", models.linear_projection(spark, weights, np.array([1, 2, 3], np.float32)))
+    return scored.select("vec_id", F.posexplode("features").alias("j", "value")).select("vec_id", "j", F.col("value").cast("double").alias("value"))
+
+
+def q_quarantine_table(spark, sf_dir):
+    """K3: bad vectors split off, written as a quarantine table and read back; rows and ids by error."""
+    e = embeddings(spark, sf_dir)
+    e = e.select("vec_id", F.when(F.col("vec_id") % 11 == 0, F.lit(None)).when(F.col("vec_id") % 5 == 0, F.slice("embedding", 1, 32)).otherwise(F.col("embedding")).alias("embedding"))
+    scored = features.featurize(e, "embedding", _flatten_fn)
+    scored = scored.withColumn("error", F.coalesce("error", vector_error(scored, "features", VECTOR_LENGTH)))
+    out = scratch_path(spark, "quarantine")
+    write_parquet(features.split_quarantine(scored)[1].select("vec_id", "error"), out, inputs=[sf_dir])
+    return spark.read.parquet(out).groupBy("error").agg(F.count("*").alias("n"), F.sum("vec_id").alias("ids"))
+
+
+def q_two_folders(spark, sf_dir):
+    """Train and test results in folders of their own, read as one table; rows and vector sums by set."""
+    folders = {}
+    for name, one in zip(("train", "test"), train_test(spark, sf_dir)):
+        folders[name] = scratch_path(spark, f"results-{name}")
+        write_parquet(one, folders[name], inputs=[sf_dir])
+    both = evaluate.read_sets(spark, folders)
+    total = F.aggregate(F.col("embedding").cast("array<double>"), F.lit(0.0), lambda acc, x: acc + x)
+    return both.groupBy("split").agg(F.count("*").alias("n"), F.round(F.sum(total), 3).alias("total"))
+
+
+def q_roundtrip_legacy(spark, sf_dir):
+    """Written in the legacy Parquet layout, read back."""
+    out = scratch_path(spark, "legacy")
+    write_parquet(embeddings(spark, sf_dir), out, inputs=[sf_dir], legacy_format=True)
+    back = read_features(spark, out)
+    return back.groupBy("label").agg(F.count("*").alias("n"), F.sum(F.size("embedding")).alias("n_values"))
+
+
+def q_evaluation_bundle(spark, sf_dir):
+    """Every table of the bundle from one cell table; each class with its report row, whether it is weak, what it is confused with."""
+    bundle = metrics.evaluation_bundle(predictions(spark, sf_dir), threshold=WEAK_RECALL, wide_classes=LANGUAGES)
+    weak = bundle["weak"].select("label", F.lit(True).alias("weak"))
+    missed = bundle["focus"].filter("label <> prediction").groupBy("label").agg(F.sum("n").alias("missed"))
+    rows = bundle["report"].join(weak, "label", "left").join(missed, "label", "left")
+    return rows.select("label", r6("precision").alias("precision"), r6("recall").alias("recall"), "support", F.coalesce("weak", F.lit(False)).alias("weak"), F.coalesce("missed", F.lit(0).cast("bigint")).alias("missed"))
+
+
+def q_label_table(spark, sf_dir):
+    """F10, F11 off the driver: every page's URL as a label, its index in alphabetical order, and back."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    labels = classify.label_table(pages, "url")
+    out = classify.with_label(classify.with_label_index(pages, labels, "url"), labels)
+    return out.select("page_id", "label_index", "label_back")
+
+
+def q_sample_by_label(spark, sf_dir):
+    """L2, L3: exactly min(n, rows) rows of every label, by a hash of the key; how many, and that none is there twice."""
+    picked = sampling.sample_by_label(embeddings(spark, sf_dir), "label", "vec_id", SAMPLE_ROWS)
+    return picked.groupBy("label").agg(F.count("*").alias("n"), F.count_distinct("vec_id").alias("n_ids"))
+
+
+def q_distinct_sketches(spark, sf_dir):
+    """A3 approximate: sketches of the labels of each set, stored, counted apart and united (few values are exact)."""
+    train, test = train_test(spark, sf_dir)
+    both = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+    out = scratch_path(spark, "sketches")
+    metrics.distinct_sketches(both, "label", ["split"]).write.parquet(out)
+    stored = spark.read.parquet(out)
+    united = metrics.united_sketches(stored).select(F.lit("all").alias("split"), "sketch")
+    return metrics.sketch_counts(stored.unionByName(united))
+
+
+def q_pca_refit(spark, sf_dir):
+    """The model of the training rows refitted with the others from kept states; mean and deviation of every dimension."""
+    train, test = train_test(spark, sf_dir)
+    out = scratch_path(spark, "refit")
+    Reducer("embedding", threshold=VARIANCE_SHARE).fit(train).save(out)
+    scaler = Reducer("embedding", threshold=VARIANCE_SHARE).refit([out], test).scaler
+    rows = [(i, float(m), float(s)) for i, (m, s) in enumerate(zip(scaler.mean.toArray(), scaler.std.toArray()))]
+    return spark.createDataFrame(rows, "i int, mean double, std double").select("i", r6("mean").alias("mean"), r6("std").alias("std"))
+
+
+def q_pca_wide(spark, sf_dir):
+    """T2, T5 for wide vectors: scores on the components of the randomised range finder, each with mean 0 and uncorrelated with the next."""
+    e = embeddings(spark, sf_dir)
+    model = wide_pca.fit_wide(e, "embedding", WIDE_K, oversample=16, passes=6)
+    p = model.transform(e, "embedding", "p").select("p")
+    both = p.select(F.posexplode(F.zip_with("p", F.slice("p", 2, WIDE_K), lambda a, b: F.struct(a.alias("a"), b.alias("b")))).alias("component", "ab"))
+    each = both.groupBy("component").agg(F.avg("ab.a").alias("mean"), F.var_samp("ab.a").alias("var"), F.covar_samp("ab.a", "ab.b").alias("next"))
+    share = F.element_at(F.array(*[F.lit(float(r) * len(model.mean)) for r in model.ratios]), F.col("component") + 1)
+    return each.select(
+        "component", F.round(F.abs("mean"), 6).alias("mean"), (F.abs(F.col("var") - share) < 1e-6).alias("variance_as_stated"),
+        F.round(F.abs(F.coalesce("next", F.lit(0.0))), 6).alias("covariance"))
+
+
+def q_layout_2d(spark, sf_dir):
+    """The neighbour-preserving layout of all vectors."""
+    e = embeddings(spark, sf_dir)
+    return e.select("vec_id", "label").join(layout.layout(e, "vec_id", "embedding"), "vec_id")
+
+
 def q_csv_roundtrip(spark, sf_dir):
     """K2: arrays written as space-joined text with a header, read back with an explicit schema."""
     out = scratch_path(spark, "csv")
@@ -577,6 +692,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quarantine_split": q_quarantine_split,
     "roundtrip_parquet": q_roundtrip_parquet,
     "csv_roundtrip": q_csv_roundtrip,
+    "image_tensor_color": q_image_tensor_color,
+    "linear_scorer": q_linear_scorer,
+    "quarantine_table": q_quarantine_table,
+    "two_folders": q_two_folders,
+    "roundtrip_legacy": q_roundtrip_legacy,
+    "evaluation_bundle": q_evaluation_bundle,
+    "label_table": q_label_table,
+    "sample_by_label": q_sample_by_label,
+    "distinct_sketches": q_distinct_sketches,
+    "pca_refit": q_pca_refit,
+    "pca_wide": q_pca_wide,
+    "layout_2d": q_layout_2d,
 }
 
 
@@ -630,7 +757,7 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "scan_content": (
         "SELECT regexp_extract(filename, '[^/]+$', 0) AS name, md5(content) AS md5 "
-        "FROM read_blob(['/root/testdata/sf0.01/region.parquet', '/root/testdata/sf0.01/nation.parquet', '/root/testdata/sf0.01/benchmark.parquet'])"
+        "FROM read_blob('/root/testdata/sf0.01/*.parquet')"
     ),
     "label_from_parent": "SELECT page_id, string_split(url, '/')[-2] AS label FROM pages",
     "label_from_set": (
@@ -708,11 +835,11 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "report_train_labels": (
         f"WITH {_STATS} SELECT label, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support "
-        "FROM rf WHERE label IN (SELECT lang FROM documents WHERE doc_id % 2 = 1 AND lang <> 'en')"
+        "FROM rf WHERE label IN (SELECT lang FROM documents WHERE lang <> 'en')"
     ),
     "js_train_labels": (
         f"WITH {_STATS}, k AS (SELECT support::DOUBLE AS t, predicted::DOUBLE AS r FROM s "
-        "WHERE label IN (SELECT lang FROM documents WHERE doc_id % 2 = 1 AND lang <> 'en')), "
+        "WHERE label IN (SELECT lang FROM documents WHERE lang <> 'en')), "
         "g AS (SELECT t / (SELECT sum(t) FROM k) AS p, r / (SELECT sum(r) FROM k) AS q FROM k) "
         "SELECT round(sqrt(greatest(sum(CASE WHEN p > 0 THEN p * ln(p / ((p + q) / 2)) ELSE 0 END "
         "+ CASE WHEN q > 0 THEN q * ln(q / ((p + q) / 2)) ELSE 0 END) / 2, 0)), 6) AS js_distance FROM g"
@@ -759,7 +886,7 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "image_scan": (
         "WITH b AS (SELECT vec_id, list_transform(embedding, lambda x: least(floor((least(greatest(x::DOUBLE, -1.0), 1.0) + 1) * 127.5), 255)::INTEGER) AS b FROM embeddings) "
-        "SELECT vec_id, 8 AS height, 8 AS width, 3 AS channels, "
+        "SELECT vec_id, 9 AS height, 8 AS width, 3 AS channels, "
         "md5(unhex(array_to_string(list_transform(b, lambda p: repeat(printf('%02X', p), 3)), ''))) AS md5 FROM b"
     ),
     "image_job": (
@@ -770,6 +897,43 @@ ORACLE_SQL: dict[str, str] = {
         "WHEN vec_id % 7 = 0 OR list_sum(list_transform(embedding, lambda x: x::DOUBLE * x)) = 0 THEN 'non-finite feature value' "
         "WHEN vec_id % 5 = 0 THEN 'length 32 != 64' ELSE 'ok' END AS status, count(*) AS n FROM embeddings GROUP BY 1"
     ),
+    "image_tensor_color": (
+        "WITH px AS (SELECT vec_id, (generate_subscripts(embedding, 1) - 1) AS p, unnest(embedding)::DOUBLE AS x FROM embeddings), "
+        "pix AS (SELECT vec_id, p, least(floor((least(greatest(x, -1.0), 1.0) + 1) * 127.5), 255)::INTEGER AS b FROM px) "
+        "SELECT vec_id, (p * 3 + c)::INTEGER AS i, "
+        "round((((b + 85 * (2 - c)) % 256)::FLOAT / 127.5::FLOAT - 1.0::FLOAT)::DOUBLE, 6) AS value FROM pix, range(3) t(c)"
+    ),
+    "linear_scorer": (
+        "WITH px AS (SELECT vec_id, (generate_subscripts(embedding, 1) - 1) AS i, floor(unnest(embedding)::DOUBLE * 64) AS x FROM embeddings) "
+        "SELECT vec_id, j::INTEGER AS j, sum(x * ((i * (j + 1)) % 5 - 2)) + j + 1 AS value FROM px, range(3) t(j) GROUP BY vec_id, j"
+    ),
+    "quarantine_table": (
+        "SELECT CASE WHEN embedding IS NULL OR vec_id % 11 = 0 THEN 'ValueError: null input' ELSE 'length 32 != 64' END AS error, "
+        "count(*) AS n, sum(vec_id)::BIGINT AS ids FROM embeddings WHERE vec_id % 11 = 0 OR vec_id % 5 = 0 OR embedding IS NULL GROUP BY 1"
+    ),
+    "two_folders": (
+        "SELECT CASE WHEN vec_id % 5 <> 0 THEN 'train' ELSE 'test' END AS split, count(*) AS n, "
+        "round(sum(list_sum(embedding::DOUBLE[])), 3) AS total FROM embeddings GROUP BY 1"
+    ),
+    "roundtrip_legacy": "SELECT label, count(*) AS n, sum(len(embedding))::BIGINT AS n_values FROM embeddings GROUP BY label",
+    "evaluation_bundle": (
+        f"WITH {_STATS} SELECT label, round(precision, 6) AS precision, round(recall, 6) AS recall, support, recall < 0.9 AS weak, "
+        "CASE WHEN recall < 0.9 THEN (SELECT count(*) FROM p WHERE p.label = rf.label AND p.prediction <> p.label) ELSE 0 END::BIGINT AS missed FROM rf"
+    ),
+    "label_table": "SELECT page_id, dense_rank() OVER (ORDER BY url) - 1 AS label_index, url AS label_back FROM pages",
+    "sample_by_label": f"SELECT label, least(count(*), {SAMPLE_ROWS}) AS n, least(count(*), {SAMPLE_ROWS}) AS n_ids FROM embeddings GROUP BY label",
+    "distinct_sketches": (
+        "SELECT CASE WHEN vec_id % 5 <> 0 THEN 'train' ELSE 'test' END AS split, count(DISTINCT label) AS n_distinct FROM embeddings GROUP BY 1 "
+        "UNION ALL SELECT 'all', count(DISTINCT label) FROM embeddings"
+    ),
+    "pca_refit": (
+        "WITH x AS (SELECT (generate_subscripts(embedding, 1) - 1)::INTEGER AS i, unnest(embedding)::DOUBLE AS v FROM embeddings) "
+        "SELECT i, round(avg(v), 6) AS mean, round(stddev_samp(v), 6) AS std FROM x GROUP BY i"
+    ),
+    "pca_wide": (
+        f"SELECT range::INTEGER AS component, 0.0::DOUBLE AS mean, true AS variance_as_stated, 0.0::DOUBLE AS covariance "
+        f"FROM range({WIDE_K}) WHERE EXISTS (FROM embeddings)"
+    ),
     "csv_roundtrip": (
         "SELECT vec_id, label, len(embedding)::INTEGER AS n_values, "
         "round(list_sum(embedding::DOUBLE[]), 4) AS total FROM embeddings"

@@ -53,6 +53,19 @@ def scan_images(
     return reader.load(path)
 
 
+def task_bytes(files: list[DataFrame], tasks: int, open_cost: int) -> int:
+    """Bytes of files for each of about ``tasks`` tasks, from the listings alone (path and length; no file is opened).
+
+    Spark packs a scan's files into tasks by length, the longest first, up to ``spark.sql.files.maxPartitionBytes``, each
+    file counting ``open_cost`` more: with this value (and ``minPartitionNum`` = 1) tasks are balanced before any pixel is read.
+    """
+    total = 0
+    for listing in files:
+        row = listing.agg(F.sum("length"), F.count("*")).first()
+        total += (row[0] or 0) + row[1] * open_cost
+    return max(1, -(-total // max(tasks, 1)))
+
+
 def image_items(images: DataFrame, rule: str = "parent", set_label: str | None = None, root: str = "images") -> DataFrame:
     """Adds decoded ``path`` and ``label`` (and ``split``) to an image scan.
 

@@ -76,7 +76,7 @@ def score_new_images(
     images = reader.load(source)
     items = image_items(images, rule=rule, set_label=set_label, root=root)
     scored = featurize(items, "image", make_predict_fn, batch_size=batch_size, size=size).drop("image")
-    scored = scored.withColumn("error", F.coalesce(F.col("error"), vector_error(scored, "features")))
+    scored = scored.withColumn("error", F.coalesce(F.col("error"), vector_error(scored, "features", model.dim)))
 
     write_batch = batch_writer(model, out.rstrip("/"))
     writer = scored.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)

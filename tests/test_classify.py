@@ -49,13 +49,6 @@ def test_a_saved_classifier_predicts_the_same(spark, separable, scratch, kind, p
     assert a == b and again.labels == ["class a", "class b", "class c"]
 
 
-def test_fit_rows_are_bounded(spark, separable):
-    data = separable.select(classify.as_vector(separable, "features").alias(classify._VEC), F.col("label").alias("_y"))
-    few = classify.bounded(data, 60)
-    assert 20 < few.count() < 110 and classify.bounded(data, 240).count() == 240
-    assert sorted(map(str, few.collect())) == sorted(map(str, classify.bounded(data.repartition(5), 60).collect()))
-
-
 def test_label_index_alphabetical(spark):
     df = spark.createDataFrame([("b",), ("a",), ("c",), ("a",)], "lang string")
     rows = classify.index_labels(df, "lang").select("lang", "label_index", "label_back").distinct().orderBy("lang").collect()
