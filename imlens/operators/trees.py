@@ -13,11 +13,11 @@ sides score more than the whole: ``Gradients`` for boosting, ``Gini`` for classi
 from __future__ import annotations
 
 import heapq
-import zlib
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -274,7 +274,7 @@ def grow(bins: np.ndarray, rows: np.ndarray, growth: Growth, key: int, depth: in
 # ---- waves
 
 def _pack(x: np.ndarray) -> bytes:
-    return zlib.compress(x.tobytes(), 1)
+    return zstandard.compress(x.tobytes(), 1)
 
 
 def best_splits(block_rows: DataFrame, rows_of, growth: Growth, requests: list[tuple[int, int, int]], wide: bool = False) -> dict:
@@ -314,7 +314,7 @@ def best_splits(block_rows: DataFrame, rows_of, growth: Growth, requests: list[t
 
         for batch in batches:
             for k, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                add = np.frombuffer(zlib.decompress(blob))
+                add = np.frombuffer(zstandard.decompress(blob))
                 if k == now:
                     total = total + add
                     continue
@@ -358,16 +358,16 @@ def finished(block_rows: DataFrame, rows_of, growth: Growth, requests: list[tupl
                         if (k := wanted.get((tree, value))) is not None:
                             mine = node == value
                             keys.append(k)
-                            parts.append(_pack(bins[mine]))
-                            values.append(_pack(rows[mine].astype(float)))
+                            parts.append(bins[mine].tobytes())
+                            values.append(rows[mine].astype(float).tobytes())
                 yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array([block[0]] * len(keys), pa.int64()), pa.array(parts, pa.binary()), pa.array(values, pa.binary())], ["request", "block", "bins", "rows"])
 
     def work(key, tab):
         k = key[0].as_py()
         tree, node, name, depth = requests[k]
         tab = tab.sort_by("block")
-        rows = [np.frombuffer(zlib.decompress(r)) for r in tab.column("rows").to_pylist()]
-        bins = [np.frombuffer(zlib.decompress(b), np.uint8) for b in tab.column("bins").to_pylist()]
+        rows = [np.frombuffer(r) for r in tab.column("rows").to_pylist()]
+        bins = [np.frombuffer(b, np.uint8) for b in tab.column("bins").to_pylist()]
         wide = n_channels
         rows = np.concatenate([r.reshape(-1, wide) for r in rows])
         bins = np.concatenate(bins).reshape(len(rows), -1)
