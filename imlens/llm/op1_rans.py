@@ -102,7 +102,7 @@ def write_corpus(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 1,
     spark = docs.sparkSession
     prepare(spark)
     tokens = stored(tokenised(docs, vocabulary, end_id, id_col, text_col), "tokens")
-    id_counts(tokens).coalesce(1).write.parquet(f"{folder}/table")
+    id_counts(tokens).repartition(1).write.parquet(f"{folder}/table")
     freq = load_table(spark, folder)
 
     def run(batches):

@@ -3,20 +3,21 @@
 Messages (scope, position, author, text) quote earlier ones the way mail does: ``>`` marks at the start of a
 line, one for each level. A message is parsed into its own words and into quoted passages (lines of one
 level in a row; the passage of level n stood at level 0 in the n-th message before it). Normalised
-passages - ASCII lower case, white space collapsed - are hashed, as are the own texts of all messages, whole and
-by paragraph. Joining the hashes links each passage to the earliest message that holds it, in the same
-scope if there is one, else anywhere, and only to messages before the quoting one. A message's parent is
-the message linked at its lowest quote level, by most quoted characters, then by order. Root and depth
-follow by pointer doubling; sorted by (root, depth, place), every message follows its parent. The built
-turns carry no quotes and no attribution lines.
+passages - ASCII lower case, white space collapsed - are hashed, as are the own texts of all messages: whole, by
+paragraph and by line, so a trimmed quote links as well. Joining the hashes links each of them to the earliest message that
+holds it, in the same scope if there is one, else anywhere, and only to messages before the quoting one. A message's parent
+is the message linked at its lowest quote level, by most quoted characters, then by order; a whole passage counts its
+characters twice, so lines that also stand elsewhere do not outweigh it. Root and depth follow by pointer doubling.
+A conversation is built in reading order (``place``): its messages by depth, then by scope and position, so every
+message follows its parent. The built turns carry no quotes and no attribution lines.
 
 Originals are reduced to one message for each hash (and scope) before the join, so a passage that many
 messages hold or quote makes as many rows as it has quotes.
 
 Defined cases: a null scope is a scope of its own, before all others; a null position comes first; rows
 that share scope and position are one message, that of the smallest (author, text); null and empty texts
-are messages without words; passages without letters link nothing; ties go to the smaller place; an empty
-table gives no rows; other columns are ignored.
+are messages without words; very long texts are parsed whole; passages without letters link nothing; ties go to the
+smaller place; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import hashlib
 import re
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from imlens.llm.common import LOWER, drop_stored, prepare, schema, stored, table
@@ -34,7 +35,7 @@ NONE = -(2**63)  # stands for a null scope or position
 _MARKS = re.compile(r"^[ \t]*((?:>[ \t]?)+)")
 _ATTRIBUTION = re.compile(r"^.{0,200}(wrote|écrit|schrieb|escribió)[ \t]*:[ \t]*$")
 
-PARSED = "scope long, position long, author string, text string, own array<string>, quotes array<struct<level:int,hash:string,chars:long>>"
+PARSED = "scope long, position long, author string, text string, own array<string>, quotes array<struct<level:int,unit:int,hash:string,chars:long>>"
 
 
 def normalised(passage: str) -> bytes:
@@ -71,28 +72,36 @@ def paragraphs(passage: str) -> list[str]:
     return [p for p in re.split(r"\n[ \t]*\n", passage) if p.strip()]
 
 
+def lines(passage: str) -> list[str]:
+    return [x for x in passage.split("\n") if x.strip()]
+
+
 def parse(messages: DataFrame) -> DataFrame:
     """``PARSED`` rows of messages (scope, position, author, text)."""
 
     def one(text: str):
         parts = blocks(text)
         own = "\n".join(p for level, p in parts if level == 0).strip("\n")
-        hashes = {passage_hash(own), *(passage_hash(p) for p in paragraphs(own))} - {None}
-        quotes = []
+        hashes = {passage_hash(p) for p in (own, *paragraphs(own), *lines(own))} - {None}
+        quotes, unit = [], 0
         for level, passage in parts:
             if level:
                 whole = passage_hash(passage)
                 several = paragraphs(passage)
                 for p in [passage, *(several if len(several) > 1 else ())]:
                     if h := passage_hash(p):
-                        # a whole passage outweighs its paragraphs
-                        quotes.append({"level": level, "hash": h, "chars": len(p) + (len(passage) if h == whole else 0)})
+                        # a whole passage outweighs its paragraphs and lines
+                        unit += 1
+                        quotes.append({"level": level, "unit": unit, "hash": h, "chars": len(p) + (len(passage) if h == whole else 0)})
+                        if p is passage:
+                            parts_of = {passage_hash(x): len(x) for x in lines(p)}
+                            quotes += [{"level": level, "unit": unit, "hash": x, "chars": n} for x, n in parts_of.items() if x not in (None, h)]
         return own, sorted(hashes), quotes
 
     def run(each):
         for batch in each:
             rows = [one(t or "") for t in batch.column(3).to_pylist()]
-            quote = pa.list_(pa.struct([("level", pa.int32()), ("hash", pa.string()), ("chars", pa.int64())]))
+            quote = pa.list_(pa.struct([("level", pa.int32()), ("unit", pa.int32()), ("hash", pa.string()), ("chars", pa.int64())]))
             arrays = [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.list_(pa.string())), pa.array([r[2] for r in rows], quote)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], *arrays], ["scope", "position", "author", "text", "own", "quotes"])
 
@@ -104,18 +113,18 @@ def parents(parsed: DataFrame) -> DataFrame:
     own = parsed.select(F.explode("own").alias("hash"), "scope", "position")
     inside = own.groupBy("hash", "scope").agg(F.min("position").alias("first"))
     anywhere = inside.groupBy("hash").agg(F.min(F.struct("scope", "first")).alias("any"))
-    quotes = parsed.select("scope", "position", F.explode("quotes").alias("q")).select("scope", "position", "q.level", "q.hash", "q.chars")
+    quotes = parsed.select("scope", "position", F.explode("quotes").alias("q")).select("scope", "position", "q.level", "q.unit", "q.hash", "q.chars")
     found = quotes.join(inside, ["hash", "scope"], "left").join(anywhere, "hash", "left")
     earlier = (F.col("any.scope") < F.col("scope")) | ((F.col("any.scope") == F.col("scope")) & (F.col("any.first") < F.col("position")))
     up = F.when(F.col("first") < F.col("position"), F.struct(F.col("scope").alias("s"), F.col("first").alias("p"))).when(
         earlier, F.struct(F.col("any.scope").alias("s"), F.col("any.first").alias("p"))
     )
-    found = found.select("scope", "position", "level", "chars", up.alias("up"))
-    each = found.groupBy("scope", "position", "level", "up").agg(F.sum("chars").alias("chars"), F.count("*").alias("n"))
+    found = found.select("scope", "position", "level", "unit", "chars", up.alias("up"))
+    each = found.groupBy("scope", "position", "level", "up").agg(F.sum("chars").alias("chars"), F.collect_set("unit").alias("units"))
     best = each.groupBy("scope", "position").agg(
         F.min(F.when(F.col("up").isNotNull(), F.struct("level", (-F.col("chars")).alias("c"), "up"))).alias("best"),
-        F.sum("n").alias("quoted"),
-        F.sum(F.when(F.col("up").isNotNull(), F.col("n")).otherwise(0)).alias("linked"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("units")))).alias("quoted"),
+        F.size(F.array_distinct(F.flatten(F.collect_list(F.when(F.col("up").isNotNull(), F.col("units")))))).alias("linked"),
     )
     return parsed.select("scope", "position").join(best, ["scope", "position"], "left").select(
         "scope", "position", F.col("best.up.s").alias("up_scope"), F.col("best.up.p").alias("up_position"),
@@ -147,7 +156,7 @@ def roots(links: DataFrame) -> DataFrame:
 
 
 def conversations(messages: DataFrame) -> DataFrame:
-    """Every message with its conversation: scope, position, author, text without quotes, parent, root, depth, quoted, linked."""
+    """Every message with its conversation: scope, position, author, text without quotes, parent, root, depth, place, quoted, linked."""
     prepare(messages.sparkSession)
     one = messages.select(
         F.coalesce(F.col("scope").cast("long"), F.lit(NONE)).alias("scope"), F.coalesce(F.col("position").cast("long"), F.lit(NONE)).alias("position"),
@@ -159,6 +168,8 @@ def conversations(messages: DataFrame) -> DataFrame:
     placed = roots(links)
     key = ["scope", "position"]
     out = parsed.select(*key, "author", "text").join(links, key).join(placed, key)
+    reading = Window.partitionBy("root_scope", "root_position").orderBy("depth", *key)
+    out = out.withColumn("place", F.row_number().over(reading))
     for c in ("scope", "position", "up_scope", "up_position", "root_scope", "root_position"):
         out = out.withColumn(c, F.when(F.col(c) != NONE, F.col(c)))
     return out
@@ -190,7 +201,7 @@ def op4_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(
         F.col("scope").alias("conv_id"), F.col("position").alias("turn"), F.col("author").alias("role"), F.col("up_scope").alias("parent_conv"),
         F.col("up_position").alias("parent_turn"), F.col("root_scope").alias("root_conv"), F.col("root_position").alias("root_turn"), "depth",
-        "quoted", "linked", "text",
+        "place", "quoted", "linked", "text",
     )
 
 
@@ -206,6 +217,6 @@ up AS (SELECT conv_id, turn, first1 AS parent_turn, (h1 IS NOT NULL)::BIGINT + (
 r AS (SELECT conv_id, turn, parent_turn, turn AS root_turn, 0::BIGINT AS depth FROM up WHERE parent_turn IS NULL
     UNION ALL SELECT up.conv_id, up.turn, up.parent_turn, r.root_turn, r.depth + 1 FROM up JOIN r ON up.conv_id = r.conv_id AND up.parent_turn = r.turn)
 SELECT r.conv_id, r.turn, role, CASE WHEN r.parent_turn IS NOT NULL THEN r.conv_id END AS parent_conv, r.parent_turn, r.conv_id AS root_conv, r.root_turn,
-    depth, quoted, quoted AS linked, text
+    depth, row_number() OVER (PARTITION BY r.conv_id, r.root_turn ORDER BY depth, r.turn)::INT AS place, quoted, quoted AS linked, text
 FROM r JOIN up USING (conv_id, turn) JOIN t USING (conv_id, turn)
 """

@@ -18,7 +18,8 @@ Defined cases: null domain, language or source form a node of their own; null or
 tokens and are taken with the epoch whose prefix reaches their place (never, if their leaf holds no
 tokens); documents that share a doc_id share a place in the order and are taken or left together; a null
 doc_id is placed as the text "null"; children without a stated weight weigh 1, weights must be positive
-integers; an empty table gives no rows; other columns pass through ``mix`` untouched.
+integers; very long texts are counted whole; an empty table gives no rows; other columns, whatever their names, pass
+through ``mix`` untouched.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from imlens.llm.common import prepare, stored, table
+from imlens.llm.common import free_name, prepare, stored, table
 
 LEVELS = ("domain", "language", "source")
 SLICE_DOCS = 20_000  # documents of a leaf for each hash slice, about
@@ -128,14 +129,18 @@ def cuts(light: DataFrame, leaves: DataFrame, seed: int) -> DataFrame:
 
 def mix(
     docs: DataFrame, domain: Column, budget: Column, weights: dict[str, dict], max_epochs: int = 4, seed: int = 1,
-    id_col: str = "doc_id", text_col: str = "text", language_col: str = "lang", source_col: str = "source",
+    id_col: str = "doc_id", text_col: str = "text", language_col: str = "lang", source_col: str = "source", epoch_col: str = "mix_epoch",
 ) -> tuple[DataFrame, DataFrame]:
-    """(selection, leaves): rows of ``docs``, one for each time a document is taken, with ``mix_epoch``; the leaf table.
+    """(selection, leaves): rows of ``docs``, one for each time a document is taken, with ``epoch_col``; the leaf table.
+
+    A column of ``docs`` that has the name of ``epoch_col`` is an error.
 
     ``docs`` itself is never shuffled: the leaf table is written first, so Spark knows its size and
     broadcasts it if it is small enough.
     """
     spark = docs.sparkSession
+    if free_name(docs, epoch_col) != epoch_col:
+        raise ValueError(f"the documents have a column {epoch_col!r}: name another epoch_col")
     prepare(spark)
     light = stored(
         docs.select(
@@ -148,14 +153,15 @@ def mix(
     leaves = light.groupBy(*LEVELS).agg(F.sum("words").alias("tokens"), F.count("*").alias("docs"))
     leaves = stored(budgets(leaves, budget, weights, max_epochs), "mix-budgets")
     leaves = stored(cuts(light, leaves, seed), "mix-leaves")
-    plan = leaves.select(*[F.col(c).alias(f"mix_{c}") for c in LEVELS], F.col("epochs").alias("mix_epochs"), F.col("cut").alias("mix_cut"))
+    mine = free_name(docs, "mix_leaf")
+    plan = leaves.select(F.struct(*LEVELS, "epochs", "cut").alias(mine))
     names = {"domain": domain.cast("string"), "language": F.col(language_col).cast("string"), "source": F.col(source_col).cast("string")}
-    taken = docs.join(plan, [names[c].eqNullSafe(F.col(f"mix_{c}")) for c in LEVELS])
-    here = place(seed, F.col("mix_epochs"), F.col(id_col).cast("long"))
-    copies = F.col("mix_epochs") + F.when(here <= F.col("mix_cut"), 1).otherwise(0)
+    taken = docs.join(plan, [names[c].eqNullSafe(F.col(f"{mine}.{c}")) for c in LEVELS])
+    here = place(seed, F.col(f"{mine}.epochs"), F.col(id_col).cast("long"))
+    copies = F.col(f"{mine}.epochs") + F.when(here <= F.col(f"{mine}.cut"), 1).otherwise(0)
     # sequence() would count down to 0 for no copies at all
     epochs = F.when(copies > 0, F.sequence(F.lit(0).cast("long"), copies - 1)).otherwise(F.array().cast("array<bigint>"))
-    return taken.withColumn("mix_epoch", F.explode(epochs)).drop("mix_epochs", "mix_cut", *[f"mix_{c}" for c in LEVELS]), leaves
+    return taken.withColumn(epoch_col, F.explode(epochs)).drop(mine), leaves
 
 
 #: The production mix: domains are the sources' numbers modulo 3; as many tokens as the corpus holds.
@@ -169,13 +175,14 @@ def source_domain(source: Column) -> Column:
     return F.concat(F.lit("d"), (number % 3).cast("string"))
 
 
-def mixed_documents(docs: DataFrame) -> DataFrame:
-    return mix(docs, source_domain(F.col("source")), F.col("tokens"), WEIGHTS, MAX_EPOCHS, SEED)[0]
+def mixed_documents(docs: DataFrame, epoch_col: str = "mix_epoch") -> DataFrame:
+    return mix(docs, source_domain(F.col("source")), F.col("tokens"), WEIGHTS, MAX_EPOCHS, SEED, epoch_col=epoch_col)[0]
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, domain, lang, source, epoch, n_tokens of every document taken, once for each epoch."""
-    return mixed_documents(table(spark, sf_dir, "documents")).select(
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return mixed_documents(docs).select(
         "doc_id", source_domain(F.col("source")).alias("domain"), "lang", "source",
         F.col("mix_epoch").alias("epoch"), word_count(F.col("text")).alias("n_tokens"),
     )

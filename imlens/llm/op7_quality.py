@@ -13,7 +13,7 @@ Labels, lang, source and doc_id are no input of a score: only the text's words a
 
 Defined cases: null and empty texts have no features and score the softmax of the bias alone; null
 labels are not learned from; rows that repeat a doc_id are scored each, and of repeated labels the
-largest counts; without both classes among the labels the score is the share of label 1 (0.5 without
+largest counts; a null doc_id counts as the text "" for the split and is never learned from; without both classes among the labels the score is the share of label 1 (0.5 without
 labels) for every text; an empty table gives no rows; other columns are ignored.
 """
 
@@ -72,7 +72,7 @@ REPEAT, REPEAT_WEIGHT = 0, 8
 
 
 def held_out(doc_id: Column) -> Column:
-    return F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2
+    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
 class Model:

@@ -152,21 +152,32 @@ def _warc(row: dict) -> bytes:
     return arc.warc_record(fields, block)
 
 
-def write_warc(records: DataFrame, folder: str, max_records: int = 10_000) -> None:
-    """Gzipped WARC files of at most ``max_records`` records each, committed by Spark's text writer.
+def write_warc(records: DataFrame, folder: str, max_records: int = 10_000, file_bytes: int = 32_000_000) -> None:
+    """Gzipped WARC files, committed by Spark's text writer: a file ends with the record that reaches one of the bounds.
 
-    A record ends with CR LF CR LF; the writer's own line end is its last LF.
+    A row is a whole file. A record ends with CR LF CR LF; the writer's own line end is the last LF.
     """
 
     def run(batches):
+        held, size = [], 0
+
+        def out():
+            return pa.RecordBatch.from_arrays([pa.array([b"".join(held)[:-1]], pa.binary())], ["records"])
+
         for batch in batches:
-            rows = [_warc(r)[:-1] for r in batch.to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["record"])
+            for row in batch.to_pylist():
+                held.append(_warc(row))
+                size += len(held[-1])
+                if size >= file_bytes or len(held) >= max_records:
+                    yield out()
+                    held, size = [], 0
+        if held:
+            yield out()
 
     sound = records.filter("error IS NULL").drop("error")
-    sound.mapInArrow(run, schema("record binary")).select(F.col("record").cast("string")).write.option(
+    sound.mapInArrow(run, schema("records binary")).select(F.col("records").cast("string")).write.option(
         "compression", "gzip"
-    ).option("maxRecordsPerFile", max_records).text(folder)
+    ).option("maxRecordsPerFile", 1).text(folder)
 
 
 def read_warc(spark: SparkSession, folder: str) -> DataFrame:

@@ -2,11 +2,13 @@
 
 The vocabulary used here drops white space and never merges across it, so a text's ids are the ids
 of its white-space-separated words one after another. A word is tokenised by the library once and
-its ids are reused. Texts that hold the opening of a special token go through the library whole.
+its ids are reused. Texts that hold the opening of a special token go through the library whole, and so does every text
+where the vocabulary file has other parts than these (``CachedTokenizer.by_words``).
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 
@@ -20,6 +22,24 @@ TAIL = b".,!?;:%$*#&|"
 _PLAIN = re.compile("[a-zß-öø-ÿ]+")
 
 
+#: The parts of a vocabulary file for which words can be tokenised one by one: fixed values.
+_NORMALIZER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+_SPLITTER = [
+    {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
+
+
+def _splits_at_words(shape: dict) -> bool:
+    """Whether a tokenizer's parts are those above, its model is plain BPE and its special tokens open with ``<|``."""
+    model = {k: v for k, v in shape["model"].items() if k not in ("vocab", "merges")}
+    plain = {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "fuse_unk": False, "byte_fallback": False, "ignore_merges": False}
+    return (
+        (shape["normalizer"] or {}).get("normalizers") == _NORMALIZER and (shape["pre_tokenizer"] or {}).get("pretokenizers") == _SPLITTER
+        and all(model.get(k) == v for k, v in plain.items()) and all(t["content"].startswith("<|") for t in shape["added_tokens"])
+    )
+
+
 def _byte_letters() -> dict[int, str]:
     """The byte-level alphabet: printable bytes stand for themselves, the others for letters from 256 on."""
     kept = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -34,6 +54,7 @@ class CachedTokenizer:
 
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
         self.model = self.tokenizer.model
+        self.by_words = _splits_at_words(json.loads(self.tokenizer.to_str()))
         self.letters = {k: v for k, v in _byte_letters().items()}
         self.clear()
 
@@ -82,6 +103,9 @@ class CachedTokenizer:
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, ids per text)."""
+        if not self.by_words:
+            runs = self._library(texts)
+            return np.fromiter((i for r in runs for i in r), np.uint32), np.fromiter(map(len, runs), np.int64, len(runs))
         whole = [k for k, t in enumerate(texts) if b"<|" in t]
         if whole:
             runs = [None] * len(texts)

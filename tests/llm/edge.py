@@ -11,8 +11,9 @@ import zlib
 
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 #: Columns that other code might use itself; no operator may trip over them.
-EXTRA = "n long, node long, row long, rk long, words array<string>, label string, `range` string, block int, score double, place string"
-EXTRA_ROW = (1, 2, 3, 4, ["x"], "y", "z", 5, 0.5, "w")
+EXTRA = "n long, node long, row long, rk long, words array<string>, label string, `range` string, block int, score double, place string, \
+mix_epoch long, mix_domain string, mix_leaf long, first_of_group long, size long, bytes string, start double, slice long, shard string, edit int, pos string, run string, idx string"
+EXTRA_ROW = (1, 2, 3, 4, ["x"], "y", "z", 5, 0.5, "w", 6, "a", 7, 8, 9, "b", 0.25, 10, "c", 11, "d", "e", "f")
 
 
 def words(text) -> list[bytes]:

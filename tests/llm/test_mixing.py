@@ -40,6 +40,14 @@ def test_whole_epochs_and_slices(spark, monkeypatch):
     assert got.count(0) == 200 and 400 <= words < 405
 
 
+def test_clashing_columns_pass_through(spark):
+    docs = spark.createDataFrame([(1, "w w", "en", "a", "mine", 7)], "doc_id long, text string, lang string, source string, mix_leaf string, mix_epoch long")
+    with pytest.raises(ValueError, match="epoch_col"):
+        mixing.mix(docs, F.lit("web"), F.lit(2), {})
+    row = mixing.mix(docs, F.lit("web"), F.lit(2), {}, epoch_col="taken")[0].first()
+    assert (row["mix_leaf"], row["mix_epoch"], row["taken"]) == ("mine", 7, 0)
+
+
 def test_weights_must_be_positive_integers(spark):
     docs = spark.createDataFrame([(1, "x", "en", "a")], "doc_id long, text string, lang string, source string")
     with pytest.raises(ValueError):

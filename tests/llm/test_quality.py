@@ -42,3 +42,9 @@ def test_empty_table(spark, tmp_path):
     folder = edge.write_documents(spark, str(tmp_path), [])
     edge.write(spark, folder, "labels", [], "doc_id long, quality int, toxic int")
     assert quality.op7_quality(spark, folder).collect() == []
+
+
+def test_null_ids_have_a_boolean(spark):
+    docs = spark.createDataFrame([(None,), (1,), (2,), (7,)], "doc_id long")
+    rows = docs.select("doc_id", quality.held_out(docs["doc_id"]).alias("h")).collect()
+    assert {r["doc_id"]: r["h"] for r in rows} == {d: edge.trains(d, 4) == 2 for d in (None, 1, 2, 7)}

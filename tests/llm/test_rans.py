@@ -51,6 +51,22 @@ def test_documents_against_the_library(spark, tmp_path):
     assert [edge.key((r[0],)) for r in got] == sorted(edge.key((r[0],)) for r in got)
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_any_vocabulary_gives_the_ids_of_the_library(name):
+    """Words are tokenised one by one only where the vocabulary's parts allow it."""
+    import public_tokenizers
+
+    from imlens.llm.tokens import CachedTokenizer
+
+    path = public_tokenizers.path(name)
+    texts = ["Two  words,\nand\tMORE: it's 12.5%", "", "a " * 50, "É日本 <|endoftext|> x", " lead"]
+    tool = CachedTokenizer(path)
+    assert tool.by_words == (name == "word_bpe_49k.json")
+    ids, counts = tool.encode([t.encode() for t in texts])
+    want = [e.ids for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+    assert ids.tolist() == [i for w in want for i in w] and counts.tolist() == [len(w) for w in want]
+
+
 def test_ids_themselves_come_back(spark, tmp_path):
     docs = spark.createDataFrame([(2, "two words"), (1, "one"), (3, None)], "doc_id long, text string")
     op1_rans.write_corpus(docs, str(tmp_path / "c"), op1_rans.default_vocabulary(), end_id=1)

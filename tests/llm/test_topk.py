@@ -29,7 +29,15 @@ def test_blocks_do_not_change_the_result(spark):
     rows = spark.createDataFrame([(i, rng.integers(-3, 4, 8).tolist()) for i in range(300)], "vec_id long, weights array<long>")
     queries = rows.filter("vec_id % 7 = 0")
     one = sorted(tuple(r) for r in topk.search(queries, rows, 5).collect())
-    assert one == sorted(tuple(r) for r in topk.search(queries, rows, 5, block_rows=40, query_rows=9).collect()) and len(one) == 43 * 5
+    assert one == sorted(tuple(r) for r in topk.search(queries, rows, 5, block_rows=40).collect()) and len(one) == 43 * 5
+
+
+def test_candidates_are_moved_once(spark):
+    """Only queries are sent to every block: rows + queries * blocks rows meet."""
+    rows = spark.range(400).selectExpr("id AS vec_id", "array(id, 1) AS weights")
+    found = topk.search(rows.filter("vec_id % 20 = 0"), rows, 3, block_rows=50)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 1 and found.count() == 20 * 3
 
 
 def test_empty_table(spark, tmp_path):
