@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from imlens.llm import op1_rans, op2_jaccard, op5_mixing, op7_quality, op10_decontam
-from imlens.llm.common import prepare, scratch, stored, table
+from imlens.llm.common import free_name, prepare, scratch, stored, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,8 +27,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by five-word shingles at 80 per cent: that of the smallest doc_id."""
     ids = stored(op2_jaccard.link(docs, 5, 80), "pipeline-links")
-    first = ids.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("first_of_group"))
-    return docs.join(first, F.col("doc_id").eqNullSafe(F.col("first_of_group")), "left_semi")
+    name = free_name(docs, "first_of_group")
+    first = ids.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(name))
+    return docs.join(first, F.col("doc_id").eqNullSafe(F.col(name)), "left_semi")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +39,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents of the target mix, once for each epoch that takes them."""
-    return op5_mixing.mixed_documents(docs).drop("mix_epoch")
+    epoch = free_name(docs, "mix_epoch")
+    return op5_mixing.mixed_documents(docs, epoch).drop(epoch)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
