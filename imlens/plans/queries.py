@@ -158,6 +158,21 @@ def q_random_n(spark, sf_dir):
 # --------------------------------------------------------------------------- vectors
 
 
+def q_sample_invariants(spark, sf_dir):
+    """L1, L3: what holds for any seed: rows of the table only, none twice, as many as asked for (six deviations for a fraction)."""
+    e = embeddings(spark, sf_dir).select("vec_id")
+    kinds = {"bernoulli": sampling.bernoulli(e, STABLE_FRACTION), "random_n": sampling.random_n(e, SAMPLE_ROWS), "capped": sampling.sample_capped(e, 0.5, SAMPLE_ROWS)}
+    total = e.count()
+    out = None
+    for kind, rows in kinds.items():
+        known = rows.join(e.select(F.col("vec_id").alias("known")), F.col("vec_id") == F.col("known"), "left")
+        one = known.agg(F.count("*").alias("n"), F.count("known").alias("n_known"), F.count_distinct("vec_id").alias("n_ids")).select(F.lit(kind).alias("kind"), "*")
+        out = one if out is None else out.unionByName(one)
+    mean, spread = total * STABLE_FRACTION, (total * STABLE_FRACTION * (1 - STABLE_FRACTION)) ** 0.5
+    asked = F.when(F.col("kind") == "bernoulli", F.abs(F.col("n") - mean) <= 6 * spread + 1).when(F.col("kind") == "random_n", F.col("n") == min(total, SAMPLE_ROWS)).otherwise(F.col("n") <= SAMPLE_ROWS)
+    return out.select("kind", asked.alias("as_many_as_asked"), (F.col("n_known") == F.col("n")).alias("known"), (F.col("n_ids") == F.col("n")).alias("distinct"))
+
+
 def q_vector_lengths(spark, sf_dir):
     e = embeddings(spark, sf_dir)
     return length_distribution(e, "embedding").select(F.col("vec_size").cast("int").alias("vec_size"), "count")
@@ -267,6 +282,13 @@ def q_pca_apply_test(spark, sf_dir):
     return model.transform(test).select("vec_id", "label", "pca_array")
 
 
+def q_pca_apply_norms(spark, sf_dir):
+    """Test rows under the training model. On all components a row keeps its length: that of its vector standardised by the training rows."""
+    train, test = train_test(spark, sf_dir)
+    out = Reducer("embedding", "p", threshold=1.0, output="array").fit(train).transform(test, components=list(range(VECTOR_LENGTH)))
+    return out.select("vec_id", r6(F.aggregate("p", F.lit(0.0), lambda acc, x: acc + x * x)).alias("square"))
+
+
 # --------------------------------------------------------------------------- evaluation
 
 
@@ -494,6 +516,8 @@ def bitmap_tree(spark: SparkSession, sf_dir: str) -> str:
     files = images.select(
         F.unhex(F.concat(F.lit(head), body)).cast("string").alias("value"), F.element_at(parts, -3).alias("images"), F.element_at(parts, -2).alias("label")
     )
+    # small rows, many files: tasks share the opening and closing of them
+    files = files.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1))
     files.write.partitionBy("images", "label").option("maxRecordsPerFile", 1).text(out)
     return out
 
@@ -704,6 +728,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pca_refit": q_pca_refit,
     "pca_wide": q_pca_wide,
     "layout_2d": q_layout_2d,
+    "pca_apply_norms": q_pca_apply_norms,
+    "sample_invariants": q_sample_invariants,
 }
 
 
@@ -930,6 +956,14 @@ ORACLE_SQL: dict[str, str] = {
         "WITH x AS (SELECT (generate_subscripts(embedding, 1) - 1)::INTEGER AS i, unnest(embedding)::DOUBLE AS v FROM embeddings) "
         "SELECT i, round(avg(v), 6) AS mean, round(stddev_samp(v), 6) AS std FROM x GROUP BY i"
     ),
+    "pca_apply_norms": (
+        "WITH x AS (SELECT vec_id, vec_id % 5 <> 0 AS train, generate_subscripts(embedding, 1) AS i, unnest(embedding)::DOUBLE AS v FROM embeddings), "
+        "s AS (SELECT i, avg(v) AS mean, stddev_samp(v) AS std FROM x WHERE train GROUP BY i) "
+        "SELECT vec_id, round(sum(CASE WHEN std > 0 THEN ((v - mean) / std) ** 2 ELSE 0 END), 6) AS square FROM x JOIN s USING (i) WHERE NOT train GROUP BY vec_id"
+    ),
+    "sample_invariants": (
+        "SELECT kind, true AS as_many_as_asked, true AS known, true AS \"distinct\" FROM (VALUES ('bernoulli'), ('random_n'), ('capped')) t(kind)"
+    ),
     "pca_wide": (
         f"SELECT range::INTEGER AS component, 0.0::DOUBLE AS mean, true AS variance_as_stated, 0.0::DOUBLE AS covariance "
         f"FROM range({WIDE_K}) WHERE EXISTS (FROM embeddings)"

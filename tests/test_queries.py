@@ -22,6 +22,8 @@ EXPECTED = {
     "pca_apply_test": ([100], ["vec_id", "label", "pca_array"]),
     "classify_lr": ([100], ["vec_id", "label", "prediction"]),
     "classify_rf": ([100], ["vec_id", "label", "prediction"]),
+    "classify_hgb": ([100], ["vec_id", "label", "prediction"]),
+    "layout_2d": ([500], ["vec_id", "label", "x", "y"]),
     "image_reduction": ([500], ["path", "label", "split", "pca_features"]),
 }
 
