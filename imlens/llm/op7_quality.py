@@ -1,13 +1,13 @@
 """Quality classifier: supervised subword embeddings, trained by numpy stochastic gradient descent.
 
-A document is the average of learned vectors of its features: hashed words, hashed byte n-grams of each
-word with its boundaries, and a marker for a word that repeats the one before it; a linear layer and
-softmax over two classes follow. Training
+A document is the average of learned vectors of its features: hashed words, hashed pairs of neighbouring words, a pair of
+equal words being one feature whatever the word, and hashed character n-grams of each word with its boundaries; a linear
+layer and softmax over two classes follow. Training
 takes a bounded, documented sample of labelled rows (``max_rows``, those with the smallest seeded hash of
 doc_id) to the driver as feature counts; scoring runs over all documents.
 
-Since average and linear layer are linear, a word's features add up to one number per class, computed once
-per distinct word and kept in a bounded table; a document's score needs one look-up per word.
+Since average and linear layer are linear, a word's own features add up to one number per class, computed once
+per distinct word and kept in a bounded table; a document's score needs one look-up per word and one per pair.
 
 Labels, lang, source and doc_id are no input of a score: only the text's words are.
 
@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from imlens.llm.common import mix64, prepare, schema, stored, table, text_bytes
-from imlens.llm.wordhash import Words, WordTable, batches
+from imlens.llm.wordhash import _BYTES, _SPACE, Words, WordTable, _powers, batches
 
 DIM = 16
 BUCKETS = 1 << 17  # rows of the embedding table
@@ -39,19 +39,25 @@ THRESHOLD = 0.7
 def word_features(words: Words) -> tuple[np.ndarray, np.ndarray]:
     """(buckets of all words one after another, their number per word).
 
-    A word's features are the word itself and its byte n-grams with one separator on either side.
+    A word's features are the word itself and its n-grams of characters with one separator on either side.
     """
-    data = np.concatenate([np.full(1, 10, np.uint8), words.data]).astype(np.uint64)
-    lengths = words.ends - words.starts
+    data = np.concatenate([np.full(1, 10, np.uint8), words.data])
+    data[_SPACE[data]] = 10  # one separator, whatever stands between the words
+    characters = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))  # where each character starts, and the end
+    first = np.searchsorted(characters, words.starts)  # the separator before each word, one byte on
+    lengths = np.searchsorted(characters, words.ends + 1) - first - 1
+    up, down = _powers(len(data) + 1)
+    with np.errstate(over="ignore"):
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTES[data] * up[: len(data)], dtype=np.uint64)])
     parts, sizes = [mix64(words.hashes ^ np.uint64(1)) % np.uint64(BUCKETS)], [np.ones(len(lengths), np.int64)]
     owner = [np.arange(len(lengths))]
     for n in NGRAMS:
         size = np.maximum(lengths + 3 - n, 0)
         upto = np.cumsum(size)
-        at = np.repeat(words.starts - (upto - size), size) + np.arange(upto[-1] if len(upto) else 0)
-        code = np.full(len(at), n, np.uint64)
-        for k in range(n):
-            code = (code << np.uint64(8)) | data[at + k]
+        at = np.repeat(first - (upto - size), size) + np.arange(upto[-1] if len(upto) else 0)
+        begin, end = characters[at], characters[at + n]
+        with np.errstate(over="ignore"):
+            code = (sums[end] - sums[begin]) * down[begin] + np.uint64(n)
         parts.append(mix64(code) % np.uint64(BUCKETS))
         sizes.append(size)
         owner.append(np.repeat(np.arange(len(lengths)), size))
@@ -59,16 +65,14 @@ def word_features(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(parts)[order].astype(np.int64), sum(sizes)
 
 
-def repeats(words: Words) -> np.ndarray:
-    """1 for every word that equals the word before it in its text."""
-    same = np.zeros(len(words.hashes), np.int64)
-    same[1:] = words.hashes[1:] == words.hashes[:-1]
-    same[words.first[:-1][words.counts > 0]] = 0
-    return same
-
-
-#: The feature that stands for a repeated word, of this weight against a word's other features.
-REPEAT, REPEAT_WEIGHT = 0, 8
+def pair_features(words: Words) -> np.ndarray:
+    """The bucket of every word's pair with the word before it; -1 for the first word of a text."""
+    with np.errstate(over="ignore"):
+        pair = mix64(words.hashes[1:] + np.uint64(3) * words.hashes[:-1])
+    out = np.full(len(words.hashes), -1, np.int64)
+    out[1:] = np.where(words.hashes[1:] == words.hashes[:-1], 0, pair % np.uint64(BUCKETS))
+    out[words.first[:-1][words.counts > 0]] = -1
+    return out
 
 
 def held_out(doc_id: Column) -> Column:
@@ -143,10 +147,10 @@ def sample(docs: DataFrame, labels: DataFrame, max_rows: int, seed: int) -> list
                 words = Words(texts[at:stop], lower=False)
                 flat, sizes = word_features(words)
                 upto = np.concatenate([[0], np.cumsum(sizes)])[words.first]
-                again = np.add.reduceat(np.append(repeats(words), 0), words.first[:-1]) * (words.counts > 0)
+                pairs = pair_features(words)
                 for k in range(stop - at):
-                    mine = np.append(flat[upto[k]:upto[k + 1]], np.full(again[k] * REPEAT_WEIGHT, REPEAT))
-                    buckets, counts = np.unique(mine, return_counts=True)
+                    mine = pairs[words.first[k]:words.first[k + 1]]
+                    buckets, counts = np.unique(np.append(flat[upto[k]:upto[k + 1]], mine[mine >= 0]), return_counts=True)
                     out.append((buckets.astype("<i4").tobytes(), counts.astype("<i4").tobytes(), marks[at + k]))
             if out:
                 kinds = (pa.binary(), pa.binary(), pa.int32())
@@ -163,19 +167,20 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, seed: int
 
 
 class Scorer:
-    """Scores of texts in a worker: one table look-up per word, one sum per text."""
+    """Scores of texts in a worker: one table look-up per word and one per pair, one sum per text."""
 
     def __init__(self, gain: np.ndarray, bias: float):
         model = Model(None, None, None)
         model._gain, self.bias = gain, bias
         self.values = WordTable(model.word_values)
-        self.repeat = REPEAT_WEIGHT * np.array([gain[REPEAT], 1.0])
+        self.gain = np.append(gain, 0.0)  # the last place is that of no pair
 
     def __call__(self, texts: list[bytes]) -> np.ndarray:
         out = [np.zeros(0)]
         for at, stop in batches(texts):
             words = Words(texts[at:stop], lower=False)
-            values = self.values.get(words) + repeats(words)[:, None] * self.repeat
+            pairs = pair_features(words)
+            values = self.values.get(words) + np.stack([self.gain[pairs], pairs >= 0], axis=1)
             upto = np.concatenate([np.zeros((1, 2)), np.cumsum(values, axis=0)])
             sums = np.diff(upto[words.first], axis=0)
             z = sums[:, 0] / np.maximum(sums[:, 1], 1) + self.bias

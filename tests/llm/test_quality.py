@@ -44,6 +44,53 @@ def test_empty_table(spark, tmp_path):
     assert quality.op7_quality(spark, folder).collect() == []
 
 
+def _buckets(text: str) -> list[int]:
+    """Brute force: the buckets of a text's features, with big integers and Python strings."""
+    from imlens.llm.common import mix64
+    from imlens.llm.wordhash import _BYTES, _P
+
+    def mixed(x: int) -> int:
+        return int(mix64(np.array([x % 2**64], np.uint64))[0])
+
+    def polynomial(data: bytes) -> int:
+        return sum(int(_BYTES[b]) * pow(_P, i, 2**64) for i, b in enumerate(data)) % 2**64
+
+    out, before = [], None
+    for word in text.encode().split():
+        name = mixed(polynomial(word))
+        out.append(mixed(name ^ 1) % quality.BUCKETS)
+        if before is not None:
+            out.append(0 if before == name else mixed(name + 3 * before) % quality.BUCKETS)
+        before = name
+        characters = ["\n", *word.decode(), "\n"]
+        for n in quality.NGRAMS:
+            for i in range(len(characters) - n + 1):
+                out.append(mixed(polynomial("".join(characters[i:i + n]).encode()) + n) % quality.BUCKETS)
+    return out
+
+
+def test_score_equals_brute_force(spark):
+    texts = ["one two two, three", "é日本 naïve 😀😀", "", "a", "same same same same", "Mixed CASE words\nand lines"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts * 8)], "doc_id long, text string")
+    marks = spark.createDataFrame([(i, i % 2) for i in range(48)], "doc_id long, quality int")
+    model = quality.fit(docs, marks)
+    got = {r["doc_id"]: r["score"] for r in quality.scores(docs, model).collect()}
+    for i, text in enumerate(texts):
+        buckets = _buckets(text)
+        mean = sum((model.vectors[b].astype(float) for b in buckets), np.zeros(quality.DIM)) / max(len(buckets), 1)
+        z = mean @ model.layer.astype(float) + model.bias
+        assert abs(got[i] - 1 / (1 + np.exp(z[0] - z[1]))) < 1e-6
+
+
+def test_training_sees_the_same_features(spark):
+    texts = ["one two two", "naïve é é x", "", "two one"]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    marks = spark.createDataFrame([(k, k % 2) for k in range(4)], "doc_id long, quality int")
+    rows = quality.sample(docs, marks, 10, 1)
+    want = sorted((sorted(_buckets(t)), k % 2) for k, t in enumerate(texts) if edge.trains(k, 4) != 2)
+    assert sorted((np.repeat(b, c).tolist(), q) for b, c, q in rows) == want
+
+
 def test_null_ids_have_a_boolean(spark):
     docs = spark.createDataFrame([(None,), (1,), (2,), (7,)], "doc_id long")
     rows = docs.select("doc_id", quality.held_out(docs["doc_id"]).alias("h")).collect()
