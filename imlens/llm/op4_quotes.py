@@ -35,17 +35,17 @@ NONE = -(2**63)  # stands for a null scope or position
 _MARKS = re.compile(r"^[ \t]*((?:>[ \t]?)+)")
 _ATTRIBUTION = re.compile(r"^.{0,200}(wrote|écrit|schrieb|escribió)[ \t]*:[ \t]*$")
 
-PARSED = "scope long, position long, author string, text string, own array<string>, quotes array<struct<level:int,unit:int,hash:string,chars:long>>"
+PARSED = "scope long, position long, author string, text string, own array<binary>, quotes array<struct<level:int,unit:int,hash:binary,chars:long>>"
 
 
 def normalised(passage: str) -> bytes:
     return b" ".join(passage.encode("utf-8", "replace").translate(LOWER).split())
 
 
-def passage_hash(passage: str) -> str | None:
+def passage_hash(passage: str) -> bytes | None:
     """Null for a passage without a letter or digit."""
     words = normalised(passage)
-    return hashlib.md5(words).hexdigest() if re.search(rb"[a-z0-9\x80-\xff]", words) else None
+    return hashlib.md5(words).digest() if re.search(rb"[a-z0-9\x80-\xff]", words) else None
 
 
 def blocks(text: str) -> list[tuple[int, str]]:
@@ -101,8 +101,8 @@ def parse(messages: DataFrame) -> DataFrame:
     def run(each):
         for batch in each:
             rows = [one(t or "") for t in batch.column(3).to_pylist()]
-            quote = pa.list_(pa.struct([("level", pa.int32()), ("unit", pa.int32()), ("hash", pa.string()), ("chars", pa.int64())]))
-            arrays = [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.list_(pa.string())), pa.array([r[2] for r in rows], quote)]
+            quote = pa.list_(pa.struct([("level", pa.int32()), ("unit", pa.int32()), ("hash", pa.binary()), ("chars", pa.int64())]))
+            arrays = [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.list_(pa.binary())), pa.array([r[2] for r in rows], quote)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], *arrays], ["scope", "position", "author", "text", "own", "quotes"])
 
     return messages.select("scope", "position", "author", "text").mapInArrow(run, schema(PARSED))
