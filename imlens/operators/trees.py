@@ -25,6 +25,7 @@ from imlens.session import ship_package, written
 
 BLOCK_ROWS = 16_384
 TASK_ROWS = 50_000  # rows of a node that one task grows to its leaves
+SUM_BYTES = 1 << 27  # histograms that a task adds up at a time
 BLOCKS = "block long, n int, bins binary, y binary"
 
 
@@ -277,12 +278,32 @@ def _pack(x: np.ndarray) -> bytes:
     return zstandard.compress(x.tobytes(), 1)
 
 
-def best_splits(block_rows: DataFrame, rows_of, growth: Growth, requests: list[tuple[int, int, int]], wide: bool = False) -> dict:
-    """{(tree, node): best split} of the requested (tree, node, key) from histograms of all blocks.
+def best_splits(block_rows: DataFrame, rows_of, trees: dict, growth: Growth, requests: list[tuple[int, int, int]]) -> dict:
+    """{(tree, node): best split} of the requested (tree, node, key), from histograms of all blocks.
 
-    ``rows_of(block columns)`` gives (bins, {tree: (node of each row or -1, rows of the criterion)}). ``wide``: all columns
-    at once; otherwise the first columns of a node, and the others only if these allow no split.
+    ``rows_of(trees)`` makes the function of a block's columns that gives (bins, {tree: (node of each row or -1, rows of
+    the criterion)}). Requests are cut into jobs whose histograms take ``SUM_BYTES`` a task at most (or one node's). The
+    first columns of a node are tried, the others only if these allow no split.
     """
+    out, again = {}, []
+    for wide in (False, True):
+        todo, group, size = (again if wide else requests), [], 0
+        for k, request in enumerate(todo):
+            order, first = growth.columns(request[0], request[2])
+            size += (len(order) if wide else first) * growth.width * growth.criterion.size * 8
+            group.append(request)
+            if size >= SUM_BYTES or k == len(todo) - 1:
+                mine = {t: trees[t] for t, _, _ in group}
+                out |= _wave(block_rows, rows_of(mine), growth, group, wide)
+                group, size = [], 0
+        if not wide:
+            columns = {q[:2]: growth.columns(q[0], q[2]) for q in requests}
+            again = [q for q in requests if q[:2] in out and out[q[:2]][0] <= growth.min_gain and len(columns[q[:2]][0]) > columns[q[:2]][1]]
+    return out
+
+
+def _wave(block_rows: DataFrame, rows_of, growth: Growth, requests: list[tuple[int, int, int]], wide: bool) -> dict:
+    """One job of ``best_splits``; ``wide``: all columns of a node, otherwise its first ones."""
     wanted = {(tree, node): k for k, (tree, node, _) in enumerate(requests)}
     picked = []
     for tree, _, key in requests:
@@ -334,10 +355,6 @@ def best_splits(block_rows: DataFrame, rows_of, growth: Growth, requests: list[t
     for r in found:
         tree, node, _ = requests[r["request"]]
         out[tree, node] = (r["gain"], r["column"], r["cut"], np.frombuffer(r["left"]), np.frombuffer(r["whole"]))
-    if not wide:
-        again = [q for q in requests if (s := out.get(q[:2])) is not None and s[0] <= growth.min_gain and len(growth.columns(q[0], q[2])[0]) > growth.columns(q[0], q[2])[1]]
-        if again:
-            out |= best_splits(block_rows, rows_of, growth, again, True)
     return out
 
 
@@ -421,7 +438,7 @@ def grow_down(block_rows: DataFrame, rows_of, growth: Growth, keys: dict[int, in
             big, small = small, []
         if not big:
             return trees, [(t, node, trees[t].key[node], trees[t].depth[node]) for t, node, _ in small]
-        found = best_splits(block_rows, rows_of(trees), growth, [(t, node, trees[t].key[node]) for t, node, _ in big])
+        found = best_splits(block_rows, rows_of, trees, growth, [(t, node, trees[t].key[node]) for t, node, _ in big])
         todo = []
         for t, node, _ in big:
             tree = trees[t]
@@ -451,7 +468,7 @@ def grow_best_first(block_rows: DataFrame, rows_of, growth: Growth, keys: dict[i
         ahead[t].add(None, key, 0)
         todo.append((t, 0, key))
     while todo:
-        found |= best_splits(block_rows, rows_of(ahead), growth, todo)
+        found |= best_splits(block_rows, rows_of, ahead, growth, todo)
         for t, node, _ in todo:
             if (t, node) in found and ahead[t].sums[node] is None:
                 ahead[t].sums[node] = found[t, node][4]

@@ -78,6 +78,20 @@ def test_leafwise_growth_is_best_first(spark, monkeypatch, leaves):
     assert np.allclose(probabilities(one, df), probabilities(waves, df), atol=1e-5)
 
 
+def test_waves_are_cut_by_the_size_of_their_sums(spark, monkeypatch):
+    """With room for the sums of one node a job, the same trees come out of many jobs."""
+    x, y = rings(200, 7)
+    df = table(spark, x, y)
+    s = boosting.Settings(rounds=1, max_depth=2, bins=8, task_rows=0)
+    whole = boosting.fit(df, "x", "y", 3, s)
+    jobs, wave = [], trees._wave
+    monkeypatch.setattr(trees, "SUM_BYTES", 1)
+    monkeypatch.setattr(trees, "_wave", lambda *a: jobs.append(len(a[3])) or wave(*a))
+    parts = boosting.fit(df, "x", "y", 3, s)
+    assert len(jobs) > 3 and set(jobs) == {1}
+    assert np.allclose(probabilities(whole, df), probabilities(parts, df), atol=1e-6)
+
+
 def test_early_stop_and_sampling(spark):
     x, y = rings(900, 2)
     noise = np.random.default_rng(5).integers(0, 3, len(x))
