@@ -6,7 +6,7 @@ edits those with the ASCII-least initials are taken.
 
 Each conversation is solved by depth-first branch and bound (``search``): an explicit stack holds the
 prefixes, children are visited in ASCII order of their edit, a lower bound of the rest from a relaxed problem
-(kept system turns are free, the end may come anywhere) is added to each prefix, the incumbent
+(the conversation may end anywhere) is added to each prefix, the incumbent
 (cost, audit) starts with a greedy dive, and a table of the least cost of each node (turns read, last role)
 drops prefixes that cost as much as an earlier one: the earlier one is less in ASCII order.
 
@@ -52,25 +52,31 @@ def kept_state(state: int, kind: int) -> int:
     return ASSISTANT if kind == 3 and state == USER else -1
 
 
+#: The column of ``lower_bounds`` for each state: nothing yet, a user turn needed, an assistant turn needed.
+BOUND = (0, 1, 2, 1)
+
+
 def lower_bounds(codes: bytes) -> np.ndarray:
-    """Least cost of the turns from each on, if a user (0) or an assistant (1) turn is needed next, in the relaxed problem."""
-    out = np.zeros((len(codes) + 1, 2), np.int64)
-    user = assistant = 0
+    """Least cost of the turns from each on, by state, in the relaxed problem: the conversation may end anywhere."""
+    out = np.zeros((len(codes) + 1, 3), np.int64)
+    start = user = assistant = 0
     for i in range(len(codes) - 1, -1, -1):
         fault, kind = codes[i] >> 2, codes[i] & 3
-        to_user, to_assistant = user + DELETE, assistant + DELETE
+        from_start, to_user, to_assistant = start + DELETE, user + DELETE, assistant + DELETE
         if fault not in (1, 2):
             more = TRUNCATED if fault == 3 else 0
+            from_start = min(from_start, more + REROLE + assistant)
             to_user = min(to_user, more + REROLE + assistant)
             to_assistant = min(to_assistant, more + REROLE + user)
             if kind == 1:
-                to_user, to_assistant = min(to_user, more + user), min(to_assistant, more + assistant)
+                from_start = min(from_start, more + user)
             elif kind == 2:
-                to_user = min(to_user, more + assistant)
+                from_start, to_user = min(from_start, more + assistant), min(to_user, more + assistant)
             elif kind == 3:
                 to_assistant = min(to_assistant, more + user)
         user, assistant = min(to_user, INSERT + to_assistant), min(to_assistant, INSERT + to_user)
-        out[i] = user, assistant
+        start = min(from_start, INSERT + to_assistant)
+        out[i] = start, user, assistant
     return out
 
 
@@ -95,7 +101,7 @@ def dive(codes: bytes, bound) -> int:
     i, state, cost, inserted = 0, START, 0, False
     while i < len(codes) or state not in DONE:
         options = [c for c in children(codes, i, state) if c[0] != "I" or not inserted or i == len(codes)]
-        edit, more, i, state = min(options, key=lambda c: (c[1] + bound[c[2]][c[3] == USER], c[0] == "I"))
+        edit, more, i, state = min(options, key=lambda c: (c[1] + bound[c[2]][BOUND[c[3]]], c[0] == "I"))
         cost, inserted = cost + more, edit == "I"
     return cost
 
@@ -108,7 +114,7 @@ def search(codes: bytes) -> tuple[int, str]:
     stack = [(0, START, 0, None)]
     while stack:
         i, state, cost, path = stack.pop()
-        reach = cost + bound[i][state == USER]
+        reach = cost + bound[i][BOUND[state]]
         if reach > best or (audit is not None and reach == best):
             continue
         node = 4 * i + state

@@ -75,6 +75,23 @@ def test_long_conversations_are_optimal():
             assert repair.search(bytes(codes)) == exact(bytes(codes))
 
 
+def test_bounds_keep_the_search_small(monkeypatch):
+    """Conversations of one role, of faults alone and of noise: about as many nodes as turns are opened."""
+    rng = random.Random(4)
+    opened, children = [0], repair.children
+
+    def counted(*a):
+        opened[0] += 1
+        return children(*a)
+
+    monkeypatch.setattr(repair, "children", counted)
+    for turns in ([1] * 3000, [2] * 3000, [3] * 3000, [0] * 3000, [12 + 2] * 3000, [4] * 3000, [rng.randrange(16) for _ in range(3000)]):
+        opened[0] = 0
+        codes = bytes(turns)
+        assert repair.search(codes) == exact(codes)
+        assert opened[0] < 20 * len(codes)
+
+
 def brute_force(rows):
     """The contract of the query in plain Python for a table of (conv_id, turn, role, text)."""
     ids, kept = [], {}
