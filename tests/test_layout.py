@@ -76,3 +76,17 @@ def test_a_hot_group_of_equal_vectors(spark):
     assert len({(r["x"], r["y"]) for r in got}) == 200
     with pytest.raises(ValueError, match="three"):
         layout.layout(frame(spark, x[:1]), "id", "v")
+
+
+def test_weak_classes_are_laid_out(spark):
+    from pyspark.ml.functions import array_to_vector
+
+    from imlens.plans.evaluate import weak_class_points
+
+    x, label = clusters(60, 3, centres=4)
+    reduced = frame(spark, x).select(F.col("id").cast("string").alias("path"), array_to_vector("v").alias("pca_features"))
+    predictions = spark.createDataFrame([(str(i), f"c{c}", "c0") for i, c in enumerate(label)], "path string, label string, prediction string")
+    weak = spark.createDataFrame([("c1",), ("c3",)], "label string")
+    got = weak_class_points(reduced, predictions, weak, neighbours=True, k=3, trees=2, exchanges=2).collect()
+    assert {int(r["path"]) for r in got} == {i for i, c in enumerate(label) if c in (1, 3)}
+    assert all(r["x"] is not None and r["y"] is not None for r in got)
