@@ -40,13 +40,18 @@ def scratch(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, f"llm/{name}")
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark's cleaner delete the shuffle files that only finished steps have used."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = scratch(spark, name)
     df.write.parquet(path)
-    gc.collect()
-    spark._jvm.System.gc()  # lets Spark's cleaner delete the shuffle files of what has just been written
+    release(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from imlens.llm import rans
-from imlens.llm.common import drop_stored, prepare, schema, scratch, stored, table, text_bytes
+from imlens.llm.common import drop_stored, prepare, release, schema, scratch, stored, table, text_bytes
 from imlens.llm.tokens import tokenizer
 
 VOCABULARY = "word_bpe_49k.json"
@@ -104,6 +104,7 @@ def write_corpus(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 1,
     tokens = stored(tokenised(docs, vocabulary, end_id, id_col, text_col), "tokens")
     id_counts(tokens).repartition(1).write.parquet(f"{folder}/table")
     freq = load_table(spark, folder)
+    release(spark)  # before the blocks are written beside the tokens
 
     def run(batches):
         group, size = [], 0  # blocks to be coded together: (shard, first seq, block)
