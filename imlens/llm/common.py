@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import gc
-
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from imlens.session import delete_path, ensure_checkpoint_dir, scratch_path, ship_package
+from imlens.session import delete_path, ensure_checkpoint_dir, release, scratch_path, ship_package
 
 #: ASCII upper case to lower case, every other byte as it is.
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -40,12 +38,6 @@ def scratch(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, f"llm/{name}")
 
 
-def release(spark: SparkSession) -> None:
-    """Lets Spark's cleaner delete the shuffle files that only finished steps have used."""
-    gc.collect()
-    spark._jvm.System.gc()
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession

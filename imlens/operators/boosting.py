@@ -24,10 +24,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from imlens.operators import trees as T
-from imlens.session import drop_written, written
+from imlens.session import drop_written, release, written
 
 CHECKPOINT = 10  # rounds between written margins
-SHIP_BYTES = 1 << 28  # bins of all trees of a round that are grouped by node, at most; beyond, histograms go on
+TASK_BYTES = 1 << 25  # bins of a tree's rows that one task grows to the leaves, at most
+SHIP_BYTES = 1 << 29  # bins of all trees of a round that are grouped by node, at most; beyond, histograms go on
 KEPT_BYTES = 1 << 28  # margins that a Python worker keeps
 
 
@@ -48,7 +49,7 @@ class Settings:
     held_share: float = 0.1  # of the rows, where ``patience`` is set
     patience: int | None = None  # rounds without a better loss on held rows after which fitting stops
     tolerance: float = 1e-7
-    task_rows: int = T.TASK_ROWS
+    task_rows: int = 500_000  # rows that one task grows to the leaves, at most; of wide vectors fewer (TASK_BYTES)
     seed: int = 42
 
 
@@ -67,7 +68,7 @@ def leafwise_settings(**changes) -> Settings:
 _MARGINS: OrderedDict = OrderedDict()
 
 
-def margins(fit: str, block: int, base_rounds: int, base: np.ndarray, rounds: list, bins: np.ndarray) -> np.ndarray:
+def margins(fit: str, block: tuple[int, int], base_rounds: int, base: np.ndarray, rounds: list, bins: np.ndarray) -> np.ndarray:
     """Margins (rows, classes) after all ``rounds``: from those kept, or from the written ones after ``base_rounds``."""
     done, m = _MARGINS.pop((fit, block), (None, None))
     if done is None or not base_rounds <= done <= base_rounds + len(rounds):
@@ -97,12 +98,12 @@ class Fit:
 
     def open(self, block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(bins, classes, margins, held) of a block's rows."""
-        number, n, raw, y, *base = block
+        number, at, n, raw, y, *base = block
         bins = np.frombuffer(raw, np.uint8).reshape(n, -1) if n else np.zeros((0, self.columns), np.uint8)
         before = np.frombuffer(base[0], "<f4").reshape(n, self.classes) if base else np.tile(self.start.astype("<f4"), (n, 1))
-        m = margins(self.name, number, self.base_rounds, before, self.rounds, bins)
+        m = margins(self.name, (number, at), self.base_rounds, before, self.rounds, bins)
         s = self.settings
-        held = T.uniform(n, s.seed, -1, number) < s.held_share if s.patience else np.zeros(n, bool)
+        held = T.uniform(n, s.seed, -1, number, at=at) < s.held_share if s.patience else np.zeros(n, bool)
         return bins, np.frombuffer(y, "<i4"), m, held
 
     def rows_of(self, partial: dict):
@@ -114,7 +115,7 @@ class Fit:
             bins, y, m, held = self.open(block)
             used = ~held
             if s.subsample < 1:
-                used &= T.uniform(len(y), s.seed, number, block[0]) < s.subsample
+                used &= T.uniform(len(y), s.seed, number, block[0], at=block[1]) < s.subsample
             bins, y, p = bins[used], y[used], softmax(m[used].astype(float))
             out = {}
             for c, tree in arrays.items():
@@ -157,7 +158,7 @@ class Fit:
         def run(batches):
             for batch in batches:
                 out = [self.open(block)[2].astype("<f4").tobytes() for block in zip(*(c.to_pylist() for c in batch.columns))]
-                yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(out, pa.binary())], ["block", "n", "bins", "y", "margins"])
+                yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(out, pa.binary())], ["block", "at", "n", "bins", "y", "margins"])
 
         return written(block_rows.mapInArrow(run, T.BLOCKS + ", margins binary"), "tree-margins")
 
@@ -226,7 +227,8 @@ def fit(data: DataFrame, features: str, label: str, classes: int, settings: Sett
         raise ValueError("no rows to learn from")
     start = np.log(np.maximum(counts, 1e-12) / n) if s.prior else np.zeros(classes)
     state = Fit(s, classes, len(edges), start)
-    parts = max(1, min(int(n // 4 // T.BLOCK_ROWS) + 1, len(block_rows.inputFiles())))
+    parts = max(1, min(int(n // T.PIECE_ROWS) + 1, len(block_rows.inputFiles())))
+    task_rows = max(1, min(s.task_rows, TASK_BYTES // max(len(edges), 1)))
     block_rows = block_rows.coalesce(parts)  # few rows: fewer tasks
     rounds, losses, best = [], [], (np.inf, 0)
     if s.patience:
@@ -236,11 +238,11 @@ def fit(data: DataFrame, features: str, label: str, classes: int, settings: Sett
         keys = {c: int(T.mix(s.seed * 1_000_003 + number * 1009 + c)) for c in range(classes)}
         growth = state.growth()
         sampled = n * s.subsample * (1 - s.held_share if s.patience else 1)
-        if s.max_leaves is not None and (sampled > s.task_rows or sampled * classes * len(edges) > SHIP_BYTES):
+        if s.max_leaves is not None and (sampled > task_rows or sampled * classes * len(edges) > SHIP_BYTES):
             grown = T.grow_best_first(block_rows, state.rows_of, growth, keys)
         else:
             grown, open_nodes = T.grow_down(
-                block_rows, state.rows_of, growth, keys, sampled, lambda sums: sums[2], s.task_rows, SHIP_BYTES, len(edges))
+                block_rows, state.rows_of, growth, keys, sampled, lambda sums: sums[2], task_rows, SHIP_BYTES, len(edges))
             if open_nodes:
                 subtrees = T.finished(block_rows, state.rows_of(grown), growth, open_nodes, T.subtree_row, T.SUBTREE)
                 for sub in subtrees.toArrow().to_pylist():  # bounded by the depth or the leaves
@@ -262,6 +264,7 @@ def fit(data: DataFrame, features: str, label: str, classes: int, settings: Sett
         if len(state.rounds) == CHECKPOINT:
             new = state.write_margins(block_rows).coalesce(parts)
             drop_written(block_rows)
+            release(data.sparkSession)
             block_rows, state.base_rounds, state.rounds = new, state.base_rounds + CHECKPOINT, []
     drop_written(block_rows)
     return BoostedModel(edges, start, rounds, s, losses)

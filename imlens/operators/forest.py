@@ -143,11 +143,11 @@ def fit(
         arrays = {t: tree.arrays() for t, tree in partial.items()}
 
         def rows(block):
-            number, size, raw, y = block
+            number, at, size, raw, y = block
             x, y = np.frombuffer(raw, np.uint8).reshape(size, width), np.frombuffer(y, "<i4")
             out = {}
             for t, tree in arrays.items():
-                w = poisson(T.uniform(size, seed, number, t)) if bootstrap else np.ones(size)
+                w = poisson(T.uniform(size, seed, number, t, at=at)) if bootstrap else np.ones(size)
                 node = T.leaves(x, tree)
                 out[t] = (np.where(w > 0, node, -1), np.stack([y, w], axis=1).astype(float))
             return x, out

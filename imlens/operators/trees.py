@@ -23,10 +23,13 @@ from pyspark.sql import functions as F
 
 from imlens.session import ship_package, written
 
-BLOCK_ROWS = 16_384
+BLOCK_ROWS = 16_384  # rows of a block of random numbers, about
+PIECE_ROWS = 4_096  # of these, rows that are written and read together
 TASK_ROWS = 50_000  # rows of a node that one task grows to its leaves
 SUM_BYTES = 1 << 27  # histograms that a task adds up at a time
-BLOCKS = "block long, n int, bins binary, y binary"
+COLUMN_ROWS = 1_024  # rows from which on sums are taken column by column
+SEND_BYTES = 1 << 24  # rows of nodes that a task sends at a time
+BLOCKS = "block long, at int, n int, bins binary, y binary"
 
 
 def mix(x) -> np.ndarray:
@@ -38,13 +41,13 @@ def mix(x) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-def uniform(n: int, *seeds: int) -> np.ndarray:
-    """n numbers in [0, 1) that depend on the seeds alone."""
+def uniform(n: int, *seeds: int, at: int = 0) -> np.ndarray:
+    """n numbers in [0, 1), from the place ``at`` on, that depend on the seeds alone."""
     base = np.uint64(0)
     for s in seeds:
         base = mix(base ^ np.uint64(s & (2**64 - 1)))
     with np.errstate(over="ignore"):
-        return (mix(base + np.arange(n, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) >> np.uint64(11)) * 2.0**-53
+        return (mix(base + np.arange(at, at + n, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) >> np.uint64(11)) * 2.0**-53
 
 
 # ---- bins and blocks
@@ -80,7 +83,10 @@ def matrix(column: pa.Array, width: int) -> np.ndarray:
 
 
 def blocks(data: DataFrame, features: str, label: str, edges: list[np.ndarray]) -> DataFrame:
-    """BLOCKS of rows with a feature array and a class index, written: bins (n x d, u8) and classes (i4)."""
+    """BLOCKS of rows with a feature array and a class index, written: bins (n x d, u8) and classes (i4).
+
+    A block is cut into pieces of PIECE_ROWS, which start at its row ``at``; they are dealt over as many files as there are cores.
+    """
     width = len(edges)
 
     def run(batches):
@@ -90,9 +96,11 @@ def blocks(data: DataFrame, features: str, label: str, edges: list[np.ndarray])
 
         def out():
             x, y = np.concatenate(held), np.concatenate(ys).astype("<i4")
-            return pa.RecordBatch.from_arrays(
-                [pa.array([number]), pa.array([len(y)], pa.int32()), pa.array([x.tobytes()], pa.binary()), pa.array([y.tobytes()], pa.binary())],
-                ["block", "n", "bins", "y"])
+            for at in range(0, len(y), PIECE_ROWS):
+                bins, classes = x[at:at + PIECE_ROWS].tobytes(), y[at:at + PIECE_ROWS]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([number]), pa.array([at], pa.int32()), pa.array([len(classes)], pa.int32()), pa.array([bins], pa.binary()), pa.array([classes.tobytes()], pa.binary())],
+                    ["block", "at", "n", "bins", "y"])
 
         for batch in batches:
             for at in range(0, batch.num_rows, BLOCK_ROWS):
@@ -101,13 +109,14 @@ def blocks(data: DataFrame, features: str, label: str, edges: list[np.ndarray])
                 ys.append(np.asarray(part.column(1), np.int64))
                 n += part.num_rows
                 if n >= BLOCK_ROWS:
-                    yield out()
+                    yield from out()
                     number, held, ys, n = number + 1, [], [], 0
         if n:
-            yield out()
+            yield from out()
 
     ship_package(data.sparkSession)
-    return written(data.select(features, F.col(label).cast("long")).mapInArrow(run, BLOCKS), "tree-blocks")
+    pieces = data.select(features, F.col(label).cast("long")).mapInArrow(run, BLOCKS)
+    return written(pieces.repartition(max(1, data.sparkSession.sparkContext.defaultParallelism)), "tree-blocks")
 
 
 # ---- criteria
@@ -132,9 +141,8 @@ class Gradients:
         return False
 
     def sums(self, cells: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
-        """Sums of the rows (gradient, hessian, weight) of each cell; a row has several cells, one for each column."""
-        each = cells.shape[1]
-        return np.stack([np.bincount(cells.ravel(), np.repeat(rows[:, k], each), n) for k in range(3)], axis=1)
+        """Sums of the rows (gradient, hessian, weight) of each cell; a row has one cell, or one for each column."""
+        return np.stack([np.bincount(cells.ravel(), _each(rows[:, k], cells), n) for k in range(3)], axis=1)
 
 
 @dataclass
@@ -155,12 +163,23 @@ class Gini:
 
     def sums(self, cells: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
         """Sums of the rows (class, weight) of each cell."""
-        cells = cells * self.size + rows[:, :1].astype(np.int64)
-        return np.bincount(cells.ravel(), np.repeat(rows[:, 1], cells.shape[1]), n * self.size).reshape(n, self.size)
+        y = rows[:, 0].astype(np.int64)
+        cells = cells * self.size + (y if cells.ndim == 1 else y[:, None])
+        return np.bincount(cells.ravel(), _each(rows[:, 1], cells), n * self.size).reshape(n, self.size)
+
+
+def _each(values: np.ndarray, cells: np.ndarray) -> np.ndarray:
+    return values if cells.ndim == 1 else np.repeat(values, cells.shape[1])
 
 
 def histogram(bins: np.ndarray, columns: np.ndarray, rows: np.ndarray, criterion, width: int) -> np.ndarray:
-    """(column, bin, channel) sums."""
+    """(column, bin, channel) sums; many rows go column by column, a few columns turned at a time. Both ways add in the order of the rows."""
+    if len(rows) >= COLUMN_ROWS:
+        rows, out = np.asfortranarray(rows), np.empty((len(columns), width, criterion.size))
+        for a in range(0, len(columns), 8):
+            for k, cells in enumerate(bins[:, columns[a:a + 8]].T.astype(np.int64, order="C"), a):
+                out[k] = criterion.sums(cells, rows, width)
+        return out
     cells = bins[:, columns].astype(np.int64) + np.arange(len(columns)) * width
     return criterion.sums(cells, rows, len(columns) * width).reshape(len(columns), width, criterion.size)
 
@@ -369,20 +388,29 @@ def finished(block_rows: DataFrame, rows_of, growth: Growth, requests: list[tupl
         for batch in batches:
             for block in zip(*(c.to_pylist() for c in batch.columns)):
                 bins, trees = rows_of(block)
-                keys, parts, values = [], [], []
+                keys, parts, values, size = [], [], [], 0
+
+                def out(block=block):
+                    columns = [pa.array(keys, pa.int64()), *(pa.array([v] * len(keys), pa.int64()) for v in block[:2]), pa.array(parts, pa.binary()), pa.array(values, pa.binary())]
+                    return pa.RecordBatch.from_arrays(columns, ["request", "block", "at", "bins", "rows"])
+
                 for tree, (node, rows) in trees.items():
-                    for value in np.unique(node).tolist():
-                        if (k := wanted.get((tree, value))) is not None:
+                    for value in np.flatnonzero(np.bincount(node + 1)) - 1:
+                        if (k := wanted.get((tree, int(value)))) is not None:
                             mine = node == value
                             keys.append(k)
                             parts.append(bins[mine].tobytes())
                             values.append(rows[mine].astype(float).tobytes())
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array([block[0]] * len(keys), pa.int64()), pa.array(parts, pa.binary()), pa.array(values, pa.binary())], ["request", "block", "bins", "rows"])
+                            size += len(parts[-1]) + len(values[-1])
+                    if size > SEND_BYTES:
+                        yield out()
+                        keys, parts, values, size = [], [], [], 0
+                yield out()
 
     def work(key, tab):
         k = key[0].as_py()
         tree, node, name, depth = requests[k]
-        tab = tab.sort_by("block")
+        tab = tab.sort_by([("block", "ascending"), ("at", "ascending")])
         rows = [np.frombuffer(r) for r in tab.column("rows").to_pylist()]
         bins = [np.frombuffer(b, np.uint8) for b in tab.column("bins").to_pylist()]
         wide = n_channels
@@ -392,7 +420,7 @@ def finished(block_rows: DataFrame, rows_of, growth: Growth, requests: list[tupl
 
     n_channels = 3 if isinstance(growth.criterion, Gradients) else 2
     parts = max(1, min(len(requests), int(block_rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    sent = block_rows.mapInArrow(send, "request long, block long, bins binary, rows binary")
+    sent = block_rows.mapInArrow(send, "request long, block long, at long, bins binary, rows binary")
     return sent.repartition(parts, "request").groupBy("request").applyInArrow(work, ddl)
 
 

@@ -7,6 +7,7 @@ caller's ``SparkSession`` or ``DataFrame``. ``local_session`` exists for tests a
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -86,6 +87,12 @@ def drop_written(df) -> None:
         delete_path(df.sparkSession, folder)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark's cleaner delete the shuffle files that only finished steps have used."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -92,6 +92,44 @@ def test_waves_are_cut_by_the_size_of_their_sums(spark, monkeypatch):
     assert np.allclose(probabilities(whole, df), probabilities(parts, df), atol=1e-6)
 
 
+def test_pieces_of_blocks_are_dealt_over_files(spark):
+    """Rows that come in one task are read by many, and a piece draws the random numbers of its place in the block."""
+    rows = spark.range(0, 40_000, 1, 1).select(F.array(F.col("id").cast("double"), F.lit(0.5)).alias("x"), (F.col("id") % 3).cast("int").alias("y"))
+    pieces = trees.blocks(rows, "x", "y", [np.arange(0, 40_000, 200.0), np.zeros(0)])
+    assert len(pieces.inputFiles()) > 2 and pieces.agg(F.sum("n"), F.max("n")).first() == (40_000, trees.PIECE_ROWS)
+    sizes = {}
+    for r in pieces.orderBy("block", "at").collect():
+        assert r["at"] == sizes.get(r["block"], 0) and len(r["bins"]) == 2 * r["n"] and len(r["y"]) == 4 * r["n"]
+        sizes[r["block"]] = r["at"] + r["n"]
+    whole = trees.uniform(10_000, 42, 7)
+    assert np.array_equal(np.concatenate([trees.uniform(4_000, 42, 7, at=a) for a in (0, 4_000)]), whole[:8_000])
+
+
+def many_rows(spark):
+    """70,000 rows in one task, three classes."""
+    x = F.array(*[F.rand(k) for k in range(3)])
+    df = spark.range(0, 70_000, 1, 1).select("id", x.alias("x"))
+    return df.withColumn("y", ((F.col("x")[0] > 0.5).cast("int") + (F.col("x")[1] > 0.9).cast("int")))
+
+
+def test_a_round_of_many_rows_takes_no_waves(spark, monkeypatch):
+    """Rows that a task can hold are split there, level by level: a round is one job, not one for each level."""
+    monkeypatch.setattr(trees, "best_splits", lambda *a: pytest.fail("a wave"))
+    model = boosting.fit(many_rows(spark), "x", "y", 3, boosting.Settings(rounds=1, learning_rate=1.0))
+    assert (probabilities(model, many_rows(spark).limit(500)).argmax(1) == [r["y"] for r in many_rows(spark).limit(500).collect()]).mean() > 0.95
+
+
+def test_sums_of_many_rows_equal_sums_of_cells():
+    """Sums taken column by column are those of all cells at once, bit by bit."""
+    rng = np.random.default_rng(1)
+    n = trees.COLUMN_ROWS + 77
+    bins, columns = rng.integers(0, 16, (n, 11)).astype(np.uint8), np.array([3, 0, 7, 1, 10, 9, 8, 5, 2])
+    cells = bins[:, columns].astype(np.int64) + np.arange(len(columns)) * 16
+    for criterion, rows in ((trees.Gradients(), rng.normal(size=(n, 3))), (trees.Gini(4), np.stack([rng.integers(0, 4, n), rng.random(n)], 1))):
+        plain = criterion.sums(cells, rows, len(columns) * 16).reshape(len(columns), 16, -1)
+        assert np.array_equal(trees.histogram(bins, columns, rows, criterion, 16), plain)
+
+
 def test_early_stop_and_sampling(spark):
     x, y = rings(900, 2)
     noise = np.random.default_rng(5).integers(0, 3, len(x))
