@@ -173,3 +173,11 @@ def test_bad_input(spark):
         boosting.fit(table(spark, x, y).withColumn("x", F.when(F.col("id") == 3, F.slice("x", 1, 2)).otherwise(F.col("x"))), "x", "y", 3, boosting.Settings(rounds=1))
     with pytest.raises(ValueError, match="no rows"):
         boosting.fit(table(spark, x, y).filter("id < 0"), "x", "y", 3, boosting.Settings(rounds=1))
+
+
+def test_leafwise_rounds_of_many_rows_take_no_waves(spark, monkeypatch):
+    """Above 50,000 rows the best leaves were tried in waves over all rows, many a round."""
+    monkeypatch.setattr(trees, "grow_best_first", lambda *a: pytest.fail("waves"))
+    model = boosting.fit(many_rows(spark), "x", "y", 3, boosting.leafwise_settings(rounds=1, max_leaves=6, patience=None, learning_rate=1.0))
+    assert all((t[0] < 0).sum() <= 6 for t in model.rounds[0])
+    assert (probabilities(model, many_rows(spark).limit(500)).argmax(1) == [r["y"] for r in many_rows(spark).limit(500).collect()]).mean() > 0.95
