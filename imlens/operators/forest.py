@@ -6,7 +6,8 @@ leaves are pure. Nodes of many rows are split in waves over all blocks; as soon
 grouped there and its whole subtree is grown and written (``imlens.operators.trees``).
 
 The model is a table: a row for each subtree, and one for the top of each tree. Prediction reads it in chunks of
-whole trees of at most ``CHUNK_BYTES`` and adds up the leaves' class shares, so the driver never holds more than a chunk.
+whole trees of at most ``CHUNK_BYTES`` and adds up the leaves' class shares. Votes are written after each chunk but the last,
+so neither the driver nor a Python worker holds more than a chunk, however many trees and nodes there are.
 """
 
 from __future__ import annotations
@@ -40,17 +41,21 @@ def _part(tree: int, part: int, arrays, sums: np.ndarray) -> pa.Table:
     return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=[f.split()[0] for f in PARTS.split(", ")])
 
 
-def _assembled(rows: list[dict], trees: list[int], classes: int) -> list[tuple]:
+def _assembled(rows: pa.Table, trees: list[int], classes: int) -> list[tuple]:
     """(feature, bin, left, right, shares of each node) of whole trees from their parts."""
     out = []
+    rows = rows.sort_by([("tree", "ascending"), ("part", "ascending")])
+    number, part = (rows.column(k).to_numpy() for k in ("tree", "part"))
     for tree in trees:
-        parts = sorted((r for r in rows if r["tree"] == tree), key=lambda r: r["part"])
-        starts = dict(zip([r["part"] for r in parts], np.cumsum([0] + [len(r["feature"]) for r in parts]).tolist()))
-        feature, cut = (np.concatenate([np.array(r[k], np.int32) for r in parts]) for k in ("feature", "bin"))
-        left, right = (np.concatenate([np.array(r[k], np.int64) + starts[r["part"]] for r in parts]) for k in ("left", "right"))
+        mine = np.flatnonzero(number == tree)
+        values = {k: [rows.column(k)[int(i)].values.to_numpy(zero_copy_only=False) for i in mine] for k in ("feature", "bin", "left", "right", "leaf", "cls", "share")}
+        starts = dict(zip(part[mine].tolist(), np.cumsum([0] + [len(v) for v in values["feature"]]).tolist()))
+        at = list(starts.values())
+        feature, cut = np.concatenate(values["feature"]), np.concatenate(values["bin"])
+        left, right = (np.concatenate([v.astype(np.int64) + a for v, a in zip(values[k], at)]) for k in ("left", "right"))
         shares = np.zeros((len(feature), classes), np.float32)
-        for r in parts:
-            shares[np.array(r["leaf"], np.int64) + starts[r["part"]], np.array(r["cls"], np.int64)] = r["share"]
+        for a, leaf, cls, share in zip(at, values["leaf"], values["cls"], values["share"]):
+            shares[leaf.astype(np.int64) + a, cls] = share
         # a continued node always goes on to the root of its part
         for node in np.flatnonzero(feature == CONTINUED):
             feature[node], cut[node], left[node], right[node] = 0, 255, starts[int(node)], starts[int(node)]
@@ -96,11 +101,17 @@ class ForestModel:
         T.ship_package(spark)
         name = probability or "_forest_probability"
         out = df.withColumn(name, F.array_repeat(F.lit(0.0), self.classes))
-        x = _array(df, features)
-        for chunk in self.chunks():
-            rows = self.parts.filter(F.col("tree").isin(chunk)).toArrow().to_pylist()
-            votes = _voter(spark.sparkContext.broadcast(_assembled(rows, chunk, self.classes)), self.edges, self.trees)
-            out = out.withColumn(name, votes(x, F.col(name)))
+        x, before, chunks = _array(df, features), None, self.chunks()
+        for k, chunk in enumerate(chunks):
+            rows = self.parts.filter(F.col("tree").isin(chunk)).toArrow()
+            shared = spark.sparkContext.broadcast(_assembled(rows, chunk, self.classes))
+            out = out.withColumn(name, _voter(shared, self.edges, self.trees)(x, F.col(name)))
+            if k < len(chunks) - 1:  # voters of one plan would share a worker and its memory
+                out = written(out, "forest-votes")
+                shared.destroy()
+                if before is not None:
+                    drop_written(before)
+                before = out
         out = out.withColumn(prediction, (F.array_position(name, F.array_max(name)) - 1).cast("double"))
         return out if probability else out.drop(name)
 

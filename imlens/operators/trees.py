@@ -196,7 +196,7 @@ def best_split(sums: np.ndarray, columns: np.ndarray, criterion):
     gain = np.where(criterion.allowed(left) & criterion.allowed(right), gain, 0.0)
     at = int(gain.argmax())
     c, b = divmod(at, gain.shape[1])
-    return float(gain[c, b]), int(columns[c]), b, left[c, b], whole
+    return float(gain[c, b]), int(columns[c]), b, left[c, b].copy(), whole.copy()  # views would keep all sums of the node
 
 
 # ---- trees

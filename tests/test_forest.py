@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 import pytest
 
@@ -109,6 +111,28 @@ def test_chunks_of_trees_give_the_same_votes(spark, monkeypatch):
     assert (predictions(model, table(spark, test, np.zeros(500)))[0] == (test[:, :3].sum(1) > 0)).mean() > 0.85
 
 
+def test_a_plan_holds_one_chunk_of_trees(spark, monkeypatch):
+    """Votes of all chunks but the last are written: the last plan has one voter, whatever the number of chunks."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(200, 4))
+    df = table(spark, x, (x[:, 0] > 0).astype(int))
+    model = forest.fit(df, "x", "y", 2, trees=5)
+    monkeypatch.setattr(forest, "CHUNK_BYTES", 1)
+    assert len(model.chunks()) == 5
+    plan = model.transform(df, "x", "pred", "p")._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"ArrowEvalPython \[add\(", plan)) == 1 and plan.count("add(") == 1
+
+
+def test_a_node_keeps_its_own_sums_only():
+    """A tree of many nodes holds a few numbers a node, not the histograms that it was split by."""
+    rng = np.random.default_rng(6)
+    bins, y = rng.integers(0, 64, (300, 9)).astype(np.uint8), rng.integers(0, 10, 300)
+    growth = trees.Growth(trees.Gini(10), 64, lambda tree, key: (np.arange(9), 3))
+    tree = trees.grow(bins, np.stack([y, np.ones(300)], 1).astype(float), growth, 1)
+    assert len(tree.feature) > 200
+    assert all((s if s.base is None else s.base).nbytes <= 10 * 8 for s in tree.sums)
+
+
 def test_bootstrap_numbers():
     w = forest.poisson(trees.uniform(200_000, 1, 2, 3))
     assert abs(w.mean() - 1) < 0.01 and abs((w == 0).mean() - np.exp(-1)) < 0.01 and w.max() < 12
