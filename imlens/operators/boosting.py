@@ -87,6 +87,12 @@ def softmax(m: np.ndarray) -> np.ndarray:
     return e / e.sum(1, keepdims=True)
 
 
+def held_sums(m: np.ndarray, y: np.ndarray, held: np.ndarray) -> tuple[float, float]:
+    """(sum of softmax losses, number) of the held rows."""
+    p = softmax(m[held].astype(float))
+    return -float(np.log(np.maximum(p[np.arange(len(p)), y[held]], 1e-300)).sum()), float(len(p))
+
+
 class Fit:
     """What the tasks of one fit need: settings, rounds since the margins were written."""
 
@@ -106,14 +112,17 @@ class Fit:
         held = T.uniform(n, s.seed, -1, number, at=at) < s.held_share if s.patience else np.zeros(n, bool)
         return bins, np.frombuffer(y, "<i4"), m, held
 
-    def rows_of(self, partial: dict):
-        """The function of blocks for ``trees``: the sampled rows of this round with gradients for each class and their nodes."""
+    def rows_of(self, partial: dict, noted: bool = False):
+        """The function of blocks for ``trees``: the sampled rows of this round with gradients for each class and their nodes.
+
+        ``noted``: and the sum of the held rows' losses after the rounds so far, with their number.
+        """
         s, number = self.settings, self.base_rounds + len(self.rounds)
         arrays = {c: tree.arrays() for c, tree in partial.items()}
 
         def rows(block):
             bins, y, m, held = self.open(block)
-            used = ~held
+            used, notes = ~held, [np.array(held_sums(m, y, held))] if noted else []
             if s.subsample < 1:
                 used &= T.uniform(len(y), s.seed, number, block[0], at=block[1]) < s.subsample
             bins, y, p = bins[used], y[used], softmax(m[used].astype(float))
@@ -122,7 +131,7 @@ class Fit:
                 g = p[:, c] - (y == c)
                 h = np.maximum(s.hessian * p[:, c] * (1 - p[:, c]), 1e-16)
                 out[c] = (T.leaves(bins, tree), np.stack([g, h, np.ones(len(g))], axis=1))
-            return bins, out
+            return bins, out, *notes
 
         return rows
 
@@ -136,7 +145,7 @@ class Fit:
             return np.sort(np.argsort(T.uniform(width, s.seed, -2, number, tree), kind="stable")[:picked]), picked
 
         criterion = T.Gradients(s.l2, s.min_hessian, s.min_rows)
-        return T.Growth(criterion, s.bins, columns, s.max_depth, s.max_leaves, 1e-6)
+        return T.Growth(criterion, s.bins, columns, s.max_depth, s.max_leaves, 1e-6, tree_columns=True)
 
     def held_loss(self, block_rows: DataFrame) -> float:
         """Mean softmax loss of the held rows after the rounds so far."""
@@ -145,9 +154,8 @@ class Fit:
             for batch in batches:
                 for block in zip(*(c.to_pylist() for c in batch.columns)):
                     _, y, m, held = self.open(block)
-                    p = softmax(m[held].astype(float))
-                    loss -= float(np.log(np.maximum(p[np.arange(len(p)), y[held]], 1e-300)).sum())
-                    n += len(p)
+                    more, rows = held_sums(m, y, held)
+                    loss, n = loss + more, n + int(rows)
             yield pa.RecordBatch.from_arrays([pa.array([loss]), pa.array([n])], ["loss", "n"])
 
         row = block_rows.mapInArrow(run, "loss double, n long").agg(F.sum("loss"), F.sum("n")).first()
@@ -230,23 +238,38 @@ def fit(data: DataFrame, features: str, label: str, classes: int, settings: Sett
     parts = max(1, min(int(n // T.PIECE_ROWS) + 1, len(block_rows.inputFiles())))
     task_rows = max(1, min(s.task_rows, TASK_BYTES // max(len(edges), 1)))
     block_rows = block_rows.coalesce(parts)  # few rows: fewer tasks
-    rounds, losses, best = [], [], (np.inf, 0)
-    if s.patience:
-        best = (state.held_loss(block_rows), 0)
-        losses.append(best[0])
+    rounds, losses, best = [], [], 0
+    sampled = n * s.subsample * (1 - s.held_share if s.patience else 1)
+    waves = s.max_leaves is not None and (sampled > task_rows or sampled * classes * len(edges) > SHIP_BYTES)
+
+    def no_better(loss: float) -> bool:
+        """The loss after the rounds so far; whether it has been no better for ``patience`` rounds."""
+        nonlocal best
+        losses.append(loss)
+        if loss < losses[best] - s.tolerance:
+            best = len(rounds)
+        return len(rounds) - best >= s.patience
+
     for number in range(s.rounds):
+        if s.patience and waves and no_better(state.held_loss(block_rows)):
+            break
         keys = {c: int(T.mix(s.seed * 1_000_003 + number * 1009 + c)) for c in range(classes)}
         growth = state.growth()
-        sampled = n * s.subsample * (1 - s.held_share if s.patience else 1)
-        if s.max_leaves is not None and (sampled > task_rows or sampled * classes * len(edges) > SHIP_BYTES):
+        if waves:
             grown = T.grow_best_first(block_rows, state.rows_of, growth, keys)
         else:
             grown, open_nodes = T.grow_down(
                 block_rows, state.rows_of, growth, keys, sampled, lambda sums: sums[2], task_rows, SHIP_BYTES, len(edges))
+            loss = None
             if open_nodes:
-                subtrees = T.finished(block_rows, state.rows_of(grown), growth, open_nodes, T.subtree_row, T.SUBTREE)
+                subtrees = T.finished(block_rows, state.rows_of(grown, bool(s.patience)), growth, open_nodes, T.subtree_row, T.SUBTREE)
                 for sub in subtrees.toArrow().to_pylist():  # bounded by the depth or the leaves
-                    T.graft(grown[sub["tree"]], sub["node"], sub, 3)
+                    if sub["tree"] < 0:  # the job of this round reads the loss after the last one
+                        loss = sub["sums"][0] / sub["sums"][1] if sub["sums"][1] else float("nan")
+                    else:
+                        T.graft(grown[sub["tree"]], sub["node"], sub, 3)
+            if s.patience and no_better(state.held_loss(block_rows) if loss is None else loss):
+                break
         trees = []
         for c in range(classes):
             if grown[c].sums[0] is None:  # no row was sampled
@@ -255,16 +278,12 @@ def fit(data: DataFrame, features: str, label: str, classes: int, settings: Sett
             trees.append((*arrays, -s.learning_rate * sums[:, 0] / (sums[:, 1] + s.l2 + 1e-12)))
         rounds.append(trees)
         state.rounds.append(trees)
-        if s.patience:
-            losses.append(state.held_loss(block_rows))
-            if losses[-1] < best[0] - s.tolerance:
-                best = (losses[-1], number + 1)
-            elif number + 1 - best[1] >= s.patience:
-                break
         if len(state.rounds) == CHECKPOINT:
             new = state.write_margins(block_rows).coalesce(parts)
             drop_written(block_rows)
             release(data.sparkSession)
             block_rows, state.base_rounds, state.rounds = new, state.base_rounds + CHECKPOINT, []
+    if s.patience and len(losses) == len(rounds):
+        losses.append(state.held_loss(block_rows))
     drop_written(block_rows)
     return BoostedModel(edges, start, rounds, s, losses)

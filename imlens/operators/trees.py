@@ -27,6 +27,8 @@ BLOCK_ROWS = 16_384  # rows of a block of random numbers, about
 PIECE_ROWS = 4_096  # of these, rows that are written and read together
 TASK_ROWS = 50_000  # rows of a node that one task grows to its leaves
 SUM_BYTES = 1 << 27  # histograms that a task adds up at a time
+ROUNDING = 1e-6  # errors of sums got by subtraction are far smaller, as a share of a score (of LEAST_SUM) and of a hessian
+LEAST_SUM = 0.1  # hessian and L2 of a side, at least, where sums are subtracted
 COLUMN_ROWS = 1_024  # rows from which on sums are taken column by column
 SEND_BYTES = 1 << 24  # rows of nodes that a task sends at a time
 BLOCKS = "block long, at int, n int, bins binary, y binary"
@@ -133,8 +135,8 @@ class Gradients:
     def score(self, s: np.ndarray) -> np.ndarray:
         return s[..., 0] ** 2 / (2 * (s[..., 1] + self.l2) + 1e-12)
 
-    def allowed(self, s: np.ndarray) -> np.ndarray:
-        return (s[..., 1] >= self.min_hessian) & (s[..., 2] >= self.min_rows)
+    def allowed(self, s: np.ndarray, more: float = 0.0) -> np.ndarray:
+        return (s[..., 1] >= self.min_hessian + more) & (s[..., 2] >= self.min_rows)
 
     def pure(self, s: np.ndarray) -> bool:
         """No split of these rows can gain anything."""
@@ -184,6 +186,20 @@ def histogram(bins: np.ndarray, columns: np.ndarray, rows: np.ndarray, criterion
     return criterion.sums(cells, rows, len(columns) * width).reshape(len(columns), width, criterion.size)
 
 
+def column_sums(cells: np.ndarray, rows: np.ndarray, width: int) -> np.ndarray:
+    """(column, bin, channel) sums, added in the order of the rows like ``histogram``, of cells (column, row) and rows (channel, row)."""
+    out = np.empty((len(rows), len(cells), width))
+    if cells.shape[1] >= COLUMN_ROWS:
+        for k, cell in enumerate(cells):
+            for c, values in enumerate(rows):
+                out[c, k] = np.bincount(cell, values, width)
+    else:
+        flat = (cells + np.arange(len(cells))[:, None] * width).ravel()
+        for c, values in enumerate(rows):
+            out[c] = np.bincount(flat, np.tile(values, len(cells)), out[c].size).reshape(out[c].shape)
+    return np.moveaxis(out, 0, 2)
+
+
 def best_split(sums: np.ndarray, columns: np.ndarray, criterion):
     """(gain, column, bin, sums of the left side, sums of the node); a gain of 0 where no split is allowed.
 
@@ -199,6 +215,21 @@ def best_split(sums: np.ndarray, columns: np.ndarray, criterion):
     return float(gain[c, b]), int(columns[c]), b, left[c, b].copy(), whole.copy()  # views would keep all sums of the node
 
 
+def may_be_best(sums: np.ndarray, criterion: Gradients, min_gain: float) -> np.ndarray:
+    """Places of the columns that may hold the best split, from sums with errors of rounding; none if no gain can exceed ``min_gain``."""
+    left = sums.cumsum(1)
+    whole = left[0, -1]
+    left, right = left[:, :-1], whole - left[:, :-1]
+    likely = criterion.allowed(left, -ROUNDING) & criterion.allowed(right, -ROUNDING)
+    sure = criterion.allowed(left, ROUNDING) & criterion.allowed(right, ROUNDING)
+    a, b, c = criterion.score(left), criterion.score(right), criterion.score(whole)
+    gain, room = np.where(likely, a + b - c, 0.0), 2 * ROUNDING * (1 + np.where(likely, np.maximum(a, b), c).max(initial=0))
+    top = gain.max(1, initial=0)
+    if top.max() <= min_gain - room:
+        return np.zeros(0, int)
+    return np.flatnonzero(top >= np.where(sure, gain, 0.0).max(initial=0) - room)
+
+
 # ---- trees
 
 @dataclass
@@ -233,17 +264,25 @@ def leaves(bins: np.ndarray, arrays, start: int = 0) -> np.ndarray:
     """The node in which each row ends."""
     feature, cut, left, right = arrays
     node = np.full(len(bins), start, np.int64)
-    rows = np.flatnonzero(feature[node] >= 0)
+    if feature[start] < 0 or not len(bins):
+        return node
+    flat, width, feature = np.ascontiguousarray(bins).reshape(-1), bins.shape[1], feature.astype(np.int64)
+    sides = np.stack([left, right], axis=1).ravel().astype(np.int64)
+    rows, at = np.arange(len(bins)), node
     while len(rows):
-        at = node[rows]
-        node[rows] = np.where(bins[rows, feature[at]] <= cut[at], left[at], right[at])
-        rows = rows[feature[node[rows]] >= 0]
+        at = sides.take(2 * at + (flat.take(rows * width + feature.take(at)) > cut.take(at)))
+        node[rows] = at
+        inside = feature.take(at) >= 0
+        rows, at = rows[inside], at[inside]
     return node
 
 
 @dataclass
 class Growth:
-    """How trees grow. ``columns(key)`` gives the columns of a node in the order in which they are tried, and how many at first."""
+    """How trees grow. ``columns(key)`` gives the columns of a node in the order in which they are tried, and how many at first.
+
+    ``tree_columns``: the criterion is ``Gradients``, and columns are the same for all nodes of a tree, and all are tried.
+    """
 
     criterion: object
     width: int  # bins of a column
@@ -251,6 +290,7 @@ class Growth:
     max_depth: int | None = None
     max_leaves: int | None = None  # best gain first, up to so many leaves
     min_gain: float = 1e-9
+    tree_columns: bool = False
 
     def find(self, bins: np.ndarray, rows: np.ndarray, key: int, tree: int):
         """The best split among the first columns of a node, or of the others if those allow none."""
@@ -263,31 +303,69 @@ class Growth:
 
 
 def grow(bins: np.ndarray, rows: np.ndarray, growth: Growth, key: int, depth: int = 0, number: int = 0) -> Tree:
-    """The whole tree of the rows of one node: the best gain first, or all of them where there is no limit of leaves."""
+    """The whole tree of the rows of one node: the best gain first, or all of them where there is no limit of leaves.
+
+    Where a tree has its columns, they are turned once. There, of two children of many rows the larger has its parent's sums
+    less the smaller's, but for errors of rounding; the few columns that may be best by these are added up from its rows,
+    so splits and sums are those of adding up all columns.
+    """
     tree = Tree()
     tree.add(None, key, depth)
-    heap, at = [], {}
-
-    def look(node: int, mine: np.ndarray):
+    heap, at, kept = [], {}, {}  # kept: sums of nodes that may be split, of SUM_BYTES at most
+    if growth.tree_columns:
+        order = growth.columns(number, key)[0]
+        cells, turned = np.ascontiguousarray(bins[:, order].T), np.ascontiguousarray(rows.T)
+
+    def add_up(mine: np.ndarray, picked=slice(None)) -> np.ndarray:
+        return column_sums(cells[picked].take(mine, 1), turned.take(mine, 1), growth.width)
+
+    def split(mine: np.ndarray, sums: np.ndarray | None):
+        """The best split, or None, and the sums of all columns: those given, or from the rows."""
+        if sums is None:
+            sums = add_up(mine)
+            return best_split(sums, order, growth.criterion), sums
+        picked = may_be_best(sums, growth.criterion, growth.min_gain)
+        if not len(picked):
+            return None, sums
+        picked = np.union1d(0, picked)  # the first column gives the sums of the node
+        return best_split(add_up(mine, picked), order[picked], growth.criterion), sums
+
+    def look(node: int, mine: np.ndarray, sums: np.ndarray | None = None):
+        """Offers the best split of a node; returns the sums of all columns, if they were taken."""
         if tree.sums[node] is not None and growth.criterion.pure(tree.sums[node]):
-            return
-        gain, column, cut, left, whole = growth.find(bins[mine], rows[mine], tree.key[node], number)
+            return None
+        if growth.tree_columns:
+            best, sums = split(mine, sums)
+        else:
+            best = growth.find(bins[mine], rows[mine], tree.key[node], number)
+        if best is None:
+            return sums
+        gain, column, cut, left, whole = best
         if tree.sums[node] is None:
             tree.sums[node] = whole
         if gain > growth.min_gain and (growth.max_depth is None or tree.depth[node] < growth.max_depth):
             heapq.heappush(heap, (-gain, node))
             at[node] = (column, cut, left, mine)
+            if subtract and len(mine) > COLUMN_ROWS and (len(kept) + 1) * sums.nbytes <= SUM_BYTES:
+                kept[node] = sums
+        return sums
 
+    subtract = growth.tree_columns and growth.criterion.l2 + growth.criterion.min_hessian >= LEAST_SUM
     look(0, np.arange(len(bins)))
     n_leaves = 1
     while heap and (growth.max_leaves is None or n_leaves < growth.max_leaves):
         _, node = heapq.heappop(heap)
         column, cut, left, mine = at.pop(node)
         goes = bins[mine, column] <= cut
-        for child, part in zip(tree.split(node, column, cut, left), (mine[goes], mine[~goes])):
-            if growth.max_depth is None or tree.depth[child] < growth.max_depth:
-                look(child, part)
+        parts, whole = (mine[goes], mine[~goes]), kept.pop(node, None)
+        children = tree.split(node, column, cut, left)
         n_leaves += 1
+        if n_leaves == growth.max_leaves or growth.max_depth is not None and tree.depth[children[0]] >= growth.max_depth:
+            continue  # the children stay leaves
+        small = int(len(parts[1]) < len(parts[0]))
+        taken = look(children[small], parts[small])
+        less = whole - taken if whole is not None and len(parts[1 - small]) > COLUMN_ROWS else None
+        look(children[1 - small], parts[1 - small], less)
     return tree
 
 
@@ -368,7 +446,7 @@ def _wave(block_rows: DataFrame, rows_of, growth: Growth, requests: list[tuple[i
 
     sums = block_rows.mapInArrow(count, "request long, sums binary")
     parts = max(1, min(len(requests), int(block_rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    met = sums.repartition(parts, "request").sortWithinPartitions("request")
+    met = sums.repartitionById(parts, F.col("request").cast("int")).sortWithinPartitions("request")
     found = met.mapInArrow(choose, "request long, gain double, `column` int, cut int, left binary, whole binary").toArrow().to_pylist()
     out = {}
     for r in found:
@@ -380,18 +458,19 @@ def _wave(block_rows: DataFrame, rows_of, growth: Growth, requests: list[tuple[i
 def finished(block_rows: DataFrame, rows_of, growth: Growth, requests: list[tuple[int, int, int, int]], emit, ddl: str) -> DataFrame:
     """Rows of ``ddl`` that ``emit(tree, node, subtree)`` makes of the subtree of each requested (tree, node, key, depth).
 
-    The rows of a node are grouped from all blocks; a node has at most ``TASK_ROWS`` of them, about.
+    The rows of a node are grouped from all blocks; a node has at most ``TASK_ROWS`` of them, about. Requests are dealt
+    evenly over the tasks. Where ``rows_of`` has third values, numbers of a block, one more subtree of tree -1 has their sum.
     """
     wanted = {(tree, node): k for k, (tree, node, _, _) in enumerate(requests)}
 
     def send(batches):
         for batch in batches:
             for block in zip(*(c.to_pylist() for c in batch.columns)):
-                bins, trees = rows_of(block)
-                keys, parts, values, size = [], [], [], 0
+                bins, trees, *notes = rows_of(block)
+                keys, parts, values, size = [-1 for _ in notes], [b"" for _ in notes], [note.tobytes() for note in notes], 0
 
                 def out(block=block):
-                    columns = [pa.array(keys, pa.int64()), *(pa.array([v] * len(keys), pa.int64()) for v in block[:2]), pa.array(parts, pa.binary()), pa.array(values, pa.binary())]
+                    columns = [pa.array(keys, pa.int32()), *(pa.array([v] * len(keys), pa.int64()) for v in block[:2]), pa.array(parts, pa.binary()), pa.array(values, pa.binary())]
                     return pa.RecordBatch.from_arrays(columns, ["request", "block", "at", "bins", "rows"])
 
                 for tree, (node, rows) in trees.items():
@@ -409,9 +488,11 @@ def finished(block_rows: DataFrame, rows_of, growth: Growth, requests: list[tupl
 
     def work(key, tab):
         k = key[0].as_py()
-        tree, node, name, depth = requests[k]
         tab = tab.sort_by([("block", "ascending"), ("at", "ascending")])
         rows = [np.frombuffer(r) for r in tab.column("rows").to_pylist()]
+        if k < 0:
+            return emit(-1, 0, Tree([-1], [0], [-1], [-1], [np.sum(rows, axis=0)]))
+        tree, node, name, depth = requests[k]
         bins = [np.frombuffer(b, np.uint8) for b in tab.column("bins").to_pylist()]
         wide = n_channels
         rows = np.concatenate([r.reshape(-1, wide) for r in rows])
@@ -419,9 +500,9 @@ def finished(block_rows: DataFrame, rows_of, growth: Growth, requests: list[tupl
         return emit(tree, node, grow(bins, rows, growth, name, depth, tree))
 
     n_channels = 3 if isinstance(growth.criterion, Gradients) else 2
-    parts = max(1, min(len(requests), int(block_rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    sent = block_rows.mapInArrow(send, "request long, block long, at long, bins binary, rows binary")
-    return sent.repartition(parts, "request").groupBy("request").applyInArrow(work, ddl)
+    parts = max(1, min(len(requests) + 1, int(block_rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    sent = block_rows.mapInArrow(send, "request int, block long, at long, bins binary, rows binary")
+    return sent.repartitionById(parts, "request").groupBy("request").applyInArrow(work, ddl)
 
 
 SUBTREE = "tree int, node int, feature array<int>, bin array<int>, left array<int>, right array<int>, sums array<double>"

@@ -181,3 +181,62 @@ def test_leafwise_rounds_of_many_rows_take_no_waves(spark, monkeypatch):
     model = boosting.fit(many_rows(spark), "x", "y", 3, boosting.leafwise_settings(rounds=1, max_leaves=6, patience=None, learning_rate=1.0))
     assert all((t[0] < 0).sum() <= 6 for t in model.rounds[0])
     assert (probabilities(model, many_rows(spark).limit(500)).argmax(1) == [r["y"] for r in many_rows(spark).limit(500).collect()]).mean() > 0.95
+
+
+@pytest.mark.parametrize("limits", [{"max_leaves": 24}, {"max_depth": 6}])
+@pytest.mark.parametrize("case", ["same p", "any p", "copies", "sure"])
+def test_subtracted_sums_give_the_same_tree(monkeypatch, limits, case):
+    """The larger child's columns were all added up too; most are now got by subtraction, and the tree is the same bit by bit."""
+    rng, n = np.random.default_rng(7), 6_000
+    bins, y = rng.integers(0, 4 if case == "copies" else 64, (n, 12), np.uint8), rng.integers(0, 4, n)
+    y[bins[:, 3] > 40] = 0
+    if case == "copies":
+        bins[:, 5], bins[n // 2:], y[n // 2:] = bins[:, 4], bins[:n // 2], y[:n // 2]
+    p = {"any p": rng.random(n), "sure": np.where(y == 0, 1 - 1e-9, 1e-9)}.get(case, np.full(n, 0.25))
+    rows = np.stack([p - (y == 0), np.maximum(p * (1 - p), 1e-16), np.ones(n)], axis=1)
+    columns, seen, add = np.array([0, 2, 3, 4, 5, 6, 8, 9, 11]), [], trees.column_sums
+
+    def grown(**more):
+        growth = trees.Growth(trees.Gradients(1.0, 1e-3, 20), 64, lambda tree, key: (columns, len(columns)), min_gain=1e-6, **limits, **more)
+        return trees.grow(bins, rows, growth, 1)
+
+    monkeypatch.setattr(trees, "column_sums", lambda cells, *a: seen.append(cells.size) or add(cells, *a))
+    plain, quick = grown(), grown(tree_columns=True)
+    assert all(np.array_equal(a, b) for a, b in zip(trees.compact(plain), trees.compact(quick)))
+    if case != "sure":
+        ends = trees.leaves(bins, plain.arrays())
+        paths = sum((ends == node).sum() * plain.depth[node] for node in np.unique(ends))  # rows of all nodes below the root
+        assert len(np.unique(ends)) > 4 and sum(seen) < 0.8 * len(columns) * (n + paths)
+
+
+def test_a_round_reads_the_held_loss_in_its_own_job(spark, monkeypatch):
+    """A job of its own was run for it after every round; the losses are those of the model."""
+    x, y = rings(500, 8)
+    calls, loss = [], boosting.Fit.held_loss
+    monkeypatch.setattr(boosting.Fit, "held_loss", lambda self, rows: calls.append(1) or loss(self, rows))
+    settings = {"rounds": 4, "max_leaves": 6, "bins": 32}
+    one = boosting.fit(table(spark, x, y), "x", "y", 3, boosting.leafwise_settings(**settings))
+    assert len(calls) == 1 and len(one.losses) == 5  # after the last round only
+    waves = boosting.fit(table(spark, x, y), "x", "y", 3, boosting.leafwise_settings(task_rows=0, **settings))
+    assert len(calls) == 6 and np.allclose(one.losses, waves.losses, atol=1e-6)
+
+
+def test_subtrees_are_dealt_evenly(spark):
+    """Ten classes met in ten tasks by hash: some tasks grew two or three trees, others none."""
+    import pyarrow as pa
+
+    blocks = trees.blocks(table(spark, *rings(300, 9)), "x", "y", [np.arange(7.0)] * 4)
+    rng = np.random.default_rng(1)
+
+    def rows_of(block):
+        bins = np.frombuffer(block[3], np.uint8).reshape(block[2], -1)
+        return bins, {t: (np.zeros(len(bins), int), rng.random((len(bins), 3))) for t in range(6)}
+
+    def emit(tree, node, sub):
+        from pyspark import TaskContext
+
+        return pa.table({"tree": pa.array([tree], pa.int32()), "task": pa.array([TaskContext.get().partitionId()], pa.int32())})
+
+    growth = trees.Growth(trees.Gradients(), 8, lambda tree, key: (np.arange(4), 4), 1, tree_columns=True)
+    done = trees.finished(blocks, rows_of, growth, [(t, 0, t, 0) for t in range(6)], emit, "tree int, task int").collect()
+    assert sorted(r["tree"] for r in done) == list(range(6)) and len({r["task"] for r in done}) == 6
