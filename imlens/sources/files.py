@@ -1,4 +1,4 @@
-"""File scans: raw bytes (S1), decoded images (S2), stored results (S3, S4) and items.
+"""File scans: raw bytes and their digests (S1), decoded images (S2), stored results (S3, S4) and items.
 
 Listing and glob filtering happen in Spark's file sources, decoding in its image source or, for plain bitmaps, in tasks. Object stores are plain
 paths (``s3a://bucket/prefix``); credentials belong in the Hadoop configuration, not in code.
@@ -6,7 +6,10 @@ paths (``s3a://bucket/prefix``); credentials belong in the Hadoop configuration,
 
 from __future__ import annotations
 
+import hashlib
+import re
 import struct
+from urllib.parse import unquote
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +22,11 @@ from imlens.session import session_conf, ship_package
 IMAGE = "image struct<origin:string,height:int,width:int,nChannels:int,mode:int,data:binary>"
 OPEN_COST = 256 * 1024  # small files of a task that only looks at them
 FEW_FILES = 1_000  # files that are read by name
+WHOLE_BYTES = 32 << 20  # of a file that is read in one piece, at most
+PIECE_BYTES = 256 << 10  # of the pieces of larger files, about
+LINE_END = b"\n"  # larger files of a store that only Spark opens are read in lines
+BYTE_ORDER_MARK = b"\xef\xbb\xbf"  # Spark's text source leaves it out at the start of a file
+PACKED = r"\.(gz|gzip|bz2|deflate|snappy|lz4|lzo|zst|zstd|passthrough)$"  # names whose files that source would unpack
 
 
 def scan_binary(
@@ -41,6 +49,98 @@ def scan_binary(
     return reader.load(path)
 
 
+def scan_digests(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = True) -> DataFrame:
+    """(path, length, md5), one row per file (S1): the MD5 of its bytes, without holding a large file in memory.
+
+    Files of the scheme ``file`` are read by the tasks themselves, a piece at a time. In other stores, which only Spark
+    opens, files of more than ``WHOLE_BYTES`` are read by Spark's text source, whose lines are exchanged in pieces (the
+    longest line must fit a task); smaller ones, and those that this source would unpack, by the binary source.
+    """
+    files = scan_binary(spark, path, glob, recursive)
+    ship_package(spark)
+    of_path = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    if of_path.getUri().getScheme() == "file":
+        return files.select("path", "length").mapInArrow(_local_digests, "path string, length long, md5 string")
+    columns = ["path", "length", F.md5("content").alias("md5")]
+    out = files.filter(F.col("length") <= WHOLE_BYTES).select(*columns)
+    large = files.filter(F.col("length") > WHOLE_BYTES).select("path", F.col("path").rlike(PACKED).alias("packed")).collect()  # from the listing
+    if packed := [re.sub(r"([*?\[\]{}\\])", r"\\\1", r["path"]) for r in large if r["packed"]]:
+        out = out.unionByName(scan_binary(spark, packed).select(*columns))
+    if len(packed) == len(large):
+        return out
+    reader = spark.read.format("text").option("lineSep", LINE_END.decode()).option("recursiveFileLookup", str(recursive).lower())
+    lines = (reader.option("pathGlobFilter", glob) if glob else reader).load(path)
+    lines = lines.select("_metadata.file_path", "_metadata.file_size", "_metadata.file_block_start", F.col("value").cast("binary"))
+    lines = lines.filter(F.col("file_size") > WHOLE_BYTES).filter(~F.col("file_path").rlike(PACKED))
+    pieces = lines.mapInArrow(_pieces, "path string, length long, start long, at long, bytes binary")
+    pieces = pieces.repartition("path").sortWithinPartitions("path", "start", "at")
+    return out.unionByName(pieces.mapInArrow(_joined_digests, "path string, length long, md5 string"))
+
+
+def _local(path: str) -> str:
+    """Python's name of a file of the scheme ``file``; Spark's listing does not encode it."""
+    path = path.removeprefix("file:")
+    return "/" + path[2:].partition("/")[2] if path.startswith("//") else path
+
+
+def _local_digests(batches):
+    """(path, length, md5) of (path, length)."""
+    for batch in batches:
+        md5 = []
+        for path in batch.column(0).to_pylist():
+            with open(_local(path), "rb", buffering=0) as file:
+                md5.append(hashlib.file_digest(file, "md5").hexdigest())
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(md5, pa.string())], ["path", "length", "md5"])
+
+
+def _pieces(batches):
+    """(path, length, start, at, bytes) of the lines (path, length, start, line) of splits: some lines together, in the order ``at`` of their split."""
+    now, at, held, size = None, 0, [], 0
+
+    def out():
+        columns = [pa.array([now[0]]), *(pa.array([v], pa.int64()) for v in (now[1], now[2], at)), pa.array([LINE_END.join(held)], pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, ["path", "length", "start", "at", "bytes"])
+
+    for batch in batches:
+        for *split, line in zip(*(c.to_pylist() for c in batch.columns)):
+            if held and (split != now or size >= PIECE_BYTES):
+                yield out()
+                at, held, size = at + 1 if split == now else 0, [], 0
+            now = split
+            held.append(line)
+            size += len(line) + 1
+    if held:
+        yield out()
+
+
+def _joined_digests(batches):
+    """(path, length, md5) of sorted pieces of encoded paths. The length tells whether a byte order mark was left out and whether the last line has an end."""
+    now, n, hashes = None, 0, []
+
+    def out():
+        left = now[1] - n
+        if left not in (0, 1, 3, 4):
+            raise ValueError(f"{now[0]} was read as {n} bytes of {now[1]}")
+        md5 = hashes[left >= len(BYTE_ORDER_MARK)]
+        if left % len(BYTE_ORDER_MARK):
+            md5.update(LINE_END)
+        return pa.RecordBatch.from_arrays([pa.array([unquote(now[0])]), pa.array([now[1]], pa.int64()), pa.array([md5.hexdigest()])], ["path", "length", "md5"])
+
+    for batch in batches:
+        for path, length, _, _, piece in zip(*(c.to_pylist() for c in batch.columns)):
+            if now == (path, length):
+                piece = LINE_END + piece
+            else:
+                if now:
+                    yield out()
+                now, n, hashes = (path, length), 0, [hashlib.md5(), hashlib.md5(BYTE_ORDER_MARK)]
+            n += len(piece)
+            for md5 in hashes:
+                md5.update(piece)
+    if now:
+        yield out()
+
+
 def plain_bitmap(content: bytes) -> tuple[int, int, bytes] | None:
     """(height, width, BGR bytes from the top row down) of a whole bitmap of three bytes a pixel without a colour table, else None."""
     if content is None or len(content) < 54:

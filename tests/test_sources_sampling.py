@@ -1,3 +1,5 @@
+import gzip
+import hashlib
 import os
 import struct
 
@@ -8,8 +10,9 @@ from pyspark.sql import functions as F
 from imlens.functions.vectors import length_summary, long_form, split_valid
 from imlens.operators import sampling
 from imlens.plans import queries
+from imlens.session import session_conf
 from imlens.sources import files
-from imlens.sources.files import scan_binary
+from imlens.sources.files import scan_binary, scan_digests
 from imlens.sources.sinks import guard_overlap, write_csv
 
 from conftest import SF001
@@ -40,6 +43,48 @@ def test_binary_scan_prunes_content(spark):
     assert files.count() == len([f for f in os.listdir(SF001) if f.endswith(".parquet")])
 
 
+@pytest.fixture()
+def odd_files(tmp_path):
+    """Files of odd names, ends and bytes, some of a megabyte; {name: MD5}."""
+    rng = np.random.default_rng(4)
+    noise = rng.integers(0, 256, 1_000_000).astype(np.uint8).tobytes()
+    many = {
+        "empty": b"", "end": noise + b"\n", "ends": noise + b"\n\n", "no end": noise + b"x", "ends only": b"\n" * 5000, "mark": b"\xef\xbb\xbf" + noise + b"x",
+        "mark, end": b"\xef\xbb\xbf" * 2 + b"a\r\n" * 90_000, "50%25 [é] {x} #+": noise[::-1], "small": b"abc", "zeros": bytes(1_000_000), "one line.gz": gzip.compress(noise),
+    }
+    (tmp_path / "in" / "below").mkdir(parents=True)
+    for k, (name, data) in enumerate(many.items()):
+        (tmp_path / "in" / ("below" if k % 2 else "") / name).write_bytes(data)
+    (tmp_path / "in" / "_hidden").write_bytes(b"not listed")
+    return str(tmp_path / "in"), {name: (len(data), hashlib.md5(data).hexdigest()) for name, data in many.items() if data}  # Spark lists no empty file
+
+
+def digests(files):
+    rows = [(r["path"].rsplit("/", 1)[1], (r["length"], r["md5"])) for r in files.collect()]
+    assert len(dict(rows)) == len(rows)
+    return dict(rows)
+
+
+def test_digests_hold_no_file_in_memory(spark, odd_files):
+    """No plan node reads ``content``: the tasks read files a piece at a time."""
+    folder, want = odd_files
+    files = scan_digests(spark, folder)
+    assert "content" not in files._jdf.queryExecution().executedPlan().toString()
+    assert digests(files) == want
+    assert digests(scan_digests(spark, f"file://{folder}", glob="en*", recursive=False)) == {"ends": want["ends"]} | {k: v for k, v in want.items() if k == "ends only"}
+    assert "content" not in queries.q_scan_content(spark, SF001)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_digests_of_a_store_that_only_spark_opens(spark, odd_files, monkeypatch):
+    """Files over WHOLE_BYTES come in lines of splits, whatever their ends; smaller and packed ones in one piece."""
+    folder, want = odd_files
+    monkeypatch.setattr("imlens.sources.files.WHOLE_BYTES", 4_000)
+    spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.odd.link./in", f"file://{folder}")
+    with session_conf(spark, {"spark.sql.files.maxPartitionBytes": 300_000, "spark.sql.files.openCostInBytes": 1_000}):
+        assert digests(scan_digests(spark, "viewfs://odd/in")) == want
+        assert digests(scan_digests(spark, "viewfs://odd/in", glob="e*")) == {k: v for k, v in want.items() if k[0] == "e"}
+
+
 def test_parquet_scan_prunes_and_pushes(spark):
     docs = spark.read.parquet(f"{SF001}/documents.parquet").filter(F.col("doc_id") > 10).select("doc_id", "lang")
     plan = docs._jdf.queryExecution().executedPlan().toString()
