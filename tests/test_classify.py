@@ -62,3 +62,18 @@ def test_hgb_stops_early(spark):
     noise = spark.createDataFrame(rows, "id int, label string, features array<double>")
     model, _ = classify.fit_classifier(noise, kind="hgb", rounds=40, max_leaves=8)
     assert len(model.model.rounds) < 40 and len(model.model.rounds[0]) == 3
+
+
+@pytest.mark.parametrize("kind", ["gbt", "hgb", "rf"])
+def test_estimators_learn_from_every_row(spark, monkeypatch, kind):
+    """More rows than a fit once took at most (1,000,000), most of them of one label: all reach the estimator."""
+    seen = []
+
+    def count(data, features, label, classes, *settings, **params):
+        seen.append({r[label]: r["count"] for r in data.groupBy(label).count().collect()})
+
+    monkeypatch.setattr(classify.boosting, "fit", count)
+    monkeypatch.setattr(classify.forest, "fit", count)
+    rows = spark.range(1_000_300).select(F.array(F.col("id").cast("double")).alias("features"), F.when(F.col("id") < 7, "a").otherwise("b").alias("label"))
+    classify.fit_classifier(rows, kind=kind)
+    assert seen == [{0.0: 7, 1.0: 1_000_293}]
