@@ -6,8 +6,9 @@ leaves are pure. Nodes of many rows are split in waves over all blocks; as soon
 grouped there and its whole subtree is grown and written (``imlens.operators.trees``).
 
 The model is a table: a row for each subtree, and one for the top of each tree. Prediction reads it in chunks of
-whole trees of at most ``CHUNK_BYTES`` and adds up the leaves' class shares. Votes are written after each chunk but the last,
-so neither the driver nor a Python worker holds more than a chunk, however many trees and nodes there are.
+subtrees of at most ``CHUNK_BYTES``, with the tops of their trees, and adds up the leaves' class shares; a row whose leaf is in
+another chunk gets nothing. Votes are written after each chunk but the last, so neither the driver nor a Python worker
+holds more than a chunk, however many trees and nodes there are and however large a tree is.
 """
 
 from __future__ import annotations
@@ -22,9 +23,10 @@ from pyspark.sql import functions as F
 
 from imlens.operators import trees as T
 from imlens.operators.boosting import _array
-from imlens.session import drop_written, written
+from imlens.session import drop_written, release, scratch_path, written
 
 CHUNK_BYTES = 64 << 20
+SHIP_BYTES = 1 << 31  # rows that are grouped by node in one job, at most
 CONTINUED = -2  # the feature of a node whose subtree is a row of its own, ``part`` = the node
 PARTS = "tree int, part int, feature array<int>, bin array<int>, left array<int>, right array<int>, leaf array<int>, cls array<int>, share array<float>"
 
@@ -41,12 +43,12 @@ def _part(tree: int, part: int, arrays, sums: np.ndarray) -> pa.Table:
     return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=[f.split()[0] for f in PARTS.split(", ")])
 
 
-def _assembled(rows: pa.Table, trees: list[int], classes: int) -> list[tuple]:
-    """(feature, bin, left, right, shares of each node) of whole trees from their parts."""
+def _assembled(rows: pa.Table, chunk: dict[int, list[int]], classes: int) -> list[tuple]:
+    """(feature, bin, left, right, shares of each node) of the trees of a chunk, from their tops and the chunk's parts."""
     out = []
     rows = rows.sort_by([("tree", "ascending"), ("part", "ascending")])
     number, part = (rows.column(k).to_numpy() for k in ("tree", "part"))
-    for tree in trees:
+    for tree, wanted in chunk.items():
         mine = np.flatnonzero(number == tree)
         values = {k: [rows.column(k)[int(i)].values.to_numpy(zero_copy_only=False) for i in mine] for k in ("feature", "bin", "left", "right", "leaf", "cls", "share")}
         starts = dict(zip(part[mine].tolist(), np.cumsum([0] + [len(v) for v in values["feature"]]).tolist()))
@@ -54,10 +56,14 @@ def _assembled(rows: pa.Table, trees: list[int], classes: int) -> list[tuple]:
         feature, cut = np.concatenate(values["feature"]), np.concatenate(values["bin"])
         left, right = (np.concatenate([v.astype(np.int64) + a for v, a in zip(values[k], at)]) for k in ("left", "right"))
         shares = np.zeros((len(feature), classes), np.float32)
-        for a, leaf, cls, share in zip(at, values["leaf"], values["cls"], values["share"]):
-            shares[leaf.astype(np.int64) + a, cls] = share
-        # a continued node always goes on to the root of its part
+        for a, p, leaf, cls, share in zip(at, part[mine].tolist(), values["leaf"], values["cls"], values["share"]):
+            if p in wanted:  # leaves of a top vote in one chunk only
+                shares[leaf.astype(np.int64) + a, cls] = share
+        # a continued node always goes on to the root of its part, or ends without a share
         for node in np.flatnonzero(feature == CONTINUED):
+            if int(node) not in starts:
+                feature[node] = -1
+                continue
             feature[node], cut[node], left[node], right[node] = 0, 255, starts[int(node)], starts[int(node)]
         out.append((feature, cut, left.astype(np.int32), right.astype(np.int32), shares))
     return out
@@ -83,18 +89,25 @@ class ForestModel:
     def __init__(self, edges: list[np.ndarray], parts: DataFrame, trees: int, classes: int):
         self.edges, self.parts, self.trees, self.classes = edges, parts, trees, classes
 
-    def chunks(self) -> list[list[int]]:
-        """Tree numbers, in chunks of at most CHUNK_BYTES or one tree."""
-        nodes = self.parts.groupBy("tree").agg(F.sum(F.size("feature")).alias("n")).collect()  # one row a tree
-        out, size = [[]], 0
-        for r in sorted(nodes, key=lambda r: r["tree"]):
+    def chunks(self) -> list[dict[int, list[int]]]:
+        """{tree: parts}, in chunks of at most CHUNK_BYTES or one part; a top (part -1) stays with the first part of its tree."""
+        nodes = self.parts.select("tree", "part", F.size("feature").alias("n")).toArrow()  # three numbers a part
+        out, size, top = [{}], 0, None
+        for r in nodes.sort_by([("tree", "ascending"), ("part", "ascending")]).to_pylist():
             each = r["n"] * (16 + 4 * self.classes)
-            if out[-1] and size + each > CHUNK_BYTES:
-                out, size = [*out, []], 0
-            out[-1].append(r["tree"])
-            size += each
+            if out[-1] and top != r["tree"] and size + each > CHUNK_BYTES:
+                out, size = [*out, {}], 0
+            out[-1].setdefault(r["tree"], []).append(r["part"])
+            size, top = size + each, r["tree"] if r["part"] < 0 else None
         return out
 
+    def _rows(self, chunk: dict[int, list[int]]) -> pa.Table:
+        """The parts of a chunk and the tops of its trees."""
+        first, last = min(chunk), max(chunk)
+        tree, part = F.col("tree"), F.col("part")
+        inside = ((tree > first) | (part >= chunk[first][0])) & ((tree < last) | (part <= chunk[last][-1]))
+        return self.parts.filter(tree.between(first, last) & ((part < 0) | inside)).toArrow()
+
     def transform(self, df: DataFrame, features: str, prediction: str, probability: str | None = None) -> DataFrame:
         """``df`` with the index of the class of the highest mean share (double) and, if named, the mean shares."""
         spark = df.sparkSession
@@ -103,8 +116,7 @@ class ForestModel:
         out = df.withColumn(name, F.array_repeat(F.lit(0.0), self.classes))
         x, before, chunks = _array(df, features), None, self.chunks()
         for k, chunk in enumerate(chunks):
-            rows = self.parts.filter(F.col("tree").isin(chunk)).toArrow()
-            shared = spark.sparkContext.broadcast(_assembled(rows, chunk, self.classes))
+            shared = spark.sparkContext.broadcast(_assembled(self._rows(chunk), chunk, self.classes))
             out = out.withColumn(name, _voter(shared, self.edges, self.trees)(x, F.col(name)))
             if k < len(chunks) - 1:  # voters of one plan would share a worker and its memory
                 out = written(out, "forest-votes")
@@ -169,18 +181,33 @@ def fit(
     keys = {t: int(T.mix(seed * 1_000_003 + t)) for t in range(trees)}
     grown, todo = T.grow_down(block_rows, rows_of, growth, keys, n, lambda sums: sums.sum(), task_rows)
     tops = []
+    todo.sort()
     open_nodes = {(t, node) for t, node, _, _ in todo}
     for t, tree in grown.items():
         feature, *rest = tree.arrays()
         feature[[node for node in range(len(feature)) if (t, node) in open_nodes]] = CONTINUED
         sums = np.stack([np.zeros(classes) if s is None else s for s in tree.sums])
         tops.append(_part(t, -1, (feature, *rest), sums))
-    parts = data.sparkSession.createDataFrame(pa.concat_tables(tops), PARTS)
-    if todo:
-        def emit(tree: int, node: int, sub: T.Tree) -> pa.Table:
-            return _part(tree, node, sub.arrays(), np.stack(sub.sums))
-
-        parts = parts.unionByName(T.finished(block_rows, rows_of(grown), growth, todo, emit, PARTS))
-    parts = written(parts, "forest")
+    def emit(tree: int, node: int, sub: T.Tree) -> pa.Table:
+        return _part(tree, node, sub.arrays(), np.stack(sub.sums))
+
+    spark = data.sparkSession
+    path, parts = scratch_path(spark, "forest"), spark.createDataFrame(pa.concat_tables(tops), PARTS)
+    groups, size = [[]], 0
+    for q in todo:  # tree by tree, so that a group reads the blocks for its own trees only
+        sums = grown[q[0]].sums[q[1]]
+        each = (n if sums is None else float(sums.sum())) * (width + 24)
+        if groups[-1] and size + each > SHIP_BYTES:
+            groups, size = [*groups, []], 0
+        groups[-1].append(q)
+        size += each
+    for group in groups:
+        if group:
+            some = T.finished(block_rows, rows_of({q[0]: grown[q[0]] for q in group}), growth, group, emit, PARTS)
+            parts = some if parts is None else parts.unionByName(some)
+        parts.write.mode("append").parquet(path)
+        parts = None
+        if len(groups) > 1:
+            release(spark)
     drop_written(block_rows)
-    return ForestModel(edges, parts, trees, classes)
+    return ForestModel(edges, spark.read.schema(PARTS).parquet(path), trees, classes)

@@ -111,6 +111,38 @@ def test_chunks_of_trees_give_the_same_votes(spark, monkeypatch):
     assert (predictions(model, table(spark, test, np.zeros(500)))[0] == (test[:, :3].sum(1) > 0)).mean() > 0.85
 
 
+def test_a_tree_larger_than_a_chunk_is_read_in_parts(spark, monkeypatch):
+    """Chunks of one subtree each, and of a few: every row gets the vote of every tree once, also of leaves at a tree's top."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(600, 5))
+    y = np.where(x[:, 0] < -1, 0, rng.integers(0, 3, 600))  # pure leaves come early
+    df = table(spark, x, y)
+    model = forest.fit(df, "x", "y", 3, trees=3, columns="all", task_rows=150)
+    whole = predictions(model, df)
+    parts = model.parts.filter("part >= 0").count()
+    assert len(model.chunks()) == 1 and parts > 8
+    for size in (1, 4_000):
+        monkeypatch.setattr(forest, "CHUNK_BYTES", size)
+        n = len(model.chunks())
+        assert n == parts if size == 1 else 3 < n < parts
+        some = predictions(model, df)
+        assert np.array_equal(some[0], whole[0]) and np.array_equal(some[1], whole[1])
+        assert np.allclose(some[1].sum(1), 1)
+
+
+def test_groups_of_nodes_give_the_same_forest(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(400, 4))
+    df = table(spark, x, (x[:, 0] + rng.normal(size=400) > 0).astype(int))
+    jobs, finished = [], trees.finished
+    monkeypatch.setattr(trees, "finished", lambda *a: jobs.append(len(a[3])) or finished(*a))
+    found = []
+    for size in (1 << 31, 20_000):
+        monkeypatch.setattr(forest, "SHIP_BYTES", size)
+        found.append(sorted(map(str, forest.fit(df, "x", "y", 2, trees=5, task_rows=90).parts.collect())))
+    assert found[0] == found[1] and jobs[0] == sum(jobs[1:]) and len(jobs) > 3
+
+
 def test_a_plan_holds_one_chunk_of_trees(spark, monkeypatch):
     """Votes of all chunks but the last are written: the last plan has one voter, whatever the number of chunks."""
     rng = np.random.default_rng(4)
